@@ -34,3 +34,121 @@ def linked_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = Q.attach_quote(linked, _latest(spark, sf_dir))
     return out.select("seq", F.date_format("run_date", "yyyy-MM-dd").alias("run_date"),
                       "code", "name", "content", *Q.QUOTE_VALUES)
+
+
+# --- scalars (P1-P22) ------------------------------------------------------
+from ..functions import language as L  # noqa: E402
+from ..functions import text as T  # noqa: E402
+from ..functions.formats import with_keys  # noqa: E402
+from ..session import read_table  # noqa: E402
+
+
+def _docs(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents")
+
+
+@register("clean_text")
+def q_clean_text(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.clean_text("text").alias("cleaned"))
+
+
+@register("headline_key")
+def q_headline_key(spark, sf_dir):
+    return A.headlines(spark, sf_dir).select("seq", T.headline_key("title").alias("key"),
+                                             T.strip_hyphen("title").alias("content"))
+
+
+@register("extract_ticker")
+def q_extract_ticker(spark, sf_dir):
+    """P4 over headlines and documents: no '(' -> dropped; ticker longer than 4 -> dropped."""
+    h = A.headlines(spark, sf_dir).select(F.lit("headline").alias("src"), F.col("seq").alias("id"),
+                                          F.col("title").alias("text"))
+    d = _docs(spark, sf_dir).select(F.lit("document").alias("src"), F.col("doc_id").alias("id"), "text")
+    from ..operators.usjob import extract_ticker
+    return extract_ticker(h.unionByName(d), "text").select("src", "id", "ticker")
+
+
+@register("truncate_words")
+def q_truncate_words(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.truncate_words("text", 20).alias("truncated"))
+
+
+@register("normalise_ws")
+def q_normalise_ws(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.normalise_ws("text").alias("normalised"))
+
+
+@register("section_after")
+def q_section_after(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.section_after("text", ". ").alias("section"))
+
+
+@register("keep_alnum_hangul")
+def q_keep_alnum_hangul(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.keep_alnum_hangul("text").alias("kept"))
+
+
+@register("last_paragraph")
+def q_last_paragraph(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.last_paragraph("text", "\n").alias("last_block"))
+
+
+@register("detect_language")
+def q_detect_language(spark, sf_dir):
+    r = A.replies(spark, sf_dir)
+    return r.select("seq", L.is_korean("reply").alias("is_korean"),
+                    L.is_english("reply").alias("is_english"),
+                    L.detect_language("reply").alias("language"))
+
+
+@register("verdict_pn")
+def q_verdict_pn(spark, sf_dir):
+    return A.replies(spark, sf_dir).select("seq", "reply", L.verdict("reply", "P").alias("pn"))
+
+
+@register("verdict_pnc")
+def q_verdict_pnc(spark, sf_dir):
+    return A.replies(spark, sf_dir).select("seq", "reply", L.verdict("reply", "C").alias("pnc"))
+
+
+@register("sentences_findall")
+def q_sentences_findall(spark, sf_dir):
+    c = read_table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", F.size(T.sentences("text")).cast("bigint").alias("n_sentences"),
+                    T.first_sentence("text").alias("first_sentence"))
+
+
+@register("sentences_split")
+def q_sentences_split(spark, sf_dir):
+    """P16 (look-behind split): rows-only check, DuckDB's regex has no look-behind."""
+    c = read_table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", F.posexplode(T.sentence_split("text")).alias("pos", "sentence"))
+
+
+@register("format_numbers")
+def q_format_numbers(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select("l_extendedprice", T.fmt_int("l_extendedprice").alias("price_text"),
+                     T.fmt_int(F.col("l_extendedprice") * -7.5).alias("neg_text"))
+
+
+@register("parse_share_count")
+def q_parse_share_count(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    rendered = F.concat(T.fmt_int(F.col("o_totalprice") * 100), F.lit("/ "), F.col("o_custkey").cast("string"))
+    return o.select("o_orderkey", T.parse_shares(rendered).alias("shares"))
+
+
+@register("run_keys")
+def q_run_keys(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", F.format_string("%06d", F.col("user_id")).alias("code"))
+    return with_keys(e, F.col("ts")).select("event_id", "key_", "detail_key", "date_", "time_")
+
+
+@register("error_report_predicates")
+def q_error_report_predicates(spark, sf_dir):
+    from ..operators.store import ERROR_PATTERN, FAILURE_MARK
+    s = A.store(spark, sf_dir)
+    return s.select("seq", (~F.col("report_").contains(FAILURE_MARK)).alias("reusable"),
+                    F.col("report_").rlike(ERROR_PATTERN).alias("purge"))

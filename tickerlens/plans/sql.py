@@ -10,3 +10,79 @@ SELECT l.seq, strftime(l.run_date, '%Y-%m-%d') AS run_date, l.code, l.name, l.co
        coalesce(q.close, 0) AS close, coalesce(q.diff, 0) AS diff, coalesce(q.open, 0) AS open,
        coalesce(q.high, 0) AS high, coalesce(q.low, 0) AS low, coalesce(q.volume, 0) AS volume
 FROM linked l LEFT JOIN latest q ON q.code = l.code""")
+
+# --- scalars -----------------------------------------------------------------
+from ..functions.language import (EN_POLARITY, EN_STATEMENT, ENGLISH_PATTERN,  # noqa: E402
+                                  KO_POLARITY, KO_STATEMENT, KOREAN_PATTERN)
+from ..functions.text import CLEAN_PATTERN, HANGUL_KEEP, WS  # noqa: E402
+from ..operators.store import ERROR_PATTERN, FAILURE_MARK  # noqa: E402
+from .oracle import _q  # noqa: E402
+
+WSR = f"[{WS}]+"
+
+
+def strip_sql(expr: str) -> str:
+    return f"regexp_replace({expr}, {_q(f'^[{WS}]+|[{WS}]+$')}, '', 'g')"
+
+
+SQL["clean_text"] = f"SELECT doc_id, regexp_replace(text, {_q(CLEAN_PATTERN)}, '', 'g') AS cleaned FROM documents"
+SQL["headline_key"] = with_ctes(["keyed"], "SELECT seq, key, replace(title, '-', '') AS content FROM keyed")
+SQL["extract_ticker"] = with_ctes(["headlines"], r"""
+SELECT src, id, ticker FROM (
+  SELECT src, id, regexp_extract(text, '\(([^)]*)', 1) AS ticker, text FROM (
+    SELECT 'headline' AS src, seq AS id, title AS text FROM headlines
+    UNION ALL SELECT 'document', doc_id, text FROM documents))
+WHERE strpos(text, '(') > 0 AND length(ticker) <= 4""")
+SQL["truncate_words"] = f"""
+SELECT doc_id, CASE WHEN len(w) <= 20 THEN text ELSE array_to_string(w[1:20], ' ') || '...' END AS truncated
+FROM (SELECT doc_id, text, list_filter(regexp_split_to_array(text, {_q(WSR)}), lambda x: x <> '') AS w
+      FROM documents)"""
+SQL["normalise_ws"] = f"""
+SELECT doc_id, regexp_replace(replace(text, chr(10), ' '), {_q(WSR)}, ' ', 'g') AS normalised FROM documents"""
+SQL["section_after"] = """
+SELECT doc_id, CASE WHEN strpos(text, '. ') > 0 THEN split_part(text, '. ', 2) END AS section FROM documents"""
+SQL["keep_alnum_hangul"] = f"""
+SELECT doc_id, regexp_replace(text, {_q(f'[^{HANGUL_KEEP}{WS}]+')}, '', 'g') AS kept FROM documents"""
+SQL["last_paragraph"] = f"""
+SELECT doc_id, {strip_sql("string_split(text, chr(10))[-1]")} AS last_block FROM documents"""
+
+
+def verdict_sql(col: str, neutral: str) -> str:
+    def branch(pol, stmt):
+        p, n = pol
+        cond = f"(contains({col}, {_q(p)}) AND contains({col}, {_q(n)}))"
+        for s in stmt:
+            cond += f" OR contains({col}, {_q(s)})"
+        return (f"CASE WHEN {cond} THEN {_q(neutral)} WHEN strpos({col}, {_q(n)}) = 0 THEN 'P' "
+                f"WHEN strpos({col}, {_q(n)}) = 1 THEN {_q(neutral)} ELSE 'N' END")
+    return (f"CASE WHEN regexp_matches({col}, {_q(KOREAN_PATTERN)}) THEN {branch(KO_POLARITY, KO_STATEMENT)} "
+            f"WHEN regexp_matches({col}, {_q(ENGLISH_PATTERN)}) THEN {branch(EN_POLARITY, EN_STATEMENT)} "
+            f"WHEN {col} IS NOT NULL THEN {_q(neutral)} END")
+
+
+SQL["detect_language"] = with_ctes(["replies"], f"""
+SELECT seq, regexp_matches(reply, {_q(KOREAN_PATTERN)}) AS is_korean,
+       regexp_matches(reply, {_q(ENGLISH_PATTERN)}) AS is_english,
+       CASE WHEN regexp_matches(reply, {_q(KOREAN_PATTERN)}) THEN 'Korean'
+            WHEN regexp_matches(reply, {_q(ENGLISH_PATTERN)}) THEN 'English' ELSE 'Unknown' END AS language
+FROM replies""")
+SQL["verdict_pn"] = with_ctes(["replies"], f"SELECT seq, reply, {verdict_sql('reply', 'P')} AS pn FROM replies")
+SQL["verdict_pnc"] = with_ctes(["replies"], f"SELECT seq, reply, {verdict_sql('reply', 'C')} AS pnc FROM replies")
+SQL["sentences_findall"] = f"""
+SELECT conv_id, turn, CAST(len(s) AS BIGINT) AS n_sentences, {strip_sql("s[1]")} AS first_sentence
+FROM (SELECT conv_id, turn, regexp_extract_all(text, '.+?[.?!]') AS s FROM conversations)"""
+SQL["format_numbers"] = """
+SELECT l_extendedprice, format('{:,}', CAST(trunc(l_extendedprice) AS BIGINT)) AS price_text,
+       format('{:,}', CAST(trunc(l_extendedprice * -7.5) AS BIGINT)) AS neg_text
+FROM lineitem"""
+SQL["parse_share_count"] = """
+SELECT o_orderkey, CAST(trunc(o_totalprice * 100) AS BIGINT) AS shares FROM orders"""
+SQL["run_keys"] = """
+SELECT event_id, strftime(ts, '%Y%m%d') || strftime(ts, '%H%M') || printf('%06d', user_id) AS key_,
+       strftime(ts, '%Y%m%d') || printf('%06d', user_id) AS detail_key,
+       strftime(ts, '%Y-%m-%d') AS date_, strftime(ts, '%H:%M') AS time_
+FROM events"""
+SQL["error_report_predicates"] = with_ctes(["store"], f"""
+SELECT seq, report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} AS reusable,
+       regexp_matches(report_, {_q(ERROR_PATTERN)}) AS purge
+FROM store""")
