@@ -152,3 +152,187 @@ def q_error_report_predicates(spark, sf_dir):
     s = A.store(spark, sf_dir)
     return s.select("seq", (~F.col("report_").contains(FAILURE_MARK)).alias("reusable"),
                     F.col("report_").rlike(ERROR_PATTERN).alias("purge"))
+
+
+# --- joins, sets, windows (J2-J5, A1, A2, W2, W3, S11) ----------------------
+from ..operators import pages as PG  # noqa: E402
+from ..operators import store as ST  # noqa: E402
+from ..sources.crawl import crawl_plan  # noqa: E402
+
+
+def _day(c="run_date"):
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+@register("link_candidates")
+def q_link_candidates(spark, sf_dir):
+    h = A.headlines(spark, sf_dir).withColumn("key", T.headline_key("title"))
+    cand = linking.candidate_counts(h, A.master(spark, sf_dir))
+    return h.join(cand, "key").select("seq", "key", "n_candidates")
+
+
+@register("link_carry_forward")
+def q_link_carry_forward(spark, sf_dir):
+    out = linking.link_with_legacy_carry(A.headlines(spark, sf_dir), A.master(spark, sf_dir),
+                                         chunk_rows=1000)
+    return out.select("seq", _day().alias("run_date"), "key", "code", "name", "exact")
+
+
+def _linked(spark, sf_dir):
+    return linking.link_headlines(A.headlines(spark, sf_dir), A.master(spark, sf_dir))
+
+
+@register("new_only")
+def q_new_only(spark, sf_dir):
+    l = _linked(spark, sf_dir).withColumn("run_day", _day())
+    out = linking.new_only(l, A.store(spark, sf_dir), [("code", "code_"), ("run_day", "date_")])
+    return out.select("seq", "code", "run_day")
+
+
+@register("reuse_reports")
+def q_reuse_reports(spark, sf_dir):
+    out = ST.reuse_reports(_linked(spark, sf_dir), A.store(spark, sf_dir))
+    return out.select("seq", "code", "report", "needs_report")
+
+
+@register("count_by_code_date")
+def q_count_by_code_date(spark, sf_dir):
+    return ST.count_by_code_date(A.store(spark, sf_dir))
+
+
+@register("max_report")
+def q_max_report(spark, sf_dir):
+    return ST.max_report(A.store(spark, sf_dir))
+
+
+@register("dedupe_pages")
+def q_dedupe_pages(spark, sf_dir):
+    """W3 with each document as a list of its lines: equal line lists -> first doc kept."""
+    d = _docs(spark, sf_dir)
+    items = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "title"))
+    _, kept = PG.dedupe_pages(items, ["doc_id"], [F.col("doc_id")])
+    return kept.select("doc_id", F.size("titles").cast("bigint").alias("n_lines"))
+
+
+@register("dedupe_headline_lists")
+def q_dedupe_headline_lists(spark, sf_dir):
+    """W3 on the headline page lists, first seen = newest day, then page, then slot."""
+    h = A.headlines(spark, sf_dir)
+    kept_items, _ = PG.dedupe_pages(h, ["run_date", "page_no", "slot"],
+                                    [F.datediff(F.lit("2100-01-01"), "run_date"), F.col("page_no"),
+                                     F.col("slot")])
+    return kept_items.select("seq", _day().alias("run_date"), "page_no", "slot", "pos")
+
+
+def _backfill(spark, sf_dir, n):
+    h = A.headlines(spark, sf_dir)
+    out = PG.backfill_horizon(h, ["run_date", "page_no", "slot"], min_lists=n)
+    return out.select(_day().alias("run_date"), "new_lists", "lists_before", "lists_held")
+
+
+@register("backfill_horizon")
+def q_backfill_horizon(spark, sf_dir):
+    return _backfill(spark, sf_dir, 10)
+
+
+@register("backfill_horizon_wide")
+def q_backfill_horizon_wide(spark, sf_dir):
+    return _backfill(spark, sf_dir, 200)
+
+
+@register("crawl_plan")
+def q_crawl_plan(spark, sf_dir):
+    out = crawl_plan(A.headlines(spark, sf_dir), slots=("dd", "dt"))
+    return out.select(_day().alias("run_date"), F.col("page_no").cast("bigint").alias("page_no"), "slot")
+
+
+# --- features and sentiment (A3-A9, J7, S6) ---------------------------------
+from ..operators import features as FE  # noqa: E402
+from ..operators import sentiment as SE  # noqa: E402
+
+
+def _corpus_tokens(spark, sf_dir):
+    return A.corpus(spark, sf_dir).withColumn("tokens", FE.tokenise("document"))
+
+
+def _doc_tokens(spark, sf_dir):
+    return _docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "text",
+                                       FE.tokenise("text").alias("tokens"))
+
+
+@register("tokenise")
+def q_tokenise(spark, sf_dir):
+    d = _doc_tokens(spark, sf_dir)
+    return d.select("id", F.size("tokens").cast("bigint").alias("n_tokens"),
+                    F.array_join("tokens", " ").alias("tokens_text"))
+
+
+@register("vocab_top_k")
+def q_vocab_top_k(spark, sf_dir):
+    return FE.vocabulary(_corpus_tokens(spark, sf_dir))
+
+
+@register("term_frequency")
+def q_term_frequency(spark, sf_dir):
+    c = _corpus_tokens(spark, sf_dir)
+    return FE.term_frequency(c, FE.vocabulary(c))
+
+
+def _bow(spark, sf_dir):
+    c = _corpus_tokens(spark, sf_dir)
+    vocab = FE.vocabulary(c)
+    weights = SE.weights_from_corpus(FE.term_frequency(c, vocab), c)
+    d = _doc_tokens(spark, sf_dir)
+    return d, SE.bow_score(d, FE.term_frequency(d, vocab), weights)
+
+
+@register("bow_score")
+def q_bow_score(spark, sf_dir):
+    return _bow(spark, sf_dir)[1]
+
+
+def negative_words(spark, sf_dir):
+    """Derived dictionary: tokens found only in toxic documents, in at least two."""
+    d = _docs(spark, sf_dir).join(read_table(spark, sf_dir, "labels"), "doc_id")
+    t = d.select("doc_id", "toxic", F.explode(F.array_distinct(FE.tokenise("text"))).alias("word"))
+    g = t.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("tox"),
+                              F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1)).alias("clean"))
+    return g.where((F.col("tox") >= 2) & (F.col("clean") == 0)).select(
+        F.col("word").alias("nag_word"), F.lit("en").alias("lang"))
+
+
+@register("keyword_override")
+def q_keyword_override(spark, sf_dir):
+    d, scored = _bow(spark, sf_dir)
+    j = scored.join(d.select("id", "text"), "id")
+    out = SE.keyword_override(j, "pn", "text", negative_words(spark, sf_dir), "nag_word")
+    return out.select("id", "pn", "pn_final")
+
+
+@register("lexicon_sentiment")
+def q_lexicon_sentiment(spark, sf_dir):
+    lex = SE.lexicon_from_corpus(_corpus_tokens(spark, sf_dir))
+    conv = read_table(spark, sf_dir, "conversations").withColumn("tokens", FE.tokenise("text"))
+    return SE.lexicon_sentiment(conv, ["conv_id", "turn"], "tokens", lex)
+
+
+@register("bow_train")
+def q_bow_train(spark, sf_dir):
+    """A9 (rows-only): Spark ML fit on the labelled corpus, scores for every document."""
+    model = SE.bow_train(A.corpus(spark, sf_dir))
+    docs = _docs(spark, sf_dir).select(F.col("doc_id").alias("id"), F.col("text").alias("document"))
+    from pyspark.ml.functions import vector_to_array
+    pred = model.transform(docs)
+    p1 = F.get(vector_to_array("probability"), 1)
+    return pred.select("id", F.when(p1 > 0.5, "P").otherwise("N").alias("pn"),
+                       F.round(F.greatest(p1, 1 - p1) * 100, 2).alias("ratio"))
+
+
+@register("token_doc_cache")
+def q_token_doc_cache(spark, sf_dir):
+    from ..session import scratch_path
+    path = scratch_path(spark, "token_docs")
+    c = A.corpus(spark, sf_dir)
+    first = FE.cached_tokens(spark, c, path, ["id"], "document", ["label"])
+    again = FE.cached_tokens(spark, c, path, ["id"], "document", ["label"])  # read path
+    return again.select("id", "label", F.array_join("tokens", " ").alias("tokens_text"))

@@ -86,3 +86,141 @@ SQL["error_report_predicates"] = with_ctes(["store"], f"""
 SELECT seq, report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} AS reusable,
        regexp_matches(report_, {_q(ERROR_PATTERN)}) AS purge
 FROM store""")
+
+# --- joins, sets, windows ----------------------------------------------------
+from .oracle import CTE, DEPS  # noqa: E402
+
+SQL["link_candidates"] = with_ctes(["keyed", "master_d"], """
+SELECT k.seq, k.key, (SELECT count(*) FROM master_d m WHERE contains(m.name, k.key)) AS n_candidates
+FROM keyed k""")
+SQL["link_carry_forward"] = with_ctes(["keyed", "master_d"], """
+SELECT seq, strftime(run_date, '%Y-%m-%d') AS run_date, key, code, name, exact FROM (
+  SELECT seq, run_date, key, n_cand,
+         coalesce(last_value(xcode IGNORE NULLS) OVER w, '') AS code,
+         coalesce(last_value(xname IGNORE NULLS) OVER w, '') AS name,
+         xcode IS NOT NULL AS exact
+  FROM (SELECT k.seq, k.run_date, k.key, m.code AS xcode, m.name AS xname,
+               (SELECT count(*) FROM master_d m2 WHERE contains(m2.name, k.key)) AS n_cand
+        FROM keyed k LEFT JOIN master_d m ON k.key = m.name)
+  WINDOW w AS (PARTITION BY run_date ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE n_cand > 0""")
+SQL["new_only"] = with_ctes(["linked", "store"], """
+SELECT l.seq, l.code, strftime(l.run_date, '%Y-%m-%d') AS run_day FROM linked l
+WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.code_ = l.code AND s.date_ = strftime(l.run_date, '%Y-%m-%d'))""")
+CTE["max_report"] = f"""max_report AS (
+  SELECT code_, max(report_) AS stored_report FROM store
+  WHERE report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} GROUP BY code_)"""
+DEPS["max_report"] = ["store"]
+SQL["reuse_reports"] = with_ctes(["linked", "max_report"], """
+SELECT l.seq, l.code, coalesce(r.stored_report, '') AS report, length(coalesce(r.stored_report, '')) = 0 AS needs_report
+FROM linked l LEFT JOIN max_report r ON r.code_ = l.code""")
+SQL["count_by_code_date"] = with_ctes(["store"], "SELECT code_, date_, count(*) AS cnt FROM store GROUP BY code_, date_")
+SQL["max_report"] = with_ctes(["max_report"], "SELECT code_, stored_report FROM max_report")
+SQL["dedupe_pages"] = """
+SELECT min(doc_id) AS doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines
+FROM documents GROUP BY string_split(text, chr(10)), text"""
+CTE["lists"] = """lists AS (
+  SELECT run_date, page_no, slot, list(title ORDER BY pos) AS titles FROM headlines
+  GROUP BY run_date, page_no, slot)"""
+DEPS["lists"] = ["headlines"]
+SQL["dedupe_headline_lists"] = with_ctes(["lists"], """
+SELECT h.seq, strftime(h.run_date, '%Y-%m-%d') AS run_date, h.page_no, h.slot, h.pos
+FROM headlines h JOIN (
+  SELECT arg_min(struct_pack(run_date := run_date, page_no := page_no, slot := slot),
+                 struct_pack(a := date_diff('day', run_date, DATE '2100-01-01'), b := page_no, c := slot)) AS k
+  FROM lists GROUP BY titles) f
+ON h.run_date = f.k.run_date AND h.page_no = f.k.page_no AND h.slot = f.k.slot""")
+
+
+def backfill_sql(n: int) -> str:
+    return with_ctes(["lists"], f"""
+SELECT strftime(run_date, '%Y-%m-%d') AS run_date, new_lists, lists_before, lists_before + new_lists AS lists_held
+FROM (
+  SELECT run_date, new_lists,
+         CAST(coalesce(sum(new_lists) OVER (ORDER BY run_date DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS lists_before
+  FROM (SELECT d.run_date, CAST(coalesce(p.new_lists, 0) AS BIGINT) AS new_lists
+        FROM (SELECT DISTINCT run_date FROM lists) d
+        LEFT JOIN (SELECT run_date, count(*) AS new_lists FROM
+                     (SELECT titles, max(run_date) AS run_date FROM lists GROUP BY titles) GROUP BY run_date) p
+        ON p.run_date = d.run_date))
+WHERE lists_before < {n}""")
+
+
+SQL["backfill_horizon"] = backfill_sql(10)
+SQL["backfill_horizon_wide"] = backfill_sql(200)
+SQL["crawl_plan"] = """
+SELECT strftime(d, '%Y-%m-%d') AS run_date, p AS page_no, s AS slot
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events), range(1, 10) t(p), (VALUES ('dd'), ('dt')) v(s)"""
+
+# --- features and sentiment --------------------------------------------------
+TOK = r"regexp_extract_all(lower({}), '\p{{L}}+')"
+CTE["ctok"] = f"ctok AS (SELECT id, label, document, {TOK.format('document')} AS tokens FROM corpus)"
+DEPS["ctok"] = ["corpus"]
+CTE["vocab"] = """vocab AS (
+  SELECT token, count(*) AS cnt FROM (SELECT unnest(tokens) AS token FROM ctok)
+  GROUP BY token ORDER BY cnt DESC, token LIMIT 5000)"""
+DEPS["vocab"] = ["ctok"]
+CTE["dtok"] = f"dtok AS (SELECT doc_id AS id, text, {TOK.format('text')} AS tokens FROM documents)"
+CTE["tf_c"] = """tf_c AS (
+  SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(tokens) AS term FROM ctok) t
+  JOIN vocab v ON v.token = t.term GROUP BY id, term)"""
+DEPS["tf_c"] = ["vocab"]
+CTE["tf_d"] = """tf_d AS (
+  SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(tokens) AS term FROM dtok) t
+  JOIN vocab v ON v.token = t.term GROUP BY id, term)"""
+DEPS["tf_d"] = ["vocab", "dtok"]
+CTE["weights"] = """weights AS (
+  SELECT term, floor(16 * (p - n) / (p + n + 1)) / 16.0 AS weight FROM (
+    SELECT term, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS p, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n
+    FROM tf_c JOIN corpus c USING (id) GROUP BY term))"""
+DEPS["weights"] = ["tf_c"]
+CTE["bow"] = """bow AS (
+  SELECT id, CASE WHEN s > 0.5 THEN 'P' ELSE 'N' END AS pn,
+         CASE WHEN s > 0.5 THEN round(s * 100, 2) ELSE round((1 - s) * 100, 2) END AS ratio
+  FROM (SELECT d.id, 1.0 / (1.0 + exp(-(coalesce(z.z, 0.0) + 0.0))) AS s
+        FROM dtok d LEFT JOIN (SELECT id, sum(tf * weight) AS z FROM tf_d JOIN weights USING (term) GROUP BY id) z
+        ON z.id = d.id))"""
+DEPS["bow"] = ["tf_d", "weights"]
+SQL["tokenise"] = with_ctes(["dtok"], """
+SELECT id, CAST(len(tokens) AS BIGINT) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM dtok""")
+SQL["vocab_top_k"] = with_ctes(["vocab"], "SELECT token, cnt FROM vocab")
+SQL["term_frequency"] = with_ctes(["tf_c"], "SELECT id, term, tf FROM tf_c")
+SQL["bow_score"] = with_ctes(["bow"], "SELECT id, pn, ratio FROM bow")
+CTE["nag"] = f"""nag AS (
+  SELECT word AS nag_word FROM (
+    SELECT word, sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS tox, sum(CASE WHEN toxic = 1 THEN 0 ELSE 1 END) AS clean
+    FROM (SELECT DISTINCT d.doc_id, l.toxic, unnest({TOK.format('d.text')}) AS word
+          FROM documents d JOIN labels l ON l.doc_id = d.doc_id)
+    GROUP BY word) WHERE tox >= 2 AND clean = 0)"""
+SQL["keyword_override"] = with_ctes(["bow", "nag"], """
+SELECT b.id, b.pn,
+       CASE WHEN EXISTS (SELECT 1 FROM nag WHERE contains(d.text, nag.nag_word)) THEN 'N'
+            WHEN b.pn = 'P' THEN 'P' ELSE 'C' END AS pn_final
+FROM bow b JOIN dtok d ON d.id = b.id""")
+CTE["lex"] = """lex AS (
+  SELECT word, CAST(floor(40 * (p - n) / (p + n)) AS BIGINT) AS tenths FROM (
+    SELECT word, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS p, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n
+    FROM (SELECT DISTINCT id, label, word FROM (SELECT id, label, unnest(tokens) AS word FROM ctok))
+    GROUP BY word) WHERE p + n >= 3)"""
+DEPS["lex"] = ["ctok"]
+SQL["lexicon_sentiment"] = with_ctes(["lex"], f"""
+SELECT conv_id, turn,
+       CASE WHEN total > 0 THEN round(abs(neg / total), 3) ELSE 0.0 END AS neg,
+       CASE WHEN total > 0 THEN round(abs(neu / total), 3) ELSE 0.0 END AS neu,
+       CASE WHEN total > 0 THEN round(abs(pos / total), 3) ELSE 0.0 END AS pos,
+       CASE WHEN s10 IS NULL OR s10 = 0 THEN 0.0
+            ELSE round(greatest(-1.0, least(1.0, s / sqrt(s * s + 15.0))), 4) END AS compound
+FROM (
+  SELECT *, pos + abs(neg) + neu AS total FROM (
+    SELECT conv_id, turn, s10, coalesce(s10, 0) / 10.0 AS s, coalesce(pos10, 0) / 10.0 AS pos,
+           coalesce(neg10, 0) / 10.0 AS neg, CAST(neu_n AS DOUBLE) AS neu
+    FROM (
+      SELECT conv_id, turn, sum(t) AS s10, sum(CASE WHEN t > 0 THEN t + 10 END) AS pos10,
+             sum(CASE WHEN t < 0 THEN t - 10 END) AS neg10, count(CASE WHEN t = 0 THEN 1 END) AS neu_n
+      FROM (
+        SELECT c.conv_id, c.turn, CASE WHEN c.token IS NOT NULL THEN coalesce(l.tenths, 0) END AS t
+        FROM (SELECT conv_id, turn, unnest(CASE WHEN len(tk) = 0 THEN [NULL] ELSE tk END) AS token
+              FROM (SELECT conv_id, turn, {TOK.format('text')} AS tk FROM conversations)) c
+        LEFT JOIN lex l ON l.word = c.token)
+      GROUP BY conv_id, turn)))""")
+SQL["token_doc_cache"] = with_ctes(["ctok"], "SELECT id, label, array_to_string(tokens, ' ') AS tokens_text FROM ctok")
