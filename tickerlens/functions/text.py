@@ -129,9 +129,13 @@ def fmt_int(col) -> Column:
 
 
 def fmt_float(col) -> Column:
-    """P17 floats: thousands separators, at least one decimal (Python ``format(x, ',')``
-    for |x| < 1e16)."""
-    return F.format_number(_c(col).cast("double"), "#,##0.0###############")
+    """P17 floats: thousands separators, at least one decimal, the digits of the
+    shortest round-trip representation (Python ``format(x, ',')`` for |x| < 1e16).
+    The double goes through its shortest string and an exact decimal, so no
+    digit is invented or lost by binary formatting."""
+    exact = _c(col).cast("double").cast("string").try_cast("decimal(38,17)")
+    # format_number on a decimal is exact; then drop trailing zeros, keep one decimal.
+    return F.regexp_replace(F.format_number(exact, 17), r"(\.\d*?[0-9])0+$", "$1")
 
 
 def parse_shares(col) -> Column:

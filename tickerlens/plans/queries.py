@@ -336,3 +336,123 @@ def q_token_doc_cache(spark, sf_dir):
     first = FE.cached_tokens(spark, c, path, ["id"], "document", ["label"])
     again = FE.cached_tokens(spark, c, path, ["id"], "document", ["label"])  # read path
     return again.select("id", "label", F.array_join("tokens", " ").alias("tokens_text"))
+
+
+# --- page scans and valuation (S1-S4, S10, V1-V5, A6) -----------------------
+from ..operators import valuation as V  # noqa: E402
+from ..sources import html as H  # noqa: E402
+from . import company_pages as CP  # noqa: E402
+
+
+def _pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages")
+
+
+@register("anchor_attr_scan")
+def q_anchor_attr_scan(spark, sf_dir):
+    out = H.anchor_attrs(_pages(spark, sf_dir), "href", containers=("dd", "dt", "li"))
+    return out.select("page_id", "slot", F.col("pos").cast("bigint").alias("pos"), "value")
+
+
+@register("class_text_scan")
+def q_class_text_scan(spark, sf_dir):
+    out = H.class_text(_pages(spark, sf_dir), "div", "ad")
+    return out.select("page_id", F.col("pos").cast("bigint").alias("pos"), "text")
+
+
+@register("company_profile")
+def q_company_profile(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return p.select("page_id", *V.company_profile(F.col("html"), ("h1", None), ("li", None),
+                                                 ("headline", "summary")))
+
+
+def listing_pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"), CP.html_column(CP.listing_html_pieces()).alias("html"))
+
+
+def company_pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"), F.format_string("%06d", "p_partkey").alias("code"),
+        CP.html_column(CP.company_html_pieces()).alias("html"))
+
+
+@register("html_table_scan")
+def q_html_table_scan(spark, sf_dir):
+    c = H.html_tables(listing_pages(spark, sf_dir))
+    return c.select("page_id", *[F.col(x).cast("bigint").alias(x) for x in ("table_no", "row_no", "col_no")],
+                    "header", "cell")
+
+
+@register("cell_lookup")
+def q_cell_lookup(spark, sf_dir):
+    cells = H.html_tables(listing_pages(spark, sf_dir))
+    spec = {c: (0, 0, c) for c in CP.LISTING_COLS[1:]}
+    spec["size_by_index"] = (0, 0, 4)
+    return H.cells_to_fields(cells, spec)
+
+
+@register("filing_index_pick")
+def q_filing_index_pick(spark, sf_dir):
+    """First order row (by key) per customer with > 3 cells and 'URGENT'
+    in cell 0; link from cell 1 with a prefix and 'ix?doc=/' removed."""
+    o = read_table(spark, sf_dir, "orders")
+    cells = F.array_compact(F.array(
+        F.col("o_orderpriority"),
+        F.concat(F.lit("/Archives/ix?doc=/"), F.col("o_orderkey").cast("string"), F.lit(".htm")),
+        F.col("o_orderstatus"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey").cast("string"))))
+    long = o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("row_no"),
+                    F.posexplode(cells).alias("col_no", "cell"))
+    return H.pick_first(long, 3, 0, "URGENT", 1, prefix="https://www.sec.gov")
+
+
+def _detail_pages(spark, sf_dir):
+    return V.with_tables(company_pages(spark, sf_dir))
+
+
+def rate_cells(spark, sf_dir):
+    s = read_table(spark, sf_dir, "supplier")
+    return s.select(F.lit(0).cast("bigint").alias("page_id"), F.lit(0).alias("table_no"),
+                    F.col("s_suppkey").alias("row_no"), F.lit(3).alias("col_no"),
+                    F.lit(V.RATE_COLUMN).alias("header"), F.expr(CP.RATE_CELL).alias("cell"))
+
+
+@register("market_snapshot")
+def q_market_snapshot(spark, sf_dir):
+    return V.market_snapshot(_detail_pages(spark, sf_dir), keep=["code"])
+
+
+@register("consensus")
+def q_consensus(spark, sf_dir):
+    return V.consensus(_detail_pages(spark, sf_dir), keep=["code"])
+
+
+@register("required_return")
+def q_required_return(spark, sf_dir):
+    k, shown = V.required_return(rate_cells(spark, sf_dir))
+    p = read_table(spark, sf_dir, "part").select(F.format_string("%06d", "p_partkey").alias("code"))
+    return p.select("code", k.alias("k"), shown.alias("srim_revenue_rate"))
+
+
+@register("srim_valuation")
+def q_srim_valuation(spark, sf_dir):
+    k, shown = V.required_return(rate_cells(spark, sf_dir))
+    p = V.market_snapshot(_detail_pages(spark, sf_dir), keep=["code", "tables"])
+    return V.srim(p, k, shown, keep=["code"])
+
+
+@register("last_valid_period")
+def q_last_valid_period(spark, sf_dir):
+    """A6 on the long cell form: last non-null, non-NaN period value per
+    (page, row) of the financial table; equity over all columns, ROA/ROE over
+    the four annual ones."""
+    from ..operators.quotes import last_valid
+    cells = H.html_tables(company_pages(spark, sf_dir).select("page_id", "html"))
+    fin = cells.where((F.col("table_no") == 10) & F.col("row_no").isin(9, 16, 17))
+    fin = fin.where((F.col("row_no") == 9) | F.col("col_no").between(1, 4))
+    fin = fin.withColumn("v", F.trim("cell").try_cast("double"))
+    out = last_valid(fin, ["page_id", "row_no"], "col_no", "v")
+    return out.select("page_id", F.col("row_no").cast("bigint").alias("row_no"), "last_value")

@@ -224,3 +224,113 @@ FROM (
         LEFT JOIN lex l ON l.word = c.token)
       GROUP BY conv_id, turn)))""")
 SQL["token_doc_cache"] = with_ctes(["ctok"], "SELECT id, label, array_to_string(tokens, ' ') AS tokens_text FROM ctok")
+
+# --- page scans and valuation ------------------------------------------------
+from ..sources.html import _element_pattern  # noqa: E402
+from . import company_pages as CP  # noqa: E402
+
+
+def unescape_sql(e: str) -> str:
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        e = f"replace({e}, {_q(ent)}, {_q(ch)})"
+    return e
+
+
+def strip_tags_sql(e: str) -> str:
+    return unescape_sql(f"regexp_replace({e}, '<[^>]*>', '', 'g')")
+
+
+def _anchor_branch(slot: str) -> str:
+    first_a = r"regexp_extract(e, '(?is)<a\b[^>]*>', 0)"
+    pat = _q(r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+    has = _q(r"""(?is)\shref\s*=\s*["']""")
+    val = (f"CASE WHEN regexp_matches({first_a}, {has}) THEN "
+           f"regexp_extract({first_a}, {pat}, 1) || regexp_extract({first_a}, {pat}, 2) END")
+    return f"""
+  SELECT page_id, '{slot}' AS slot, unnest(range(len(v))) AS pos, unnest(v) AS value FROM (
+    SELECT page_id, list_filter(list_transform(regexp_extract_all(html, {_q(_element_pattern(slot))}, 1),
+                                               lambda e: {val}), lambda x: x IS NOT NULL) AS v
+    FROM pages)"""
+
+
+SQL["anchor_attr_scan"] = ("SELECT page_id, slot, pos, " + unescape_sql("value") + " AS value FROM ("
+                           + " UNION ALL ".join(_anchor_branch(s) for s in ("dd", "dt", "li")) + ")")
+SQL["class_text_scan"] = f"""
+SELECT page_id, unnest(range(len(v))) AS pos, unnest(v) AS text FROM (
+  SELECT page_id, list_transform(regexp_extract_all(html, {_q(_element_pattern('div', 'ad'))}, 1),
+                                 lambda e: {strip_tags_sql('e')}) AS v FROM pages)"""
+SQL["company_profile"] = f"""
+SELECT page_id,
+       coalesce({strip_tags_sql(f"regexp_extract_all(html, {_q(_element_pattern('h1'))}, 1)[1]")}, '-') AS headline,
+       coalesce({strip_tags_sql(f"regexp_extract_all(html, {_q(_element_pattern('li'))}, 1)[1]")}, '-') AS summary
+FROM pages"""
+SQL["html_table_scan"] = " UNION ALL ".join(
+    f"SELECT p_partkey AS page_id, CAST(0 AS BIGINT) AS table_no, CAST(0 AS BIGINT) AS row_no, "
+    f"CAST({i} AS BIGINT) AS col_no, '{c}' AS header, CAST({c} AS VARCHAR) AS cell FROM part"
+    for i, c in enumerate(CP.LISTING_COLS))
+SQL["cell_lookup"] = ("SELECT p_partkey AS page_id, " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" for c in CP.LISTING_COLS[1:]) + ", CAST(p_size AS VARCHAR) AS size_by_index FROM part")
+SQL["filing_index_pick"] = """
+SELECT o_custkey AS page_id, replace('https://www.sec.gov' || arg_min(link, o_orderkey), 'ix?doc=/', '') AS link
+FROM (SELECT o_custkey, o_orderkey, o_orderpriority,
+             '/Archives/ix?doc=/' || CAST(o_orderkey AS VARCHAR) || '.htm' AS link,
+             3 + (CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END)
+               + (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS n_cells
+      FROM orders)
+WHERE n_cells > 3 AND contains(o_orderpriority, 'URGENT')
+GROUP BY o_custkey"""
+SNAP_ABORT = "p_size % 11 = 0"
+SQL["market_snapshot"] = f"""
+SELECT printf('%06d', p_partkey) AS code,
+       {CP.SNAPSHOT[1][1]} AS sise_52_price,
+       {CP.SNAPSHOT[2][1]} AS sise_revenue_rate,
+       CASE WHEN {SNAP_ABORT} THEN '-' ELSE format('{{:,}}', p_partkey * 1000 + p_size) END AS sise_siga_tot,
+       CASE WHEN {SNAP_ABORT} THEN '-' ELSE format('{{:,}}', p_partkey * 7) END AS sise_siga_tot2,
+       CASE WHEN {SNAP_ABORT} THEN '-' ELSE {CP.SNAPSHOT[6][1]} END AS sise_issue_stock_normal
+FROM part"""
+SQL["consensus"] = f"""
+SELECT printf('%06d', p_partkey) AS code, {CP.CONSENSUS[0]} AS toja_discision,
+       CASE WHEN p_size % 13 = 0 THEN '-' ELSE format('{{:,}}', CAST(floor(p_retailprice * 13) AS BIGINT)) END AS toja_prop_price,
+       CASE WHEN p_size % 13 = 0 THEN '-' ELSE format('{{:,}}', p_size * 37) END AS toja_eps,
+       CASE WHEN p_size % 13 = 0 THEN '-' ELSE CAST(CAST(p_size % 40 AS DOUBLE) / 4 AS VARCHAR) END AS toja_per,
+       CASE WHEN p_size % 13 = 0 THEN '-' ELSE CAST(p_size % 10 AS VARCHAR) END AS toja_comp
+FROM part"""
+CTE["rate"] = f"""rate AS (
+  SELECT coalesce(k_raw, 20.0) AS k, coalesce(CAST(k_raw AS VARCHAR), '-') AS shown FROM (
+    SELECT max(CASE WHEN s_suppkey = 10 THEN TRY_CAST(trim({CP.RATE_CELL}) AS DOUBLE) END) AS k_raw FROM supplier))"""
+SQL["required_return"] = with_ctes(["rate"], """
+SELECT printf('%06d', p_partkey) AS code, rate.k AS k, rate.shown AS srim_revenue_rate FROM part, rate""")
+CTE["fin"] = """fin AS (
+  SELECT p_partkey, p_size,
+         p_retailprice + (CASE WHEN p_partkey % 7 = 0 THEN 60 WHEN p_partkey % 3 = 0 THEN 70 ELSE 80 END) AS c4,
+         CAST(p_size - p_partkey % 9 AS DOUBLE) + (CASE WHEN p_partkey % 4 = 0 THEN -0.5 ELSE 0.0 END) AS roa,
+         CAST(p_size AS DOUBLE) + (0.0) AS roe
+  FROM part)"""
+SQL["last_valid_period"] = with_ctes(["fin"], """
+SELECT p_partkey AS page_id, CAST(9 AS BIGINT) AS row_no, c4 AS last_value FROM fin
+UNION ALL SELECT p_partkey, 16, roa FROM fin
+UNION ALL SELECT p_partkey, 17, roe FROM fin""")
+SQL["srim_valuation"] = with_ctes(["rate", "fin"], """
+SELECT code, shown AS srim_revenue_rate, format('{:,}', c4) AS srim_jibea,
+       CAST(roa AS VARCHAR) AS srim_roa, CAST(roe AS VARCHAR) AS srim_roe,
+       format('{:,}', value) AS srim_value,
+       CASE WHEN issued IS NULL THEN '-' ELSE format('{:,}', shares) END AS srim_issue_stock,
+       CASE WHEN issued IS NULL OR shares = 0 THEN '-' ELSE format('{:,}', CAST(trunc(fair) AS BIGINT)) END AS srim_prop_price,
+       CASE WHEN issued IS NULL OR shares = 0 THEN '-'
+            ELSE format('{:,}', CAST(trunc(CASE WHEN over < 0 THEN fair - (p10 - fair) ELSE p10 END) AS BIGINT)) END AS srim_10_price,
+       CASE WHEN issued IS NULL OR shares = 0 THEN '-'
+            ELSE format('{:,}', CAST(trunc(CASE WHEN over < 0 THEN fair - (p20 - fair) ELSE p20 END) AS BIGINT)) END AS srim_20_price
+FROM (
+  SELECT *, CASE WHEN shares <> 0 THEN value / shares END AS fair,
+         CASE WHEN shares <> 0 THEN (c4 + over * (0.9 / (1.0 + k / 100 - 0.9))) * 100000000.0 / shares END AS p10,
+         CASE WHEN shares <> 0 THEN (c4 + over * (0.8 / (1.0 + k / 100 - 0.8))) * 100000000.0 / shares END AS p20
+  FROM (
+    SELECT *, issued - treasury AS shares, c4 * (c5 - k) / 100 AS over,
+           (c4 + c4 * (roe - k) / k) * 100000000.0 AS value
+    FROM (
+      SELECT printf('%06d', f.p_partkey) AS code, f.c4, f.roa, f.roe, r.k, r.shown,
+             CASE WHEN f.roe - f.roa > 5 THEN f.roa ELSE f.roe END AS c5,
+             CASE WHEN f.p_size % 11 = 0 THEN NULL ELSE 1000000 + (f.p_partkey % 97) * 1000 END AS issued,
+             CASE WHEN f.p_partkey % 101 = 0 THEN 1000000 + (f.p_partkey % 97) * 1000
+                  WHEN f.p_partkey % 5 = 0 THEN 0 ELSE f.p_size * 100 END AS treasury
+      FROM fin f, rate r)))""")

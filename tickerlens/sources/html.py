@@ -28,7 +28,8 @@ def elements(html: Column, tag: str, css_class: str | None = None) -> Column:
 def _first_anchor_attr(inner: Column, attr: str) -> Column:
     """Attribute of the first <a> inside ``inner``; null when that anchor lacks it."""
     first_a = F.regexp_extract(inner, r"(?is)<a\b[^>]*>", 0)
-    val = F.regexp_extract(first_a, rf"""(?is)\s{attr}\s*=\s*(?:"([^"]*)"|'([^']*)')""", 1)
+    pat = rf"""(?is)\s{attr}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    val = F.concat(F.regexp_extract(first_a, pat, 1), F.regexp_extract(first_a, pat, 2))
     has = first_a.rlike(rf"(?is)\s{attr}\s*=\s*[\"']")
     return F.when(has, val)
 
@@ -80,21 +81,30 @@ def _cell_text(c: Column) -> Column:
     return py_strip(strip_tags(c))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable
+    (a one-element transform), so a sub-result used several times is not
+    recomputed."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def page_tables(html: Column) -> Column:
     """Nested per-page view: array(table) of struct(header array<string>,
     rows array<array<string>>). The header is the first row when it is made of
     <th> cells; body rows are numbered from 0 after it (how a table reader
-    indexes a frame). Everything stays inside the page's row."""
-    def table(t):
-        rows = F.regexp_extract_all(t, F.lit(_ROW), 1)
-        first_is_header = F.get(rows, 0).rlike(r"(?is)<th\b")
-        cells = F.transform(rows, lambda r: F.transform(
+    indexes a frame). Everything stays inside the page's row, and each table's
+    markup is scanned once."""
+    def split_rows(raw_rows):
+        is_header = F.coalesce(F.get(raw_rows, 0).rlike(r"(?is)<th\b"), F.lit(False))
+        cells = F.transform(raw_rows, lambda r: F.transform(
             F.regexp_extract_all(r, F.lit(_CELL), 1), _cell_text))
-        return F.struct(
-            F.when(first_is_header, F.get(cells, 0)).otherwise(F.array().cast("array<string>")).alias("header"),
-            F.when(first_is_header, F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0))))
-             .otherwise(cells).alias("rows"))
-    return F.transform(F.regexp_extract_all(html, F.lit(_TABLE), 1), table)
+        return _let(cells, lambda cs: F.struct(
+            F.when(is_header, F.get(cs, 0)).otherwise(F.array().cast("array<string>")).alias("header"),
+            F.when(is_header, F.slice(cs, 2, F.greatest(F.size(cs) - 1, F.lit(0))))
+             .otherwise(cs).alias("rows")))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(_TABLE), 1),
+                       lambda t: _let(F.regexp_extract_all(t, F.lit(_ROW), 1), split_rows))
 
 
 def cell_at(tables: Column, table_no: int, row_no: int, col) -> Column:
