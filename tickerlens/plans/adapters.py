@@ -6,7 +6,7 @@ used; values are derived, nothing is sampled). ``plans/oracle.py`` holds the
 same derivations as DuckDB SQL so both engines see identical inputs.
 
   headlines   <- events     (one headline per event; lists of 10 per page slot)
-  master      <- nation     (company name = n_name, code = zero-padded key)
+  master      <- customer   (company name = c_name with '#' -> ' ', code = zero-padded key)
   quotes      <- lineitem   (one daily quote per line item, code = part key)
   store       <- events + documents (rows already analysed, with reports)
   replies     <- events     (model replies covering every verdict branch)
@@ -56,8 +56,9 @@ FAILURE_TEXT = "에러가 발생 했습니다"
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    key_part = F.when(eid % 7 == 0, F.lit("NATION")).otherwise(
-        F.concat(F.lit("NATION_"), (F.col("user_id") % 30).cast("string")))
+    key_part = (F.when(eid % 7 == 0, F.lit("Customer"))
+                .when(eid % 11 == 0, F.concat(F.lit("Client "), F.col("user_id").cast("string")))
+                .otherwise(F.concat(F.lit("Customer "), F.lpad(F.col("user_id").cast("string"), 9, "0"))))
     ticker = F.when(eid % 3 == 0, F.concat(
         F.lit(" ("), F.upper(F.expr("substring(event_type, 1, cast(1 + event_id % 6 as int))")),
         F.lit(")"))).otherwise(F.lit(""))
@@ -78,7 +79,9 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.linking import stock_master
-    return stock_master(read_table(spark, sf_dir, "nation"), "n_name", "n_nationkey", "n_nationkey")
+    c = read_table(spark, sf_dir, "customer").withColumn(
+        "c_name", F.replace(F.col("c_name"), F.lit("#"), F.lit(" ")))
+    return stock_master(c, "c_name", "c_custkey", "c_custkey")
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +116,7 @@ def store(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.col("text")))
     return j.select(
         F.col("event_id").alias("seq"),
-        F.format_string("%06d", F.col("user_id") % 30).alias("code_"),
+        F.format_string("%06d", F.col("user_id")).alias("code_"),
         F.date_format("ts", "yyyy-MM-dd").alias("date_"),
         report.alias("report_"),
     )

@@ -25,7 +25,9 @@ CTE["headlines"] = f"""headlines AS (
   SELECT event_id AS seq, CAST(ts AS DATE) AS run_date, event_id // 20 AS page_no,
          CASE WHEN event_id % 20 < 10 THEN 'dd' ELSE 'dt' END AS slot,
          event_id % 10 AS pos,
-         (CASE WHEN event_id % 7 = 0 THEN 'NATION' ELSE 'NATION_' || CAST(user_id % 30 AS VARCHAR) END)
+         (CASE WHEN event_id % 7 = 0 THEN 'Customer'
+               WHEN event_id % 11 = 0 THEN 'Client ' || CAST(user_id AS VARCHAR)
+               ELSE 'Customer ' || lpad(CAST(user_id AS VARCHAR), 9, '0') END)
          || ', ' || event_type || '-' || CAST(user_id AS VARCHAR)
          || (CASE WHEN event_id % 3 = 0
                   THEN ' (' || upper(substr(event_type, 1, CAST(1 + event_id % 6 AS INTEGER))) || ')'
@@ -34,8 +36,8 @@ CTE["headlines"] = f"""headlines AS (
          ts, user_id, event_type
   FROM events)"""
 CTE["master"] = """master AS (
-  SELECT n_name AS name, printf('%06d', n_nationkey) AS code, CAST(n_nationkey AS BIGINT) AS row_no
-  FROM nation)"""
+  SELECT replace(c_name, '#', ' ') AS name, printf('%06d', c_custkey) AS code, CAST(c_custkey AS BIGINT) AS row_no
+  FROM customer)"""
 CTE["quotes"] = """quotes AS (
   SELECT printf('%06d', l_partkey) AS code, l_shipdate AS date,
          CAST(trunc(l_extendedprice) AS BIGINT) AS close,
@@ -47,7 +49,7 @@ CTE["quotes"] = """quotes AS (
          l_orderkey, l_linenumber, l_partkey, l_suppkey
   FROM lineitem)"""
 CTE["store"] = f"""store AS (
-  SELECT e.event_id AS seq, printf('%06d', e.user_id % 30) AS code_,
+  SELECT e.event_id AS seq, printf('%06d', e.user_id) AS code_,
          strftime(e.ts, '%Y-%m-%d') AS date_,
          CASE WHEN d.doc_id IS NULL THEN NULL
               WHEN d.doc_id % 5 = 0 THEN d.text || ' Error'
