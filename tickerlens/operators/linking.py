@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import headline_key, strip_hyphen
-from ..session import broadcast_if_bounded
 
 
 def stock_master(listing: DataFrame, name_col: str, code_col: str,
@@ -37,7 +36,7 @@ def dedupe_master(master: DataFrame) -> DataFrame:
 def link_headlines(headlines: DataFrame, master: DataFrame, title_col: str = "title") -> DataFrame:
     """J1 (+P2, P3): inner equi-join of the headline key on the (raw) company name.
     Adds key, code, name, content (title without '-')."""
-    m = broadcast_if_bounded(dedupe_master(master))
+    m = dedupe_master(master)  # small after aggregation: AQE broadcasts it at runtime
     h = headlines.withColumn("key", headline_key(title_col))
     return (h.join(m, h["key"] == m["name"], "inner")
             .withColumn("content", strip_hyphen(title_col)))
@@ -100,8 +99,8 @@ def link_with_legacy_carry(headlines: DataFrame, master: DataFrame, run_col: str
     m = dedupe_master(master)
     h = headlines.withColumn("key", headline_key(title_col))
     cand = candidate_counts(h, master)
-    h = h.join(broadcast_if_bounded(cand), "key", "left")
-    h = h.join(broadcast_if_bounded(m), h["key"] == m["name"], "left")
+    h = h.join(cand, "key", "left")
+    h = h.join(m, h["key"] == m["name"], "left")
     carried = carry_forward(h, ["code", "name"], run_col, order_col, chunk_rows)
     return (carried.where(F.col("n_candidates") > 0)
             .select(*headlines.columns, "key",

@@ -29,15 +29,19 @@ def page_lists(items: DataFrame, list_cols: list[str], pos_col: str = "pos",
 
 def dedupe_pages(items: DataFrame, list_cols: list[str], first_seen: list[Column],
                  pos_col: str = "pos", title_col: str = "title",
-                 all_lists: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                 all_lists: DataFrame | None = None,
+                 run_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Set semantics on whole lists - a list equal to one seen earlier (in
     ``first_seen`` order, smallest first) is dropped with all its titles; all
-    empty lists count as one. Returns (kept items, kept lists)."""
+    empty lists count as one. With ``run_cols`` (a subset of ``list_cols``) the
+    set is kept per run. Returns (kept items, kept lists)."""
+    run_cols = run_cols or []
     lists = page_lists(items, list_cols, pos_col, title_col, all_lists)
     order = F.struct(*first_seen)
-    keys = F.struct(*[F.col(c) for c in list_cols])
-    kept = (lists.groupBy("titles").agg(F.min_by(keys, order).alias("_k"))
-            .select(*[F.col("_k")[c].alias(c) for c in list_cols], "titles"))
+    rest = [c for c in list_cols if c not in run_cols]
+    keys = F.struct(*[F.col(c) for c in rest])
+    kept = (lists.groupBy(*run_cols, "titles").agg(F.min_by(keys, order).alias("_k"))
+            .select(*run_cols, *[F.col("_k")[c].alias(c) for c in rest], "titles"))
     return items.join(kept.select(*list_cols), list_cols, "left_semi"), kept
 
 

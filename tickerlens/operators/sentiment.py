@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import bounded_rows, broadcast_if_bounded
+from ..session import bounded_rows
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -43,7 +43,7 @@ def lexicon_sentiment(df: DataFrame, id_cols: list[str], tokens_col: str,
     each token contributes its lexicon valence (0 when absent). Valences are
     summed as integer tenths, so the result does not depend on summation order.
     A text without tokens scores 0 everywhere."""
-    lex = broadcast_if_bounded(lexicon.select(F.col("word").alias("token"), "tenths"))
+    lex = lexicon.select(F.col("word").alias("token"), "tenths")
     toks = df.select(*id_cols, F.explode_outer(tokens_col).alias("token"))
     t = toks.join(lex, "token", "left").withColumn(
         "t", F.when(F.col("token").isNotNull(), F.coalesce("tenths", F.lit(0))))
@@ -82,8 +82,7 @@ def bow_score(docs: DataFrame, tf: DataFrame, weights: DataFrame, id_col: str =
     """s = sigmoid(sum(tf * w) + bias); s > 0.5 -> P with ratio s*100, else N
     with (1-s)*100, both rounded to 2 decimals. Every row of ``docs`` is scored
     (no vocabulary term -> s = 0.5 -> N, 50.0)."""
-    wt = broadcast_if_bounded(weights)
-    z = (tf.join(wt, "term").groupBy(id_col)
+    z = (tf.join(weights, "term").groupBy(id_col)
          .agg(F.sum(F.col("tf") * F.col("weight")).alias("z")))
     j = docs.select(id_col).join(z, id_col, "left")
     s = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.coalesce(F.col("z"), F.lit(0.0)) + F.lit(bias))))

@@ -138,3 +138,39 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(lab, "doc_id").select(F.col("doc_id").alias("id"),
                                         F.col("text").alias("document"),
                                         F.col("quality").alias("label"))
+
+
+# --- US branch --------------------------------------------------------------
+# Ticker symbol of a customer: 'T' + key % 1000 (2-4 characters); every 7th
+# customer carries a long symbol 'TX' + key, which the ticker rule drops.
+def _symbol(key):
+    return (F.when(key % 7 == 0, F.concat(F.lit("TX"), key.cast("string")))
+            .otherwise(F.concat(F.lit("T"), (key % 1000).cast("string"))))
+
+
+def us_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """US headlines from orders; pending orders carry no ticker in parentheses."""
+    o = read_table(spark, sf_dir, "orders")
+    tick = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(
+        F.concat(F.lit(" ("), _symbol(F.col("o_custkey")), F.lit(")")))
+    return o.select(F.col("o_orderkey").alias("seq"), F.to_date("o_orderdate").alias("run_date"),
+                    F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(" update"), tick,
+                             F.lit(" "), F.col("o_orderpriority")).alias("headline"))
+
+
+def us_company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    return c.select((F.concat(F.lit("T"), (F.col("c_custkey") % 1000).cast("string"))).alias("ticker"),
+                    F.concat(F.lit('<div><span class="symbol-page-header__name">'), F.col("c_name"),
+                             F.lit("</span></div>")).alias("html"))
+
+
+def us_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """US rows already analysed: urgent orders, with stored reports."""
+    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    m = F.col("o_orderkey") % 4
+    report = (F.when(m == 0, F.concat(F.lit("summary "), F.col("o_orderkey").cast("string")))
+              .when(m == 1, F.lit(FAILURE_TEXT))
+              .when(m == 2, F.concat(F.lit("Error "), F.col("o_orderkey").cast("string"))))
+    return o.select(_symbol(F.col("o_custkey")).alias("ticker"),
+                    F.date_format("o_orderdate", "yyyyMMdd").alias("date_"), report.alias("report_"))

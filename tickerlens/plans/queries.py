@@ -456,3 +456,119 @@ def q_last_valid_period(spark, sf_dir):
     fin = fin.withColumn("v", F.trim("cell").try_cast("double"))
     out = last_valid(fin, ["page_id", "row_no"], "col_no", "v")
     return out.select("page_id", F.col("row_no").cast("bigint").alias("row_no"), "last_value")
+
+
+# --- whole jobs (Q1-Q4) and sinks (K1-K4, S5-S8) ----------------------------
+from . import jobs as J  # noqa: E402
+
+
+def _job_ko(spark, sf_dir, nlp=True):
+    model = J.bow_model(A.corpus(spark, sf_dir)) if nlp else None
+    words = negative_words(spark, sf_dir) if nlp else None
+    return J.job_ko(A.headlines(spark, sf_dir), A.master(spark, sf_dir), A.store(spark, sf_dir),
+                    A.quotes(spark, sf_dir), model, words, quote_tiebreak=A.QUOTE_TIEBREAK)
+
+
+@register("job_ko")
+def q_job_ko(spark, sf_dir):
+    return _job_ko(spark, sf_dir, True)
+
+
+@register("job_ko_light")
+def q_job_ko_light(spark, sf_dir):
+    return _job_ko(spark, sf_dir, False)
+
+
+@register("ko_details")
+def q_ko_details(spark, sf_dir):
+    return J.details(_job_ko(spark, sf_dir, False), company_pages(spark, sf_dir), rate_cells(spark, sf_dir))
+
+
+def _us_lexicon(spark, sf_dir):
+    return SE.lexicon_from_corpus(_corpus_tokens(spark, sf_dir))
+
+
+@register("job_us")
+def q_job_us(spark, sf_dir):
+    return J.job_us(A.us_articles(spark, sf_dir), A.us_store(spark, sf_dir),
+                    A.us_company_pages(spark, sf_dir), _us_lexicon(spark, sf_dir))
+
+
+@register("filing_digest_requests")
+def q_filing_digest_requests(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    return J.filing_requests(d, "source", "text", delimiter=". ").select("doc_id", "prompt")
+
+
+def _store_dir(spark, name):
+    from ..session import scratch_path
+    return scratch_path(spark, name)
+
+
+@register("append_predictions")
+def q_append_predictions(spark, sf_dir):
+    """K1: append the fact (partitioned by date_), read the stored rows back."""
+    fact = _job_ko(spark, sf_dir, True)
+    root = _store_dir(spark, "prediction_pn")
+    ST.append(fact, root, partition_by=["date_"])
+    return ST.read_store(spark, root, schema=fact.schema).select(*J.FACT_COLUMNS)
+
+
+@register("append_details")
+def q_append_details(spark, sf_dir):
+    """K2: details rendered to strings, appended, read back."""
+    det = J.details(_job_ko(spark, sf_dir, False), company_pages(spark, sf_dir), rate_cells(spark, sf_dir))
+    root = _store_dir(spark, "prediction_detail_ko")
+    ST.append(det, root)
+    return ST.read_store(spark, root, schema=det.schema)
+
+
+@register("append_us")
+def q_append_us(spark, sf_dir):
+    us = q_job_us(spark, sf_dir)
+    root = _store_dir(spark, "prediction_pn_us")
+    ST.append(us, root, partition_by=["date_"])
+    return ST.read_store(spark, root, schema=us.schema).select(*J.US_COLUMNS)
+
+
+@register("purge_error_reports")
+def q_purge_error_reports(spark, sf_dir):
+    """K4: store rows, then delete rows whose report matches 'Error|에러' as a new
+    version; running the purge twice changes nothing (idempotent)."""
+    s = A.store(spark, sf_dir)
+    root = _store_dir(spark, "prediction_pn_purge")
+    ST.append(s, root, partition_by=["date_"])
+    ST.purge(spark, root, s.schema, ["date_"])
+    ST.purge(spark, root, s.schema, ["date_"])
+    return ST.read_store(spark, root, schema=s.schema).select("seq", "code_", "date_", "report_")
+
+
+@register("table_scan")
+def q_table_scan(spark, sf_dir):
+    """Stored table read with projection and a predicate on the partition column."""
+    s = A.store(spark, sf_dir)
+    root = _store_dir(spark, "store_scan")
+    ST.append(s, root, partition_by=["date_"])
+    return ST.read_store(spark, root, columns=["seq", "code_", "report_"],
+                         where=F.col("date_") >= "2024-01-15", schema=s.schema)
+
+
+@register("tsv_corpus_scan")
+def q_tsv_corpus_scan(spark, sf_dir):
+    """The labelled corpus written as TSV with a header line, read back."""
+    from ..sources.files import read_corpus, write_corpus
+    path = _store_dir(spark, "corpus_tsv")
+    write_corpus(A.corpus(spark, sf_dir), path)
+    return read_corpus(spark, path)
+
+
+@register("target_list_scan")
+def q_target_list_scan(spark, sf_dir):
+    """Target list CSV (ticker, price, target_price) derived from customers, read back."""
+    from ..sources.files import read_targets
+    c = read_table(spark, sf_dir, "customer")
+    t = c.select(F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+                 F.col("c_acctbal").alias("price"), (F.col("c_acctbal") * 1.1).alias("target_price"))
+    path = _store_dir(spark, "targets_csv")
+    t.write.option("header", True).csv(path)
+    return read_targets(spark, path)

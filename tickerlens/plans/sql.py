@@ -203,8 +203,10 @@ CTE["lex"] = """lex AS (
     FROM (SELECT DISTINCT id, label, word FROM (SELECT id, label, unnest(tokens) AS word FROM ctok))
     GROUP BY word) WHERE p + n >= 3)"""
 DEPS["lex"] = ["ctok"]
-SQL["lexicon_sentiment"] = with_ctes(["lex"], f"""
-SELECT conv_id, turn,
+def lex_scores_sql(source: str, ids: str, text: str) -> str:
+    """neg/neu/pos/compound per row of ``source`` (ids = comma list) from table lex."""
+    return f"""
+SELECT {ids},
        CASE WHEN total > 0 THEN round(abs(neg / total), 3) ELSE 0.0 END AS neg,
        CASE WHEN total > 0 THEN round(abs(neu / total), 3) ELSE 0.0 END AS neu,
        CASE WHEN total > 0 THEN round(abs(pos / total), 3) ELSE 0.0 END AS pos,
@@ -212,17 +214,20 @@ SELECT conv_id, turn,
             ELSE round(greatest(-1.0, least(1.0, s / sqrt(s * s + 15.0))), 4) END AS compound
 FROM (
   SELECT *, pos + abs(neg) + neu AS total FROM (
-    SELECT conv_id, turn, s10, coalesce(s10, 0) / 10.0 AS s, coalesce(pos10, 0) / 10.0 AS pos,
+    SELECT {ids}, s10, coalesce(s10, 0) / 10.0 AS s, coalesce(pos10, 0) / 10.0 AS pos,
            coalesce(neg10, 0) / 10.0 AS neg, CAST(neu_n AS DOUBLE) AS neu
     FROM (
-      SELECT conv_id, turn, sum(t) AS s10, sum(CASE WHEN t > 0 THEN t + 10 END) AS pos10,
+      SELECT {ids}, sum(t) AS s10, sum(CASE WHEN t > 0 THEN t + 10 END) AS pos10,
              sum(CASE WHEN t < 0 THEN t - 10 END) AS neg10, count(CASE WHEN t = 0 THEN 1 END) AS neu_n
       FROM (
-        SELECT c.conv_id, c.turn, CASE WHEN c.token IS NOT NULL THEN coalesce(l.tenths, 0) END AS t
-        FROM (SELECT conv_id, turn, unnest(CASE WHEN len(tk) = 0 THEN [NULL] ELSE tk END) AS token
-              FROM (SELECT conv_id, turn, {TOK.format('text')} AS tk FROM conversations)) c
+        SELECT {ids}, CASE WHEN c.token IS NOT NULL THEN coalesce(l.tenths, 0) END AS t
+        FROM (SELECT {ids}, unnest(CASE WHEN len(tk) = 0 THEN [NULL] ELSE tk END) AS token
+              FROM (SELECT {ids}, {TOK.format(text)} AS tk FROM {source})) c
         LEFT JOIN lex l ON l.word = c.token)
-      GROUP BY conv_id, turn)))""")
+      GROUP BY {ids})))"""
+
+
+SQL["lexicon_sentiment"] = with_ctes(["lex"], lex_scores_sql("conversations", "conv_id, turn", "text"))
 SQL["token_doc_cache"] = with_ctes(["ctok"], "SELECT id, label, array_to_string(tokens, ' ') AS tokens_text FROM ctok")
 
 # --- page scans and valuation ------------------------------------------------
@@ -310,7 +315,7 @@ SQL["last_valid_period"] = with_ctes(["fin"], """
 SELECT p_partkey AS page_id, CAST(9 AS BIGINT) AS row_no, c4 AS last_value FROM fin
 UNION ALL SELECT p_partkey, 16, roa FROM fin
 UNION ALL SELECT p_partkey, 17, roe FROM fin""")
-SQL["srim_valuation"] = with_ctes(["rate", "fin"], """
+SRIM_BODY = """
 SELECT code, shown AS srim_revenue_rate, format('{:,}', c4) AS srim_jibea,
        CAST(roa AS VARCHAR) AS srim_roa, CAST(roe AS VARCHAR) AS srim_roe,
        format('{:,}', value) AS srim_value,
@@ -333,4 +338,130 @@ FROM (
              CASE WHEN f.p_size % 11 = 0 THEN NULL ELSE 1000000 + (f.p_partkey % 97) * 1000 END AS issued,
              CASE WHEN f.p_partkey % 101 = 0 THEN 1000000 + (f.p_partkey % 97) * 1000
                   WHEN f.p_partkey % 5 = 0 THEN 0 ELSE f.p_size * 100 END AS treasury
-      FROM fin f, rate r)))""")
+      FROM fin f, rate r)))"""
+SQL["srim_valuation"] = with_ctes(["rate", "fin"], SRIM_BODY)
+
+# --- whole jobs and sinks ----------------------------------------------------
+from ..sources.files import BREAKS  # noqa: E402
+from ..operators.store import ERROR_PATTERN as _ERR  # noqa: E402
+from . import jobs as J  # noqa: E402
+from . import adapters as A  # noqa: E402
+
+CTE["kept_items"] = """kept_items AS (
+  SELECT h.* FROM headlines h JOIN (
+    SELECT run_date, arg_min(struct_pack(page_no := page_no, slot := slot),
+                             struct_pack(a := page_no, b := slot)) AS k
+    FROM lists GROUP BY run_date, titles) f
+  ON h.run_date = f.run_date AND h.page_no = f.k.page_no AND h.slot = f.k.slot)"""
+DEPS["kept_items"] = ["lists"]
+CTE["fresh"] = f"""fresh AS (
+  SELECT l.*, strftime(l.run_date, '%Y-%m-%d') AS date_ FROM (
+    SELECT i.*, m.code, m.name, replace(i.title, '-', '') AS content
+    FROM (SELECT *, regexp_replace(split_part(title, ',', 1), {_q(CLEAN_PATTERN)}, '', 'g') AS key
+          FROM kept_items) i
+    JOIN master_d m ON i.key = m.name) l
+  WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.code_ = l.code AND s.date_ = strftime(l.run_date, '%Y-%m-%d')))"""
+DEPS["fresh"] = ["kept_items", "master_d", "store"]
+CTE["fbow"] = f"""fbow AS (
+  SELECT id, CASE WHEN s > 0.5 THEN 'P' ELSE 'N' END AS pn,
+         CASE WHEN s > 0.5 THEN round(s * 100, 2) ELSE round((1 - s) * 100, 2) END AS ratio
+  FROM (SELECT f.id, 1.0 / (1.0 + exp(-(coalesce(z.z, 0.0) + 0.0))) AS s
+        FROM (SELECT seq AS id, {TOK.format('content')} AS tokens FROM fresh) f
+        LEFT JOIN (SELECT id, sum(tf * weight) AS z FROM (
+                     SELECT id, term, count(*) AS tf FROM (
+                       SELECT seq AS id, unnest({TOK.format('content')}) AS term FROM fresh) t
+                     JOIN vocab v ON v.token = t.term GROUP BY id, term)
+                   JOIN weights USING (term) GROUP BY id) z ON z.id = f.id))"""
+DEPS["fbow"] = ["fresh", "vocab", "weights"]
+
+
+def job_ko_sql(nlp: bool) -> str:
+    names = ["fresh", "latest", "max_report"] + (["fbow", "nag"] if nlp else [])
+    if nlp:
+        pn = ("CASE WHEN EXISTS (SELECT 1 FROM nag WHERE contains(f.content, nag.nag_word)) THEN 'N' "
+              "WHEN b.pn = 'P' THEN 'P' ELSE 'C' END")
+        ratio, gpt, join = "b.ratio", verdict_sql("f.content", "P"), "JOIN fbow b ON b.id = f.seq"
+    else:
+        pn, ratio, gpt, join = "''", "0.0", "''", ""
+    return with_ctes(names, f"""
+SELECT strftime(f.run_date, '%Y%m%d') || '1800' || f.code AS key_, f.date_, '18:00' AS time_,
+       f.code AS code_, f.name AS name_, f.content AS content_, {pn} AS pn_, {ratio} AS ratio_,
+       coalesce(q.close, 0) AS close_, coalesce(q.diff, 0) AS diff_, coalesce(q.open, 0) AS open_,
+       coalesce(q.high, 0) AS high_, coalesce(q.low, 0) AS low_, coalesce(q.volume, 0) AS volume_,
+       {gpt} AS gpt_pn_, coalesce(r.stored_report, '') AS report_
+FROM fresh f {join} LEFT JOIN latest q ON q.code = f.code LEFT JOIN max_report r ON r.code_ = f.code""")
+
+
+SQL["job_ko"] = job_ko_sql(True)
+SQL["job_ko_light"] = job_ko_sql(False)
+SQL["append_predictions"] = SQL["job_ko"]
+
+# details: market snapshot, consensus, S-RIM per code, joined to the light fact
+CTE["snap"] = "snap AS (" + SQL["market_snapshot"] + ")"
+CTE["cons"] = "cons AS (" + SQL["consensus"] + ")"
+CTE["srimv"] = "srimv AS (" + SRIM_BODY + ")"
+DEPS["srimv"] = ["rate", "fin"]
+CTE["light"] = "light AS (" + job_ko_sql(False).replace("WITH ", "", 1).split("\nSELECT strftime(f.run_date", 1)[0] + ")"
+_detail_fields = [c for c in J.DETAIL_COLUMNS if c not in ("key_", "date_", "code_")]
+_src = {"ticker_desc1": "p.p_type", "ticker_desc2": "p.p_brand"}
+SQL["ko_details"] = with_ctes(["fresh", "snap", "cons", "srimv"], f"""
+SELECT strftime(f.run_date, '%Y%m%d') || f.code AS key_, strftime(f.run_date, '%Y%m%d') AS date_, f.code AS code_,
+       {", ".join(f"coalesce({_src.get(c, c)}, '-') AS {c}" for c in _detail_fields)}
+FROM fresh f
+LEFT JOIN part p ON printf('%06d', p.p_partkey) = f.code
+LEFT JOIN snap USING (code) LEFT JOIN cons USING (code) LEFT JOIN srimv USING (code)""")
+SQL["append_details"] = SQL["ko_details"]
+
+_SYM = ("(CASE WHEN {k} % 7 = 0 THEN 'TX' || CAST({k} AS VARCHAR) "
+        "ELSE 'T' || CAST({k} % 1000 AS VARCHAR) END)")
+CTE["ustore"] = f"""ustore AS (
+  SELECT {_SYM.format(k='o_custkey')} AS ticker, strftime(o_orderdate, '%Y%m%d') AS date_,
+         CASE o_orderkey % 4 WHEN 0 THEN 'summary ' || CAST(o_orderkey AS VARCHAR)
+              WHEN 1 THEN {_q(A.FAILURE_TEXT)} WHEN 2 THEN 'Error ' || CAST(o_orderkey AS VARCHAR) END AS report_
+  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+CTE["uarts"] = f"""uarts AS (
+  SELECT * FROM (
+    SELECT *, regexp_extract(headline, '\\(([^)]*)', 1) AS ticker, strftime(run_date, '%Y%m%d') AS date_
+    FROM (SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS run_date,
+                 'Order ' || CAST(o_orderkey AS VARCHAR) || ' update'
+                 || (CASE WHEN o_orderstatus = 'P' THEN '' ELSE ' (' || {_SYM.format(k='o_custkey')} || ')' END)
+                 || ' ' || o_orderpriority AS headline
+          FROM orders)
+    WHERE strpos(headline, '(') > 0) t
+  WHERE length(ticker) <= 4
+    AND NOT EXISTS (SELECT 1 FROM ustore s WHERE s.ticker = t.ticker AND s.date_ = t.date_))"""
+DEPS["uarts"] = ["ustore"]
+SQL["job_us"] = with_ctes(["uarts", "lex"], f"""
+, uscores AS ({lex_scores_sql("uarts", "seq", "headline")})
+SELECT a.ticker, a.date_, '18:00' AS time_, a.headline, n.company_name,
+       coalesce(r.rep, '') AS report_, sc.neg, sc.neu, sc.pos, sc.compound
+FROM uarts a
+JOIN (SELECT 'T' || CAST(c_custkey % 1000 AS VARCHAR) AS ticker, min(c_name) AS company_name
+      FROM customer GROUP BY 1) n ON n.ticker = a.ticker
+LEFT JOIN (SELECT ticker, max(report_) AS rep FROM ustore
+           WHERE report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} GROUP BY ticker) r ON r.ticker = a.ticker
+JOIN uscores sc ON sc.seq = a.seq""").replace("\n\n, uscores AS (", ",\nuscores AS (", 1)
+SQL["append_us"] = SQL["job_us"]
+
+_norm = f"regexp_replace(replace(text, chr(10), ' '), {_q(WSR)}, ' ', 'g')"
+_prefix = J.FILING_PROMPT.split("{company}")
+SQL["filing_digest_requests"] = f"""
+SELECT doc_id, CASE WHEN sec IS NOT NULL THEN {_q(_prefix[0])} || source || {_q(_prefix[1])} || body END AS prompt
+FROM (
+  SELECT doc_id, source, sec,
+         CASE WHEN len(w) <= {J.FILING_WORDS} THEN kept ELSE array_to_string(w[1:{J.FILING_WORDS}], ' ') || '...' END AS body
+  FROM (
+    SELECT doc_id, source, sec, kept, list_filter(regexp_split_to_array(kept, {_q(WSR)}), lambda x: x <> '') AS w
+    FROM (
+      SELECT doc_id, source, sec, regexp_replace(sec, {_q(f'[^{HANGUL_KEEP}{WS}]+')}, '', 'g') AS kept
+      FROM (SELECT doc_id, source, CASE WHEN strpos({_norm}, '. ') > 0 THEN split_part({_norm}, '. ', 2) END AS sec
+            FROM documents))))"""
+SQL["purge_error_reports"] = with_ctes(["store"], f"""
+SELECT seq, code_, date_, report_ FROM store WHERE NOT coalesce(regexp_matches(report_, {_q(_ERR)}), false)""")
+SQL["table_scan"] = with_ctes(["store"], "SELECT seq, code_, report_ FROM store WHERE date_ >= '2024-01-15'")
+SQL["tsv_corpus_scan"] = f"""
+SELECT CAST(d.doc_id AS VARCHAR) AS id, regexp_replace(d.text, {_q(BREAKS)}, ' ', 'g') AS document,
+       CAST(l.quality AS VARCHAR) AS label
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+SQL["target_list_scan"] = """
+SELECT 'T' || CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal AS price, c_acctbal * 1.1 AS target_price FROM customer"""
