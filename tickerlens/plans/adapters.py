@@ -54,7 +54,11 @@ FAILURE_TEXT = "에러가 발생 했습니다"
 
 
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return headlines_from_events(read_table(spark, sf_dir, "events"))
+
+
+def headlines_from_events(e: DataFrame) -> DataFrame:
+    """Per-row derivation (also applied to each streaming micro-batch)."""
     eid = F.col("event_id")
     key_part = (F.when(eid % 7 == 0, F.lit("Customer"))
                 .when(eid % 11 == 0, F.concat(F.lit("Client "), F.col("user_id").cast("string")))

@@ -527,7 +527,7 @@ def q_append_details(spark, sf_dir):
 def q_append_us(spark, sf_dir):
     us = q_job_us(spark, sf_dir)
     root = _store_dir(spark, "prediction_pn_us")
-    ST.append(us, root, partition_by=["date_"])
+    ST.append(us, root, sort_by=["date_", "ticker"])
     return ST.read_store(spark, root, schema=us.schema).select(*J.US_COLUMNS)
 
 
@@ -572,3 +572,49 @@ def q_target_list_scan(spark, sf_dir):
     path = _store_dir(spark, "targets_csv")
     t.write.option("header", True).csv(path)
     return read_targets(spark, path)
+
+
+# --- streaming, enrichment hook, request tables (T1, U1, P21) ---------------
+from ..operators import enrich as EN  # noqa: E402
+
+
+@register("incremental_headlines")
+def q_incremental_headlines(spark, sf_dir):
+    """Events arrive as several files; the incremental job links and stores
+    them; a second run over the same source adds nothing."""
+    from ..session import scratch_path
+    from ..streaming.incremental import SINK_COLUMNS, incremental
+    ev = read_table(spark, sf_dir, "events")
+    src = scratch_path(spark, "events_src")
+    ev.repartition(6, F.to_date("ts")).write.parquet(src)
+    sink, ckpt = scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_ckpt")
+    master = A.master(spark, sf_dir)
+    for _ in range(2):
+        incremental(spark, src, ev.schema, master, sink, ckpt, A.headlines_from_events)
+    from ..streaming.incremental import SINK_SCHEMA
+    return ST.read_store(spark, sink, schema=SINK_SCHEMA).select(*SINK_COLUMNS)
+
+
+def _ascii_upper(text: str) -> str:
+    """Stand-in for an external call: fails on any non-ASCII text."""
+    return text.encode("ascii").decode("ascii").upper()
+
+
+@register("batch_enrich")
+def q_batch_enrich(spark, sf_dir):
+    h = A.headlines(spark, sf_dir).select("seq", "title")
+    return EN.batch_enrich(h, _ascii_upper, "title", "translated", fallback_col="title").select(
+        "seq", "translated")
+
+
+@register("build_prompts")
+def q_build_prompts(spark, sf_dir):
+    """Request texts - the polarity question per headline, a summary request
+    per page (name = h1, overview = first li, status = first ad block)."""
+    h = A.headlines(spark, sf_dir).select(F.lit("headline").alias("src"), F.col("seq").alias("id"),
+                                          EN.ko_question(T.strip_hyphen("title")).alias("prompt"))
+    p = _pages(spark, sf_dir)
+    pr = p.select(F.lit("page").alias("src"), F.col("page_id").alias("id"),
+                  EN.summary_request(H.first_text(F.col("html"), "h1"), H.first_text(F.col("html"), "li"),
+                                     H.first_text(F.col("html"), "div", "ad")).alias("prompt"))
+    return h.unionByName(pr)

@@ -465,3 +465,26 @@ SELECT CAST(d.doc_id AS VARCHAR) AS id, regexp_replace(d.text, {_q(BREAKS)}, ' '
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 SQL["target_list_scan"] = """
 SELECT 'T' || CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal AS price, c_acctbal * 1.1 AS target_price FROM customer"""
+
+# --- streaming, enrichment, request tables ------------------------------------
+from ..operators import enrich as EN  # noqa: E402
+
+SQL["incremental_headlines"] = with_ctes(["linked"], """
+SELECT seq, strftime(run_date, '%Y-%m-%d') AS run_date, code, name, content FROM linked""")
+SQL["batch_enrich"] = with_ctes(["headlines"], r"""
+SELECT seq, CASE WHEN regexp_matches(title, '[^\x{00}-\x{7f}]') THEN title ELSE upper(title) END AS translated
+FROM headlines""")
+
+
+def _first_text_sql(tag, cls=None):
+    return f"coalesce({strip_tags_sql(f'regexp_extract_all(html, {_q(_element_pattern(tag, cls))}, 1)[1]')}, 'None')"
+
+
+_st = EN.SUMMARY_TEMPLATE
+SQL["build_prompts"] = with_ctes(["headlines"], f"""
+SELECT 'headline' AS src, seq AS id, replace(title, '-', '') || {_q(EN.KO_QUESTION_SUFFIX)} AS prompt FROM headlines
+UNION ALL
+SELECT 'page', page_id, replace({_q(_st.split('{name}')[0])} || {_first_text_sql('h1')}
+       || {_q(_st.split('{name}')[1].split('{overview}')[0])} || {_first_text_sql('li')}
+       || {_q(_st.split('{overview}')[1].split('{status}')[0])} || {_first_text_sql('div', 'ad')},
+       {_q(EN.SUMMARY_DROP)}, '') FROM pages""")
