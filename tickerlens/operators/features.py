@@ -17,20 +17,33 @@ def tokenise(col) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
 
 
-def vocabulary(docs: DataFrame, tokens_col: str = "tokens", k: int = VOCAB_SIZE) -> DataFrame:
+def token_counts(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
+    """(id, term, tf) over every token of every document (partial aggregation)."""
+    return (docs.select(id_col, F.explode(tokens_col).alias("term"))
+            .groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf")))
+
+
+def vocabulary(docs: DataFrame, tokens_col: str = "tokens", k: int = VOCAB_SIZE,
+               counts: DataFrame | None = None) -> DataFrame:
     """A4: the k most frequent tokens over all documents (ties: token order).
     Partial counts per map task, one shuffle keyed by token, then a bounded
-    top-k (TakeOrderedAndProject) - the limit is the operator itself."""
-    counts = (docs.select(F.explode(tokens_col).alias("token"))
-              .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
-    return counts.orderBy(F.col("cnt").desc(), F.col("token")).limit(k)
+    top-k (TakeOrderedAndProject) - the limit is the operator itself. Given
+    ``token_counts``, the documents are not tokenised again."""
+    if counts is not None:
+        totals = counts.groupBy(F.col("term").alias("token")).agg(F.sum("tf").alias("cnt"))
+    else:
+        totals = (docs.select(F.explode(tokens_col).alias("token"))
+                  .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
+    return totals.orderBy(F.col("cnt").desc(), F.col("token")).limit(k)
 
 
 def term_frequency(docs: DataFrame, vocab: DataFrame, id_col: str = "id",
-                   tokens_col: str = "tokens") -> DataFrame:
+                   tokens_col: str = "tokens", counts: DataFrame | None = None) -> DataFrame:
     """A5 (sparse): (id, term, tf) for vocabulary terms present in the document.
     The vocabulary is at most k rows by construction, so it is broadcast."""
     v = F.broadcast(vocab.select(F.col("token").alias("term")))
+    if counts is not None:
+        return counts.join(v, "term").select(id_col, "term", "tf")
     toks = docs.select(id_col, F.explode(tokens_col).alias("term"))
     return (toks.join(v, "term").groupBy(id_col, "term")
             .agg(F.count(F.lit(1)).cast("bigint").alias("tf")))

@@ -42,24 +42,35 @@ def link_headlines(headlines: DataFrame, master: DataFrame, title_col: str = "ti
             .withColumn("content", strip_hyphen(title_col)))
 
 
-def name_substring_index(master: DataFrame) -> DataFrame:
-    """(sub, n_names): for every non-empty substring, how many distinct names hold it."""
+def name_substring_index(master: DataFrame, lengths: list[int] | None = None) -> DataFrame:
+    """(sub, n_names): for every non-empty substring (of the given lengths only,
+    when ``lengths`` is set), how many distinct names hold it."""
     names = master.select("name").where(F.col("name").isNotNull()).distinct()
     n = F.length("name")
-    subs = (names.withColumn("s", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))))
-            .withColumn("e", F.explode(F.sequence(F.col("s"), F.greatest(n, F.col("s")))))
-            .where(n > 0)
-            .select("name", F.substring("name", F.col("s"), F.col("e") - F.col("s") + 1).alias("sub"))
-            .distinct())
-    return subs.groupBy("sub").agg(F.count(F.lit(1)).alias("n_names"))
+    if lengths is not None:
+        ln = F.explode(F.array(*[F.lit(int(x)) for x in lengths] or [F.lit(0)]))
+        spans = names.withColumn("_l", ln).where((F.col("_l") > 0) & (F.col("_l") <= n))
+        spans = spans.withColumn("s", F.explode(F.sequence(F.lit(1), n - F.col("_l") + 1)))
+        subs = spans.select("name", F.substring("name", F.col("s"), F.col("_l")).alias("sub"))
+    else:
+        subs = (names.where(n > 0)
+                .withColumn("s", F.explode(F.sequence(F.lit(1), n)))
+                .withColumn("e", F.explode(F.sequence(F.col("s"), n)))
+                .select("name", F.substring("name", F.col("s"), F.col("e") - F.col("s") + 1).alias("sub")))
+    return subs.distinct().groupBy("sub").agg(F.count(F.lit(1)).alias("n_names"))
 
 
 def candidate_counts(keys: DataFrame, master: DataFrame, key_col: str = "key") -> DataFrame:
     """For each distinct key, the number of master names containing it
-    (literal substring; the empty key is contained in every name)."""
+    (literal substring; the empty key is contained in every name). Only name
+    substrings whose length equals some key length are indexed; the distinct
+    key lengths are few (bounded by the longest name) and are read first."""
     total = master.select(F.count_distinct("name")).scalar()
     dk = keys.select(key_col).where(F.col(key_col).isNotNull()).distinct()
-    idx = name_substring_index(master)
+    max_name = master.select(F.max(F.length("name"))).first()[0] or 0
+    lengths = [r[0] for r in dk.select(F.length(key_col).alias("l")).distinct()
+               .where((F.col("l") > 0) & (F.col("l") <= max_name)).collect()]  # <= max_name values
+    idx = name_substring_index(master, lengths)
     j = dk.join(idx, dk[key_col] == idx["sub"], "left")
     return j.select(key_col, F.when(F.col(key_col) == "", total)
                     .otherwise(F.coalesce(F.col("n_names"), F.lit(0)))

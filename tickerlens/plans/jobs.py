@@ -39,8 +39,9 @@ class BowModel:
 def bow_model(corpus: DataFrame) -> BowModel:
     """Vocabulary (top 5000) and per-term weights from the labelled corpus."""
     c = corpus.withColumn("tokens", FE.tokenise("document"))
-    vocab = FE.vocabulary(c)
-    return BowModel(vocab, sentiment.weights_from_corpus(FE.term_frequency(c, vocab), c))
+    counts = FE.token_counts(c)  # tokenised once; both consumers reuse its exchange
+    vocab = FE.vocabulary(c, counts=counts)
+    return BowModel(vocab, sentiment.weights_from_corpus(FE.term_frequency(c, vocab, counts=counts), c))
 
 
 def _run_time(run_time: str):

@@ -249,6 +249,7 @@ def q_crawl_plan(spark, sf_dir):
 # --- features and sentiment (A3-A9, J7, S6) ---------------------------------
 from ..operators import features as FE  # noqa: E402
 from ..operators import sentiment as SE  # noqa: E402
+from . import jobs as J  # noqa: E402
 
 
 def _corpus_tokens(spark, sf_dir):
@@ -275,15 +276,14 @@ def q_vocab_top_k(spark, sf_dir):
 @register("term_frequency")
 def q_term_frequency(spark, sf_dir):
     c = _corpus_tokens(spark, sf_dir)
-    return FE.term_frequency(c, FE.vocabulary(c))
+    counts = FE.token_counts(c)
+    return FE.term_frequency(c, FE.vocabulary(c, counts=counts), counts=counts)
 
 
 def _bow(spark, sf_dir):
-    c = _corpus_tokens(spark, sf_dir)
-    vocab = FE.vocabulary(c)
-    weights = SE.weights_from_corpus(FE.term_frequency(c, vocab), c)
+    model = J.bow_model(A.corpus(spark, sf_dir))
     d = _doc_tokens(spark, sf_dir)
-    return d, SE.bow_score(d, FE.term_frequency(d, vocab), weights)
+    return d, SE.bow_score(d, FE.term_frequency(d, model.vocab), model.weights)
 
 
 @register("bow_score")

@@ -66,5 +66,28 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
 
 
+# Tables whose rows carry long text (or are rendered into pages): per-row regex
+# work on them is CPU-bound, so a small input must still be spread over cores.
+TEXT_TABLES = {"documents", "pages", "conversations", "part", "events"}
+SPREAD_BELOW_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the plan (no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, below_bytes: int = SPREAD_BELOW_BYTES) -> DataFrame:
+    """Round-robin a *small* input over the cluster's parallelism so CPU-heavy
+    per-row work is not run by the one task that owns a single row group. Large
+    inputs already arrive in many splits and are returned untouched (no shuffle)."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    if par > 1 and estimated_bytes(df) < below_bytes:
+        return df.repartition(par)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_small(df) if name in TEXT_TABLES else df
