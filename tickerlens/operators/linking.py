@@ -123,9 +123,12 @@ def link_with_legacy_carry(headlines: DataFrame, master: DataFrame, run_col: str
 
 def new_only(df: DataFrame, store: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
     """Drop rows already present in the store, matched on (df col, store col)
-    pairs. A single left-anti join replaces one exists-query per item."""
+    pairs. A single left-anti join replaces one exists-query per item; the store
+    side is first reduced to its distinct keys (partial aggregation), so a key
+    stored many times is one row on the build side."""
+    sk = store.select(*[F.col(b).alias(f"_k{i}") for i, (_, b) in enumerate(keys)]).distinct()
     cond = None
-    for a, b in keys:
-        c = df[a] == store[b]
+    for i, (a, _) in enumerate(keys):
+        c = df[a] == sk[f"_k{i}"]
         cond = c if cond is None else cond & c
-    return df.join(store, cond, "left_anti")
+    return df.join(sk, cond, "left_anti")

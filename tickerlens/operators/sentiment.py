@@ -44,18 +44,22 @@ def lexicon_sentiment(df: DataFrame, id_cols: list[str], tokens_col: str,
     summed as integer tenths, so the result does not depend on summation order.
     A text without tokens scores 0 everywhere."""
     lex = lexicon.select(F.col("word").alias("token"), "tenths")
-    toks = df.select(*id_cols, F.explode_outer(tokens_col).alias("token"))
+    # one row per (text, distinct token) before the lexicon join: a token that
+    # dominates the corpus costs one row per text, not one per occurrence
+    toks = (df.select(*id_cols, F.explode_outer(tokens_col).alias("token"))
+            .groupBy(*id_cols, "token").agg(F.count(F.lit(1)).alias("n")))
     t = toks.join(lex, "token", "left").withColumn(
         "t", F.when(F.col("token").isNotNull(), F.coalesce("tenths", F.lit(0))))
+    n = F.col("n")
     g = t.groupBy(*id_cols).agg(
-        F.sum("t").alias("s10"),
-        F.sum(F.when(F.col("t") > 0, F.col("t") + 10)).alias("pos10"),
-        F.sum(F.when(F.col("t") < 0, F.col("t") - 10)).alias("neg10"),
-        F.count(F.when(F.col("t") == 0, 1)).alias("neu_n"))
+        F.sum(F.col("t") * n).alias("s10"),
+        F.sum(F.when(F.col("t") > 0, (F.col("t") + 10) * n)).alias("pos10"),
+        F.sum(F.when(F.col("t") < 0, (F.col("t") - 10) * n)).alias("neg10"),
+        F.sum(F.when(F.col("t") == 0, n)).alias("neu_n"))
     s = F.coalesce(F.col("s10"), F.lit(0)) / 10.0
     pos = F.coalesce(F.col("pos10"), F.lit(0)) / 10.0
     neg = F.coalesce(F.col("neg10"), F.lit(0)) / 10.0
-    neu = F.col("neu_n").cast("double")
+    neu = F.coalesce(F.col("neu_n"), F.lit(0)).cast("double")
     total = pos + F.abs(neg) + neu
     comp = s / F.sqrt(s * s + F.lit(COMPOUND_ALPHA))
     comp = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), comp))

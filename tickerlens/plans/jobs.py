@@ -41,7 +41,9 @@ def bow_model(corpus: DataFrame) -> BowModel:
     c = corpus.withColumn("tokens", FE.tokenise("document"))
     counts = FE.token_counts(c)  # tokenised once; both consumers reuse its exchange
     vocab = FE.vocabulary(c, counts=counts)
-    return BowModel(vocab, sentiment.weights_from_corpus(FE.term_frequency(c, vocab, counts=counts), c))
+    weights = sentiment.weights_from_corpus(FE.term_frequency(c, vocab, counts=counts), c)
+    # one weight per vocabulary term: at most k rows by construction
+    return BowModel(vocab, F.broadcast(weights))
 
 
 def _run_time(run_time: str):
