@@ -34,15 +34,34 @@ def dedupe_pages(items: DataFrame, list_cols: list[str], first_seen: list[Column
     """Set semantics on whole lists - a list equal to one seen earlier (in
     ``first_seen`` order, smallest first) is dropped with all its titles; all
     empty lists count as one. With ``run_cols`` (a subset of ``list_cols``) the
-    set is kept per run. Returns (kept items, kept lists)."""
+    set is kept per run. Returns (kept items, kept lists).
+
+    One pass: each (bounded) list carries its items through the dedupe, so the
+    items are not scanned a second time to be filtered."""
     run_cols = run_cols or []
-    lists = page_lists(items, list_cols, pos_col, title_col, all_lists)
+    other = [c for c in items.columns if c not in list_cols]
+    item = F.struct(F.col(pos_col).alias("_p"), F.col(title_col).alias("_t"),
+                    *[F.col(c).alias(f"_c_{c}") for c in other if c not in (pos_col, title_col)])
+    lists = (items.groupBy(*list_cols).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+             .withColumn("titles", F.transform("_items", lambda e: e["_t"])))
+    if all_lists is not None:
+        lists = (all_lists.select(*list_cols).distinct().join(lists, list_cols, "left")
+                 .withColumn("titles", F.coalesce("titles", F.array().cast("array<string>"))))
     order = F.struct(*first_seen)
     rest = [c for c in list_cols if c not in run_cols]
-    keys = F.struct(*[F.col(c) for c in rest])
-    kept = (lists.groupBy(*run_cols, "titles").agg(F.min_by(keys, order).alias("_k"))
-            .select(*run_cols, *[F.col("_k")[c].alias(c) for c in rest], "titles"))
-    return items.join(kept.select(*list_cols), list_cols, "left_semi"), kept
+    keep = F.struct(*[F.col(c) for c in rest], F.col("_items"))
+    kept = (lists.groupBy(*run_cols, "titles").agg(F.min_by(keep, order).alias("_k"))
+            .select(*run_cols, *[F.col("_k")[c].alias(c) for c in rest], "titles",
+                    F.col("_k")["_items"].alias("_items")))
+    exploded = kept.select(*list_cols, F.explode("_items").alias("_e"))
+    cols = {c: F.col(c) for c in list_cols}
+    cols[pos_col] = F.col("_e._p")
+    cols[title_col] = F.col("_e._t")
+    for c in other:
+        if c not in (pos_col, title_col):
+            cols[c] = F.col(f"_e._c_{c}")
+    kept_items = exploded.select(*[cols[c].alias(c) for c in items.columns])
+    return kept_items, kept.drop("_items")
 
 
 def backfill_horizon(items: DataFrame, list_cols: list[str], date_col: str = "run_date",

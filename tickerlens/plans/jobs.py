@@ -18,6 +18,7 @@ from ..functions.text import keep_alnum_hangul, normalise_ws, section_after, tru
 from ..operators import features as FE
 from ..operators import linking, pages, quotes, sentiment, store, valuation
 from ..operators.usjob import extract_ticker
+from ..session import materialize
 
 FACT_COLUMNS = ["key_", "date_", "time_", "code_", "name_", "content_", "pn_", "ratio_",
                 "close_", "diff_", "open_", "high_", "low_", "volume_", "gpt_pn_", "report_"]
@@ -76,6 +77,8 @@ def job_ko(headlines: DataFrame, master: DataFrame, fact_store: DataFrame, quote
     linked = _link(h, master, legacy_carry).withColumn("date_", F.date_format("run_date", "yyyy-MM-dd"))
     fresh = linking.new_only(linked, fact_store, [("code", "code_"), ("date_", "date_")])
     if model is not None:
+        # scoring, quotes and reports all fan out from the new articles: compute once
+        fresh = materialize(fresh)
         if replies is not None:
             fresh = fresh.join(replies.select("seq", "reply"), "seq", "left")
             gpt = verdict(F.coalesce(F.col("reply"), F.col("content")), "P")
@@ -108,6 +111,7 @@ def details(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame) ->
     consensus and S-RIM per code, computed once per distinct code and joined
     back (the per-code side is bounded by the master and broadcast when a
     count proves it small)."""
+    fact = materialize(fact)  # read twice below (codes, and the join back)
     codes = fact.select(F.col("code_").alias("code")).distinct()
     pg = company_pages.join(codes, "code", "left_semi")
     pg = valuation.with_tables(pg)

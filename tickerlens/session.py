@@ -38,16 +38,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is set by the operator (a shared filesystem path). Only when
     it is unset (local tests, the driver's smoke session) do we create one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tickerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage at a fan-out point: a reliable checkpoint written to the shared
+    checkpoint folder. Later stages read it instead of recomputing the plan
+    once per consumer, and a lost executor only costs the stages after it."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
