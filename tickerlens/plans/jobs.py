@@ -18,7 +18,7 @@ from ..functions.text import keep_alnum_hangul, normalise_ws, section_after, tru
 from ..operators import features as FE
 from ..operators import linking, pages, quotes, sentiment, store, valuation
 from ..operators.usjob import extract_ticker
-from ..session import materialize
+from ..session import checkpoint_root, materialize
 
 FACT_COLUMNS = ["key_", "date_", "time_", "code_", "name_", "content_", "pn_", "ratio_",
                 "close_", "diff_", "open_", "high_", "low_", "volume_", "gpt_pn_", "report_"]
@@ -37,8 +37,52 @@ class BowModel:
     weights: DataFrame
 
 
-def bow_model(corpus: DataFrame) -> BowModel:
-    """Vocabulary (top 5000) and per-term weights from the labelled corpus."""
+def _input_key(df: DataFrame, extra: str) -> str | None:
+    """Fingerprint of the files a plan reads (path, size, modification time)."""
+    import hashlib
+    spark = df.sparkSession
+    files = sorted(df.inputFiles())
+    if not files:
+        return None
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1(extra.encode())
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        h.update(f"{f}|{st.getLen()}|{st.getModificationTime()}".encode())
+    return h.hexdigest()[:16]
+
+
+def bow_model(corpus: DataFrame, cache: bool = True) -> BowModel:
+    """Vocabulary (top 5000) and per-term weights from the labelled corpus.
+
+    Like a trained model file, the result is persisted under the shared
+    checkpoint folder, keyed by the corpus files (path, size, modification
+    time) and the parameters; an unchanged corpus is read back, a changed one
+    retrains."""
+    if cache:
+        key = _input_key(corpus, f"bow|{FE.VOCAB_SIZE}|{FE.TOKEN_PATTERN}")
+        if key is not None:
+            return _cached_model(corpus, key)
+    return _train_bow(corpus)
+
+
+def _cached_model(corpus: DataFrame, key: str) -> BowModel:
+    import os
+    spark = corpus.sparkSession
+    root = os.path.join(checkpoint_root(spark), "tickerlens", "models", f"bow-{key}")
+    paths = {n: f"{root}/{n}" for n in ("vocab", "weights")}
+    if not all(store.current_path(spark, p) for p in paths.values()):
+        m = _train_bow(corpus)
+        m.vocab.write.mode("overwrite").parquet(f"{paths['vocab']}/v00001")
+        m.weights.write.mode("overwrite").parquet(f"{paths['weights']}/v00001")
+    vocab = spark.read.parquet(store.current_path(spark, paths["vocab"]))
+    weights = spark.read.parquet(store.current_path(spark, paths["weights"]))
+    return BowModel(F.broadcast(vocab), F.broadcast(weights))  # <= k rows each
+
+
+def _train_bow(corpus: DataFrame) -> BowModel:
     c = corpus.withColumn("tokens", FE.tokenise("document"))
     counts = FE.token_counts(c)  # tokenised once; both consumers reuse its exchange
     vocab = FE.vocabulary(c, counts=counts)
