@@ -55,3 +55,19 @@ def test_zero_pad(spark):
     from tickerlens.operators.linking import stock_master
     df = spark.createDataFrame([("a", 5930), ("b", 1234567)], "n string, c long")
     assert [r.code for r in stock_master(df, "n", "c").collect()] == ["005930", "1234567"]
+
+
+def test_anchor_attrs_first_anchor_rule(spark):
+    from tickerlens.sources.html import anchor_attrs
+    html = ("<dl><dd><a title='T1' href='x'>a</a></dd><dd><a href='y'>no title</a><a title='T2'>b</a></dd>"
+            "<dd>no anchor</dd><dt><a title=\"D&amp;1\">c</a></dt></dl>")
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [(r.slot, r.pos, r.value) for r in anchor_attrs(df, "title").orderBy("slot", "pos").collect()]
+    assert got == [("dd", 0, "T1"), ("dt", 0, "D&1")]
+
+
+def test_class_text_matches_class_token(spark):
+    from tickerlens.sources.html import class_text
+    html = '<a class="x jupiter">A &amp; B</a><a class="jupiter-2">no</a><a class="jupiter">C<b>D</b></a>'
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r.text for r in class_text(df, "a", "jupiter").orderBy("pos").collect()] == ["A & B", "CD"]

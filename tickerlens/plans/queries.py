@@ -462,11 +462,12 @@ def q_last_valid_period(spark, sf_dir):
 from . import jobs as J  # noqa: E402
 
 
-def _job_ko(spark, sf_dir, nlp=True):
+def _job_ko(spark, sf_dir, nlp=True, replies=False):
     model = J.bow_model(A.corpus(spark, sf_dir)) if nlp else None
     words = negative_words(spark, sf_dir) if nlp else None
     return J.job_ko(A.headlines(spark, sf_dir), A.master(spark, sf_dir), A.store(spark, sf_dir),
-                    A.quotes(spark, sf_dir), model, words, quote_tiebreak=A.QUOTE_TIEBREAK)
+                    A.quotes(spark, sf_dir), model, words, quote_tiebreak=A.QUOTE_TIEBREAK,
+                    replies=A.replies(spark, sf_dir) if replies else None)
 
 
 @register("job_ko")
@@ -474,6 +475,12 @@ def q_job_ko(spark, sf_dir):
     return _job_ko(spark, sf_dir, True)
 
 
+@register("job_ko_replies")
+def q_job_ko_replies(spark, sf_dir):
+    """Q1 with model replies: the verdict (P13) is read from each article's reply."""
+    return _job_ko(spark, sf_dir, True, replies=True)
+
+
 @register("job_ko_light")
 def q_job_ko_light(spark, sf_dir):
     return _job_ko(spark, sf_dir, False)

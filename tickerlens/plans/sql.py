@@ -375,12 +375,15 @@ CTE["fbow"] = f"""fbow AS (
 DEPS["fbow"] = ["fresh", "vocab", "weights"]
 
 
-def job_ko_sql(nlp: bool) -> str:
-    names = ["fresh", "latest", "max_report"] + (["fbow", "nag"] if nlp else [])
+def job_ko_sql(nlp: bool, replies: bool = False) -> str:
+    names = ["fresh", "latest", "max_report"] + (["fbow", "nag"] if nlp else []) + (["replies"] if replies else [])
     if nlp:
         pn = ("CASE WHEN EXISTS (SELECT 1 FROM nag WHERE contains(f.content, nag.nag_word)) THEN 'N' "
               "WHEN b.pn = 'P' THEN 'P' ELSE 'C' END")
         ratio, gpt, join = "b.ratio", verdict_sql("f.content", "P"), "JOIN fbow b ON b.id = f.seq"
+        if replies:
+            gpt = verdict_sql("coalesce(rp.reply, f.content)", "P")
+            join += " LEFT JOIN replies rp ON rp.seq = f.seq"
     else:
         pn, ratio, gpt, join = "''", "0.0", "''", ""
     return with_ctes(names, f"""
@@ -394,6 +397,7 @@ FROM fresh f {join} LEFT JOIN latest q ON q.code = f.code LEFT JOIN max_report r
 
 SQL["job_ko"] = job_ko_sql(True)
 SQL["job_ko_light"] = job_ko_sql(False)
+SQL["job_ko_replies"] = job_ko_sql(True, replies=True)
 SQL["append_predictions"] = SQL["job_ko"]
 
 # details: market snapshot, consensus, S-RIM per code, joined to the light fact
