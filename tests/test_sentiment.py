@@ -54,3 +54,31 @@ def test_vocabulary_ties_by_token(spark):
         "tokens", FE.tokenise("t"))
     got = [(r.token, r.cnt) for r in FE.vocabulary(df, k=2).collect()]
     assert got == [("a", 2), ("b", 2)]
+
+
+def _mod(spark, texts, lex_rows):
+    lex = spark.createDataFrame(lex_rows, "word string, tenths long")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    return {r.id: r for r in SE.lexicon_sentiment_modified(df, ["id"], "t", lex).collect()}
+
+
+def _compound(s):
+    import math
+    return round(max(-1.0, min(1.0, s / math.sqrt(s * s + 15))), 4)
+
+
+def test_modifiers_match_the_rule(spark):
+    lex = [("good", 19), ("bad", -25)]
+    got = _mod(spark, ["good", "very good", "not good", "GOOD day", "good!!", "good but bad",
+                       "very very good", "plain words", "not very bad??"], lex)
+    assert got[0].compound == _compound(1.9)
+    assert got[1].compound == _compound(1.9 + 0.293)
+    assert got[2].compound == _compound(1.9 * -0.74)
+    assert got[3].compound == _compound(1.9 + 0.733)
+    assert got[4].compound == _compound(1.9 + 2 * 0.292)
+    assert got[5].compound == _compound(1.9 * 0.5 + -2.5 * 1.5)
+    assert got[6].compound == _compound(1.9 + 0.293 + 0.293 * 0.95)
+    assert (got[7].compound, got[7].neu) == (0.0, 1.0)
+    assert got[8].compound == _compound((-2.5 - 0.293) * -0.74 + 2 * 0.18)
+    base = _mod(spark, ["good"], lex)[0]
+    assert base.pos == 1.0 and base.neg == 0.0

@@ -193,3 +193,111 @@ def bow_train(corpus: DataFrame, text_col: str = "document", label_col: str = "l
     lr = LogisticRegression(featuresCol="features", labelCol="label_d", maxIter=50)
     data = corpus.withColumn("label_d", F.col(label_col).cast("double"))
     return Pipeline(stages=[tok, cv, lr]).fit(data)
+
+
+# --- A7 modifier layer --------------------------------------------------------
+# Fixed values of the published rule set (Hutto & Gilbert 2014); the word lists
+# are parameters with these defaults.
+B_INCR, B_DECR = 0.293, -0.293      # booster / dampener step
+C_INCR = 0.733                      # ALL-CAPS emphasis
+N_SCALAR = -0.74                    # negation within three preceding tokens
+DAMP = (1.0, 0.95, 0.9)             # booster weight at distance 1, 2, 3
+BUT_BEFORE, BUT_AFTER = 0.5, 1.5
+EXCL_STEP, EXCL_MAX = 0.292, 4
+QM_STEP, QM_MAX_SMALL, QM_BIG = 0.18, 3, 0.96
+BOOSTERS_UP = ("absolutely", "amazingly", "awfully", "completely", "considerably", "decidedly",
+               "deeply", "enormously", "entirely", "especially", "exceptionally", "extremely",
+               "fabulously", "greatly", "highly", "hugely", "incredibly", "intensely", "majorly",
+               "more", "most", "particularly", "purely", "quite", "really", "remarkably", "so",
+               "substantially", "thoroughly", "totally", "tremendously", "uber", "unbelievably",
+               "unusually", "utterly", "very")
+BOOSTERS_DOWN = ("almost", "barely", "hardly", "kinda", "less", "little", "marginally",
+                 "occasionally", "partly", "scarcely", "slightly", "somewhat", "sorta")
+NEGATIONS = ("aint", "arent", "cannot", "cant", "couldnt", "didnt", "doesnt", "dont", "hadnt",
+             "hasnt", "havent", "isnt", "neither", "never", "none", "nope", "nor", "not", "nothing",
+             "nowhere", "shouldnt", "wasnt", "werent", "without", "wont", "wouldnt", "rarely",
+             "seldom", "despite")
+
+
+def _arr(words):
+    return F.array(*[F.lit(w) for w in words])
+
+
+def lexicon_sentiment_modified(df: DataFrame, id_cols: list[str], text_col: str, lexicon: DataFrame,
+                               boosters_up=BOOSTERS_UP, boosters_down=BOOSTERS_DOWN,
+                               negations=NEGATIONS) -> DataFrame:
+    """A7 with the modifier layer. Per token (case kept, letter runs): boosters
+    in the three preceding tokens add +/-0.293 (x0.95, x0.9 with distance,
+    sign following the word's valence, +/-0.733 more when the booster is in
+    capitals and the text mixes cases); a negation among the three preceding
+    tokens multiplies by -0.74 (once per negation); an ALL-CAPS word in a
+    mixed-case text moves by 0.733; words before the first 'but' x0.5, after
+    x1.5. '!' adds 0.292 each (at most 4) and two or more '?' add 0.18 each (up
+    to 3) or 0.96, in the direction of the sum; shares and compound as in the
+    base layer. Booster words themselves score 0.
+
+    Neighbour features come from the in-row token array (fixed word lists), so
+    only one join (the lexicon) and one aggregation per text are needed."""
+    up, down, neg = _arr(boosters_up), _arr(boosters_down), _arr(negations)
+    toks = F.regexp_extract_all(F.col(text_col), F.lit(r"\p{L}+"), 0)
+    lowers = F.transform(toks, lambda t: F.lower(t))
+    is_caps = lambda t: (t == F.upper(t)) & (t != F.lower(t))
+    n_caps = F.size(F.filter(toks, is_caps))
+    cap_diff = (n_caps > 0) & (n_caps < F.size(toks))
+    but_at = F.array_position(lowers, "but")  # 1-based; 0 = none
+
+    def feat(t, i):
+        def boost(d):
+            p = F.get(toks, i - d)
+            pl = F.lower(p)
+            step = (F.when(F.array_contains(up, pl), F.lit(B_INCR))
+                    .when(F.array_contains(down, pl), F.lit(B_DECR)).otherwise(F.lit(0.0)))
+            step = F.when((step != 0) & is_caps(p) & cap_diff,
+                          F.when(step > 0, step + C_INCR).otherwise(step - C_INCR)).otherwise(step)
+            return F.when(i >= d, step * DAMP[d - 1]).otherwise(F.lit(0.0))
+
+        def negd(d):
+            return F.when((i >= d) & F.array_contains(neg, F.lower(F.get(toks, i - d))), 1).otherwise(0)
+        return F.struct(
+            F.lower(t).alias("token"), i.alias("i"),
+            (F.array_contains(up, F.lower(t)) | F.array_contains(down, F.lower(t))).alias("is_booster"),
+            (is_caps(t) & cap_diff).alias("caps"),
+            (boost(1) + boost(2) + boost(3)).alias("boost"),
+            (negd(1) + negd(2) + negd(3)).alias("negs"),
+            F.when(but_at == 0, F.lit(1.0)).when(i + 1 < but_at, F.lit(BUT_BEFORE))
+             .when(i + 1 > but_at, F.lit(BUT_AFTER)).otherwise(F.lit(1.0)).alias("but"))
+
+    feats = df.select(*id_cols, F.explode_outer(F.transform(toks, feat)).alias("f"),
+                      (F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("!"), F.lit(""))))
+                      .alias("n_excl"),
+                      (F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("?"), F.lit(""))))
+                      .alias("n_qm"))
+    lex = lexicon.select(F.col("word").alias("token"), (F.col("tenths") / 10.0).alias("base"))
+    j = feats.select(*id_cols, "f.*", "n_excl", "n_qm").join(lex, "token", "left")
+    b = F.when(F.col("is_booster"), F.lit(0.0)).otherwise(F.coalesce("base", F.lit(0.0)))
+    v = F.when(b == 0, F.lit(0.0)).otherwise(
+        b + F.when(F.col("caps"), F.when(b > 0, F.lit(C_INCR)).otherwise(F.lit(-C_INCR))).otherwise(0.0))
+    v = F.when(v == 0, v).otherwise(v + F.when(v > 0, F.col("boost")).otherwise(-F.col("boost")))
+    v = v * F.pow(F.lit(N_SCALAR), F.col("negs")) * F.col("but")
+    scored = j.withColumn("v", F.when(F.col("token").isNotNull(), v))
+    g = scored.groupBy(*id_cols).agg(
+        F.sum("v").alias("s"), F.sum(F.when(F.col("v") > 0, F.col("v") + 1)).alias("pos_sum"),
+        F.sum(F.when(F.col("v") < 0, F.col("v") - 1)).alias("neg_sum"),
+        F.count(F.when(F.col("v") == 0, 1)).alias("neu_n"), F.first("n_excl").alias("n_excl"),
+        F.first("n_qm").alias("n_qm"))
+    ep = F.least(F.col("n_excl"), F.lit(EXCL_MAX)) * EXCL_STEP
+    qm = (F.when(F.col("n_qm") > QM_MAX_SMALL, F.lit(QM_BIG))
+          .when(F.col("n_qm") > 1, F.col("n_qm") * QM_STEP).otherwise(F.lit(0.0)))
+    punct = ep + qm
+    s = F.coalesce(F.col("s"), F.lit(0.0))
+    s_adj = F.when(s > 0, s + punct).when(s < 0, s - punct).otherwise(s)
+    pos = F.coalesce(F.col("pos_sum"), F.lit(0.0))
+    neg_ = F.coalesce(F.col("neg_sum"), F.lit(0.0))
+    pos2 = F.when(pos > F.abs(neg_), pos + punct).otherwise(pos)
+    neg2 = F.when(pos < F.abs(neg_), neg_ - punct).otherwise(neg_)
+    neu = F.col("neu_n").cast("double")
+    total = pos2 + F.abs(neg2) + neu
+    comp = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s_adj / F.sqrt(s_adj * s_adj + F.lit(COMPOUND_ALPHA))))
+    share = lambda x: F.when(total > 0, F.round(F.abs(x / total), 3)).otherwise(F.lit(0.0))
+    return g.select(*id_cols, share(neg2).alias("neg"), share(neu).alias("neu"), share(pos2).alias("pos"),
+                    F.when(s_adj == 0, F.lit(0.0)).otherwise(F.round(comp, 4)).alias("compound"))

@@ -625,3 +625,11 @@ def q_build_prompts(spark, sf_dir):
                   EN.summary_request(H.first_text(F.col("html"), "h1"), H.first_text(F.col("html"), "li"),
                                      H.first_text(F.col("html"), "div", "ad")).alias("prompt"))
     return h.unionByName(pr)
+
+
+@register("lexicon_sentiment_modified")
+def q_lexicon_sentiment_modified(spark, sf_dir):
+    """A7 with the modifier layer (rows-only here; the rule is checked by fixtures)."""
+    lex = SE.lexicon_from_corpus(_corpus_tokens(spark, sf_dir))
+    conv = read_table(spark, sf_dir, "conversations")
+    return SE.lexicon_sentiment_modified(conv, ["conv_id", "turn"], "text", lex)
