@@ -181,7 +181,7 @@ def keyword_override(df: DataFrame, label_col: str, content_col: str, words: Dat
 
 
 def bow_train(corpus: DataFrame, text_col: str = "document", label_col: str = "label",
-              vocab_size: int = 5000):
+              vocab_size: int = 5000, max_iter: int = 20):
     """Fit CountVectorizer + LogisticRegression (distributed, Spark ML)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
@@ -190,7 +190,7 @@ def bow_train(corpus: DataFrame, text_col: str = "document", label_col: str = "l
     tok = RegexTokenizer(inputCol=text_col, outputCol="tokens", pattern=r"\p{L}+", gaps=False,
                          toLowercase=True)
     cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size)
-    lr = LogisticRegression(featuresCol="features", labelCol="label_d", maxIter=50)
+    lr = LogisticRegression(featuresCol="features", labelCol="label_d", maxIter=max_iter)
     data = corpus.withColumn("label_d", F.col(label_col).cast("double"))
     return Pipeline(stages=[tok, cv, lr]).fit(data)
 
@@ -239,12 +239,16 @@ def lexicon_sentiment_modified(df: DataFrame, id_cols: list[str], text_col: str,
     Neighbour features come from the in-row token array (fixed word lists), so
     only one join (the lexicon) and one aggregation per text are needed."""
     up, down, neg = _arr(boosters_up), _arr(boosters_down), _arr(negations)
-    toks = F.regexp_extract_all(F.col(text_col), F.lit(r"\p{L}+"), 0)
-    lowers = F.transform(toks, lambda t: F.lower(t))
     is_caps = lambda t: (t == F.upper(t)) & (t != F.lower(t))
-    n_caps = F.size(F.filter(toks, is_caps))
-    cap_diff = (n_caps > 0) & (n_caps < F.size(toks))
-    but_at = F.array_position(lowers, "but")  # 1-based; 0 = none
+    txt = F.col(text_col)
+    # per-text values first (columns), so the per-token lambda only reads them
+    s1 = df.select(*id_cols, F.regexp_extract_all(txt, F.lit(r"\p{L}+"), 0).alias("_toks"),
+                   (F.length(txt) - F.length(F.replace(txt, F.lit("!"), F.lit("")))).alias("n_excl"),
+                   (F.length(txt) - F.length(F.replace(txt, F.lit("?"), F.lit("")))).alias("n_qm"))
+    n_caps = F.size(F.filter("_toks", is_caps))
+    s2 = s1.select("*", ((n_caps > 0) & (n_caps < F.size("_toks"))).alias("_capdiff"),
+                   F.array_position(F.transform("_toks", lambda t: F.lower(t)), "but").alias("_but"))
+    toks, cap_diff, but_at = F.col("_toks"), F.col("_capdiff"), F.col("_but")
 
     def feat(t, i):
         def boost(d):
@@ -267,11 +271,7 @@ def lexicon_sentiment_modified(df: DataFrame, id_cols: list[str], text_col: str,
             F.when(but_at == 0, F.lit(1.0)).when(i + 1 < but_at, F.lit(BUT_BEFORE))
              .when(i + 1 > but_at, F.lit(BUT_AFTER)).otherwise(F.lit(1.0)).alias("but"))
 
-    feats = df.select(*id_cols, F.explode_outer(F.transform(toks, feat)).alias("f"),
-                      (F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("!"), F.lit(""))))
-                      .alias("n_excl"),
-                      (F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("?"), F.lit(""))))
-                      .alias("n_qm"))
+    feats = s2.select(*id_cols, F.explode_outer(F.transform(toks, feat)).alias("f"), "n_excl", "n_qm")
     lex = lexicon.select(F.col("word").alias("token"), (F.col("tenths") / 10.0).alias("base"))
     j = feats.select(*id_cols, "f.*", "n_excl", "n_qm").join(lex, "token", "left")
     b = F.when(F.col("is_booster"), F.lit(0.0)).otherwise(F.coalesce("base", F.lit(0.0)))
