@@ -385,7 +385,7 @@ def job_ko_sql(nlp: bool, replies: bool = False) -> str:
             gpt = verdict_sql("coalesce(rp.reply, f.content)", "P")
             join += " LEFT JOIN replies rp ON rp.seq = f.seq"
     else:
-        pn, ratio, gpt, join = "''", "0.0", "''", ""
+        pn, ratio, gpt, join = "''", "CAST(0.0 AS DOUBLE)", "''", ""
     return with_ctes(names, f"""
 SELECT strftime(f.run_date, '%Y%m%d') || '1800' || f.code AS key_, f.date_, '18:00' AS time_,
        f.code AS code_, f.name AS name_, f.content AS content_, {pn} AS pn_, {ratio} AS ratio_,
