@@ -19,7 +19,7 @@ DECISION_THRESHOLD = 0.5
 # (broadcast existence join); larger ones through a per-executor Aho-Corasick
 # automaton; beyond MAX_DICT_BROADCAST through an exact character n-gram join.
 SMALL_DICT = 64
-MAX_DICT_BROADCAST = 2_000_000
+MAX_DICT_BROADCAST = 500_000
 # ---------------------------------------------------------------------------
 
 
