@@ -492,3 +492,84 @@ SELECT 'page', page_id, replace({_q(_st.split('{name}')[0])} || {_first_text_sql
        || {_q(_st.split('{name}')[1].split('{overview}')[0])} || {_first_text_sql('li')}
        || {_q(_st.split('{overview}')[1].split('{status}')[0])} || {_first_text_sql('div', 'ad')},
        {_q(EN.SUMMARY_DROP)}, '') FROM pages""")
+
+# --- A7 modifier layer (exact oracle) ---------------------------------------
+from ..operators import sentiment as _S  # noqa: E402
+
+
+def _inlist(words) -> str:
+    return "(" + ", ".join(_q(w) for w in words) + ")"
+
+
+def _caps(e: str) -> str:
+    return f"({e} = upper({e}) AND {e} <> lower({e}))"
+
+
+def _boost(d: int) -> str:
+    p = f"toks[i - {d} + 1]"
+    step = (f"(CASE WHEN lower({p}) IN {_inlist(_S.BOOSTERS_UP)} THEN {_S.B_INCR} "
+            f"WHEN lower({p}) IN {_inlist(_S.BOOSTERS_DOWN)} THEN {_S.B_DECR} ELSE 0.0 END)")
+    adj = (f"(CASE WHEN {step} <> 0 AND {_caps(p)} AND capdiff THEN "
+           f"(CASE WHEN {step} > 0 THEN {step} + {_S.C_INCR} ELSE {step} - {_S.C_INCR} END) ELSE {step} END)")
+    return f"(CASE WHEN i >= {d} THEN {adj} * {_S.DAMP[d - 1]} ELSE 0.0 END)"
+
+
+def _neg(d: int) -> str:
+    return f"(CASE WHEN i >= {d} AND lower(toks[i - {d} + 1]) IN {_inlist(_S.NEGATIONS)} THEN 1 ELSE 0 END)"
+
+
+_booster_words = _inlist(tuple(_S.BOOSTERS_UP) + tuple(_S.BOOSTERS_DOWN))
+SQL["lexicon_sentiment_modified"] = with_ctes(["lex"], f"""
+, t1 AS (
+  SELECT conv_id, turn, regexp_extract_all(text, '\\p{{L}}+') AS toks,
+         length(text) - length(replace(text, '!', '')) AS n_excl,
+         length(text) - length(replace(text, '?', '')) AS n_qm
+  FROM conversations),
+t2 AS (
+  SELECT *, len(list_filter(toks, lambda t: {_caps('t')})) AS n_caps,
+         coalesce(list_position(list_transform(toks, lambda t: lower(t)), 'but'), 0) AS but_at
+  FROM t1),
+t3 AS (SELECT *, n_caps > 0 AND n_caps < len(toks) AS capdiff FROM t2),
+tk AS (
+  SELECT conv_id, turn, n_excl, n_qm, toks, capdiff, but_at,
+         unnest(CASE WHEN len(toks) = 0 THEN [NULL] ELSE toks END) AS tok,
+         unnest(CASE WHEN len(toks) = 0 THEN [NULL] ELSE range(len(toks)) END) AS i
+  FROM t3),
+ft AS (
+  SELECT conv_id, turn, n_excl, n_qm, tok, lower(tok) AS token,
+         lower(tok) IN {_booster_words} AS is_booster,
+         {_caps('tok')} AND capdiff AS caps,
+         {_boost(1)} + {_boost(2)} + {_boost(3)} AS boost,
+         {_neg(1)} + {_neg(2)} + {_neg(3)} AS negs,
+         CASE WHEN but_at = 0 THEN 1.0 WHEN i + 1 < but_at THEN {_S.BUT_BEFORE}
+              WHEN i + 1 > but_at THEN {_S.BUT_AFTER} ELSE 1.0 END AS but
+  FROM tk),
+vb AS (
+  SELECT ft.*, CASE WHEN is_booster THEN 0.0 ELSE coalesce(l.tenths / 10.0, 0.0) END AS b
+  FROM ft LEFT JOIN lex l ON l.word = ft.token),
+v1 AS (SELECT *, CASE WHEN b = 0 THEN 0.0 ELSE b + (CASE WHEN caps THEN (CASE WHEN b > 0 THEN {_S.C_INCR} ELSE -{_S.C_INCR} END) ELSE 0.0 END) END AS va FROM vb),
+v2 AS (SELECT *, CASE WHEN va = 0 THEN va ELSE va + (CASE WHEN va > 0 THEN boost ELSE -boost END) END AS vbst FROM v1),
+v3 AS (SELECT *, CASE WHEN tok IS NOT NULL THEN vbst * pow({_S.N_SCALAR}, negs) * but END AS v FROM v2),
+g AS (
+  SELECT conv_id, turn, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 END) AS pos_sum,
+         sum(CASE WHEN v < 0 THEN v - 1 END) AS neg_sum, count(CASE WHEN v = 0 THEN 1 END) AS neu_n,
+         first(n_excl) AS n_excl, first(n_qm) AS n_qm
+  FROM v3 GROUP BY conv_id, turn),
+h AS (
+  SELECT *, least(n_excl, {_S.EXCL_MAX}) * {_S.EXCL_STEP}
+            + (CASE WHEN n_qm > {_S.QM_MAX_SMALL} THEN {_S.QM_BIG} WHEN n_qm > 1 THEN n_qm * {_S.QM_STEP} ELSE 0.0 END) AS punct,
+         coalesce(s, 0.0) AS s0, coalesce(pos_sum, 0.0) AS p0, coalesce(neg_sum, 0.0) AS n0
+  FROM g),
+k AS (
+  SELECT *, CASE WHEN s0 > 0 THEN s0 + punct WHEN s0 < 0 THEN s0 - punct ELSE s0 END AS sa,
+         CASE WHEN p0 > abs(n0) THEN p0 + punct ELSE p0 END AS p2,
+         CASE WHEN p0 < abs(n0) THEN n0 - punct ELSE n0 END AS n2,
+         CAST(neu_n AS DOUBLE) AS neu
+  FROM h),
+m AS (SELECT *, p2 + abs(n2) + neu AS total FROM k)
+SELECT conv_id, turn,
+       CASE WHEN total > 0 THEN round(abs(n2 / total), 3) ELSE 0.0 END AS neg,
+       CASE WHEN total > 0 THEN round(abs(neu / total), 3) ELSE 0.0 END AS neu,
+       CASE WHEN total > 0 THEN round(abs(p2 / total), 3) ELSE 0.0 END AS pos,
+       CASE WHEN sa = 0 THEN 0.0 ELSE round(greatest(-1.0, least(1.0, sa / sqrt(sa * sa + 15.0))), 4) END AS compound
+FROM m""").replace("\n\n, t1 AS (", ",\nt1 AS (", 1)
