@@ -211,7 +211,7 @@ def q_dedupe_pages(spark, sf_dir):
     d = _docs(spark, sf_dir)
     items = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "title"))
     _, kept = PG.dedupe_pages(items, ["doc_id"], [F.col("doc_id")])
-    return kept.select("doc_id", F.size("titles").cast("bigint").alias("n_lines"))
+    return kept.select("doc_id", F.col("n").cast("bigint").alias("n_lines"))
 
 
 @register("dedupe_headline_lists")
