@@ -127,21 +127,42 @@ def _ac_flag(words_bc):
     return F.pandas_udf(has_any, T.BooleanType())
 
 
+def dictionary_plan(words: DataFrame, word_col: str = "word"):
+    """Decide how to match a dictionary, with at most two bounded collects:
+    ('empty', []), ('small', words) for <= SMALL_DICT words, ('automaton', words)
+    up to MAX_DICT_BROADCAST, else ('ngram', DataFrame)."""
+    w = words.select(F.col(word_col).alias("_w")).where(F.col("_w").isNotNull()).distinct()
+    first = [r[0] for r in w.limit(SMALL_DICT + 1).collect()]
+    if not first:
+        return "empty", []
+    if len(first) <= SMALL_DICT:
+        return "small", first
+    more = [r[0] for r in w.limit(MAX_DICT_BROADCAST + 1).collect()]
+    if len(more) <= MAX_DICT_BROADCAST:
+        return "automaton", more
+    return "ngram", w
+
+
 def contains_any(df: DataFrame, content_col: str, words: DataFrame, word_col: str = "word",
-                 out_col: str = "has_word") -> DataFrame:
+                 out_col: str = "has_word", plan=None) -> DataFrame:
     """Existence of any dictionary word as a case-sensitive substring of the
-    content. Strategy by a bounded count of the dictionary (all exact)."""
-    w = words.select(F.col(word_col).alias("_w")).where(F.col("_w").isNotNull()).distinct()
-    n = bounded_rows(w, MAX_DICT_BROADCAST)
-    if n is not None and n <= SMALL_DICT:
-        hit = w.where(F.col(content_col).outer().contains(F.col("_w"))).exists()
-        return df.withColumn(out_col, hit)
-    if n is not None:
-        spark = df.sparkSession
-        vals = [r[0] for r in w.collect()]  # bounded: n <= MAX_DICT_BROADCAST
-        bc = spark.sparkContext.broadcast(vals)
-        return df.withColumn(out_col, _ac_flag(bc)(F.col(content_col)))
-    return _contains_any_ngram(df, content_col, w, out_col)
+    content. Strategy by the dictionary's size (all exact): a small dictionary
+    is an OR of literal ``contains`` (codegen'd, no join); a larger one a
+    per-executor Aho-Corasick automaton over a broadcast word list; one too
+    large to broadcast an n-gram equi-join."""
+    kind, payload = plan or dictionary_plan(words, word_col)
+    c = F.col(content_col)
+    if kind == "empty":
+        return df.withColumn(out_col, F.lit(False))
+    if kind == "small":
+        hit = F.lit(False)
+        for wd in payload:
+            hit = hit | c.contains(wd)
+        return df.withColumn(out_col, F.coalesce(hit, F.lit(False)))
+    if kind == "automaton":
+        bc = df.sparkSession.sparkContext.broadcast(payload)  # bounded: <= MAX_DICT_BROADCAST
+        return df.withColumn(out_col, _ac_flag(bc)(c))
+    return _contains_any_ngram(df, content_col, payload, out_col)
 
 
 def _contains_any_ngram(df: DataFrame, content_col: str, w: DataFrame, out_col: str) -> DataFrame:
@@ -170,9 +191,10 @@ def keyword_override(df: DataFrame, label_col: str, content_col: str, words: Dat
     """Classifier label P -> N when any negative word is contained, else P;
     label N -> N when any is contained, else C. An empty dictionary leaves the
     label unchanged. Case-sensitive substring; the word's language is ignored."""
-    if words.select(word_col).limit(1).count() == 0:  # empty dictionary
+    plan = dictionary_plan(words, word_col)
+    if plan[0] == "empty":  # empty dictionary: labels unchanged
         return df.withColumn(out_col, F.col(label_col))
-    flagged = contains_any(df, content_col, words, word_col, "_has")
+    flagged = contains_any(df, content_col, words, word_col, "_has", plan=plan)
     lab = F.col(label_col)
     res = (F.when(F.col("_has"), F.lit("N"))
            .when(lab == "P", F.lit("P"))

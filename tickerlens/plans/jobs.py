@@ -18,7 +18,7 @@ from ..functions.text import keep_alnum_hangul, normalise_ws, section_after, tru
 from ..operators import features as FE
 from ..operators import linking, pages, quotes, sentiment, store, valuation
 from ..operators.usjob import extract_ticker
-from ..session import checkpoint_root, materialize
+from ..session import checkpoint_root, input_key, materialize
 
 FACT_COLUMNS = ["key_", "date_", "time_", "code_", "name_", "content_", "pn_", "ratio_",
                 "close_", "diff_", "open_", "high_", "low_", "volume_", "gpt_pn_", "report_"]
@@ -37,23 +37,6 @@ class BowModel:
     weights: DataFrame
 
 
-def _input_key(df: DataFrame, extra: str) -> str | None:
-    """Fingerprint of the files a plan reads (path, size, modification time)."""
-    import hashlib
-    spark = df.sparkSession
-    files = sorted(df.inputFiles())
-    if not files:
-        return None
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1(extra.encode())
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        h.update(f"{f}|{st.getLen()}|{st.getModificationTime()}".encode())
-    return h.hexdigest()[:16]
-
-
 def bow_model(corpus: DataFrame, cache: bool = True) -> BowModel:
     """Vocabulary (top 5000) and per-term weights from the labelled corpus.
 
@@ -62,7 +45,7 @@ def bow_model(corpus: DataFrame, cache: bool = True) -> BowModel:
     time) and the parameters; an unchanged corpus is read back, a changed one
     retrains."""
     if cache:
-        key = _input_key(corpus, f"bow|{FE.VOCAB_SIZE}|{FE.TOKEN_PATTERN}")
+        key = input_key(corpus, f"bow|{FE.VOCAB_SIZE}|{FE.TOKEN_PATTERN}")
         if key is not None:
             return _cached_model(corpus, key)
     return _train_bow(corpus)

@@ -297,8 +297,10 @@ def negative_words(spark, sf_dir):
     t = d.select("doc_id", "toxic", F.explode(F.array_distinct(FE.tokenise("text"))).alias("word"))
     g = t.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("tox"),
                               F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1)).alias("clean"))
-    return g.where((F.col("tox") >= 2) & (F.col("clean") == 0)).select(
+    words = g.where((F.col("tox") >= 2) & (F.col("clean") == 0)).select(
         F.col("word").alias("nag_word"), F.lit("en").alias("lang"))
+    from ..session import stored_once
+    return stored_once(words, "nag_word")  # a stored table, as the job reads it
 
 
 @register("keyword_override")

@@ -101,3 +101,36 @@ def spread_small(df: DataFrame, below_bytes: int = SPREAD_BELOW_BYTES) -> DataFr
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return spread_small(df) if name in TEXT_TABLES else df
+
+
+def input_key(df: DataFrame, extra: str) -> str | None:
+    """Fingerprint of the files a plan reads (path, size, modification time)."""
+    import hashlib
+    spark = df.sparkSession
+    files = sorted(df.inputFiles())
+    if not files:
+        return None
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1(extra.encode())
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        h.update(f"{f}|{st.getLen()}|{st.getModificationTime()}".encode())
+    return h.hexdigest()[:16]
+
+
+def stored_once(df: DataFrame, name: str, extra: str = "") -> DataFrame:
+    """A derived reference table (model, dictionary) written once under the
+    shared checkpoint folder, keyed by its input files and ``extra``; an
+    unchanged input is read back, a changed one is derived again."""
+    spark = df.sparkSession
+    key = input_key(df, f"{name}|{extra}")
+    if key is None:
+        return df
+    path = os.path.join(checkpoint_root(spark), "tickerlens", "tables", f"{name}-{key}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
