@@ -1,7 +1,7 @@
 """Oracle SQL (DuckDB) per registered query; keys match ``queries.QUERIES``."""
 from __future__ import annotations
 
-from .oracle import QUOTE_COLS, with_ctes
+from .oracle import with_ctes
 
 SQL: dict[str, str] = {}
 

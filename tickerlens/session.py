@@ -8,11 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Dimension tables (stock master, word lists, vocabulary, lexicon) are broadcast
-# only after an explicit bounded count proves they are at most this many rows.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "tickerlens", extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
@@ -20,6 +15,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # AQE coalesces shuffle output toward this size and splits partitions
+         # several times larger (skew); shuffle.partitions is only the upper bound
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
@@ -64,18 +62,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tickerlens", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None (stops early)."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only when a bounded count proves it small; else leave
-    the join strategy to Catalyst/AQE (shuffle hash or sort-merge)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
-
-
 # Tables whose rows carry long text (or are rendered into pages): per-row regex
 # work on them is CPU-bound, so a small input must still be spread over cores.
 TEXT_TABLES = {"documents", "pages", "conversations", "part", "events"}
