@@ -190,3 +190,17 @@ def filing_requests(docs: DataFrame, company_col: str, text_col: str, delimiter:
     body = truncate_words(keep_alnum_hangul(sec), n_words)
     head = F.format_string(FILING_PROMPT.replace("{company}", "%s"), F.col(company_col))
     return docs.withColumn("prompt", F.when(sec.isNotNull(), F.concat(head, body)))
+
+
+def run_ko_job(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
+               fact_root: str, detail_root: str) -> tuple[str, str]:
+    """The whole KO run as the job performs it: append the fact (K1, partitioned
+    by date_), append its detail rows (K2), then delete error reports from the
+    fact (K4) as a new store version. Each step commits on its own, so a failed
+    detail step leaves the fact stored. Returns (fact version, detail version)."""
+    spark = fact.sparkSession
+    fact = materialize(fact)  # written, and read again for the details
+    store.append(fact, fact_root, partition_by=["date_"])
+    store.append(details(fact, company_pages, rate_cells), detail_root)
+    purged = store.purge(spark, fact_root, fact.schema, ["date_"])
+    return purged, store.current_path(spark, detail_root)

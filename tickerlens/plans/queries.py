@@ -635,3 +635,13 @@ def q_lexicon_sentiment_modified(spark, sf_dir):
     lex = SE.lexicon_from_corpus(_corpus_tokens(spark, sf_dir))
     conv = read_table(spark, sf_dir, "conversations")
     return SE.lexicon_sentiment_modified(conv, ["conv_id", "turn"], "text", lex)
+
+
+@register("job_ko_stored")
+def q_job_ko_stored(spark, sf_dir):
+    """Q1 end to end: fact and details appended, error reports purged; the stored
+    fact after the run."""
+    fact = _job_ko(spark, sf_dir, True)
+    froot, droot = _store_dir(spark, "run_fact"), _store_dir(spark, "run_detail")
+    J.run_ko_job(fact, company_pages(spark, sf_dir), rate_cells(spark, sf_dir), froot, droot)
+    return ST.read_store(spark, froot, schema=fact.schema).select(*J.FACT_COLUMNS)

@@ -573,3 +573,5 @@ SELECT conv_id, turn,
        CASE WHEN total > 0 THEN round(abs(p2 / total), 3) ELSE 0.0 END AS pos,
        CASE WHEN sa = 0 THEN 0.0 ELSE round(greatest(-1.0, least(1.0, sa / sqrt(sa * sa + 15.0))), 4) END AS compound
 FROM m""").replace("\n\n, t1 AS (", ",\nt1 AS (", 1)
+
+SQL["job_ko_stored"] = ("SELECT * FROM (" + SQL["job_ko"] + f") j WHERE NOT coalesce(regexp_matches(report_, {_q(_ERR)}), false)")
