@@ -170,7 +170,8 @@ def job_us(articles: DataFrame, us_store: DataFrame, company_pages: DataFrame,
     a = a.withColumn("tokens", FE.tokenise("headline"))
     scores = sentiment.lexicon_sentiment(a, ["seq"], "tokens", lexicon)
     a = a.join(scores, "seq")
-    return a.select("ticker", "date_", F.lit(hh_mm).alias("time_"), "headline", "company_name",
+    # the US fact keeps the run date and time as YYYYMMDD / HHMM
+    return a.select("ticker", "date_", F.lit(hhmm).alias("time_"), "headline", "company_name",
                     F.col("report").alias("report_"), "neg", "neu", "pos", "compound")
 
 

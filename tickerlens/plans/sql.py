@@ -437,7 +437,7 @@ CTE["uarts"] = f"""uarts AS (
 DEPS["uarts"] = ["ustore"]
 SQL["job_us"] = with_ctes(["uarts", "lex"], f"""
 , uscores AS ({lex_scores_sql("uarts", "seq", "headline")})
-SELECT a.ticker, a.date_, '18:00' AS time_, a.headline, n.company_name,
+SELECT a.ticker, a.date_, '1800' AS time_, a.headline, n.company_name,
        coalesce(r.rep, '') AS report_, sc.neg, sc.neu, sc.pos, sc.compound
 FROM uarts a
 JOIN (SELECT 'T' || CAST(c_custkey % 1000 AS VARCHAR) AS ticker, min(c_name) AS company_name
