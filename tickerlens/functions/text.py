@@ -67,10 +67,6 @@ def ticker_of(col) -> Column:
     return F.regexp_extract(_c(col), r"\(([^)]*)", 1)
 
 
-def word_count(col) -> Column:
-    return F.size(F.filter(F.split(_c(col), WS_RUN), lambda w: w != ""))
-
-
 def truncate_words(col, n: int) -> Column:
     """P5: at most n whitespace words -> original string untouched; else the first
     n words joined by one space, with '...' attached."""
@@ -144,16 +140,6 @@ def parse_shares(col) -> Column:
     return py_strip(head).try_cast("bigint")
 
 
-def try_int_text(col) -> Column:
-    """Cell text -> bigint the way ``int(cell)`` would read a parsed number
-    (commas as thousands separators); null when unparsable."""
-    return F.trim(F.replace(_c(col), F.lit(","), F.lit(""))).try_cast("bigint")
-
-
-def try_float_text(col) -> Column:
-    return F.trim(F.replace(_c(col), F.lit(","), F.lit(""))).try_cast("double")
-
-
 def unescape_html(col) -> Column:
     """Decode the five predefined XML entities (what a DOM parser's ``.text`` does)."""
     c = _c(col)
