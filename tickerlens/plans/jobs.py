@@ -187,10 +187,13 @@ def filing_requests(docs: DataFrame, company_col: str, text_col: str, delimiter:
     """Q4: filing text -> normalised whitespace -> section after the delimiter ->
     letters/digits/Hangul only -> first ``n_words`` words -> prompt text. A
     filing without the delimiter gets no prompt (``prompt`` null, the error path)."""
-    sec = section_after(normalise_ws(F.col(text_col)), delimiter)
-    body = truncate_words(keep_alnum_hangul(sec), n_words)
+    # staged: each intermediate text is computed once and read by name
+    staged = (docs.withColumn("_sec", section_after(normalise_ws(F.col(text_col)), delimiter))
+              .withColumn("_kept", keep_alnum_hangul(F.col("_sec"))))
     head = F.format_string(FILING_PROMPT.replace("{company}", "%s"), F.col(company_col))
-    return docs.withColumn("prompt", F.when(sec.isNotNull(), F.concat(head, body)))
+    body = truncate_words(F.col("_kept"), n_words)
+    return (staged.withColumn("prompt", F.when(F.col("_sec").isNotNull(), F.concat(head, body)))
+            .drop("_sec", "_kept"))
 
 
 def run_ko_job(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
