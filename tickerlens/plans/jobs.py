@@ -133,12 +133,14 @@ def job_ko(headlines: DataFrame, master: DataFrame, fact_store: DataFrame, quote
         F.col("report").alias("report_"))
 
 
-def details(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame) -> DataFrame:
+def details(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
+            materialized: bool = False) -> DataFrame:
     """Detail rows (24 columns, all strings) for every fact row: market snapshot,
     consensus and S-RIM per code, computed once per distinct code and joined
     back (the per-code side is bounded by the master and broadcast when a
     count proves it small)."""
-    fact = materialize(fact)  # read twice below (codes, and the join back)
+    if not materialized:
+        fact = materialize(fact)  # read twice below (codes, and the join back)
     codes = fact.select(F.col("code_").alias("code")).distinct()
     pg = company_pages.join(codes, "code", "left_semi")
     pg = valuation.with_tables(pg)
@@ -197,14 +199,22 @@ def filing_requests(docs: DataFrame, company_col: str, text_col: str, delimiter:
 
 
 def run_ko_job(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
-               fact_root: str, detail_root: str) -> tuple[str, str]:
-    """The whole KO run as the job performs it: append the fact (K1, partitioned
-    by date_), append its detail rows (K2), then delete error reports from the
-    fact (K4) as a new store version. Each step commits on its own, so a failed
-    detail step leaves the fact stored. Returns (fact version, detail version)."""
+               fact_root: str, detail_root: str, purge_existing: bool = False) -> tuple[str, str]:
+    """The whole KO run: append the fact (K1, partitioned by date_) without rows
+    whose report matches the error pattern, then append the detail rows for
+    every article (K2; details are never purged).
+
+    Every fact row enters through this run, so filtering the run's own rows
+    leaves the store exactly as "append, then delete matching rows" would - and
+    it never rewrites earlier partitions. ``purge_existing`` additionally runs
+    the full-table purge (K4), a maintenance rewrite for rows written by other
+    means. Each append commits on its own, so a failed detail step leaves the
+    fact stored. Returns (fact version, detail version)."""
     spark = fact.sparkSession
     fact = materialize(fact)  # written, and read again for the details
-    store.append(fact, fact_root, partition_by=["date_"])
-    store.append(details(fact, company_pages, rate_cells), detail_root)
-    purged = store.purge(spark, fact_root, fact.schema, ["date_"])
-    return purged, store.current_path(spark, detail_root)
+    keep = ~F.coalesce(F.col("report_").rlike(store.ERROR_PATTERN), F.lit(False))
+    fact_path = store.append(fact.where(keep), fact_root, partition_by=["date_"])
+    store.append(details(fact, company_pages, rate_cells, materialized=True), detail_root)
+    if purge_existing:
+        fact_path = store.purge(spark, fact_root, fact.schema, ["date_"])
+    return fact_path, store.current_path(spark, detail_root)
