@@ -16,3 +16,9 @@ def test_summary_request_drops_token(spark):
     df = spark.createDataFrame([("Acme", "동사는 제조", "성장")], "n string, o string, s string")
     r = df.select(EN.summary_request(F.col("n"), F.col("o"), F.col("s")).alias("p")).collect()[0].p
     assert "동사는" not in r and r.startswith("Please summarize") and "기업명 : Acme" in r
+
+
+def test_ship_package(spark):
+    from tickerlens.session import ship_package
+    path = ship_package(spark)
+    assert path.endswith(".zip")

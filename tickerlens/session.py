@@ -120,3 +120,16 @@ def stored_once(df: DataFrame, name: str, extra: str = "") -> DataFrame:
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Make ``tickerlens`` importable on executors (the pandas-UDF and
+    mapInPandas paths run package code there): zip the package into the shared
+    checkpoint folder and register it with ``addPyFile``. Not needed when the
+    package is installed on the cluster image or passed with --py-files."""
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(checkpoint_root(spark).replace("file:", ""), "tickerlens-pkg-" + uuid.uuid4().hex[:8])
+    archive = shutil.make_archive(target, "zip", os.path.dirname(pkg_dir), os.path.basename(pkg_dir))
+    spark.sparkContext.addPyFile(archive)
+    return archive
