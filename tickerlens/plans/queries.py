@@ -397,8 +397,8 @@ def q_cell_lookup(spark, sf_dir):
 
 @register("filing_index_pick")
 def q_filing_index_pick(spark, sf_dir):
-    """First order row (by key) per customer with > 3 cells and 'URGENT'
-    in cell 0; link from cell 1 with a prefix and 'ix?doc=/' removed."""
+    """S10/W4, first rule: first order row (by key) per customer with > 3 cells
+    and 'URGENT' in cell 0; link from cell 1 with a prefix."""
     o = read_table(spark, sf_dir, "orders")
     cells = F.array_compact(F.array(
         F.col("o_orderpriority"),
@@ -411,6 +411,26 @@ def q_filing_index_pick(spark, sf_dir):
     return H.pick_first(long, 3, 0, "URGENT", 1, prefix="https://www.sec.gov")
 
 
+@register("filing_doc_pick")
+def q_filing_doc_pick(spark, sf_dir):
+    """S10, second rule: first row with > 1 cells and 'URGENT' in cell 1; link
+    from cell 2 with a prefix and 'ix?doc=/' removed."""
+    o = read_table(spark, sf_dir, "orders")
+    cells = F.array_compact(F.array(
+        F.col("o_orderkey").cast("string"), F.col("o_orderpriority"),
+        F.when(F.col("o_orderstatus") != "P",
+               F.concat(F.lit("/ix?doc=/Archives/"), F.col("o_orderkey").cast("string"), F.lit(".htm")))))
+    long = o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("row_no"),
+                    F.posexplode(cells).alias("col_no", "cell"))
+    return H.pick_first(long, 1, 1, "URGENT", 2, prefix="https://www.sec.gov", drop="ix?doc=/")
+
+
+@register("stock_master")
+def q_stock_master(spark, sf_dir):
+    """Listing -> name and six-digit code (never truncated)."""
+    return A.master(spark, sf_dir).select("name", "code")
+
+
 def _detail_pages(spark, sf_dir):
     return V.with_tables(company_pages(spark, sf_dir))
 

@@ -276,7 +276,7 @@ SQL["html_table_scan"] = " UNION ALL ".join(
 SQL["cell_lookup"] = ("SELECT p_partkey AS page_id, " + ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}" for c in CP.LISTING_COLS[1:]) + ", CAST(p_size AS VARCHAR) AS size_by_index FROM part")
 SQL["filing_index_pick"] = """
-SELECT o_custkey AS page_id, replace('https://www.sec.gov' || arg_min(link, o_orderkey), 'ix?doc=/', '') AS link
+SELECT o_custkey AS page_id, 'https://www.sec.gov' || arg_min(link, o_orderkey) AS link
 FROM (SELECT o_custkey, o_orderkey, o_orderpriority,
              '/Archives/ix?doc=/' || CAST(o_orderkey AS VARCHAR) || '.htm' AS link,
              3 + (CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END)
@@ -575,3 +575,16 @@ SELECT conv_id, turn,
 FROM m""").replace("\n\n, t1 AS (", ",\nt1 AS (", 1)
 
 SQL["job_ko_stored"] = ("SELECT * FROM (" + SQL["job_ko"] + f") j WHERE NOT coalesce(regexp_matches(report_, {_q(_ERR)}), false)")
+
+SQL["filing_doc_pick"] = """
+SELECT page_id, replace('https://www.sec.gov' || first_row.link, 'ix?doc=/', '') AS link
+FROM (
+  SELECT o_custkey AS page_id, arg_min(struct_pack(link := link), o_orderkey) AS first_row
+  FROM (SELECT o_custkey, o_orderkey, o_orderpriority,
+               CASE WHEN o_orderstatus <> 'P'
+                    THEN '/ix?doc=/Archives/' || CAST(o_orderkey AS VARCHAR) || '.htm' END AS link,
+               2 + (CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END) AS n_cells
+        FROM orders)
+  WHERE n_cells > 1 AND contains(o_orderpriority, 'URGENT')
+  GROUP BY o_custkey)"""
+SQL["stock_master"] = with_ctes(["master"], "SELECT name, code FROM master")

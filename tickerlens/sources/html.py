@@ -144,7 +144,7 @@ def cells_to_fields(cells: DataFrame, spec: dict, id_col: str = "page_id") -> Da
 
 
 def pick_first(cells: DataFrame, min_cells: int, needle_col: int, needle: str,
-               link_col: int, prefix: str = "", drop: str = "ix?doc=/",
+               link_col: int, prefix: str = "", drop: str | None = None,
                id_col: str = "page_id", row_col: str = "row_no") -> DataFrame:
     """In each page's index table, the first row (by row number) having more
     than ``min_cells`` cells and ``needle`` inside cell ``needle_col``; returns
@@ -155,6 +155,8 @@ def pick_first(cells: DataFrame, min_cells: int, needle_col: int, needle: str,
                     F.max(F.when(F.col("col_no") == needle_col, F.col("cell"))).alias("needle_cell"),
                     F.max(F.when(F.col("col_no") == link_col, F.col("cell"))).alias("link_cell")))
     hit = per_row.filter((F.col("n_cells") > min_cells) & F.col("needle_cell").contains(needle))
+    link = F.concat(F.lit(prefix), F.col("link"))
+    if drop:
+        link = F.replace(link, F.lit(drop), F.lit(""))
     return (hit.groupBy(id_col).agg(F.min_by("link_cell", row_col).alias("link"))
-            .select(id_col, F.replace(F.concat(F.lit(prefix), F.col("link")), F.lit(drop), F.lit(""))
-                    .alias("link")))
+            .select(id_col, link.alias("link")))
