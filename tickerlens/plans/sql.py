@@ -588,3 +588,23 @@ FROM (
   WHERE n_cells > 1 AND contains(o_orderpriority, 'URGENT')
   GROUP BY o_custkey)"""
 SQL["stock_master"] = with_ctes(["master"], "SELECT name, code FROM master")
+
+# --- P16 without look-behind: test every position, then cut ------------------
+_W = r"[\p{L}\p{Mn}\p{Mc}\p{Me}\p{Nd}\p{Pc}]"
+_ch = "substr(text, {}, 1)"
+_split_at = (f"regexp_matches({_ch.format('i')}, {_q('[' + WS + ']')}) AND i >= 2 "
+             f"AND {_ch.format('i - 1')} IN ('.', '?') "
+             f"AND NOT (i >= 5 AND regexp_matches({_ch.format('i - 4')}, {_q(_W)}) AND {_ch.format('i - 3')} = '.' "
+             f"AND regexp_matches({_ch.format('i - 2')}, {_q(_W)}) AND {_ch.format('i - 1')} <> chr(10)) "
+             f"AND NOT (i >= 4 AND regexp_matches({_ch.format('i - 3')}, '[A-Z]') "
+             f"AND regexp_matches({_ch.format('i - 2')}, '[a-z]') AND {_ch.format('i - 1')} = '.')")
+SQL["sentences_split"] = f"""
+SELECT conv_id, turn, CAST(k - 1 AS BIGINT) AS pos,
+       substr(text, CASE WHEN k = 1 THEN 1 ELSE cuts[k - 1] + 1 END,
+              (CASE WHEN k = len(cuts) + 1 THEN length(text) + 1 ELSE cuts[k] END)
+              - (CASE WHEN k = 1 THEN 1 ELSE cuts[k - 1] + 1 END)) AS sentence
+FROM (
+  SELECT conv_id, turn, text, cuts, unnest(range(1, len(cuts) + 2)) AS k
+  FROM (SELECT conv_id, turn, text,
+               list_filter(range(1, length(text) + 1), lambda i: {_split_at}) AS cuts
+        FROM conversations))"""
