@@ -133,9 +133,12 @@ def fmt_float(col) -> Column:
     shortest round-trip representation (Python ``format(x, ',')`` for |x| < 1e16).
     The double goes through its shortest string and an exact decimal, so no
     digit is invented or lost by binary formatting."""
-    exact = _c(col).cast("double").cast("string").try_cast("decimal(38,17)")
+    shortest = _c(col).cast("double").cast("string")
+    exact = shortest.try_cast("decimal(38,17)")
     # format_number on a decimal is exact; then drop trailing zeros, keep one decimal.
-    return F.regexp_replace(F.format_number(exact, 17), r"(\.\d*?[0-9])0+$", "$1")
+    out = F.regexp_replace(F.format_number(exact, 17), r"(\.\d*?[0-9])0+$", "$1")
+    # a decimal has no negative zero; Python prints -0.0
+    return F.when(shortest.startswith("-") & (exact == 0), F.concat(F.lit("-"), out)).otherwise(out)
 
 
 def parse_shares(col) -> Column:

@@ -666,3 +666,12 @@ def q_job_ko_stored(spark, sf_dir):
     froot, droot = _store_dir(spark, "run_fact"), _store_dir(spark, "run_detail")
     J.run_ko_job(fact, company_pages(spark, sf_dir), rate_cells(spark, sf_dir), froot, droot)
     return ST.read_store(spark, froot, schema=fact.schema).select(*J.FACT_COLUMNS)
+
+
+@register("format_floats")
+def q_format_floats(spark, sf_dir):
+    """P17 floats: thousands separators with the shortest round-trip digits."""
+    li = read_table(spark, sf_dir, "lineitem")
+    v = F.col("l_extendedprice") * (1 + F.col("l_tax")) * 1000
+    return li.select("l_extendedprice", "l_tax", T.fmt_float(v).alias("value_text"),
+                     T.fmt_float(-F.col("l_discount")).alias("discount_text"))

@@ -608,3 +608,8 @@ FROM (
   FROM (SELECT conv_id, turn, text,
                list_filter(range(1, length(text) + 1), lambda i: {_split_at}) AS cuts
         FROM conversations))"""
+
+SQL["format_floats"] = """
+SELECT l_extendedprice, l_tax, format('{:,}', l_extendedprice * (1 + l_tax) * 1000) AS value_text,
+       format('{:,}', -l_discount) AS discount_text
+FROM lineitem"""

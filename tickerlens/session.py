@@ -62,9 +62,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tickerlens", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-# Tables whose rows carry long text (or are rendered into pages): per-row regex
-# work on them is CPU-bound, so a small input must still be spread over cores.
-TEXT_TABLES = {"documents", "pages", "conversations", "part", "events"}
+# Inputs below this estimated size may arrive in fewer splits than there are
+# cores (a small file is often a single row group); they are spread first.
 SPREAD_BELOW_BYTES = 1 << 30
 
 
@@ -86,7 +85,7 @@ def spread_small(df: DataFrame, below_bytes: int = SPREAD_BELOW_BYTES) -> DataFr
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small(df) if name in TEXT_TABLES else df
+    return spread_small(df)
 
 
 def input_key(df: DataFrame, extra: str) -> str | None:
