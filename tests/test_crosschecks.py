@@ -46,3 +46,12 @@ def test_run_ko_job_store_equals_append_then_purge(spark):
     ra = ST.read_store(spark, a, schema=fact.schema)
     rb = ST.read_store(spark, b, schema=fact.schema)
     assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+
+
+def test_job_ko_legacy_carry_adds_carried_rows(spark):
+    from tickerlens.plans import jobs as J
+    h, m, st, q = A.headlines(spark, SF), A.master(spark, SF), A.store(spark, SF), A.quotes(spark, SF)
+    plain = J.job_ko(h, m, st, q, None, None, quote_tiebreak=A.QUOTE_TIEBREAK)
+    legacy = J.job_ko(h, m, st, q, None, None, quote_tiebreak=A.QUOTE_TIEBREAK, legacy_carry=True)
+    assert plain.exceptAll(legacy).count() == 0
+    assert legacy.count() > plain.count()
