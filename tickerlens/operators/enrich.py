@@ -63,6 +63,8 @@ def batch_enrich(df: DataFrame, fn: Callable[[str], str], in_col: str, out_col:
                  fallback_col: str | None = None, fallback_value: str | None = None) -> DataFrame:
     """``out_col = fn(in_col)`` per row, on Arrow batches; a row whose call
     raises gets ``fallback_col`` (or ``fallback_value``)."""
+    from ..session import ensure_shipped
+    ensure_shipped(df.sparkSession)  # ``run`` executes in Python workers
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType(), True)])
     fb_name = fallback_col
 

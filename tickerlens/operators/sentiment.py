@@ -159,6 +159,8 @@ def contains_any(df: DataFrame, content_col: str, words: DataFrame, word_col: st
             hit = hit | c.contains(wd)
         return df.withColumn(out_col, F.coalesce(hit, F.lit(False)))
     if kind == "automaton":
+        from ..session import ensure_shipped
+        ensure_shipped(df.sparkSession)  # the UDF runs package code in Python workers
         bc = df.sparkSession.sparkContext.broadcast(payload)  # bounded: <= MAX_DICT_BROADCAST
         return df.withColumn(out_col, _ac_flag(bc)(c))
     return _contains_any_ngram(df, content_col, payload, out_col)

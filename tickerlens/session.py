@@ -132,3 +132,15 @@ def ship_package(spark: SparkSession) -> str:
     archive = shutil.make_archive(target, "zip", os.path.dirname(pkg_dir), os.path.basename(pkg_dir))
     spark.sparkContext.addPyFile(archive)
     return archive
+
+
+_SHIPPED: set = set()
+
+
+def ensure_shipped(spark: SparkSession) -> None:
+    """Ship the package once per application before a Python-worker path runs
+    (a no-op when it is already importable there, e.g. installed on the image)."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        ship_package(spark)
+        _SHIPPED.add(app)
