@@ -123,15 +123,30 @@ def stored_once(df: DataFrame, name: str, extra: str = "") -> DataFrame:
 
 def ship_package(spark: SparkSession) -> str:
     """Make ``tickerlens`` importable on executors (the pandas-UDF and
-    mapInPandas paths run package code there): zip the package into the shared
-    checkpoint folder and register it with ``addPyFile``. Not needed when the
+    mapInPandas paths run package code there): zip the package in memory, write
+    it into the shared checkpoint folder through the Hadoop FileSystem API (so a
+    cluster URI works), and register it with ``addPyFile``. Not needed when the
     package is installed on the cluster image or passed with --py-files."""
-    import shutil
+    import io
+    import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(checkpoint_root(spark).replace("file:", ""), "tickerlens-pkg-" + uuid.uuid4().hex[:8])
-    archive = shutil.make_archive(target, "zip", os.path.dirname(pkg_dir), os.path.basename(pkg_dir))
-    spark.sparkContext.addPyFile(archive)
-    return archive
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    target = os.path.join(checkpoint_root(spark), "tickerlens", f"pkg-{uuid.uuid4().hex[:8]}.zip")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(target)
+    return target
 
 
 _SHIPPED: set = set()
