@@ -41,6 +41,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tickerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():
