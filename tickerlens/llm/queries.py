@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickerlens.llm import token_store
+from tickerlens.llm import mixing, token_store, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,8 +15,46 @@ def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256)
+    return topk.exact_topk(vectors, F.pmod(F.col("vec_id"), F.lit(50)) == 0, 5)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.record_digests(table(spark, sf_dir, "pages"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(table(spark, sf_dir, "documents"))
+            .select("doc_id", "source", "size", "source_size", "target", "taken"))
+
+
 QUERIES = {
     "op1_token_binary": op1_token_binary,
+    "op2_exact_topk": op2_exact_topk,
+    "op5_warc": op5_warc,
+    "op9_mixing": op9_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_exact_topk": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+        FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 5""",
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first_id FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND first_id < page_id THEN first_id END AS refers_to
+        FROM f""",
+}
