@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import mixing, token_store, topk, warc
+from tickerlens.llm import decontam, mixing, token_store, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(table(spark, sf_dir, "pages"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("matches")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(table(spark, sf_dir, "documents"))
             .select("doc_id", "source", "size", "source_size", "target", "taken"))
@@ -33,6 +37,7 @@ QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_exact_topk": op2_exact_topk,
     "op5_warc": op5_warc,
+    "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
 }
 
@@ -57,4 +62,30 @@ SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND first_id < page_id THEN first_id END AS refers_to
         FROM f""",
+    "op8_decontamination": r"""
+        WITH dw AS (
+          SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+        bw AS (
+          SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+        win AS (
+          SELECT DISTINCT item_id, least(13, len(w)) AS n,
+                 array_to_string(list_slice(w, s, s + least(13, len(w)) - 1), ' ') AS k
+          FROM bw, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS u(s) WHERE len(w) > 0),
+        occ AS (
+          SELECT DISTINCT d.doc_id, d.s, d.n, win.item_id
+          FROM (SELECT doc_id, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS k
+                FROM dw, (SELECT DISTINCT n FROM win) AS l, unnest(range(1, len(w) - n + 2)) AS u(s)) AS d
+          JOIN win ON win.n = d.n AND win.k = d.k),
+        hit AS (
+          SELECT doc_id, count(DISTINCT p) AS n_hit FROM occ, unnest(range(s, s + n)) AS u(p) GROUP BY doc_id),
+        items AS (
+          SELECT doc_id, count(*) AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS items_sha256
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM occ) GROUP BY doc_id)
+        SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
