@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.session import scratch_path
+from tickerlens.llm.tables import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 1024
@@ -33,12 +33,6 @@ MIN_SLOTS = 20_000  # a small corpus has smaller blocks, so that the schedule st
 GOLDEN = (math.sqrt(5) - 1) / 2
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _bucket_rows(n: int) -> int:
     return max(64, 2 * math.isqrt(n))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import decontam, mixing, token_store, topk, warc
+from tickerlens.llm import decontam, mixing, neardup, token_store, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, F.pmod(F.col("vec_id"), F.lit(50)) == 0, 5)
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(table(spark, sf_dir, "pages"))
 
@@ -36,6 +40,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_exact_topk": op2_exact_topk,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_warc": op5_warc,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,

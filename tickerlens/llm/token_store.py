@@ -43,8 +43,9 @@ class PieceEncoder:
     The pre-tokenizer of byte-level BPE always starts a token at a space that stands between
     two other non-space characters, and around a lone line break. Cutting there gives pieces
     whose ids, joined, are the ids of the whole text, so a piece seen before is not encoded
-    again. Texts with other white space (runs, tabs, NUL, breaks at either end) are encoded
-    as they are, by the library in one call.
+    again. A final full stop or comma after a Latin letter is a token of its own, so such a
+    piece takes the ids of the word without it. Texts with other white space (runs, tabs, NUL,
+    breaks at either end) are encoded as they are, by the library in one call.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -62,50 +63,55 @@ class PieceEncoder:
 
     @staticmethod
     def pieces(text: str) -> list[str] | None:
-        """None if the text has white space other than lone spaces and line breaks."""
-        if "\0" in text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
-            return None
-        if text[:1].isspace() or text[-1:].isspace() or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        """None if spaces or line breaks of the text don't stand alone; other white space is
+        found in the pieces that hold it."""
+        if "\0" in text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
             return None
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of pieces not met before, joined by line breaks so one call encodes many."""
-        known = self.known
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
+    def _encode(self, words: list[str]) -> None:
+        """Ids of words without white space inside, joined by line breaks so one call encodes many."""
         i = 0
-        while i < len(new):
+        while i < len(words):
             j, size = i, 0
-            while j < len(new) and size < ENCODE_CHARS:
-                size += len(new[j]) + 1
+            while j < len(words) and size < ENCODE_CHARS:
+                size += len(words[j]) + 1
                 j += 1
-            part = new[i:j]
+            part = words[i:j]
             ids = np.array(self.tok.encode("\n".join(part), add_special_tokens=False).ids, dtype=self.dtype)
             cuts = np.flatnonzero(ids == self.brk)
             if len(cuts) == len(part) - 1:
-                lo = np.concatenate([[0], cuts + 1]).tolist()
-                hi = np.concatenate([cuts, [len(ids)]]).tolist()
-                known.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, lo, hi))
-            else:  # a piece that itself holds the break's id
-                known.update((w, self.whole(w)) for w in part)
+                width, blob = self.dtype.itemsize, ids.tobytes()
+                lo = [0, *((cuts + 1) * width).tolist()]
+                hi = [*(cuts * width).tolist(), len(blob)]
+                self.known.update((w, blob[a:b]) for w, a, b in zip(part, lo, hi))
+            else:  # a word that itself holds the break's id
+                self.known.update((w, self.whole(w)) for w in part)
             i = j
 
+    def learn(self, new: set[str]) -> set[str]:
+        """Remembers the ids of new pieces; returns those with white space inside, which it can't."""
+        odd = {w for w in new if len(w.split()) != 1}
+        plain = new - odd
+        marked = [w for w in plain if w[-1] in ".," and len(w) > 1 and w[-2] <= "\u00ff" and w[-2].isalpha()]
+        wanted = (plain.difference(marked) | {w[:-1] for w in marked} | {".", ","}).difference(self.known)
+        self._encode(sorted(wanted))
+        known = self.known
+        known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
+        return odd
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of the file's integer type."""
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known = self.known
+        known["\n"] = np.array([self.brk or 0], dtype=self.dtype).tobytes()
         cut = [self.pieces(t) if t and self.brk is not None else None for t in texts]
-        self.known.setdefault("\n", np.array([self.brk or 0], dtype=self.dtype).tobytes())
-        seen: set[str] = set()
-        for p in cut:
-            if p is not None:
-                seen.update(p)
-        new = [w for w in seen if w not in self.known]
-        if new:
-            kept = {w: self.known[w] for w in seen if w in self.known} if len(self.known) + len(new) > CACHE_WORDS else {}
-            self._learn(new)
-            self.known.update(kept)
-            self.known.setdefault("\n", np.array([self.brk or 0], dtype=self.dtype).tobytes())
-        get = self.known.__getitem__
+        new = {w for p in cut if p is not None for w in p if w not in known}
+        odd = self.learn(new) if new else ()
+        if odd:
+            cut = [p if p is None or odd.isdisjoint(p) else None for p in cut]
+        get = known.__getitem__
         return [b"" if not t else b"".join(map(get, p)) if p is not None else self.whole(t)
                 for t, p in zip(texts, cut)]
 
