@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import decontam, mixing, neardup, token_store, topk, warc
+from tickerlens.llm import decontam, langid, mixing, neardup, pii, token_store, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,20 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(table(spark, sf_dir, "pages"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over web pages, with the markup, address and host evidence they have."""
+    model = langid.fit(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return langid.identify_pages(table(spark, sf_dir, "pages"), model)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("matches")
 
@@ -42,8 +56,11 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_warc": op5_warc,
+    "op7_language_id": op7_language_id,
+    "language_id_pages": language_id_pages,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {
