@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import decontam, langid, mixing, neardup, pii, token_store, topk, warc
+from tickerlens.llm import decontam, langid, mixing, neardup, pii, substrings, token_store, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(table(spark, sf_dir, "pages"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated(table(spark, sf_dir, "documents")).drop("removed_from", "removed_to")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_warc": op5_warc,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
     "language_id_pages": language_id_pages,
     "op8_decontamination": op8_decontamination,
