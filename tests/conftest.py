@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from tickerlens.session import build_session
     ckpt = tempfile.mkdtemp(prefix="tickerlens-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    s = build_session("local[4]", extra={"spark.checkpoint.dir": ckpt, "spark.sql.shuffle.partitions": "8"})
     yield s
     s.stop()
 

@@ -20,14 +20,16 @@ def test_keyword_override_branches(spark, labelled):
     assert got == {1: "P", 2: "P", 3: "N", 4: "N", 5: "P"}
 
 
-def test_contains_strategies_agree(spark, labelled, monkeypatch):
-    words = spark.createDataFrame([("하락",), ("보",), ("xyz",)], "word string")
-    small = {r.id: r.has_word for r in SE.contains_any(labelled, "content", words).collect()}
-    monkeypatch.setattr(SE, "SMALL_DICT", 0)
-    ac = {r.id: r.has_word for r in SE.contains_any(labelled, "content", words).collect()}
-    w = words.select(F.col("word").alias("_w"))
-    ngram = {r.id: r.has_word for r in SE._contains_any_ngram(labelled, "content", w, "has_word").collect()}
-    assert small == ac == ngram == {1: True, 2: False, 3: True, 4: True, 5: False}
+@pytest.mark.parametrize("n", [0, 10, 100, 10_000])
+@pytest.mark.parametrize("empty_word", [False, True])
+def test_contains_any_is_the_same_at_every_dictionary_size(spark, n, empty_word):
+    texts = ["주가 하락 우려", "상승", "xw42y", "w9", "", None, "a" * 5000 + "zebra crossing", "z" * 4095 + "ebra", "ab\ncd"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+    own = ["하락", "ebra", "b\nc", "w42", "zz"] + ([""] if empty_word else [])
+    fill = [f"#{i}" for i in range(n)]
+    words = spark.createDataFrame([(w,) for w in own + fill] + [(None,)], "word string")
+    got = {r.id: r.has_word for r in SE.contains_any(df, "content", words).collect()}
+    assert got == {i: t is not None and any(w in t for w in own + fill) for i, t in enumerate(texts)}
 
 
 def test_lexicon_compound_published_values(spark):

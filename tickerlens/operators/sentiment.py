@@ -1,10 +1,8 @@
 """Sentiment scoring (A7 lexicon, A8 bag-of-words score, A9 training, J7 override)."""
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 # ---------------------------------------------------------------------------
@@ -14,25 +12,21 @@ from pyspark.sql import types as T
 COMPOUND_ALPHA = 15.0
 # Classifier decision: score strictly greater than this -> P.
 DECISION_THRESHOLD = 0.5
-# Keyword override: dictionaries up to this size are matched inside the JVM
-# (broadcast existence join); larger ones through a per-executor Aho-Corasick
-# automaton; beyond MAX_DICT_BROADCAST through an exact character n-gram join.
-SMALL_DICT = 64
-MAX_DICT_BROADCAST = 500_000
+# Keyword override: contents and words meet on this many first characters.
+GRAM = 4
+BLOCK_CHARS = 4096  # contents are cut into grams in blocks of this many characters
 # ---------------------------------------------------------------------------
 
 
 def lexicon_from_corpus(docs: DataFrame, id_col: str = "id", label_col: str = "label",
-                        tokens_col: str = "tokens", min_df: int = 3) -> DataFrame:
+                        tokens_col: str = "tokens") -> DataFrame:
     """A derived lexicon (word, valence in tenths): valence = floor(40 (p-n)/(p+n)) / 10
-    where p / n are the numbers of positive / negative documents holding the
-    word; words in fewer than ``min_df`` documents are left out."""
+    where p / n are the numbers of positive / negative documents holding the word."""
     dt = docs.select(id_col, label_col, F.explode(F.array_distinct(tokens_col)).alias("word"))
     g = dt.groupBy("word").agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("p"),
                                F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).alias("n"))
     tenths = F.floor(F.lit(40) * (F.col("p") - F.col("n")) / (F.col("p") + F.col("n")))
-    return g.where((F.col("p") + F.col("n")) >= min_df).select(
-        "word", tenths.cast("bigint").alias("tenths"))
+    return g.select("word", tenths.cast("bigint").alias("tenths"))
 
 
 def lexicon_sentiment(df: DataFrame, id_cols: list[str], tokens_col: str,
@@ -99,92 +93,43 @@ def bow_score(docs: DataFrame, tf: DataFrame, weights: DataFrame, id_col: str =
 
 # --- J7 keyword override -----------------------------------------------------
 
-_AUTOMATA: dict = {}  # per Python worker: dictionary key -> automaton
-
-
-def _ac_flag(words_bc):
-    import uuid
-    key = uuid.uuid4().hex  # identifies this dictionary in the worker cache
-
-    def has_any(texts: pd.Series) -> pd.Series:
-        auto = _AUTOMATA.get(key)
-        if auto is None:
-            import ahocorasick
-            auto = ahocorasick.Automaton()
-            for w in words_bc.value:
-                auto.add_word(w, w)
-            auto.make_automaton()
-            _AUTOMATA[key] = auto
-
-        def one(t):
-            if t is None:
-                return False
-            for _ in auto.iter(t):
-                return True
-            return False
-        return texts.map(one).astype(bool)
-    return F.pandas_udf(has_any, T.BooleanType())
-
-
-def dictionary_plan(words: DataFrame, word_col: str = "word"):
-    """Decide how to match a dictionary, with at most two bounded collects:
-    ('empty', []), ('small', words) for <= SMALL_DICT words, ('automaton', words)
-    up to MAX_DICT_BROADCAST, else ('ngram', DataFrame)."""
-    w = words.select(F.col(word_col).alias("_w")).where(F.col("_w").isNotNull()).distinct()
-    first = [r[0] for r in w.limit(SMALL_DICT + 1).collect()]
-    if not first:
-        return "empty", []
-    if len(first) <= SMALL_DICT:
-        return "small", first
-    more = [r[0] for r in w.limit(MAX_DICT_BROADCAST + 1).collect()]
-    if len(more) <= MAX_DICT_BROADCAST:
-        return "automaton", more
-    return "ngram", w
+def _grams(content) -> "F.Column":
+    """array(block) of the distinct runs of 1..GRAM characters that start in the block."""
+    blocks = F.regexp_extract_all(content, F.lit(rf"(?s).{{1,{BLOCK_CHARS}}}"), 0)
+    return F.transform(blocks, lambda b, i: F.concat(
+        b, F.coalesce(F.substring(F.get(blocks, i + 1), 1, GRAM - 1), F.lit(""))))
 
 
 def contains_any(df: DataFrame, content_col: str, words: DataFrame, word_col: str = "word",
-                 out_col: str = "has_word", plan=None) -> DataFrame:
-    """Existence of any dictionary word as a case-sensitive substring of the
-    content. Strategy by the dictionary's size (all exact): a small dictionary
-    is an OR of literal ``contains`` (codegen'd, no join); a larger one a
-    per-executor Aho-Corasick automaton over a broadcast word list; one too
-    large to broadcast an n-gram equi-join."""
-    kind, payload = plan or dictionary_plan(words, word_col)
+                 out_col: str = "has_word") -> DataFrame:
+    """Existence of any dictionary word as a case-sensitive substring of the content, one
+    exact plan for every dictionary size.
+
+    The distinct runs of up to GRAM characters of each content, keyed by the content's
+    128-bit hash, are equi-joined with the words' first GRAM characters; only for the pairs
+    found is the text joined back by its hash and searched for the whole word. Nothing is
+    collected, and no text is copied per run. An empty word is in every non-null content."""
+    w = words.select(F.col(word_col).alias("_w")).where(F.col("_w").isNotNull()).distinct()
     c = F.col(content_col)
-    if kind == "empty":
-        return df.withColumn(out_col, F.lit(False))
-    if kind == "small":
-        hit = F.lit(False)
-        for wd in payload:
-            hit = hit | c.contains(wd)
-        return df.withColumn(out_col, F.coalesce(hit, F.lit(False)))
-    if kind == "automaton":
-        from ..session import ensure_shipped
-        ensure_shipped(df.sparkSession)  # the UDF runs package code in Python workers
-        bc = df.sparkSession.sparkContext.broadcast(payload)  # bounded: <= MAX_DICT_BROADCAST
-        return df.withColumn(out_col, _ac_flag(bc)(c))
-    return _contains_any_ngram(df, content_col, payload, out_col)
-
-
-def _contains_any_ngram(df: DataFrame, content_col: str, w: DataFrame, out_col: str) -> DataFrame:
-    """Exact fallback for dictionaries too large to broadcast: every distinct
-    content emits its substrings of each dictionary word length, equi-joined
-    with the dictionary; results join back on the content value."""
-    lens = [r[0] for r in w.select(F.length("_w").alias("l")).distinct().collect()]  # few lengths
-    contents = df.select(F.col(content_col).alias("_c")).where(F.col("_c").isNotNull()).distinct()
-    grams = None
-    for ln in lens:
-        if ln == 0:
-            continue
-        g = contents.select("_c", F.explode(F.sequence(F.lit(1), F.greatest(F.length("_c") - ln + 1, F.lit(0))))
-                            .alias("_s")).select("_c", F.substring("_c", F.col("_s"), ln).alias("_w"))
-        grams = g if grams is None else grams.unionByName(g)
-    hits = grams.join(w, "_w", "left_semi").select("_c").distinct().withColumn("_hit", F.lit(True))
-    out = df.join(hits, df[content_col] == hits["_c"], "left")
-    has_empty = w.where(F.col("_w") == "").limit(1).count() > 0
-    flag = F.lit(True) if has_empty else F.coalesce(F.col("_hit"), F.lit(False))
-    return out.withColumn(out_col, F.when(F.col(content_col).isNull(), F.lit(False)).otherwise(flag)) \
-              .drop("_c", "_hit")
+    keys = [F.xxhash64(c).alias("_k1"), F.xxhash64(F.lit(1), c).alias("_k2")]
+    texts = df.where(c.isNotNull()).select(*keys, c.alias("_c")).dropDuplicates(["_k1", "_k2"])
+    block = texts.select("_k1", "_k2", F.explode(_grams(F.col("_c"))).alias("_b"))
+    chars = block.select("_k1", "_k2", F.split("_b", "").alias("_a"))
+    starts = F.sequence(F.lit(0), F.least(F.size("_a"), F.lit(BLOCK_CHARS)) - 1)
+
+    def runs_of(n: int):
+        return F.transform(starts, lambda i: F.concat(*[F.coalesce(F.get(F.col("_a"), i + j), F.lit("")) for j in range(n)]))
+
+    runs = [runs_of(n) for n in range(1, GRAM + 1)]
+    grams = chars.select("_k1", "_k2", F.explode(F.array_distinct(F.concat(*runs))).alias("_g"))
+    heads = w.where(F.length("_w") > 0).select(F.substring("_w", 1, GRAM).alias("_g"), "_w")
+    pairs = grams.join(heads, "_g").select("_k1", "_k2", "_w").distinct()
+    hits = (pairs.join(texts, ["_k1", "_k2"]).where(F.contains("_c", F.col("_w")))
+            .select("_k1", "_k2").distinct().withColumn("_hit", F.lit(True)))
+    empty = F.coalesce(w.agg(F.max(F.length("_w") == 0)).scalar(), F.lit(False))  # one value
+    out = df.select("*", *keys).join(hits, ["_k1", "_k2"], "left")
+    return (out.withColumn(out_col, c.isNotNull() & (F.coalesce("_hit", F.lit(False)) | empty))
+            .select(*df.columns, out_col))
 
 
 def keyword_override(df: DataFrame, label_col: str, content_col: str, words: DataFrame,
@@ -192,12 +137,10 @@ def keyword_override(df: DataFrame, label_col: str, content_col: str, words: Dat
     """Classifier label P -> N when any negative word is contained, else P;
     label N -> N when any is contained, else C. An empty dictionary leaves the
     label unchanged. Case-sensitive substring; the word's language is ignored."""
-    plan = dictionary_plan(words, word_col)
-    if plan[0] == "empty":  # empty dictionary: labels unchanged
-        return df.withColumn(out_col, F.col(label_col))
-    flagged = contains_any(df, content_col, words, word_col, "_has", plan=plan)
+    flagged = contains_any(df, content_col, words, word_col, "_has")
+    known = words.where(F.col(word_col).isNotNull()).agg(F.count(F.lit(1)) > 0).scalar()
     lab = F.col(label_col)
-    res = (F.when(F.col("_has"), F.lit("N"))
+    res = (F.when(~known, lab).when(F.col("_has"), F.lit("N"))
            .when(lab == "P", F.lit("P"))
            .when(lab.isNotNull(), F.lit("C")))
     return flagged.withColumn(out_col, res).drop("_has")

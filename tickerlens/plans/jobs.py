@@ -18,8 +18,9 @@ from ..functions.text import keep_alnum_hangul, normalise_ws, section_after, tru
 from ..operators import features as FE
 from ..operators import linking, pages, quotes, sentiment, store, valuation
 from ..operators.usjob import extract_ticker
-from ..session import checkpoint_root, input_key, materialize
+from ..session import materialize, stored
 
+# The columns of the three result tables.
 FACT_COLUMNS = ["key_", "date_", "time_", "code_", "name_", "content_", "pn_", "ratio_",
                 "close_", "diff_", "open_", "high_", "low_", "volume_", "gpt_pn_", "report_"]
 DETAIL_COLUMNS = ["key_", "date_", "code_", "ticker_desc1", "ticker_desc2", "sise_52_price",
@@ -37,41 +38,14 @@ class BowModel:
     weights: DataFrame
 
 
-def bow_model(corpus: DataFrame, cache: bool = True) -> BowModel:
-    """Vocabulary (top 5000) and per-term weights from the labelled corpus.
-
-    Like a trained model file, the result is persisted under the shared
-    checkpoint folder, keyed by the corpus files (path, size, modification
-    time) and the parameters; an unchanged corpus is read back, a changed one
-    retrains."""
-    if cache:
-        key = input_key(corpus, f"bow|{FE.VOCAB_SIZE}|{FE.TOKEN_PATTERN}")
-        if key is not None:
-            return _cached_model(corpus, key)
-    return _train_bow(corpus)
-
-
-def _cached_model(corpus: DataFrame, key: str) -> BowModel:
-    import os
-    spark = corpus.sparkSession
-    root = os.path.join(checkpoint_root(spark), "tickerlens", "models", f"bow-{key}")
-    paths = {n: f"{root}/{n}" for n in ("vocab", "weights")}
-    if not all(store.current_path(spark, p) for p in paths.values()):
-        m = _train_bow(corpus)
-        m.vocab.write.mode("overwrite").parquet(f"{paths['vocab']}/v00001")
-        m.weights.write.mode("overwrite").parquet(f"{paths['weights']}/v00001")
-    vocab = spark.read.parquet(store.current_path(spark, paths["vocab"]))
-    weights = spark.read.parquet(store.current_path(spark, paths["weights"]))
-    return BowModel(F.broadcast(vocab), F.broadcast(weights))  # <= k rows each
-
-
-def _train_bow(corpus: DataFrame) -> BowModel:
+def bow_model(corpus: DataFrame) -> BowModel:
+    """Vocabulary (top 5000) and per-term weights from the labelled corpus, computed in each
+    run as the job does; both are stored once for the consumers in the run."""
     c = corpus.withColumn("tokens", FE.tokenise("document"))
-    counts = FE.token_counts(c)  # tokenised once; both consumers reuse its exchange
-    vocab = FE.vocabulary(c, counts=counts)
-    weights = sentiment.weights_from_corpus(FE.term_frequency(c, vocab, counts=counts), c)
-    # one weight per vocabulary term: at most k rows by construction
-    return BowModel(vocab, F.broadcast(weights))
+    counts = stored(FE.token_counts(c), "bow-counts")  # tokenised once
+    vocab = stored(FE.vocabulary(c, counts=counts), "bow-vocab")
+    weights = stored(sentiment.weights_from_corpus(FE.term_frequency(c, vocab, counts=counts), c), "bow-weights")
+    return BowModel(F.broadcast(vocab), F.broadcast(weights))  # at most 5000 rows each
 
 
 def _run_time(run_time: str):

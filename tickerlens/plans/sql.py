@@ -201,7 +201,7 @@ CTE["lex"] = """lex AS (
   SELECT word, CAST(floor(40 * (p - n) / (p + n)) AS BIGINT) AS tenths FROM (
     SELECT word, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS p, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n
     FROM (SELECT DISTINCT id, label, word FROM (SELECT id, label, unnest(tokens) AS word FROM ctok))
-    GROUP BY word) WHERE p + n >= 3)"""
+    GROUP BY word))"""
 DEPS["lex"] = ["ctok"]
 def lex_scores_sql(source: str, ids: str, text: str) -> str:
     """neg/neu/pos/compound per row of ``source`` (ids = comma list) from table lex."""

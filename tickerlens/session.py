@@ -1,4 +1,4 @@
-"""Session helpers: building a session, shared scratch paths, bounded broadcast."""
+"""Session helpers: building a session, shared scratch paths, stored intermediate tables."""
 from __future__ import annotations
 
 import os
@@ -8,15 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app: str = "tickerlens", extra: dict | None = None) -> SparkSession:
+def build_session(master: str = "local[*]", app: str = "tickerlens", extra: dict | None = None) -> SparkSession:
+    """A session with the defaults used here. The number of shuffle partitions is the
+    cluster's setting (an upper bound that AQE merges below); pass it in ``extra``."""
     b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          # AQE coalesces shuffle output toward this size and splits partitions
-         # several times larger (skew); shuffle.partitions is only the upper bound
+         # several times larger (skew)
          .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -64,63 +64,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tickerlens", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-# Inputs below this estimated size may arrive in fewer splits than there are
-# cores (a small file is often a single row group); they are spread first.
-SPREAD_BELOW_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the plan (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, below_bytes: int = SPREAD_BELOW_BYTES) -> DataFrame:
-    """Round-robin a *small* input over the cluster's parallelism so CPU-heavy
-    per-row work is not run by the one task that owns a single row group. Large
-    inputs already arrive in many splits and are returned untouched (no shuffle)."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if par > 1 and estimated_bytes(df) < below_bytes:
-        return df.repartition(par)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small(df)
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def input_key(df: DataFrame, extra: str) -> str | None:
-    """Fingerprint of the files a plan reads (path, size, modification time)."""
-    import hashlib
-    spark = df.sparkSession
-    files = sorted(df.inputFiles())
-    if not files:
-        return None
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1(extra.encode())
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        h.update(f"{f}|{st.getLen()}|{st.getModificationTime()}".encode())
-    return h.hexdigest()[:16]
-
-
-def stored_once(df: DataFrame, name: str, extra: str = "") -> DataFrame:
-    """A derived reference table (model, dictionary) written once under the
-    shared checkpoint folder, keyed by its input files and ``extra``; an
-    unchanged input is read back, a changed one is derived again."""
-    spark = df.sparkSession
-    key = input_key(df, f"{name}|{extra}")
-    if key is None:
-        return df
-    path = os.path.join(checkpoint_root(spark), "tickerlens", "tables", f"{name}-{key}")
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: several consumers
+    read it instead of computing it again, and its columns can be pruned."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> str:

@@ -18,42 +18,45 @@ from pyspark.sql import functions as F
 
 from ..operators import store
 from ..operators.linking import link_headlines
+from ..session import stored
 
 SINK_COLUMNS = ["seq", "run_date", "code", "name", "content"]
 SINK_SCHEMA = "seq bigint, code string, name string, content string, run_date string"
 
 
-def _stored_ids(spark: SparkSession, sink_root: str, run_dates: DataFrame) -> DataFrame:
-    s = store.read_store(spark, sink_root, columns=["seq", "run_date"], schema=SINK_SCHEMA)
-    # only the partitions the batch can collide with are read (semi join on run_date)
-    return s.join(run_dates, "run_date", "left_semi").select("seq")
+def stored_ids(spark: SparkSession, sink_root: str, days: list[str]) -> DataFrame:
+    """Ids stored for the given days: a literal filter on the partition column, so only
+    those partitions are listed and read."""
+    return store.read_store(spark, sink_root, columns=["seq"], where=F.col("run_date").isin(days), schema=SINK_SCHEMA)
 
 
 def process_batch(batch: DataFrame, master: DataFrame, sink_root: str,
                   to_headlines: Callable[[DataFrame], DataFrame]) -> None:
     spark = batch.sparkSession
-    linked = link_headlines(to_headlines(batch), master).select(
-        "seq", F.date_format("run_date", "yyyy-MM-dd").alias("run_date"), "code", "name", "content")
-    days = linked.select("run_date").distinct()
-    fresh = linked.join(_stored_ids(spark, sink_root, days), "seq", "left_anti")
+    linked = stored(link_headlines(to_headlines(batch), master).select(
+        "seq", F.date_format("run_date", "yyyy-MM-dd").alias("run_date"), "code", "name", "content"), "stream-batch")
+    days = [r[0] for r in linked.select("run_date").distinct().collect()]  # a few days per batch
+    fresh = linked.join(stored_ids(spark, sink_root, days), "seq", "left_anti")
     store.append(fresh.select("seq", "code", "name", "content", "run_date"), sink_root,
                  partition_by=["run_date"])
 
 
 def incremental(spark: SparkSession, src_dir: str, src_schema, master: DataFrame, sink_root: str,
                 checkpoint_dir: str, to_headlines: Callable[[DataFrame], DataFrame],
-                max_files_per_trigger: int = 2, timeout_s: int = 600) -> None:
-    """Run the incremental job over everything currently in ``src_dir``."""
-    stream = (spark.readStream.schema(src_schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(src_dir))
+                max_files_per_trigger: int | None = None) -> None:
+    """Run the incremental job over everything currently in ``src_dir``, in one batch unless
+    a rate is given."""
+    reader = spark.readStream.schema(src_schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(src_dir)
     q = (stream.writeStream
          .foreachBatch(lambda df, _epoch: process_batch(df, master, sink_root, to_headlines))
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True)
          .start())
     try:
-        if not q.awaitTermination(timeout_s):
-            raise TimeoutError("incremental headline job did not finish in time")
+        q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()
