@@ -13,7 +13,8 @@ suffix | language) + ``TEMPER`` times the text's log-likelihood.
 
 A row is rejected if its language is ``und``: no letters, or unlike every language fitted.
 
-Cases: null or empty text has no likelihood, hence ``und``; evidence that is null or unknown
+Cases: null, empty or letterless text is ``und``; a text too short for a trigram is judged by
+the other evidence alone; evidence that is null or unknown
 counts for nothing; rows that repeat an id are rows of their own; without labelled rows every
 language is ``und`` and nothing is rejected; an empty table gives no rows; other columns are ignored by
 ``identify`` and kept by ``keep_identified``.
@@ -65,15 +66,13 @@ class TextModel:
     def score(self, text: bytes) -> np.ndarray:
         """Log-likelihood per language; texts without letters are left to ``und``."""
         out = np.zeros(len(self.languages))
-        any_ = False
         for at in trigram_buckets(text):
-            any_ = True
             counts = np.bincount(at, minlength=BUCKETS) if len(at) > BUCKETS else None
             if counts is not None:
                 out += self.logs @ counts.astype(np.float32)
             else:
                 out += self.logs[:, at].sum(axis=1, dtype=np.float64)
-        if not any_ or not has_letters(text):
+        if not has_letters(text):
             out[:-1] -= 1e6
         return out
 
@@ -127,14 +126,13 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, sample_
 def _text_scores(rows: DataFrame, model: TextModel, text_col: str, others: list[str]) -> DataFrame:
     """``others`` and the log-likelihoods and best language index of each row's text."""
     shared = rows.sparkSession.sparkContext.broadcast(model)  # (languages + 1) x BUCKETS floats
-    # numbers the fields by place, so no name can clash
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*others).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
             scores = [m.score(cell.as_buffer().to_pybytes() if cell.is_valid else b"") for cell in b.column(len(others))]
-            best = [int(np.argmax(s)) for s in scores]
+            best = [int(np.argmax(s)) if s.any() else -1 for s in scores]  # too short a text has none
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(others))), pa.array(scores, pa.list_(pa.float64())),
                                               pa.array(best, pa.int32())], names=[*others, "loglik", "best"])
     return rows.select(*others, F.col(text_col)).mapInArrow(run, f"{schema}, loglik array<double>, best int")
@@ -164,7 +162,8 @@ def identify(rows: DataFrame, model: TextModel, *, id_col: str, text_col: str, h
     everyone = seen.groupBy("best").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per language
     world = np.ones(n)
     for r in everyone:
-        world[r["best"]] += r["n"]
+        if r["best"] >= 0:
+            world[r["best"]] += r["n"]
     of_all = F.array(*[F.lit(float(x)) for x in world])
     prior = F.array(*[F.lit(float(x)) for x in world / world.sum()])
     joined = seen

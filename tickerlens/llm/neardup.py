@@ -14,9 +14,14 @@ each class the ``K`` smallest shingle hashes are kept. Then
 3. pairs that remain are confirmed on the full shingle sets of both texts.
 
 A list of at most ``ALL_PAIRS`` classes gives all its pairs. A longer one gives the pairs
-with some pivots, linked pairs join components, and then, to lose no link, the pairs between
-its members outside the first pivot's component and all members of other components. Copies and
-near-copies of one text so cost a few pairs each, not the square of their number.
+with some pivots, the first being its most typical member (with the most retained hashes that
+others have, as the original of many near-copies), and linked pairs join components. To lose
+no link, the members of long lists that still hold several components are then matched on
+their full sets: a linked pair shares ``percent`` of the larger set, so of the hashes from the
+rarest to the most frequent the first ``100 - percent`` percent meet, and a set with more
+hashes of its own than that links with nothing. Only members outside the first pivot's
+component look for partners. Copies and near-copies of one text so cost a few pairs each, not
+the square of their number.
 
 Cases: null, empty or word-less text has an empty set and links with nothing; rows that
 repeat an id are one document with the links of all its texts; a null id takes no part
@@ -149,7 +154,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
 
 
 def postings(reps: DataFrame, percent: int) -> DataFrame:
-    """(v, rep, n, mini): each class's rarest retained hashes that occur in another class."""
+    """(v, rep, n, mini, typical): each class's rarest retained hashes that occur in another
+    class; ``typical`` counts all of its retained hashes that do."""
     each = reps.select("rep", "n", F.explode("sketch").alias("v"))
     often = stored(each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "neardup-frequent")
     common = (each.select("rep", "v").join(often, "v").groupBy("rep")
@@ -159,7 +165,7 @@ def postings(reps: DataFrame, percent: int) -> DataFrame:
     # the hashes of this class alone are its rarest, so they fill the first places
     take = F.greatest(F.lit(0), (kept - least + 1) - (kept - F.size("common"))).cast("int")
     return (reps.select("rep", "n", "mini").join(common, "rep")
-            .select("rep", "n", "mini", F.explode(F.slice("common", F.lit(1), take)["v"]).alias("v")))
+            .select("rep", "n", "mini", F.size("common").alias("typical"), F.explode(F.slice("common", F.lit(1), take)["v"]).alias("v")))
 
 
 def _may_link(percent: int) -> Column:
@@ -169,8 +175,8 @@ def _may_link(percent: int) -> Column:
     return (lo * 100 >= hi * percent) & (F.size(F.array_intersect("mini_a", "mini_b")) >= need)
 
 
-def _as(df: DataFrame, side: str, *more: str) -> DataFrame:
-    return df.select("v", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "mini", *more)])
+def _as(df: DataFrame, side: str, key: str, *cols: str) -> DataFrame:
+    return df.select(key, *[F.col(c).alias(f"{c}_{side}") for c in cols])
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -179,26 +185,72 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 def first_pairs(posts: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     """All pairs of short lists, and the pairs with the pivots of long ones."""
-    near = _may_link(percent)
+    cols = ("rep", "n", "mini")
     short = posts.join(lists.where(F.col("members") <= ALL_PAIRS).select("v"), "v")
-    inside = _as(short, "a").join(_as(short, "b"), "v").where((F.col("rep_a") < F.col("rep_b")) & near)
-    long_ = lists.where(F.col("members") > ALL_PAIRS).select("v", F.explode(F.array_distinct("pivots")).alias("p"))
-    pivot = long_.select("v", F.col("p.rep").alias("rep"), F.col("p.n").alias("n"), F.col("p.mini").alias("mini"))
-    star = _as(pivot, "a").join(_as(posts, "b"), "v").where((F.col("rep_a") != F.col("rep_b")) & near)
+    inside = (_as(short, "a", "v", *cols).join(_as(short, "b", "v", *cols), "v")
+              .where((F.col("rep_a") < F.col("rep_b")) & _may_link(percent)))
+    # each member with the different pivots of all its lists, few since the same ones stand out
+    long_ = lists.where(F.col("members") > ALL_PAIRS).select("v", F.col("pivots.rep").alias("pivots"))
+    to = (posts.join(long_, "v").groupBy("rep").agg(F.first("n").alias("n"), F.first("mini").alias("mini"),
+                                                    F.collect_set("pivots").alias("pivots"))
+          .select("rep", "n", "mini", F.explode(F.array_distinct(F.flatten("pivots"))).alias("p")))
+    pivot = (lists.where(F.col("members") > ALL_PAIRS).select(F.explode("pivots").alias("p"))
+             .groupBy(F.col("p.rep").alias("rep")).agg(F.first("p.n").alias("n"), F.first("p.mini").alias("mini")))
+    star = (_as(to.where("rep <> p"), "a", "p", *cols).join(_as(pivot.withColumn("p", F.col("rep")), "b", "p", *cols), "p")
+            .where(_may_link(percent)))
     return _pairs(inside.select("rep_a", "rep_b").unionByName(star.select("rep_a", "rep_b")))
 
 
-def other_pairs(posts: DataFrame, lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Of long lists, the pairs whose components still differ: those of the members outside
-    the first pivot's component with every member."""
+def open_members(posts: DataFrame, lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(rep, label, other): members of long lists with several components; ``other`` if in one
+    of its lists it is outside the first pivot's component."""
     long_ = lists.where(F.col("members") > ALL_PAIRS).select("v", F.col("pivots")[0]["rep"].alias("pivot"))
-    member = (posts.join(long_, "v").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    member = (posts.select("v", "rep").join(long_, "v").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("label", F.coalesce("label", "rep")))
     main = labels.select(F.col("node").alias("pivot"), F.col("label").alias("main"))
-    member = stored(member.join(main, "pivot", "left").withColumn("main", F.coalesce("main", "pivot")), "neardup-members")
-    other = member.where("label != main")
-    pair = _as(other, "a", "label").join(_as(member, "b", "label"), "v")
-    return _pairs(pair.where((F.col("label_a") != F.col("label_b")) & _may_link(percent)))
+    member = member.join(main, "pivot", "left").withColumn("other", F.col("label") != F.coalesce("main", "pivot"))
+    member = stored(member.select("v", "rep", "label", "other"), "neardup-members")
+    several = stored(member.groupBy("v").agg(F.max("other").alias("several")).where("several").select("v"), "neardup-several")
+    return member.join(several, "v").groupBy("rep").agg(F.max("label").alias("label"), F.max("other").alias("other"))
+
+
+def full_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(rep, h): all shingle hashes of each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for rep, cell in zip(b.column(0), b.column(1)):
+                h = shingle_hashes(cell.as_buffer().to_pybytes(), shingle)
+                yield pa.RecordBatch.from_arrays([pa.array([rep.as_py()], pa.int64()), pa.array([h.view(np.int64)], pa.list_(pa.int64()))],
+                                                 names=["rep", "h"])
+    return texts.mapInArrow(run, "rep long, h array<long>")
+
+
+def other_pairs(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs of different components that full sets allow, for the members marked other."""
+    named = members.select("rep", "label", "other")
+    sets = stored(full_sets(texts.select(F.col("doc_id").alias("rep"), "text").join(named.select("rep"), "rep"), shingle), "neardup-sets")
+    each = sets.select("rep", F.size("h").alias("n"), F.explode("h").alias("v"))
+    often = stored(each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "neardup-frequent")
+    # n, and m of them in other sets too; the hashes of one text
+    common = (each.join(often, "v").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("common"))
+              .withColumn("m", F.size("common")).where(F.col("m") * 100 >= F.col("n") * percent))
+    own = F.col("n") - F.col("m")
+    take = F.greatest(F.lit(0), F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1 - own).cast("int")
+    first = common.select("rep", "n", own.alias("own"), F.slice("common", F.lit(1), take)["v"].alias("first"))
+    posts = first.select("rep", "n", "own", "first", F.posexplode("first").alias("at", "v"))
+    posts = stored(posts.select("rep", "n", (F.col("n") - F.col("own") - F.col("at")).alias("left"), "first", "v",
+                                (F.col("n") - F.col("own") - F.size("first")).alias("rest")).join(named, "rep"), "neardup-full-postings")
+    cols = ("rep", "n", "left", "rest", "first", "label", "other")
+    # a pair is judged where it first meets; there both have at least their overlap left, and the
+    # hashes that meet in the first places make up what the rest of the set cannot give
+    need = (F.col("n_a") + F.col("n_b")) * percent
+    meeting = F.array_intersect("first_a", "first_b")
+    near = ((F.least("left_a", "left_b") * (100 + percent) >= need) & (F.get(meeting, 0) == F.col("v"))
+            & ((F.size(meeting) + F.greatest("rest_a", "rest_b")) * (100 + percent) >= need)
+            & (~F.col("other_b") | (F.col("rep_a") < F.col("rep_b"))))
+    met = (_as(posts.where("other"), "a", "v", *cols).join(_as(posts, "b", "v", *cols), "v")
+           .where((F.col("label_a") != F.col("label_b")) & near))
+    return _pairs(met)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -251,7 +303,9 @@ def duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     reps = (rows.join(classes.withColumnRenamed("rep", "doc_id"), ["n", "f1", "f2", "doc_id"], "left_semi")
             .select(F.col("doc_id").alias("rep"), "n", "sketch", "mini"))
     posts = stored(postings(reps, percent), "neardup-postings")
-    pivots = [F.min(F.struct(F.xxhash64(F.lit(i), "rep").alias("order"), "rep", "n", "mini")).alias(f"p{i}") for i in range(PIVOTS)]
+    order = [-F.col("typical"), *[F.lit(0)] * (PIVOTS - 1)]  # the most typical member, and some by chance
+    pivots = [F.min(F.struct(o.alias("first"), F.xxhash64(F.lit(i), "rep").alias("order"), "rep", "n", "mini")).alias(f"p{i}")
+              for i, o in enumerate(order)]
     lists = stored(posts.groupBy("v").agg(F.count(F.lit(1)).alias("members"), *pivots).where("members > 1")
                    .select("v", "members", F.array(*[F.struct(f"p{i}.rep", f"p{i}.n", f"p{i}.mini") for i in range(PIVOTS)]).alias("pivots")),
                    "neardup-lists")
@@ -264,7 +318,8 @@ def duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     # an id's own repeated rows are linked by the id itself
     edges = stored(confirmed(first, texts, shingle, percent), "neardup-links")
     labels = components(edges)
-    rest = stored(other_pairs(posts, lists, labels, percent), "neardup-pairs")
+    members = stored(open_members(posts, lists, labels), "neardup-open")
+    rest = stored(other_pairs(members, texts, shingle, percent), "neardup-pairs")
     if rest.limit(1).count():
         more = stored(confirmed(rest, texts, shingle, percent), "neardup-links")
         labels = components(edges.unionByName(more))
