@@ -7,6 +7,8 @@ Java regex (Spark) and RE2 (the DuckDB oracle).
 """
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -124,8 +126,9 @@ def sentence_split(col) -> Column:
 
 
 def fmt_int(col) -> Column:
-    """P17 ints: truncate toward zero, thousands separators (Python ``format(int(x), ',')``)."""
-    return F.format_number(_c(col).cast("bigint"), 0)
+    """P17 ints: truncate toward zero, thousands separators (Python ``format(int(x), ',')``);
+    null beyond the range of a long."""
+    return F.format_number(_c(col).try_cast("bigint"), 0)
 
 
 def fmt_float(col) -> Column:
@@ -147,12 +150,29 @@ def parse_shares(col) -> Column:
     return py_strip(head).try_cast("bigint")
 
 
+def _code_point(n: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+
 def unescape_html(col) -> Column:
-    """Decode the five predefined XML entities (what a DOM parser's ``.text`` does)."""
+    """Decode character references: the named ones of HTML 4 (the standard library's table)
+    and decimal or hexadecimal ones; what is not a reference stays."""
     c = _c(col)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    names = F.create_map(*[F.lit(x) for name, cp in sorted(name2codepoint.items()) for x in (name, chr(cp))], F.lit("apos"), F.lit("'"))
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"), 1))
+
+    def value(ref):
+        hex_ = F.conv(F.regexp_extract(ref, "^#[xX](.*)", 1), 16, 10).try_cast("bigint")
+        n = F.coalesce(F.regexp_extract(ref, "^#([0-9]+)$", 1).try_cast("bigint"), hex_)
+        valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.when(ref.startswith("#"), F.when(valid, _code_point(n))).otherwise(F.try_element_at(names, ref))
+
+    # an ampersand's own reference comes last, so that no reference is decoded twice
+    pairs = F.array_sort(F.transform(found, lambda r: F.struct((value(r) == "&").alias("last"), r.alias("ref"), value(r).alias("to"))))
+    known = F.filter(pairs, lambda p: p["to"].isNotNull())
+    decoded = F.aggregate(known, c, lambda acc, p: F.replace(acc, F.concat(F.lit("&"), p["ref"], F.lit(";")), p["to"]))
+    return F.when(c.contains("&"), decoded).otherwise(c)
 
 
 def strip_tags(col) -> Column:

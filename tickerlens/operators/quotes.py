@@ -11,11 +11,12 @@ def latest_quote(quotes: DataFrame, code_col: str = "code", date_col: str = "dat
                  tiebreak: list[str] | None = None) -> DataFrame:
     """Newest row per code. ``max_by`` over (date, tiebreak..., values) is a
     partial aggregation: one shuffle of one small struct per code and map task,
-    even when one code holds a third of the rows."""
+    even when one code holds a third of the rows. A row with a null date or value is
+    dropped before, so an older whole row can be the newest."""
     vals = F.struct(F.col(date_col).alias("date"), *[F.col(c) for c in QUOTE_VALUES])
     order = F.struct(F.col(date_col), *[F.col(c) for c in (tiebreak or [])],
                      *[F.col(c) for c in QUOTE_VALUES])
-    return (quotes.where(F.col(date_col).isNotNull())
+    return (quotes.dropna(subset=[date_col, *QUOTE_VALUES])
             .groupBy(F.col(code_col).alias("code"))
             .agg(F.max_by(vals, order).alias("_q"))
             .select("code", *[F.col("_q")[c].alias(c) for c in ["date"] + QUOTE_VALUES]))

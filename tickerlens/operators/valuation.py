@@ -40,14 +40,20 @@ def sequential(df: DataFrame, fields: list[tuple[str, Column]], keep: list[str]
     return staged.select(*keep, *out)
 
 
+def _plain(c: Column) -> Column:
+    """A cell as a table reader sees it: thousands commas go when the whole cell is a number."""
+    t = F.trim(c)
+    return F.when(t.rlike(r"^[-+]?[0-9][0-9,]*(\.[0-9]*)?$"), F.replace(t, F.lit(","), F.lit(""))).otherwise(t)
+
+
 def _int_text(c: Column) -> Column:
-    """``int(cell)`` on a cell string: null when not an integer literal."""
-    return F.trim(c).try_cast("bigint")
+    """``int(cell)``: null when the cell is no number, or beyond the range of a long."""
+    return _plain(c).try_cast("decimal(38,6)").try_cast("bigint")
 
 
 def _num(c: Column) -> Column:
     """Cell -> double; '' and unparsable -> null ('NaN' stays NaN)."""
-    return F.trim(c).try_cast("double")
+    return _plain(c).try_cast("double")
 
 
 def with_tables(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -84,7 +90,7 @@ def required_return(rate_cells: DataFrame, row: int = RATE_ROW, column: str = RA
     The cell is found by one partial aggregation over the long cell form; the
     scalar is then applied to every stock without a join."""
     hit = (F.col("row_no") == row) & (F.col("header") == column)
-    val = rate_cells.select(F.max(F.when(hit, F.trim(F.col("cell")).try_cast("double"))))
+    val = rate_cells.select(F.max(F.when(hit, _num(F.col("cell")))))
     k = val.scalar()
     return F.coalesce(k, F.lit(DEFAULT_REQUIRED_RETURN)), F.coalesce(k.cast("string"), F.lit(MISSING))
 
@@ -106,31 +112,31 @@ def srim(df: DataFrame, k: Column, k_shown: Column, issue_col: str = "sise_issue
         k.alias("_k"), k_shown.alias("srim_revenue_rate"),
         (row_at(t, 10, 9).isNotNull() & row_at(t, 10, 16).isNotNull()
          & row_at(t, 10, 17).isNotNull()).alias("_have"),
-        last_valid_in(F.transform(row_at(t, 10, 9), _num)).alias("_c4"),
+        last_valid_in(F.transform(row_at(t, 10, 9), _num)).alias("_equity"),
         last_valid_in(F.transform(F.slice(row_at(t, 10, 16), 2, 4), _num)).alias("_roa"),
         last_valid_in(F.transform(F.slice(row_at(t, 10, 17), 2, 4), _num)).alias("_roe"),
         parse_shares(F.col(issue_col)).alias("_issued"),
         F.when(treas_cell.isNull(), F.lit(None))
          .when((F.trim(treas_cell) == "") | (F.lower(F.trim(treas_cell)) == "nan"), F.lit(0))
-         .otherwise(F.trim(treas_cell).try_cast("double").cast("bigint")).alias("_treasury"))
-    c4, roa, roe, kk = F.col("_c4"), F.col("_roa"), F.col("_roe"), F.col("_k")
+         .otherwise(_int_text(treas_cell)).alias("_treasury"))
+    equity, roa, roe, kk = F.col("_equity"), F.col("_roa"), F.col("_roe"), F.col("_k")
     s2 = s1.select(
         "*",
-        F.when(roe - roa > ROE_ROA_SWITCH, roa).otherwise(roe).alias("_c5"),
-        F.try_multiply(c4 + F.try_divide(c4 * (roe - kk), kk), F.lit(UNIT)).alias("_value"),
-        (F.col("_issued") - F.col("_treasury")).alias("_shares"))
+        F.when(roe - roa > ROE_ROA_SWITCH, roa).otherwise(roe).alias("_basis"),
+        F.try_multiply(equity + F.try_divide(equity * (roe - kk), kk), F.lit(UNIT)).alias("_value"),
+        F.try_subtract(F.col("_issued"), F.col("_treasury")).alias("_shares"))
     shares = F.col("_shares").cast("double")
     s3 = s2.select("*", F.try_divide(F.col("_value"), shares).alias("_fair"),
-                   (c4 * (F.col("_c5") - kk) / 100).alias("_over"))
+                   (equity * (F.col("_basis") - kk) / 100).alias("_excess"))
 
     def scenario(w):
-        down = (c4 + F.col("_over") * (F.lit(w) / (F.lit(1.0) + kk / 100 - F.lit(w)))) * F.lit(UNIT)
-        p = F.try_divide(down, shares)
-        return F.when(F.col("_over") < 0, F.col("_fair") - (p - F.col("_fair"))).otherwise(p)
+        kept = F.try_divide(F.lit(w), F.lit(1.0) + kk / 100 - F.lit(w))
+        p = F.try_divide((equity + F.col("_excess") * kept) * F.lit(UNIT), shares)
+        return F.when(F.col("_excess") < 0, F.col("_fair") - (p - F.col("_fair"))).otherwise(p)
 
     fair, value = F.col("_fair"), F.col("_value")
     return sequential(s3, [
-        ("srim_jibea", F.when(F.col("_have"), fmt_float(c4))),
+        ("srim_jibea", F.when(F.col("_have"), fmt_float(equity))),
         ("srim_roa", roa.cast("string")),
         ("srim_roe", roe.cast("string")),
         ("srim_value", F.when(~F.isnan(value), fmt_float(value))),
@@ -143,7 +149,8 @@ def srim(df: DataFrame, k: Column, k_shown: Column, issue_col: str = "sise_issue
 
 def company_profile(html: Column, first=("span", "stxt1"), second=("span", "stxt2"),
                     names=("ticker_desc1", "ticker_desc2")) -> list[Column]:
-    """V5: two descriptive labels per page (text of the first matching element);
-    missing -> '-'."""
-    return [F.coalesce(first_text(html, *first), F.lit(MISSING)).alias(names[0]),
-            F.coalesce(first_text(html, *second), F.lit(MISSING)).alias(names[1])]
+    """V5: two descriptive labels per page (text of the first matching element), in order: a
+    missing first one leaves both at '-'."""
+    one, two = first_text(html, *first), first_text(html, *second)
+    return [F.coalesce(one, F.lit(MISSING)).alias(names[0]),
+            F.when(one.isNotNull(), F.coalesce(two, F.lit(MISSING))).otherwise(F.lit(MISSING)).alias(names[1])]

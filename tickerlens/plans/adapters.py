@@ -99,7 +99,8 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (p * (1 - F.col("l_discount"))).cast("bigint").alias("open"),
         (p * (1 + F.col("l_tax"))).cast("bigint").alias("high"),
         (p * (1 - F.col("l_discount") - F.col("l_tax"))).cast("bigint").alias("low"),
-        (q * F.col("l_linenumber")).cast("bigint").alias("volume"),
+        # a seventh line has no volume: an incomplete quote, which the job drops
+        F.when(F.col("l_linenumber") != 7, (q * F.col("l_linenumber")).cast("bigint")).alias("volume"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
     )
 
@@ -165,8 +166,8 @@ def us_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def us_company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return c.select((F.concat(F.lit("T"), (F.col("c_custkey") % 1000).cast("string"))).alias("ticker"),
-                    F.concat(F.lit('<div><span class="symbol-page-header__name">'), F.col("c_name"),
-                             F.lit("</span></div>")).alias("html"))
+                    F.concat(F.lit('<div><span class="symbol-page-header__name"> '), F.col("c_name"),
+                             F.lit("\n</span></div>")).alias("html"))
 
 
 def us_store(spark: SparkSession, sf_dir: str) -> DataFrame:

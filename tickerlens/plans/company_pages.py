@@ -5,7 +5,8 @@ subset Spark SQL and DuckDB share, so both engines derive identical inputs.
 Rendering is per row (concat) - no grouping. The oracle never parses this
 HTML; it computes the expected fields straight from part's columns.
 
-  table 0  market snapshot   rows 0..6, columns (label, value)
+  table 0  market snapshot   rows 0..6, columns (th label, value); numbers have commas, one
+                             in 103 is beyond a long
   table 4  share structure   row 4 = treasury shares, column '보통주'
   table 7  consensus         row 0: opinion, target, EPS, PER, agencies
   table 10 financial summary rows 9 (equity), 16 (ROA), 17 (ROE); columns 1..8
@@ -24,6 +25,13 @@ def _fl(expr: str) -> str:
     return f"CAST(CAST(floor({expr}) AS BIGINT) AS STRING)"
 
 
+def _comma(n: str) -> str:
+    """A non-negative integer expression with thousands commas, up to nine digits."""
+    rest, mid = f"lpad({_i(f'({n}) % 1000')}, 3, '0')", f"lpad({_fl(f'(({n}) % 1000000) / 1000')}, 3, '0')"
+    return (f"CASE WHEN {n} >= 1000000 THEN {_fl(f'({n}) / 1000000')} || ',' || {mid} || ',' || {rest} "
+            f"WHEN {n} >= 1000 THEN {_fl(f'({n}) / 1000')} || ',' || {rest} ELSE {_i(n)} END")
+
+
 ISSUED = f"1000000 + ({K} % 97) * 1000"
 ISSUED_TEXT = f"'1,' || lpad({_i(f'{K} % 97')}, 3, '0') || ',000'"
 
@@ -31,16 +39,16 @@ SNAPSHOT = [  # (label, value) per body row 0..6
     ("'주가'", _fl(R)),
     ("'52주'", f"{_fl(R + ' * 1.2')} || '/' || {_fl(R + ' * 0.8')}"),
     ("'수익률'", _i(f"{S} - 25")),
-    ("'시가총액'", f"CASE WHEN {S} % 11 = 0 THEN 'N/A' ELSE {_i(f'{K} * 1000 + {S}')} END"),
-    ("'시가총액2'", _i(f"{K} * 7")),
+    ("'시가총액'", f"CASE WHEN {S} % 11 = 0 THEN 'N/A' ELSE {_comma(f'{K} * 1000 + {S}')} END"),
+    ("'시가총액2'", f"CASE WHEN {K} % 103 = 0 THEN '99999999999999999999' ELSE {_comma(f'{K} * 7')} END"),
     ("'거래량'", _i(f"{S} * 3")),
     ("'발행주식수'", f"{ISSUED_TEXT} || '/ ' || {_i(S)}"),
 ]
 TREASURY = (f"CASE WHEN {K} % 101 = 0 THEN {_i(ISSUED)} WHEN {K} % 5 = 0 THEN '' "
-            f"ELSE {_i(f'{S} * 100')} END")
+            f"ELSE {_comma(f'{S} * 100')} END")
 CONSENSUS = [
     f"CASE {S} % 3 WHEN 0 THEN '매수' WHEN 1 THEN '중립' ELSE '매도' END",
-    f"CASE WHEN {S} % 13 = 0 THEN '-' ELSE {_fl(R + ' * 13')} END",
+    f"CASE WHEN {S} % 13 = 0 THEN '-' ELSE {_comma(f'CAST(floor({R} * 13) AS BIGINT)')} END",
     _i(f"{S} * 37"),
     _i(f"CAST({S} % 40 AS DOUBLE) / 4"),
     _i(f"{S} % 10"),
@@ -75,17 +83,21 @@ def _lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _row(cells: list[str], tag: str = "td") -> list[str]:
+def _row(cells: list, tags: list[str]) -> list[str]:
+    """A cell is an expression, or (expression, attributes of its tag)."""
     out = [_lit("<tr>")]
-    for c in cells:
-        out += [_lit(f"<{tag}>"), c, _lit(f"</{tag}>")]
+    for cell, tag in zip(cells, tags):
+        value, attrs = cell if isinstance(cell, tuple) else (cell, "")
+        out += [_lit(f"<{tag}{attrs}>"), value, _lit(f"</{tag}>")]
     return out + [_lit("</tr>")]
 
 
-def _table(header: list[str], rows: list[list[str]]) -> list[str]:
-    out = [_lit("<table>")] + _row([_lit(h) for h in header], "th")
+def _table(header: list[str], rows: list[list], thead: bool = False, labels: bool = False) -> list[str]:
+    """``labels``: each body row's first cell is a th."""
+    out = [_lit("<table>")] + ([_lit("<thead>")] if thead else [])
+    out += _row([_lit(h) for h in header], ["th"] * len(header)) + ([_lit("</thead>")] if thead else [])
     for r in rows:
-        out += _row(r)
+        out += _row(r, ["th" if labels else "td"] + ["td"] * (len(r) - 1))
     return out + [_lit("</table>")]
 
 
@@ -93,23 +105,26 @@ def company_html_pieces() -> list[str]:
     """The page as a flat list of SQL expression pieces (concatenated n-ary,
     so the expression tree stays shallow)."""
     placeholder = [_lit("<table><tr><td>-</td></tr></table>")]
-    t0 = _table(["항목", "값"], [[lab, val] for lab, val in SNAPSHOT])
+    t0 = _table(["항목", "값"], [[lab, val] for lab, val in SNAPSHOT], labels=True)
+    # a label over two rows, a value over two columns
     t4 = _table(["구분", "보통주", "우선주"],
-                [[f"'r{i}'", "'0'", "'0'"] for i in range(4)] + [["'자기주식'", TREASURY, "'0'"]])
+                [[("'r0'", ' rowspan="2"'), "'0'", "'0'"], [("'0'", ' colspan="2"')], ["'r2'", "'0'", "'0'"], ["'r3'", "'0'", "'0'"],
+                 ["'자기주식'", TREASURY, "'0'"]])
     t7 = _table(["투자의견", "목표주가", "EPS", "PER", "추정기관수"], [CONSENSUS])
     rows10 = []
     for r in range(18):
         if r == 9:
             rows10.append(["'지배주주지분'"] + [equity_cell(c) for c in range(1, 9)])
         elif r == 16:
-            rows10.append(["'ROA'"] + [roa_cell(c) for c in range(1, 9)])
+            rows10.append(["'ROA'", (roa_cell(1), ' colspan="2"')] + [roa_cell(c) for c in range(3, 9)])
         elif r == 17:
             rows10.append(["'ROE'"] + [roe_cell(c) for c in range(1, 9)])
         else:
             rows10.append([f"'항목{r}'"] + ["''"] * 8)
-    t10 = _table(["IFRS"] + PERIODS, rows10)
-    spans = [_lit('<span class="stxt stxt1">'), "p_type", _lit('</span><span class="stxt stxt2">'),
-             "p_brand", _lit("</span>")]
+    t10 = _table(["IFRS"] + PERIODS, rows10, thead=True, labels=True)
+    # every ninth page lacks the first label
+    spans = [f"CASE WHEN {K} % 9 = 0 THEN '' ELSE '<span class=\"stxt stxt1\">' || p_type || '</span>' END",
+             _lit('<span class="stxt stxt2">'), "p_brand", _lit("</span>")]
     body = (t0 + placeholder * 3 + t4 + placeholder * 2 + t7 + placeholder * 2 + t10)
     return _merge([_lit("<html><body>")] + spans + body + [_lit("</body></html>")])
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.language import verdict
-from ..functions.text import keep_alnum_hangul, normalise_ws, section_after, truncate_words
+from ..functions.text import keep_alnum_hangul, normalise_ws, py_strip, section_after, truncate_words
 from ..operators import features as FE
 from ..operators import linking, pages, quotes, sentiment, store, valuation
 from ..operators.usjob import extract_ticker
@@ -126,6 +126,9 @@ def details(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
     out = fact.select(F.concat(F.substring("key_", 1, 8), F.col("code_")).alias("key_"),
                       F.substring("key_", 1, 8).alias("date_"), "code_")
     out = out.join(per_code, out["code_"] == per_code["code"], "left").drop("code")
+    # an article without a page keeps the defaults, and the rate, which comes from elsewhere
+    rate = F.coalesce("srim_revenue_rate", shown)
+    out = out.withColumn("srim_revenue_rate", rate).fillna(valuation.MISSING, subset=DETAIL_COLUMNS[3:])
     return store.render_details(out.select(*DETAIL_COLUMNS))
 
 
@@ -139,7 +142,8 @@ def job_us(articles: DataFrame, us_store: DataFrame, company_pages: DataFrame,
     a = linking.new_only(a, us_store, [("ticker", "ticker"), ("date_", "date_")])
     names = company_pages.select("ticker", *valuation.company_profile(
         F.col("html"), ("span", "symbol-page-header__name"), ("span", "symbol-page-header__name"),
-        ("company_name", "_unused"))).where(F.col("company_name") != valuation.MISSING)
+        ("company_name", "_unused"))).withColumn("company_name", py_strip("company_name")).where(
+        F.col("company_name") != valuation.MISSING)
     names = names.groupBy("ticker").agg(F.min("company_name").alias("company_name"))
     a = a.join(names, "ticker")
     a = store.reuse_reports(a, us_store, "ticker", "ticker", "report_")

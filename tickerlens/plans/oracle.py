@@ -45,7 +45,7 @@ CTE["quotes"] = """quotes AS (
          CAST(trunc(l_extendedprice * (1 - l_discount)) AS BIGINT) AS open,
          CAST(trunc(l_extendedprice * (1 + l_tax)) AS BIGINT) AS high,
          CAST(trunc(l_extendedprice * (1 - l_discount - l_tax)) AS BIGINT) AS low,
-         CAST(trunc(l_quantity * l_linenumber) AS BIGINT) AS volume,
+         CASE WHEN l_linenumber <> 7 THEN CAST(trunc(l_quantity * l_linenumber) AS BIGINT) END AS volume,
          l_orderkey, l_linenumber, l_partkey, l_suppkey
   FROM lineitem)"""
 CTE["store"] = f"""store AS (
@@ -75,7 +75,7 @@ CTE["latest"] = """latest AS (
     SELECT *, row_number() OVER (PARTITION BY code ORDER BY date DESC, l_orderkey DESC,
              l_linenumber DESC, l_partkey DESC, l_suppkey DESC, close DESC, diff DESC,
              open DESC, high DESC, low DESC, volume DESC) AS rn
-    FROM quotes WHERE date IS NOT NULL) WHERE rn = 1)"""
+    FROM quotes WHERE date IS NOT NULL AND volume IS NOT NULL) WHERE rn = 1)"""
 CTE["keyed"] = f"""keyed AS (
   SELECT h.*, regexp_replace(split_part(h.title, ',', 1), {_q(CLEAN_PATTERN)}, '', 'g') AS key
   FROM headlines h)"""

@@ -380,6 +380,13 @@ def company_pages(spark, sf_dir):
         CP.html_column(CP.company_html_pieces()).alias("html"))
 
 
+def filed_pages(spark, sf_dir):
+    """Company pages as filed: every 17th under another code, so its company has no page."""
+    k = F.col("page_id")
+    code = F.format_string("%06d", F.when(k % 17 == 0, k + 900000).otherwise(k))
+    return company_pages(spark, sf_dir).withColumn("code", code)
+
+
 @register("html_table_scan")
 def q_html_table_scan(spark, sf_dir):
     c = H.html_tables(listing_pages(spark, sf_dir))
@@ -395,34 +402,44 @@ def q_cell_lookup(spark, sf_dir):
     return H.cells_to_fields(cells, spec)
 
 
+def _index_pages(spark, sf_dir, css_class: str, cells: list):
+    """An index page per customer: a table with one row per order (by key), after another
+    table of a different class. A cell is a column, null when the row lacks it."""
+    def td(c):
+        return F.coalesce(F.concat(F.lit("<td>"), c.cast("string"), F.lit("</td>")), F.lit(""))
+
+    row = F.concat(F.lit("<tr>"), *[td(c) for c in cells], F.lit("</tr>"))
+    rows = (read_table(spark, sf_dir, "orders").select("o_custkey", F.struct("o_orderkey", row.alias("row")).alias("r"))
+            .groupBy(F.col("o_custkey").alias("page_id")).agg(F.sort_array(F.collect_list("r"))["row"].alias("rows")))
+    html = F.concat(F.lit('<table class="note"><tr><td>1-URGENT</td><td>1-URGENT</td><td><a href="/no">x</a></td><td>y</td></tr></table>'
+                          f'<table class="{css_class}" summary="x"><tr><th>A</th><th>B</th><th>C</th></tr>'),
+                    F.array_join("rows", "\n"), F.lit("</table>"))
+    return rows.select("page_id", html.alias("html"))
+
+
+def _link(path: str, after: str):
+    return F.concat(F.lit(f'<a class="l" href="{path}'), F.col("o_orderkey").cast("string"), F.lit(f'.htm">{after}</a>'))
+
+
 @register("filing_index_pick")
 def q_filing_index_pick(spark, sf_dir):
-    """S10/W4, first rule: first order row (by key) per customer with > 3 cells
-    and 'URGENT' in cell 0; link from cell 1 with a prefix."""
-    o = read_table(spark, sf_dir, "orders")
-    cells = F.array_compact(F.array(
-        F.col("o_orderpriority"),
-        F.concat(F.lit("/Archives/ix?doc=/"), F.col("o_orderkey").cast("string"), F.lit(".htm")),
-        F.col("o_orderstatus"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")),
-        F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey").cast("string"))))
-    long = o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("row_no"),
-                    F.posexplode(cells).alias("col_no", "cell"))
-    return H.pick_first(long, 3, 0, "URGENT", 1, prefix="https://www.sec.gov")
+    """S10/W4, first rule: on each index page the first row with > 3 cells and 'URGENT' in
+    cell 0; the address that cell 1 links to, with a prefix."""
+    o, st = F.col("o_orderkey"), F.col("o_orderstatus")
+    pages = _index_pages(spark, sf_dir, "tableFile2", [
+        F.col("o_orderpriority"), _link("/Archives/ix?doc=/", "Documents"), st,
+        F.when(st != "P", F.col("o_custkey")), F.when(st == "F", o)])
+    return H.pick_first(H.html_tables(pages, css_class="tableFile2", links=True), 3, 0, "URGENT", 1, prefix="https://www.sec.gov")
 
 
 @register("filing_doc_pick")
 def q_filing_doc_pick(spark, sf_dir):
-    """S10, second rule: first row with > 1 cells and 'URGENT' in cell 1; link
-    from cell 2 with a prefix and 'ix?doc=/' removed."""
-    o = read_table(spark, sf_dir, "orders")
-    cells = F.array_compact(F.array(
-        F.col("o_orderkey").cast("string"), F.col("o_orderpriority"),
-        F.when(F.col("o_orderstatus") != "P",
-               F.concat(F.lit("/ix?doc=/Archives/"), F.col("o_orderkey").cast("string"), F.lit(".htm")))))
-    long = o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("row_no"),
-                    F.posexplode(cells).alias("col_no", "cell"))
-    return H.pick_first(long, 1, 1, "URGENT", 2, prefix="https://www.sec.gov", drop="ix?doc=/")
+    """S10, second rule: first row with > 1 cells and 'URGENT' in cell 1; the address that
+    cell 2 links to, with a prefix and 'ix?doc=/' removed."""
+    pages = _index_pages(spark, sf_dir, "tableFile", [
+        F.col("o_orderkey"), F.col("o_orderpriority"), F.when(F.col("o_orderstatus") != "P", _link("/ix?doc=/Archives/", "page"))])
+    return H.pick_first(H.html_tables(pages, css_class="tableFile", links=True), 1, 1, "URGENT", 2, prefix="https://www.sec.gov",
+                        drop="ix?doc=/")
 
 
 @register("stock_master")
@@ -510,7 +527,7 @@ def q_job_ko_light(spark, sf_dir):
 
 @register("ko_details")
 def q_ko_details(spark, sf_dir):
-    return J.details(_job_ko(spark, sf_dir, False), company_pages(spark, sf_dir), rate_cells(spark, sf_dir))
+    return J.details(_job_ko(spark, sf_dir, False), filed_pages(spark, sf_dir), rate_cells(spark, sf_dir))
 
 
 def _us_lexicon(spark, sf_dir):
@@ -546,7 +563,7 @@ def q_append_predictions(spark, sf_dir):
 @register("append_details")
 def q_append_details(spark, sf_dir):
     """K2: details rendered to strings, appended, read back."""
-    det = J.details(_job_ko(spark, sf_dir, False), company_pages(spark, sf_dir), rate_cells(spark, sf_dir))
+    det = J.details(_job_ko(spark, sf_dir, False), filed_pages(spark, sf_dir), rate_cells(spark, sf_dir))
     root = _store_dir(spark, "prediction_detail_ko")
     ST.append(det, root)
     return ST.read_store(spark, root, schema=det.schema)
@@ -663,7 +680,7 @@ def q_job_ko_stored(spark, sf_dir):
     fact after the run."""
     fact = _job_ko(spark, sf_dir, True)
     froot, droot = _store_dir(spark, "run_fact"), _store_dir(spark, "run_detail")
-    J.run_ko_job(fact, company_pages(spark, sf_dir), rate_cells(spark, sf_dir), froot, droot)
+    J.run_ko_job(fact, filed_pages(spark, sf_dir), rate_cells(spark, sf_dir), froot, droot)
     return ST.read_store(spark, froot, schema=fact.schema).select(*J.FACT_COLUMNS)
 
 

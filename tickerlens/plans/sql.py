@@ -285,13 +285,14 @@ FROM (SELECT o_custkey, o_orderkey, o_orderpriority,
 WHERE n_cells > 3 AND contains(o_orderpriority, 'URGENT')
 GROUP BY o_custkey"""
 SNAP_ABORT = "p_size % 11 = 0"
+SNAP_ABORT2 = "(p_size % 11 = 0 OR p_partkey % 103 = 0)"
 SQL["market_snapshot"] = f"""
 SELECT printf('%06d', p_partkey) AS code,
        {CP.SNAPSHOT[1][1]} AS sise_52_price,
        {CP.SNAPSHOT[2][1]} AS sise_revenue_rate,
        CASE WHEN {SNAP_ABORT} THEN '-' ELSE format('{{:,}}', p_partkey * 1000 + p_size) END AS sise_siga_tot,
-       CASE WHEN {SNAP_ABORT} THEN '-' ELSE format('{{:,}}', p_partkey * 7) END AS sise_siga_tot2,
-       CASE WHEN {SNAP_ABORT} THEN '-' ELSE {CP.SNAPSHOT[6][1]} END AS sise_issue_stock_normal
+       CASE WHEN {SNAP_ABORT2} THEN '-' ELSE format('{{:,}}', p_partkey * 7) END AS sise_siga_tot2,
+       CASE WHEN {SNAP_ABORT2} THEN '-' ELSE {CP.SNAPSHOT[6][1]} END AS sise_issue_stock_normal
 FROM part"""
 SQL["consensus"] = f"""
 SELECT printf('%06d', p_partkey) AS code, {CP.CONSENSUS[0]} AS toja_discision,
@@ -335,7 +336,7 @@ FROM (
     FROM (
       SELECT printf('%06d', f.p_partkey) AS code, f.c4, f.roa, f.roe, r.k, r.shown,
              CASE WHEN f.roe - f.roa > 5 THEN f.roa ELSE f.roe END AS c5,
-             CASE WHEN f.p_size % 11 = 0 THEN NULL ELSE 1000000 + (f.p_partkey % 97) * 1000 END AS issued,
+             CASE WHEN f.p_size % 11 = 0 OR f.p_partkey % 103 = 0 THEN NULL ELSE 1000000 + (f.p_partkey % 97) * 1000 END AS issued,
              CASE WHEN f.p_partkey % 101 = 0 THEN 1000000 + (f.p_partkey % 97) * 1000
                   WHEN f.p_partkey % 5 = 0 THEN 0 ELSE f.p_size * 100 END AS treasury
       FROM fin f, rate r)))"""
@@ -405,15 +406,19 @@ CTE["snap"] = "snap AS (" + SQL["market_snapshot"] + ")"
 CTE["cons"] = "cons AS (" + SQL["consensus"] + ")"
 CTE["srimv"] = "srimv AS (" + SRIM_BODY + ")"
 DEPS["srimv"] = ["rate", "fin"]
+# every 17th company's page is filed under another code, so its articles have none
+CTE["paged"] = """paged AS (
+  SELECT printf('%06d', p_partkey) AS code, * FROM part WHERE p_partkey % 17 <> 0)"""
 CTE["light"] = "light AS (" + job_ko_sql(False).replace("WITH ", "", 1).split("\nSELECT strftime(f.run_date", 1)[0] + ")"
 _detail_fields = [c for c in J.DETAIL_COLUMNS if c not in ("key_", "date_", "code_")]
-_src = {"ticker_desc1": "p.p_type", "ticker_desc2": "p.p_brand"}
-SQL["ko_details"] = with_ctes(["fresh", "snap", "cons", "srimv"], f"""
+_src = {"ticker_desc1": "CASE WHEN p.p_partkey % 9 = 0 THEN '-' ELSE p.p_type END",
+        "ticker_desc2": "CASE WHEN p.p_partkey % 9 = 0 THEN '-' ELSE p.p_brand END"}
+SQL["ko_details"] = with_ctes(["fresh", "snap", "cons", "srimv", "rate", "paged"], f"""
 SELECT strftime(f.run_date, '%Y%m%d') || f.code AS key_, strftime(f.run_date, '%Y%m%d') AS date_, f.code AS code_,
-       {", ".join(f"coalesce({_src.get(c, c)}, '-') AS {c}" for c in _detail_fields)}
-FROM fresh f
-LEFT JOIN part p ON printf('%06d', p.p_partkey) = f.code
-LEFT JOIN snap USING (code) LEFT JOIN cons USING (code) LEFT JOIN srimv USING (code)""")
+       {", ".join(f"coalesce({_src.get(c, c)}, {'rate.shown' if c == 'srim_revenue_rate' else _q('-')}) AS {c}" for c in _detail_fields)}
+FROM fresh f CROSS JOIN rate
+LEFT JOIN paged p ON p.code = f.code
+LEFT JOIN snap ON snap.code = p.code LEFT JOIN cons ON cons.code = p.code LEFT JOIN srimv ON srimv.code = p.code""")
 SQL["append_details"] = SQL["ko_details"]
 
 _SYM = ("(CASE WHEN {k} % 7 = 0 THEN 'TX' || CAST({k} AS VARCHAR) "

@@ -34,26 +34,39 @@ def _first_anchor_attr(inner: Column, attr: str) -> Column:
     return F.when(has, val)
 
 
-def anchor_attrs(pages: DataFrame, attr: str, containers=("dd", "dt"),
+def anchor_attrs(pages: DataFrame, attr: str, containers=("dd", "dt"), within: tuple[str, ...] = (),
                  id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """For each container tag in turn, the ``attr`` of the first anchor in each
-    container element; entries whose first anchor lacks it are skipped.
+    """For each container tag in turn, the ``attr`` of the first anchor in each container
+    element; entries whose first anchor lacks it are skipped. With ``within``, only containers
+    inside these enclosing elements count, outermost first; ``tag#id`` asks for an id.
 
-    Output: (id, slot, pos, value), pos 0-based among kept entries of the slot.
+    Output: (id, slot, pos, value), pos 0-based among kept entries of the slot. One scan of
+    the pages: all slots of a page are found in its row and exploded once.
     """
-    parts = []
-    for slot in containers:
-        vals = F.filter(F.transform(elements(F.col(html_col), slot),
-                                    lambda e: _first_anchor_attr(e, attr)),
-                        lambda v: v.isNotNull())
-        parts.append(pages.select(F.col(id_col), F.lit(slot).alias("slot"),
-                                  F.posexplode(vals).alias("pos", "value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    scopes = F.array(F.col(html_col))
+    for tag in within:
+        tag, _, css_id = tag.partition("#")
+        scopes = F.flatten(_inner_all(scopes, _scope_pattern(tag, css_id)))
+    slots = [F.struct(F.lit(slot).alias("slot"), F.filter(
+        F.transform(F.flatten(_inner_all(scopes, _element_pattern(slot))), lambda e: _first_anchor_attr(e, attr)),
+        lambda v: v.isNotNull()).alias("values")) for slot in containers]
+    found = pages.select(F.col(id_col), F.explode(F.array(*slots)).alias("s"))
+    out = found.select(id_col, F.col("s.slot").alias("slot"), F.posexplode("s.values").alias("pos", "value"))
     return out.withColumn("value", _unescape_attr(F.col("value")))
 
 
+def _inner_all(parts: Column, pattern: str) -> Column:
+    return F.transform(parts, lambda h: F.regexp_extract_all(h, F.lit(pattern), 1))
+
+
+def _scope_pattern(tag: str, css_id: str) -> str:
+    """An element that may hold others of other tags; with an id, everything after its start
+    up to the last end tag of its kind."""
+    if not css_id:
+        return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
+    return rf"""(?is)<{tag}\b[^>]*\bid\s*=\s*["']{css_id}["'][^>]*>(.*)</{tag}\s*>"""
+
+
 def _unescape_attr(c: Column) -> Column:
     from ..functions.text import unescape_html
     return unescape_html(c)
@@ -88,23 +101,73 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def page_tables(html: Column) -> Column:
-    """Nested per-page view: array(table) of struct(header array<string>,
-    rows array<array<string>>). The header is the first row when it is made of
-    <th> cells; body rows are numbered from 0 after it (how a table reader
-    indexes a frame). Everything stays inside the page's row, and each table's
-    markup is scanned once."""
-    def split_rows(raw_rows):
-        is_header = F.coalesce(F.get(raw_rows, 0).rlike(r"(?is)<th\b"), F.lit(False))
-        cells = F.transform(raw_rows, lambda r: F.transform(
-            F.regexp_extract_all(r, F.lit(_CELL), 1), _cell_text))
-        return _let(cells, lambda cs: F.struct(
-            F.when(is_header, F.get(cs, 0)).otherwise(F.array().cast("array<string>")).alias("header"),
-            F.when(is_header, F.slice(cs, 2, F.greatest(F.size(cs) - 1, F.lit(0))))
-             .otherwise(cs).alias("rows")))
-
-    return F.transform(F.regexp_extract_all(html, F.lit(_TABLE), 1),
-                       lambda t: _let(F.regexp_extract_all(t, F.lit(_ROW), 1), split_rows))
+def _span(cell: Column, name: str) -> Column:
+    n = F.regexp_extract(cell, rf"""(?is)^<t[dh]\b[^>]*\b{name}\s*=\s*["']?([0-9]+)""", 1).try_cast("int")
+    return F.greatest(F.lit(1), F.coalesce(n, F.lit(1)))
+
+
+def _parsed_row(row: Column, links: bool) -> Column:
+    """Cells of a row: text, whether th, rows spanned, first link; a cell that spans columns is copied."""
+    link = _first_anchor_attr if links else (lambda c, _: F.lit(None).cast("string"))
+    cells = F.transform(F.regexp_extract_all(row, F.lit(_CELL), 0), lambda c: F.array_repeat(
+        F.struct(_cell_text(c).alias("text"), c.rlike("(?is)^<th").alias("th"), _span(c, "rowspan").alias("rows"),
+                 link(c, "href").alias("link")), _span(c, "colspan")))
+    return F.flatten(cells)
+
+
+def _spread_rows(rows: Column) -> Column:
+    """Copies cells that span rows into the rows below: they take their columns there, and a
+    row's own cells fill the columns that are left."""
+    cell = "struct<text: string, th: boolean, rows: int, link: string>"
+    start = F.struct(F.expr(f"cast(array() as array<array<{cell}>>)").alias("out"),
+                     F.expr(f"cast(array() as array<struct<col: int, cell: {cell}>>)").alias("open"))
+
+    def add(state, row):
+        cols = F.sequence(F.lit(0), F.size(row) + F.size(state["open"]))
+        free = F.array_except(cols, F.transform(state["open"], lambda o: o["col"]))
+        own = F.transform(row, lambda c, i: F.struct(F.get(free, i).alias("col"), c.alias("cell")))
+        placed = F.array_sort(F.concat(own, state["open"]), lambda x, y: x["col"] - y["col"])
+        again = F.filter(placed, lambda p: p["cell"]["rows"] > 1)
+        return F.struct(F.concat(state["out"], F.array(F.transform(placed, lambda p: p["cell"]))).alias("out"),
+                        F.transform(again, lambda p: F.struct(p["col"].alias("col"),
+                                                              p["cell"].withField("rows", p["cell"]["rows"] - 1).alias("cell"))).alias("open"))
+    return F.aggregate(rows, start, add, lambda st: st["out"])
+
+
+def page_tables(html: Column, css_class: str | None = None, links: bool = False) -> Column:
+    """Nested per-page view: array(table) of struct(header array<string>, rows
+    array<array<string>>, links array<array<string>>), of the tables with ``css_class`` if given.
+
+    The header is a ``thead``'s last row, or else the last of the leading rows made of ``th``
+    cells only; body rows are numbered from 0 after it (how a table reader indexes a frame). A row
+    of a ``th`` label and ``td`` values is a body row. Cells that span columns or rows are
+    copied. ``links`` holds each cell's first anchor address, if asked for. Everything stays
+    inside the page's row."""
+    def split_rows(table):
+        in_head = F.size(F.regexp_extract_all(F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)</thead\s*>", 1), F.lit(_ROW), 0))
+        parsed = F.transform(F.regexp_extract_all(table, F.lit(_ROW), 1), lambda r: _parsed_row(r, links))
+        full = F.when(table.rlike(r"(?i)\browspan\b"), _spread_rows(parsed)).otherwise(parsed)
+        return _let(F.struct(full.alias("rows"), in_head.alias("in_head")), lambda x: _let(
+            F.struct(x["rows"].alias("rows"), F.greatest(x["in_head"], _leading_headers(x["rows"])).alias("n")), body_of))
+
+    def body_of(x):
+        body = F.slice(x["rows"], x["n"] + 1, F.greatest(F.size(x["rows"]) - x["n"], F.lit(0)))
+        text = F.transform(body, lambda r: F.transform(r, lambda c: c["text"]))
+        head = F.transform(F.get(x["rows"], x["n"] - 1), lambda c: c["text"])
+        fields = [F.when(x["n"] > 0, head).otherwise(F.array().cast("array<string>")).alias("header"), text.alias("rows")]
+        if links:
+            fields.append(F.transform(body, lambda r: F.transform(r, lambda c: c["link"])).alias("links"))
+        return F.struct(*fields)
+
+    wanted = _TABLE if css_class is None else _element_pattern("table", css_class)
+    return F.transform(F.regexp_extract_all(html, F.lit(wanted), 1), split_rows)
+
+
+def _leading_headers(rows: Column) -> Column:
+    """How many rows at the top hold th cells only."""
+    other = F.transform(rows, lambda r: (F.size(r) == 0) | F.exists(r, lambda c: ~c["th"]))
+    first = F.array_position(other, True).cast("int")
+    return F.when(first > 0, first - 1).otherwise(F.size(rows))
 
 
 def cell_at(tables: Column, table_no: int, row_no: int, col) -> Column:
@@ -121,15 +184,17 @@ def row_at(tables: Column, table_no: int, row_no: int) -> Column:
     return F.get(F.get(tables, table_no)["rows"], row_no)
 
 
-def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """S3: long cell form (id, table_no, row_no, col_no, header, cell) of every table."""
-    t = pages.select(F.col(id_col), F.posexplode(page_tables(F.col(html_col))).alias("table_no", "t"))
-    r = t.select(id_col, "table_no", F.col("t.header").alias("hdr"),
-                 F.posexplode("t.rows").alias("row_no", "cells"))
-    c = r.select(id_col, "table_no", "row_no", F.posexplode("cells").alias("col_no", "cell"),
-                 "hdr")
+def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+                css_class: str | None = None, links: bool = False) -> DataFrame:
+    """S3: long cell form (id, table_no, row_no, col_no, header, cell[, link]) of every table."""
+    t = pages.select(F.col(id_col), F.posexplode(page_tables(F.col(html_col), css_class, links)).alias("table_no", "t"))
+    body = F.arrays_zip(F.col("t.rows").alias("cells"), F.col("t.links").alias("links")) if links else F.col("t.rows")
+    r = t.select(id_col, "table_no", F.col("t.header").alias("hdr"), F.posexplode(body).alias("row_no", "r"))
+    cells = F.arrays_zip(F.col("r.cells").alias("cell"), F.col("r.links").alias("link")) if links else F.col("r")
+    c = r.select(id_col, "table_no", "row_no", F.posexplode(cells).alias("col_no", "c"), "hdr")
+    shown = [F.col("c.cell").alias("cell"), F.col("c.link").alias("link")] if links else [F.col("c").alias("cell")]
     return c.select(id_col, "table_no", "row_no", "col_no",
-                    F.get(F.col("hdr"), F.col("col_no")).alias("header"), "cell")
+                    F.get(F.col("hdr"), F.col("col_no")).alias("header"), *shown)
 
 
 def cells_to_fields(cells: DataFrame, spec: dict, id_col: str = "page_id") -> DataFrame:
@@ -146,14 +211,14 @@ def cells_to_fields(cells: DataFrame, spec: dict, id_col: str = "page_id") -> Da
 def pick_first(cells: DataFrame, min_cells: int, needle_col: int, needle: str,
                link_col: int, prefix: str = "", drop: str | None = None,
                id_col: str = "page_id", row_col: str = "row_no") -> DataFrame:
-    """In each page's index table, the first row (by row number) having more
-    than ``min_cells`` cells and ``needle`` inside cell ``needle_col``; returns
-    ``prefix + link`` with ``drop`` removed. Partial aggregation (min_by) keeps a
-    page with a huge index cheap."""
+    """In each page's index table (cells with their links), the first row (by row
+    number) having more than ``min_cells`` cells and ``needle`` inside cell ``needle_col``;
+    returns ``prefix`` and the address that cell ``link_col`` links to, with ``drop`` removed.
+    Partial aggregation (min_by) keeps a page with a huge index cheap."""
     per_row = (cells.groupBy(id_col, row_col)
                .agg(F.count(F.lit(1)).alias("n_cells"),
                     F.max(F.when(F.col("col_no") == needle_col, F.col("cell"))).alias("needle_cell"),
-                    F.max(F.when(F.col("col_no") == link_col, F.col("cell"))).alias("link_cell")))
+                    F.max(F.when(F.col("col_no") == link_col, F.col("link"))).alias("link_cell")))
     hit = per_row.filter((F.col("n_cells") > min_cells) & F.col("needle_cell").contains(needle))
     link = F.concat(F.lit(prefix), F.col("link"))
     if drop:
