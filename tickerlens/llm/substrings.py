@@ -37,7 +37,7 @@ from tickerlens.llm.tables import stored
 from tickerlens.session import ensure_shipped
 
 LENGTH, GRAM = 200, 32
-HOT = 512
+HOT = 4096
 SHARD_BYTES = 2 << 20
 PIECE = 1 << 18  # windows looked at together in a long text
 FIRST = 7  # symbols of 9 bits in a first sort key
@@ -47,13 +47,16 @@ ROWS = "doc_id long, k binary, n_bytes long, sha256 string, h array<long>, pos a
 def _grams(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each position."""
     n = len(data) - GRAM + 1
-    words = np.lib.stride_tricks.sliding_window_view(data, 8)
-    at = np.ascontiguousarray(words[:n + GRAM - 8]).view("<u8").ravel()
-    h = np.zeros(n, dtype=np.uint64)
-    for i in range(0, GRAM, 8):
-        h = (h ^ at[i:i + n]) * np.uint64(0x9FB21C651E98DF25)
-        h ^= h >> np.uint64(29)
-    return mix(h)
+    at = np.ndarray((n + GRAM - 8,), "<u8", np.ascontiguousarray(data), strides=(1,)).copy()  # 8 bytes from each position
+    h = at[:n] * np.uint64(0x9FB21C651E98DF25)
+    for i in range(8, GRAM, 8):
+        h ^= h >> np.uint64(32)
+        h ^= at[i:i + n]
+        h *= np.uint64(0x9FB21C651E98DF25)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _sliding_min(keys: np.ndarray, w: int) -> np.ndarray:
@@ -95,7 +98,7 @@ def scan(docs: DataFrame, length: int) -> DataFrame:
             for cell in b.column(1):
                 text = _text(cell)
                 at, h = anchors(np.frombuffer(text, dtype=np.uint8), length)
-                new = np.flatnonzero(np.diff(at, prepend=-1))
+                new = np.flatnonzero(np.concatenate([at[:1] >= 0, at[1:] != at[:-1]]))
                 k.append(hashlib.md5(text, usedforsecurity=False).digest())
                 n.append(len(text))
                 sha.append(hashlib.sha256(text).hexdigest())
@@ -136,7 +139,7 @@ def _sorted_rows(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     key = np.zeros(n, dtype=np.uint64)
     for i in range(FIRST):
         key = (key << np.uint64(9)) | padded[i:i + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     first = key[order]
     rank, size = np.empty(n, dtype=np.int64), FIRST
     new = np.concatenate([[0], np.cumsum(first[1:] != first[:-1])])
@@ -145,7 +148,7 @@ def _sorted_rows(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
         nxt = np.zeros(n, dtype=np.int64)
         nxt[:max(0, n - size)] = rank[size:]
         pair = rank * (n + 2) + nxt
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         p = pair[order]
         new = np.concatenate([[0], np.cumsum(p[1:] != p[:-1])])
         rank[order] = new + 1
@@ -160,7 +163,7 @@ def repeated_rows(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     order, key = _sorted_rows(symbols, length + 2)
     before = symbols[order - 1]  # the transform; the text is taken as a ring
     lf = np.empty(n, dtype=np.int64)  # row of the symbol before
-    lf[np.argsort(before, kind="stable")] = np.arange(n)
+    lf[np.argsort(before.astype(np.uint16), kind="stable")] = np.arange(n)
     # common prefixes below FIRST symbols are plain in the first keys
     differ = key[1:] ^ key[:-1]
     common = np.full(n + 1, -1, dtype=np.int16)
@@ -180,16 +183,17 @@ def repeated_rows(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
         count = hi - lo
         which = np.repeat(np.arange(len(lo)), count)
         rows = np.arange(len(which)) + np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-        tag = which * 512 + before[rows]
-        if (count == 1).all():
-            start, total = np.arange(len(rows)), count
-        else:
-            place = np.argsort(tag, kind="stable")
-            sorted_tag = tag[place]
-            cut = np.flatnonzero(np.diff(sorted_tag, prepend=-1))
-            start, total = place[cut], np.diff(np.append(cut, len(tag)))
-        left = lf[rows[start]]
-        right = left + total
+        single = count == 1
+        if single.all():
+            left = lf[lo]
+            right = left + 1
+        else:  # rows of an interval by the symbol before them; those of one symbol are an interval again
+            key = (which * 512 + before[rows]) * len(rows) + np.arange(len(rows))
+            key.sort()
+            tag, place = key // len(rows), key % len(rows)
+            cut = np.flatnonzero(np.diff(tag, prepend=-1))
+            left = lf[rows[place[cut]]]
+            right = left + np.diff(np.append(cut, len(key)))
         fresh = common[right] < 0
         left, right = left[fresh], right[fresh]
         common[right] = size
@@ -217,21 +221,29 @@ def repeated_windows(contents: list[bytes], weights: np.ndarray, length: int) ->
     return [hits[a:b] - f for a, b, f in zip(at, at[1:], first)]
 
 
-def _spans(starts: np.ndarray, length: int) -> tuple[list[int], list[int]]:
-    """The bytes covered by windows from sorted ``starts``, as ranges."""
-    if not len(starts):
-        return [], []
-    cut = np.flatnonzero(np.diff(starts) > length)
-    return starts[np.append(0, cut + 1)].tolist(), (starts[np.append(cut, len(starts) - 1)] + length).tolist()
-
-
 COVER = pa.schema([("k", pa.binary()), ("lo", pa.list_(pa.int64())), ("hi", pa.list_(pa.int64()))])
 
 
-def _cover(rows: list[tuple[bytes, np.ndarray]], length: int) -> pa.Table:
-    spans = [(k, *_spans(s, length)) for k, s in rows]
-    spans = [s for s in spans if s[1]]
-    return pa.table([list(c) for c in zip(*spans)] if spans else [[], [], []], schema=COVER)
+def _cover(ks: list[bytes], starts: list[np.ndarray], length: int) -> pa.Table:
+    """Per text, the bytes that windows from the given starts cover, as ranges; row i of
+    ``starts`` belongs to text ``ks[i]``."""
+    names: dict[bytes, int] = {}
+    which = np.repeat(np.array([names.setdefault(k, len(names)) for k in ks], dtype=np.int64), [len(x) for x in starts])
+    if not len(which):
+        return COVER.empty_table()
+    at = np.concatenate(starts)
+    order = np.lexsort((at, which))
+    which, at = which[order], at[order]
+    new_text = np.diff(which, prepend=-1) != 0
+    new = new_text | (np.diff(at, prepend=0) > length)
+    first = np.flatnonzero(new)
+    lo, hi = at[first], at[np.append(first[1:], len(at)) - 1] + length
+    text_of = which[first]
+    cut = np.flatnonzero(np.diff(text_of, prepend=-1))
+    offsets = pa.array(np.append(cut, len(first)), pa.int32())
+    keys = list(names)
+    return pa.table([pa.array([keys[i] for i in text_of[cut].tolist()], pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(lo)),
+                     pa.ListArray.from_arrays(offsets, pa.array(hi))], schema=COVER)
 
 
 def _shard(rows: pa.Table, length: int) -> pa.Table:
@@ -239,7 +251,8 @@ def _shard(rows: pa.Table, length: int) -> pa.Table:
     which = [contents.setdefault(c, len(contents)) for c in rows.column("content").to_pylist()]
     weights = np.bincount(which).astype(float)
     found = repeated_windows(list(contents), weights, length)
-    return _cover([(k, found[i] + s) for k, s, i in zip(rows.column("k").to_pylist(), rows.column("start").to_pylist(), which)], length)
+    starts = [found[i] + s for s, i in zip(rows.column("start").to_pylist(), which)]
+    return _cover(rows.column("k").to_pylist(), starts, length)
 
 
 def _window_hashes(content: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -281,8 +294,8 @@ def hot_covers(hot: DataFrame, length: int) -> DataFrame:
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(k, o.values.to_numpy() + s) for k, s, o in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))]
-            yield from _cover(rows, length).to_batches()
+            starts = [o.values.to_numpy() + s for s, o in zip(b.column(1).to_pylist(), b.column(2))]
+            yield from _cover(b.column(0).to_pylist(), starts, length).to_batches()
 
     return where.join(offs, ["h", "c"]).select("k", "start", "offs").mapInArrow(cover, "k binary, lo array<long>, hi array<long>")
 
