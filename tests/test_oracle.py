@@ -3,10 +3,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tickerlens.plans.queries import QUERIES
 from tools.compare import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def duck():
 
 def test_every_query_has_oracle_or_is_documented():
     rows_only = {"bow_train"}
-    assert set(E.oracle_sql()) | rows_only == set(E.queries())
+    assert set(QUERIES) - set(E.oracle_sql()) == rows_only and set(QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -28,7 +29,8 @@ def test_query_matches_oracle(spark, duck, name):
     srows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(srows) >= 0
+        docs = duck.execute("SELECT count(*) FROM documents").fetchone()[0]
+        assert len(srows) == docs and {r[df.columns.index("pn")] for r in srows} <= {"P", "N"}
         return
     cur = duck.execute(sql)
     ocols = [d[0] for d in cur.description]
@@ -38,4 +40,4 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and len(df.columns) == 16
+    assert df.count() > 0 and len(df.columns) == 16

@@ -84,3 +84,8 @@ def test_modifiers_match_the_rule(spark):
     assert got[8].compound == _compound((-2.5 - 0.293) * -0.74 + 2 * 0.18)
     base = _mod(spark, ["good"], lex)[0]
     assert base.pos == 1.0 and base.neg == 0.0
+
+
+def test_contraction_negates(spark):
+    got = _mod(spark, ["good", "isn't good", "isn\u2019t good", "not good"], [("good", 19)])
+    assert got[1] == got[2] == got[3] != got[0]

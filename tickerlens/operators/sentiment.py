@@ -207,8 +207,10 @@ def lexicon_sentiment_modified(df: DataFrame, id_cols: list[str], text_col: str,
     up, down, neg = _arr(boosters_up), _arr(boosters_down), _arr(negations)
     is_caps = lambda t: (t == F.upper(t)) & (t != F.lower(t))
     txt = F.col(text_col)
+    # an apostrophe inside a word goes, so that a contraction ("isn't") is one token of the lists
+    joined = F.regexp_replace(txt, r"(?<=\p{L})['\u2019](?=\p{L})", "")
     # per-text values first (columns), so the per-token lambda only reads them
-    s1 = df.select(*id_cols, F.regexp_extract_all(txt, F.lit(r"\p{L}+"), 0).alias("_toks"),
+    s1 = df.select(*id_cols, F.regexp_extract_all(joined, F.lit(r"\p{L}+"), 0).alias("_toks"),
                    (F.length(txt) - F.length(F.replace(txt, F.lit("!"), F.lit("")))).alias("n_excl"),
                    (F.length(txt) - F.length(F.replace(txt, F.lit("?"), F.lit("")))).alias("n_qm"))
     n_caps = F.size(F.filter("_toks", is_caps))

@@ -17,6 +17,7 @@ from ..functions.language import verdict
 from ..functions.text import keep_alnum_hangul, normalise_ws, py_strip, section_after, truncate_words
 from ..operators import features as FE
 from ..operators import linking, pages, quotes, sentiment, store, valuation
+from ..operators.enrich import us_request
 from ..operators.usjob import extract_ticker
 from ..session import materialize, stored
 
@@ -132,12 +133,9 @@ def details(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
     return store.render_details(out.select(*DETAIL_COLUMNS))
 
 
-def job_us(articles: DataFrame, us_store: DataFrame, company_pages: DataFrame,
-           lexicon: DataFrame, run_time: str = "18:00") -> DataFrame:
-    """Q2: ticker from each headline (P4), drop tickers already stored for the
-    day (J4), company name from the ticker's page (V5; a headline whose page is
-    missing is skipped), stored report reuse (J5), lexicon sentiment (A7)."""
-    hhmm, hh_mm = _run_time(run_time)
+def us_articles_named(articles: DataFrame, us_store: DataFrame, company_pages: DataFrame) -> DataFrame:
+    """New US headlines with ticker (P4, J4), company name from the ticker's page (V5; a
+    headline whose page is missing is skipped) and the stored report, if any (J5)."""
     a = extract_ticker(articles, "headline").withColumn("date_", F.date_format("run_date", "yyyyMMdd"))
     a = linking.new_only(a, us_store, [("ticker", "ticker"), ("date_", "date_")])
     names = company_pages.select("ticker", *valuation.company_profile(
@@ -145,16 +143,35 @@ def job_us(articles: DataFrame, us_store: DataFrame, company_pages: DataFrame,
         ("company_name", "_unused"))).withColumn("company_name", py_strip("company_name")).where(
         F.col("company_name") != valuation.MISSING)
     names = names.groupBy("ticker").agg(F.min("company_name").alias("company_name"))
-    a = a.join(names, "ticker")
-    a = store.reuse_reports(a, us_store, "ticker", "ticker", "report_")
-    a = a.withColumn("tokens", FE.tokenise("headline"))
-    scores = sentiment.lexicon_sentiment(a, ["seq"], "tokens", lexicon)
+    return store.reuse_reports(a.join(names, "ticker"), us_store, "ticker", "ticker", "report_")
+
+
+def job_us(articles: DataFrame, us_store: DataFrame, company_pages: DataFrame,
+           lexicon: DataFrame, run_time: str = "18:00") -> DataFrame:
+    """Q2: the new US headlines, named, with stored reports and the full lexicon score (A7
+    with its modifier layer)."""
+    hhmm, _ = _run_time(run_time)
+    a = us_articles_named(articles, us_store, company_pages)
+    scores = sentiment.lexicon_sentiment_modified(a, ["seq"], "headline", lexicon)
     a = a.join(scores, "seq")
     # the US fact keeps the run date and time as YYYYMMDD / HHMM
     return a.select("ticker", "date_", F.lit(hhmm).alias("time_"), "headline", "company_name",
                     F.col("report").alias("report_"), "neg", "neu", "pos", "compound")
 
 
+def report_requests(articles: DataFrame, us_store: DataFrame, company_pages: DataFrame) -> DataFrame:
+    """The prompts of the US headlines without a reusable report: what a model client answers."""
+    a = us_articles_named(articles, us_store, company_pages).where("needs_report")
+    return a.select("seq", "ticker", us_request(F.col("company_name"), F.col("headline")).alias("prompt"))
+
+
+def run_us_job(fact: DataFrame, root: str) -> str:
+    """The US run's sink: the rows without an error report are appended, which leaves what
+    "append, then delete error reports" would."""
+    keep = ~F.coalesce(F.col("report_").rlike(store.ERROR_PATTERN), F.lit(False))
+    return store.append(fact.where(keep), root, sort_by=["date_", "ticker"])
+
+
 # Fixed value: the filing report type, and the prompt that asks for a summary.
 FILING_TYPE = "10-K"
 FILING_PROMPT = ("The following text is part of the {company} report. Please summarize the main "

@@ -540,6 +540,27 @@ def q_job_us(spark, sf_dir):
                     A.us_company_pages(spark, sf_dir), _us_lexicon(spark, sf_dir))
 
 
+@register("job_us_stored")
+def q_job_us_stored(spark, sf_dir):
+    """Q2 with its sink: the stored US rows after the run, without error reports."""
+    us = q_job_us(spark, sf_dir)
+    root = _store_dir(spark, "run_us")
+    J.run_us_job(us, root)
+    return ST.read_store(spark, root, schema=us.schema).select(*J.US_COLUMNS)
+
+
+@register("report_requests")
+def q_report_requests(spark, sf_dir):
+    return J.report_requests(A.us_articles(spark, sf_dir), A.us_store(spark, sf_dir), A.us_company_pages(spark, sf_dir))
+
+
+@register("bow_train_scores")
+def q_bow_train_scores(spark, sf_dir):
+    """A9's invariants: every document has a label and a ratio between 50 and 100."""
+    r = q_bow_train(spark, sf_dir)
+    return r.select("id", (F.col("pn").isin("P", "N") & F.col("ratio").between(50.0, 100.0)).alias("valid"))
+
+
 @register("filing_digest_requests")
 def q_filing_digest_requests(spark, sf_dir):
     d = _docs(spark, sf_dir)

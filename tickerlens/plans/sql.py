@@ -440,18 +440,6 @@ CTE["uarts"] = f"""uarts AS (
   WHERE length(ticker) <= 4
     AND NOT EXISTS (SELECT 1 FROM ustore s WHERE s.ticker = t.ticker AND s.date_ = t.date_))"""
 DEPS["uarts"] = ["ustore"]
-SQL["job_us"] = with_ctes(["uarts", "lex"], f"""
-, uscores AS ({lex_scores_sql("uarts", "seq", "headline")})
-SELECT a.ticker, a.date_, '1800' AS time_, a.headline, n.company_name,
-       coalesce(r.rep, '') AS report_, sc.neg, sc.neu, sc.pos, sc.compound
-FROM uarts a
-JOIN (SELECT 'T' || CAST(c_custkey % 1000 AS VARCHAR) AS ticker, min(c_name) AS company_name
-      FROM customer GROUP BY 1) n ON n.ticker = a.ticker
-LEFT JOIN (SELECT ticker, max(report_) AS rep FROM ustore
-           WHERE report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} GROUP BY ticker) r ON r.ticker = a.ticker
-JOIN uscores sc ON sc.seq = a.seq""").replace("\n\n, uscores AS (", ",\nuscores AS (", 1)
-SQL["append_us"] = SQL["job_us"]
-
 _norm = f"regexp_replace(replace(text, chr(10), ' '), {_q(WSR)}, ' ', 'g')"
 _prefix = J.FILING_PROMPT.split("{company}")
 SQL["filing_digest_requests"] = f"""
@@ -524,24 +512,28 @@ def _neg(d: int) -> str:
 
 
 _booster_words = _inlist(tuple(_S.BOOSTERS_UP) + tuple(_S.BOOSTERS_DOWN))
-SQL["lexicon_sentiment_modified"] = with_ctes(["lex"], f"""
-, t1 AS (
-  SELECT conv_id, turn, regexp_extract_all(text, '\\p{{L}}+') AS toks,
-         length(text) - length(replace(text, '!', '')) AS n_excl,
-         length(text) - length(replace(text, '?', '')) AS n_qm
-  FROM conversations),
+def lex_modified_sql(source: str, ids: str, text: str) -> str:
+    """CTEs from t1 to m and the select of the modifier layer over a source's texts."""
+    # twice, since matches that share a letter don't overlap
+    word = "'(\\p{L})[''\u2019](\\p{L})', '\\1\\2', 'g'"
+    joined = f"regexp_replace(regexp_replace({text}, {word}), {word})"
+    return f"""t1 AS (
+  SELECT {ids}, regexp_extract_all({joined}, '\\p{{L}}+') AS toks,
+         length({text}) - length(replace({text}, '!', '')) AS n_excl,
+         length({text}) - length(replace({text}, '?', '')) AS n_qm
+  FROM {source}),
 t2 AS (
   SELECT *, len(list_filter(toks, lambda t: {_caps('t')})) AS n_caps,
          coalesce(list_position(list_transform(toks, lambda t: lower(t)), 'but'), 0) AS but_at
   FROM t1),
 t3 AS (SELECT *, n_caps > 0 AND n_caps < len(toks) AS capdiff FROM t2),
 tk AS (
-  SELECT conv_id, turn, n_excl, n_qm, toks, capdiff, but_at,
+  SELECT {ids}, n_excl, n_qm, toks, capdiff, but_at,
          unnest(CASE WHEN len(toks) = 0 THEN [NULL] ELSE toks END) AS tok,
          unnest(CASE WHEN len(toks) = 0 THEN [NULL] ELSE range(len(toks)) END) AS i
   FROM t3),
 ft AS (
-  SELECT conv_id, turn, n_excl, n_qm, tok, lower(tok) AS token,
+  SELECT {ids}, n_excl, n_qm, tok, lower(tok) AS token,
          lower(tok) IN {_booster_words} AS is_booster,
          {_caps('tok')} AND capdiff AS caps,
          {_boost(1)} + {_boost(2)} + {_boost(3)} AS boost,
@@ -556,10 +548,10 @@ v1 AS (SELECT *, CASE WHEN b = 0 THEN 0.0 ELSE b + (CASE WHEN caps THEN (CASE WH
 v2 AS (SELECT *, CASE WHEN va = 0 THEN va ELSE va + (CASE WHEN va > 0 THEN boost ELSE -boost END) END AS vbst FROM v1),
 v3 AS (SELECT *, CASE WHEN tok IS NOT NULL THEN vbst * pow({_S.N_SCALAR}, negs) * but END AS v FROM v2),
 g AS (
-  SELECT conv_id, turn, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 END) AS pos_sum,
+  SELECT {ids}, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 END) AS pos_sum,
          sum(CASE WHEN v < 0 THEN v - 1 END) AS neg_sum, count(CASE WHEN v = 0 THEN 1 END) AS neu_n,
          first(n_excl) AS n_excl, first(n_qm) AS n_qm
-  FROM v3 GROUP BY conv_id, turn),
+  FROM v3 GROUP BY {ids}),
 h AS (
   SELECT *, least(n_excl, {_S.EXCL_MAX}) * {_S.EXCL_STEP}
             + (CASE WHEN n_qm > {_S.QM_MAX_SMALL} THEN {_S.QM_BIG} WHEN n_qm > 1 THEN n_qm * {_S.QM_STEP} ELSE 0.0 END) AS punct,
@@ -572,12 +564,38 @@ k AS (
          CAST(neu_n AS DOUBLE) AS neu
   FROM h),
 m AS (SELECT *, p2 + abs(n2) + neu AS total FROM k)
-SELECT conv_id, turn,
+SELECT {ids},
        CASE WHEN total > 0 THEN round(abs(n2 / total), 3) ELSE 0.0 END AS neg,
        CASE WHEN total > 0 THEN round(abs(neu / total), 3) ELSE 0.0 END AS neu,
        CASE WHEN total > 0 THEN round(abs(p2 / total), 3) ELSE 0.0 END AS pos,
        CASE WHEN sa = 0 THEN 0.0 ELSE round(greatest(-1.0, least(1.0, sa / sqrt(sa * sa + 15.0))), 4) END AS compound
-FROM m""").replace("\n\n, t1 AS (", ",\nt1 AS (", 1)
+FROM m"""
+
+
+def _after_ctes(names: list[str], body: str) -> str:
+    return with_ctes(names, ",\n" + body).replace("\n,\n", ",\n", 1)
+
+
+SQL["lexicon_sentiment_modified"] = _after_ctes(["lex"], lex_modified_sql("conversations", "conv_id, turn", "text"))
+_us_ctes, _us_select = lex_modified_sql("uarts", "seq", "headline").rsplit("\nSELECT ", 1)
+_US_NAMED = """(SELECT 'T' || CAST(c_custkey % 1000 AS VARCHAR) AS ticker, min(c_name) AS company_name
+      FROM customer GROUP BY 1) n"""
+_US_STORED = f"""(SELECT ticker, max(report_) AS rep FROM ustore
+           WHERE report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} GROUP BY ticker) r"""
+SQL["job_us"] = _after_ctes(["uarts", "lex"], f"""{_us_ctes},
+uscores AS (SELECT {_us_select})
+SELECT a.ticker, a.date_, '1800' AS time_, a.headline, n.company_name,
+       coalesce(r.rep, '') AS report_, sc.neg, sc.neu, sc.pos, sc.compound
+FROM uarts a JOIN {_US_NAMED} ON n.ticker = a.ticker LEFT JOIN {_US_STORED} ON r.ticker = a.ticker
+JOIN uscores sc ON sc.seq = a.seq""")
+SQL["append_us"] = SQL["job_us"]
+SQL["job_us_stored"] = f"SELECT * FROM ({SQL['job_us']}) WHERE NOT regexp_matches(report_, 'Error|에러')"
+SQL["report_requests"] = with_ctes(["uarts"], f"""
+SELECT a.seq, a.ticker, '다음 문장은 나스닥 상장사 ' || n.company_name || '의 오늘 뉴스 타이틀 입니다. ' || a.headline
+       || '. 이 회사의 간단한 소개 및 현재 상황을 문장 기호를 사용하여 5문장 이내로 알려 주세요. (물론입니다.는 생략 해 주세요)' AS prompt
+FROM uarts a JOIN {_US_NAMED} ON n.ticker = a.ticker LEFT JOIN {_US_STORED} ON r.ticker = a.ticker
+WHERE coalesce(r.rep, '') = ''""")
+SQL["bow_train_scores"] = "SELECT doc_id AS id, true AS valid FROM documents"
 
 SQL["job_ko_stored"] = ("SELECT * FROM (" + SQL["job_ko"] + f") j WHERE NOT coalesce(regexp_matches(report_, {_q(_ERR)}), false)")
 
