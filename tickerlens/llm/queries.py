@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import decontam, langid, mixing, neardup, pii, substrings, token_store, topk, warc
+from tickerlens.llm import decontam, langid, lines, mixing, neardup, pii, substrings, token_store, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(table(spark, sf_dir, "pages"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_exact_topk": op2_exact_topk,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_line_dedup": op4_line_dedup,
     "op5_warc": op5_warc,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
@@ -81,6 +86,18 @@ SQL: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
         FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 5""",
+    "op4_line_dedup": r"""
+        WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+        w AS (SELECT doc_id, i, array_to_string(list_slice(a, i, i + 2), chr(10)) AS t
+              FROM l, unnest(range(1, len(a) - 1)) AS u(i)),
+        later AS (
+          SELECT doc_id, i FROM w WHERE regexp_matches(t, '[^\x20\x09-\x0D]')
+          QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, i) > 1),
+        gone AS (
+          SELECT doc_id, list(DISTINCT i + d) AS g FROM later, (VALUES (0), (1), (2)) AS x(d) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(a) AS BIGINT) AS n_lines, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
+               sha256(array_to_string(list_filter(a, lambda x, i: g IS NULL OR NOT list_contains(g, i)), chr(10))) AS kept_sha256
+        FROM l LEFT JOIN gone USING (doc_id)""",
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM p),
