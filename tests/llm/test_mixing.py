@@ -65,8 +65,8 @@ def test_schedule_is_even_and_complete(spark):
     for s, n in ((0, 600), (1, 300), (2, 100)):
         mine = sorted((r.n, r["rank"]) for r in got if r.s == s)
         assert [x[1] for x in mine] == list(range(n))
-        for k in range(0, 1000, 100):  # no source runs ahead
-            assert abs(sum(x[0] < k for x in mine) - n * k / 1000) <= 4
+        for k in range(0, 1000, 50):  # no source runs ahead by more than a low-discrepancy sequence's log2(1000)
+            assert abs(sum(x[0] < k for x in mine) - n * k / 1000) <= 10
 
 
 def test_cases(spark):

@@ -3,7 +3,7 @@
 DataFrame operations only. Each source's documents are shuffled (ordered by a seeded hash)
 and laid end to end as a stream of words, cut into equal blocks. A target of words per
 source follows from its weight; it fixes how many block slots the source has. The schedule
-walks the golden-ratio points ``n * g mod Q`` (g next to Q / 1.618, prime to Q, so every
+walks the golden-ratio points ``n * g mod Q`` (g near Q / 1.618 and prime to Q, so every
 slot is met exactly once) and maps each through the cumulative slot counts to a source; the
 n-th slot's rank among its source's slots says which block, in which pass, it takes.
 
@@ -85,11 +85,20 @@ def slot_counts(targets: DataFrame, block: int) -> DataFrame:
                 Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")))
 
 
-def golden_step(n: int) -> int:
-    g = max(1, round(n * GOLDEN))
-    while math.gcd(g, n) != 1:
-        g += 1
-    return g
+def _largest_quotient(g: int, n: int) -> int:
+    """Largest partial quotient of the continued fraction of g / n; 0 if they share a factor.
+    The points k * g / n are the more even the smaller it is; the golden ratio's are all 1."""
+    most, a, b = 0, n, g
+    while b:
+        most, a, b = max(most, a // b), b, a % b
+    return most if a == 1 else 0
+
+
+def golden_step(n: int, around: int = 200) -> int:
+    """The step near the golden section of n that gives the most even points."""
+    middle = round(n * GOLDEN)
+    near = [g for g in range(max(1, middle - around), min(n - 1, middle + around) + 1) if _largest_quotient(g, n)]
+    return min(near, key=lambda g: (_largest_quotient(g, n), abs(g - middle)), default=1)
 
 
 def schedule(counts: DataFrame, total: int) -> DataFrame:

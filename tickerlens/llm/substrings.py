@@ -12,7 +12,7 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
    are extended backwards breadth-first; each new interval end is a place where the common
    prefix of two neighbour rows has the current length. So common prefixes come by increasing
    value, and the search stops at ``length``: rows not parted by then share ``length`` bytes.
-3. An anchor with more than ``HOT`` occurrences would fill its shard: its segments are first
+3. An anchor in more than ``HOT`` texts would fill its shard: its segments are first
    counted by content, and the windows of the distinct ones are then counted by a 128-bit hash.
 
 Texts that are equal as a whole form a class whose members, if long enough, go entirely;
@@ -37,11 +37,11 @@ from tickerlens.llm.tables import stored
 from tickerlens.session import ensure_shipped
 
 LENGTH, GRAM = 200, 32
-HOT = 4096
+HOT = 8192
 SHARD_BYTES = 2 << 20
 PIECE = 1 << 18  # windows looked at together in a long text
 FIRST = 7  # symbols of 9 bits in a first sort key
-ROWS = "doc_id long, k binary, n_bytes long, sha256 string, h array<long>, pos array<long>"
+ROWS = "doc_id long, k binary, n_bytes long, sha256 string, h array<long>, c array<long>"
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -90,45 +90,54 @@ def _text(cell) -> bytes:
     return cell.as_buffer().to_pybytes() if cell.is_valid else b""
 
 
+def _first_windows(at: np.ndarray) -> np.ndarray:
+    """The first window of each run of windows with one anchor."""
+    return np.flatnonzero(np.concatenate([at[:1] >= 0, at[1:] != at[:-1]]))
+
+
 def scan(docs: DataFrame, length: int) -> DataFrame:
-    """Digest, size, and anchors of each text."""
+    """Digest and size of each text, its different anchor hashes and how often it has each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            k, n, sha, hs, ps = [], [], [], [], []
+            k, n, sha, hs, cs = [], [], [], [], []
             for cell in b.column(1):
                 text = _text(cell)
                 at, h = anchors(np.frombuffer(text, dtype=np.uint8), length)
-                new = np.flatnonzero(np.concatenate([at[:1] >= 0, at[1:] != at[:-1]]))
+                own, count = np.unique(h[_first_windows(at)], return_counts=True)
                 k.append(hashlib.md5(text, usedforsecurity=False).digest())
                 n.append(len(text))
                 sha.append(hashlib.sha256(text).hexdigest())
-                hs.append(h[new].view(np.int64))
-                ps.append(at[new])
+                hs.append(own.view(np.int64))
+                cs.append(count)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k, pa.binary()), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
-                                              pa.array(hs, pa.list_(pa.int64())), pa.array(ps, pa.list_(pa.int64()))],
-                                             names=["doc_id", "k", "n_bytes", "sha256", "h", "pos"])
+                                              pa.array(hs, pa.list_(pa.int64())), pa.array(cs, pa.list_(pa.int64()))],
+                                             names=["doc_id", "k", "n_bytes", "sha256", "h", "c"])
     return docs.mapInArrow(run, ROWS)
 
 
 def segments(found: DataFrame, length: int) -> DataFrame:
-    """(h, hot, k, start, content): the windows of each repeated anchor, as one piece of text."""
+    """(h, hot, k, starts, content): the windows of each repeated anchor as one piece of text,
+    with all places where the text has it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, cell, pos, hot in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
+            for k, cell, wanted, hot in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
                 text = _text(cell)
                 at, h = anchors(np.frombuffer(text, dtype=np.uint8), length)
-                pos, hot = pos.values.to_numpy(), hot.values.to_numpy(zero_copy_only=False)
-                first = np.flatnonzero(np.diff(at, prepend=-1))
+                wanted, hot = wanted.values.to_numpy(), hot.values.to_numpy(zero_copy_only=False)
+                order = np.argsort(wanted)
+                first = _first_windows(at)
                 end = np.append(first[1:], len(at))
-                order = np.argsort(pos)
-                where = np.minimum(np.searchsorted(pos[order], at[first]), len(pos) - 1)
-                again = pos[order][where] == at[first]
-                first, end, is_hot = first[again], end[again], hot[order][where][again]
+                own = h[first].view(np.int64)
+                where = order[np.minimum(np.searchsorted(wanted[order], own), len(wanted) - 1)]
+                again = wanted[where] == own
+                rows: dict[tuple[int, bytes], list[int]] = {}
+                for i, x, y in zip(where[again].tolist(), first[again].tolist(), end[again].tolist()):
+                    rows.setdefault((i, text[x:y - 1 + length]), []).append(x)
+                at_ = [i for i, _ in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[first].view(np.int64)), pa.array(is_hot), pa.array([k] * len(first), pa.binary()), pa.array(first),
-                     pa.array([text[x:y - 1 + length] for x, y in zip(first.tolist(), end.tolist())], pa.binary())],
-                    names=["h", "hot", "k", "start", "content"])
-    return found.select("k", "text", "pos", "hot").mapInArrow(run, "h long, hot boolean, k binary, start long, content binary")
+                    [pa.array(wanted[at_]), pa.array(hot[at_]), pa.array([k] * len(rows), pa.binary()), pa.array(list(rows.values()), pa.list_(pa.int64())),
+                     pa.array([c for _, c in rows], pa.binary())], names=["h", "hot", "k", "starts", "content"])
+    return found.select("k", "text", "h", "hot").mapInArrow(run, "h long, hot boolean, k binary, starts array<long>, content binary")
 
 
 def _sorted_rows(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,10 +258,10 @@ def _cover(ks: list[bytes], starts: list[np.ndarray], length: int) -> pa.Table:
 def _shard(rows: pa.Table, length: int) -> pa.Table:
     contents: dict[bytes, int] = {}
     which = [contents.setdefault(c, len(contents)) for c in rows.column("content").to_pylist()]
-    weights = np.bincount(which).astype(float)
+    places = [np.array(x) for x in rows.column("starts").to_pylist()]
+    weights = np.bincount(which, weights=[len(x) for x in places])
     found = repeated_windows(list(contents), weights, length)
-    starts = [found[i] + s for s, i in zip(rows.column("start").to_pylist(), which)]
-    return _cover(rows.column("k").to_pylist(), starts, length)
+    return _cover(rows.column("k").to_pylist(), [np.add.outer(x, found[i]).ravel() for x, i in zip(places, which)], length)
 
 
 def _window_hashes(content: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -272,8 +281,8 @@ def _window_hashes(content: bytes, length: int) -> tuple[np.ndarray, np.ndarray]
 def hot_covers(hot: DataFrame, length: int) -> DataFrame:
     """Covers of the segments of very frequent anchors: by counted contents, then by counted
     windows of the distinct contents."""
-    keyed = hot.select("h", F.md5("content").alias("c"), "k", "start", "content")
-    distinct = stored(keyed.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.first("content").alias("content")), "substrings-hot")
+    keyed = hot.select("h", F.md5("content").alias("c"), "k", "starts", "content")
+    distinct = stored(keyed.groupBy("h", "c").agg(F.sum(F.size("starts")).alias("n"), F.first("content").alias("content")), "substrings-hot")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -294,10 +303,10 @@ def hot_covers(hot: DataFrame, length: int) -> DataFrame:
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            starts = [o.values.to_numpy() + s for s, o in zip(b.column(1).to_pylist(), b.column(2))]
+            starts = [np.add.outer(x.values.to_numpy(), o.values.to_numpy()).ravel() for x, o in zip(b.column(1), b.column(2))]
             yield from _cover(b.column(0).to_pylist(), starts, length).to_batches()
 
-    return where.join(offs, ["h", "c"]).select("k", "start", "offs").mapInArrow(cover, "k binary, lo array<long>, hi array<long>")
+    return where.join(offs, ["h", "c"]).select("k", "starts", "offs").mapInArrow(cover, "k binary, lo array<long>, hi array<long>")
 
 
 def _merge(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -340,21 +349,21 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = stored(scan(plain, length), "substrings-rows")
     classes = stored(rows.groupBy("k").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"), F.first("h").alias("h"),
-                                           F.first("pos").alias("pos")), "substrings-classes")
-    each = classes.select("k", F.inline(F.arrays_zip("h", "pos")))
-    often = stored(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "substrings-anchors")
-    again = (each.join(often, "h").groupBy("k").agg(F.collect_list(F.struct("pos", (F.col("n") > hot).alias("hot"))).alias("a"))
-             .select("k", F.col("a.pos").alias("pos"), F.col("a.hot").alias("hot")))  # anchors of one text
+                                           F.first("c").alias("c")), "substrings-classes")
+    each = classes.select("k", F.inline(F.arrays_zip("h", "c")))
+    often = stored(each.groupBy("h").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("texts")).where("n > 1"), "substrings-anchors")
+    again = (each.select("k", "h").join(often, "h").groupBy("k").agg(F.collect_list(F.struct("h", (F.col("texts") > hot).alias("hot"))).alias("a"))
+             .select("k", F.col("a.h").alias("h"), F.col("a.hot").alias("hot")))  # anchors of one text
     wanted = stored(again.join(classes.select("k", "rep"), "k"), "substrings-wanted").withColumnRenamed("k", "k_")
     text = plain.where("text IS NOT NULL").withColumn("k", F.unhex(F.md5("text")))
     found = stored(text.join(wanted, (F.col("k") == F.col("k_")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-                   .select("k", "text", "pos", "hot"), "substrings-texts")
+                   .select("k", "text", "h", "hot"), "substrings-texts")
 
     cut = stored(segments(found, length), "substrings-segments")
     usual = cut.where("NOT hot")
     n_shards = max(1, -(-(usual.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0]) // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("h"), F.lit(n_shards))
-    covers = (usual.select(shard.alias("shard"), "k", "start", "content").groupBy("shard")
+    covers = (usual.select(shard.alias("shard"), "k", "starts", "content").groupBy("shard")
               .applyInArrow(lambda t: _shard(t, length), "k binary, lo array<long>, hi array<long>"))
     covers = stored(covers.unionByName(hot_covers(cut.where("hot"), length)), "substrings-covers")
     lost = removals(found.dropDuplicates(["k"]), covers)
