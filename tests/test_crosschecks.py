@@ -26,7 +26,8 @@ def test_latest_quote_equals_row_number(spark):
     got = Q.latest_quote(q, tiebreak=A.QUOTE_TIEBREAK)
     order = [F.col("date").desc()] + [F.col(c).desc() for c in A.QUOTE_TIEBREAK + Q.QUOTE_VALUES]
     w = Window.partitionBy("code").orderBy(*order)
-    ref = (q.where(F.col("date").isNotNull()).withColumn("rn", F.row_number().over(w))
+    whole = q.dropna(subset=["date", *Q.QUOTE_VALUES])  # incomplete quotes are dropped first
+    ref = (whole.withColumn("rn", F.row_number().over(w))
            .where("rn = 1").select("code", "date", *Q.QUOTE_VALUES))
     cols = ["code", "date"] + Q.QUOTE_VALUES
     assert got.select(*cols).exceptAll(ref.select(*cols)).count() == 0
