@@ -109,8 +109,16 @@ QUOTE_TIEBREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the fact already analysed: purchase and view events."""
-    e = read_table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "view"))
+    """Rows of the fact already analysed when a job runs: purchase and view events."""
+    return _stored(spark, sf_dir, read_table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "view")))
+
+
+def store_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole fact: a row per event."""
+    return _stored(spark, sf_dir, read_table(spark, sf_dir, "events"))
+
+
+def _stored(spark: SparkSession, sf_dir: str, e: DataFrame) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     j = e.join(d, e["event_id"] == d["doc_id"], "left")
     m = F.col("doc_id") % 5

@@ -58,6 +58,7 @@ CTE["store"] = f"""store AS (
               ELSE d.text END AS report_
   FROM events e LEFT JOIN documents d ON e.event_id = d.doc_id
   WHERE e.event_type IN ('purchase', 'view'))"""
+CTE["store_all"] = CTE["store"].replace("store AS (", "store_all AS (", 1).replace("\n  WHERE e.event_type IN ('purchase', 'view')", "")
 _replies = ", ".join(_q(r) for r in A.REPLIES)
 CTE["replies"] = f"""replies AS (
   SELECT seq, title,

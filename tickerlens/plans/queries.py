@@ -150,7 +150,7 @@ def q_run_keys(spark, sf_dir):
 @register("error_report_predicates")
 def q_error_report_predicates(spark, sf_dir):
     from ..operators.store import ERROR_PATTERN, FAILURE_MARK
-    s = A.store(spark, sf_dir)
+    s = A.store_all(spark, sf_dir)
     return s.select("seq", (~F.col("report_").contains(FAILURE_MARK)).alias("reusable"),
                     F.col("report_").rlike(ERROR_PATTERN).alias("purge"))
 
@@ -198,12 +198,12 @@ def q_reuse_reports(spark, sf_dir):
 
 @register("count_by_code_date")
 def q_count_by_code_date(spark, sf_dir):
-    return ST.count_by_code_date(A.store(spark, sf_dir))
+    return ST.count_by_code_date(A.store_all(spark, sf_dir))
 
 
 @register("max_report")
 def q_max_report(spark, sf_dir):
-    return ST.max_report(A.store(spark, sf_dir))
+    return ST.max_report(A.store_all(spark, sf_dir))
 
 
 @register("dedupe_pages")
@@ -602,7 +602,7 @@ def q_append_us(spark, sf_dir):
 def q_purge_error_reports(spark, sf_dir):
     """K4: store rows, then delete rows whose report matches 'Error|에러' as a new
     version; running the purge twice changes nothing (idempotent)."""
-    s = A.store(spark, sf_dir)
+    s = A.store_all(spark, sf_dir)
     root = _store_dir(spark, "prediction_pn_purge")
     ST.append(s, root, partition_by=["date_"])
     ST.purge(spark, root, s.schema, ["date_"])
@@ -613,7 +613,7 @@ def q_purge_error_reports(spark, sf_dir):
 @register("table_scan")
 def q_table_scan(spark, sf_dir):
     """Stored table read with projection and a predicate on the partition column."""
-    s = A.store(spark, sf_dir)
+    s = A.store_all(spark, sf_dir)
     root = _store_dir(spark, "store_scan")
     ST.append(s, root, partition_by=["date_"])
     return ST.read_store(spark, root, columns=["seq", "code_", "report_"],

@@ -82,10 +82,10 @@ SELECT event_id, strftime(ts, '%Y%m%d') || strftime(ts, '%H%M') || printf('%06d'
        strftime(ts, '%Y%m%d') || printf('%06d', user_id) AS detail_key,
        strftime(ts, '%Y-%m-%d') AS date_, strftime(ts, '%H:%M') AS time_
 FROM events"""
-SQL["error_report_predicates"] = with_ctes(["store"], f"""
+SQL["error_report_predicates"] = with_ctes(["store_all"], f"""
 SELECT seq, report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} AS reusable,
        regexp_matches(report_, {_q(ERROR_PATTERN)}) AS purge
-FROM store""")
+FROM store_all""")
 
 # --- joins, sets, windows ----------------------------------------------------
 from .oracle import CTE, DEPS  # noqa: E402
@@ -114,8 +114,10 @@ DEPS["max_report"] = ["store"]
 SQL["reuse_reports"] = with_ctes(["linked", "max_report"], """
 SELECT l.seq, l.code, coalesce(r.stored_report, '') AS report, length(coalesce(r.stored_report, '')) = 0 AS needs_report
 FROM linked l LEFT JOIN max_report r ON r.code_ = l.code""")
-SQL["count_by_code_date"] = with_ctes(["store"], "SELECT code_, date_, count(*) AS cnt FROM store GROUP BY code_, date_")
-SQL["max_report"] = with_ctes(["max_report"], "SELECT code_, stored_report FROM max_report")
+SQL["count_by_code_date"] = with_ctes(["store_all"], "SELECT code_, date_, count(*) AS cnt FROM store_all GROUP BY code_, date_")
+SQL["max_report"] = with_ctes(["store_all"], f"""
+SELECT code_, max(report_) AS stored_report FROM store_all
+WHERE report_ NOT LIKE {_q('%' + FAILURE_MARK + '%')} GROUP BY code_""")
 SQL["dedupe_pages"] = """
 SELECT min(doc_id) AS doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines
 FROM documents GROUP BY string_split(text, chr(10)), text"""
@@ -453,9 +455,9 @@ FROM (
       SELECT doc_id, source, sec, regexp_replace(sec, {_q(f'[^{HANGUL_KEEP}{WS}]+')}, '', 'g') AS kept
       FROM (SELECT doc_id, source, CASE WHEN strpos({_norm}, '. ') > 0 THEN split_part({_norm}, '. ', 2) END AS sec
             FROM documents))))"""
-SQL["purge_error_reports"] = with_ctes(["store"], f"""
-SELECT seq, code_, date_, report_ FROM store WHERE NOT coalesce(regexp_matches(report_, {_q(_ERR)}), false)""")
-SQL["table_scan"] = with_ctes(["store"], "SELECT seq, code_, report_ FROM store WHERE date_ >= '2024-01-15'")
+SQL["purge_error_reports"] = with_ctes(["store_all"], f"""
+SELECT seq, code_, date_, report_ FROM store_all WHERE NOT coalesce(regexp_matches(report_, {_q(_ERR)}), false)""")
+SQL["table_scan"] = with_ctes(["store_all"], "SELECT seq, code_, report_ FROM store_all WHERE date_ >= '2024-01-15'")
 SQL["tsv_corpus_scan"] = f"""
 SELECT CAST(d.doc_id AS VARCHAR) AS id, regexp_replace(d.text, {_q(BREAKS)}, ' ', 'g') AS document,
        CAST(l.quality AS VARCHAR) AS label
