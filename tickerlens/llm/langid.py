@@ -3,9 +3,9 @@
 For each text and language: log P(language | host) + log P(declared | language) + log P(address
 suffix | language) + ``TEMPER`` times the text's log-likelihood.
 
-* Text: byte trigrams (ASCII lower-cased) of the whole text, hashed to ``BUCKETS``; the
+* Text: byte trigrams around letters (ASCII lower-cased) of the whole text, hashed to ``BUCKETS``; the
   distributions are fitted on at most ``sample_rows`` labelled rows, those with the smallest
-  hashed ids (a documented bound). The class ``und`` spreads evenly over all buckets.
+  hashed ids (a documented bound). The class ``und`` spreads evenly over all buckets, less ``UND_PENALTY``.
 * A first pass over all rows takes the likeliest language of each text alone. Grouped counts
   of it give the priors of a host, smoothed towards its domain's, which are smoothed towards
   those of the whole corpus, and the probabilities of each declared language and address suffix.
@@ -41,15 +41,18 @@ MIN_LABELLED = 20
 MAX_LANGUAGES = 64
 PIECE = 1 << 20  # a text is counted in pieces of this many bytes
 UND = "und"
-_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+UND_PENALTY = 1.5  # nats a trigram by which ``und`` must beat every language: doubtful texts stay
+# letters lower-cased, bytes beyond ASCII as they are, all else (digits, marks, white space) a space
+_LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256))
 
 
 def trigram_buckets(text: bytes) -> Iterator[np.ndarray]:
-    """Bucket of every byte trigram of the text, in pieces."""
-    data = np.frombuffer(text.translate(_LOWER), dtype=np.uint8)
+    """Bucket of every byte trigram around a letter, in pieces. Numbers, marks and codes made
+    of digits say nothing of a language, so they don't count."""
+    data = np.frombuffer(text.translate(_LETTERS), dtype=np.uint8)
     for i in range(0, max(0, len(data) - 2), PIECE):
         b = data[i:i + PIECE + 2].astype(np.uint32)
-        code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
+        code = ((b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:])[b[1:-1] != 32]
         yield (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
 
 
@@ -60,7 +63,7 @@ class TextModel:
         self.languages = [*languages, UND]
         total = counts.sum(axis=1, keepdims=True)
         logs = np.log((counts + SMOOTH_TEXT) / (total + SMOOTH_TEXT * BUCKETS))
-        even = np.full((1, BUCKETS), -np.log(BUCKETS))
+        even = np.full((1, BUCKETS), -np.log(BUCKETS) - UND_PENALTY)
         self.logs = np.concatenate([logs, even]).astype(np.float32)
 
     def score(self, text: bytes) -> np.ndarray:
