@@ -119,7 +119,8 @@ def line_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.struct(F.lit(False).alias("copy"), F.col("lines").alias("lines")), F.struct(F.lit(True).alias("copy"), F.col("copy_lines").alias("lines"))),
         lambda x: F.size(x["lines"]) > 0))), "lines-lost")
     texts = plain.where("text IS NOT NULL").withColumn("k_", _key(F.col("text"))).withColumnRenamed("doc_id", "d_")
-    met = texts.join(lost, (F.col("k_") == F.col("k")) & F.col("d_").eqNullSafe(F.col("doc_id")))
+    # the same plan at every size: both sides are dealt by the text's key
+    met = texts.join(lost.hint("merge"), (F.col("k_") == F.col("k")) & F.col("d_").eqNullSafe(F.col("doc_id")))
     kept = met.select("doc_id", "k", "text", "lines", "copy").mapInArrow(run, "doc_id long, k binary, copy boolean, kept string").distinct()
     kept = stored(kept.withColumnsRenamed({"doc_id": "d_", "k": "k_", "copy": "c_"}), "lines-kept")
     sizes = lost.select(F.col("doc_id").alias("d2"), F.col("k").alias("k2"), F.col("copy").alias("c2"), F.size("lines").cast("long").alias("lost"))
