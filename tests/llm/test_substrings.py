@@ -72,3 +72,24 @@ def test_anchors_follow_content_across_pieces(monkeypatch):
         assert np.array_equal(a, b)
     shifted = S.anchors(np.concatenate([data[100:700], data[2000:2600]]))
     assert np.array_equal(shifted[0][:401], whole[0][100:501] - 100)  # the same windows, the same places
+
+
+def test_anchor_that_recurs_inside_few_texts_is_hot_by_its_bytes(spark):
+    r = random.Random(5)
+    prefix = "2024-01-01 00:00:00 host app INFO request served by worker "  # in every line, with other surroundings
+    lines = ["\n".join(prefix + "".join(r.choices("abcdefgh", k=220)) for _ in range(60)) for _ in range(3)]
+    lines.append(lines[0][:700] + "tail")
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    counts = collections.Counter()
+    cut = [(h, k, [x], t[x:x + 368]) for k, t in ((str(i).encode(), t.encode()) for i, t in enumerate(lines))
+           for h, x in ((1, x) for x in range(0, len(t) - 368, 280))]
+    cut.append((2, b"z", list(range(1000)), b"y" * 200))  # one segment at many places
+    cut += [(3, b"z", [0], b"w" * 200)]
+    for h, _, starts, content in cut:
+        counts[h] += len(content) + 8 * len(starts)
+    frame = spark.createDataFrame(cut, "h long, k binary, starts array<long>, content binary").repartition(3)
+    assert {x.h for x in S.hot_anchors(frame, 4096).collect()} == {h for h, n in counts.items() if n > 4096} == {1, 2}
+    # one text above the bound by its own lines takes the counted path, to the same result
+    got = S.repeated(docs, hot=4096).orderBy("doc_id").collect()
+    assert [(x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got] == brute(lines, 200)
+    assert S.HOT <= S.SHARD_BYTES

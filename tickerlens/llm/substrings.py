@@ -12,8 +12,9 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
    are extended backwards breadth-first; each new interval end is a place where the common
    prefix of two neighbour rows has the current length. So common prefixes come by increasing
    value, and the search stops at ``length``: rows not parted by then share ``length`` bytes.
-3. An anchor in more than ``HOT`` texts would fill its shard: its segments are first
-   counted by content, and the windows of the distinct ones are then counted by a 128-bit hash.
+3. An anchor that sends more than ``HOT`` bytes (segments, equal ones of a text once, and 8 for
+   each place) would fill its shard: its segments are first counted by content, and the windows
+   of the distinct ones are then counted by a 128-bit hash.
 
 Texts that are equal as a whole form a class whose members, if long enough, go entirely;
 one of them stands for the class in the search.
@@ -37,8 +38,8 @@ from tickerlens.llm.tables import stored
 from tickerlens.session import ensure_shipped
 
 LENGTH, GRAM = 200, 32
-HOT = 8192
 SHARD_BYTES = 2 << 20
+HOT = SHARD_BYTES  # no anchor sends a shard more than a shard's mean
 PIECE = 1 << 18  # windows looked at together in a long text
 FIRST = 7  # symbols of 9 bits in a first sort key
 ROWS = "doc_id long, k binary, n_bytes long, sha256 string, h array<long>, c array<long>"
@@ -116,14 +117,14 @@ def scan(docs: DataFrame, length: int) -> DataFrame:
 
 
 def segments(found: DataFrame, length: int) -> DataFrame:
-    """(h, hot, k, starts, content): the windows of each repeated anchor as one piece of text,
+    """(h, k, starts, content): the windows of each repeated anchor as one piece of text,
     with all places where the text has it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, cell, wanted, hot in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
+            for k, cell, wanted in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 text = _text(cell)
                 at, h = anchors(np.frombuffer(text, dtype=np.uint8), length)
-                wanted, hot = wanted.values.to_numpy(), hot.values.to_numpy(zero_copy_only=False)
+                wanted = wanted.values.to_numpy()
                 order = np.argsort(wanted)
                 first = _first_windows(at)
                 end = np.append(first[1:], len(at))
@@ -135,9 +136,15 @@ def segments(found: DataFrame, length: int) -> DataFrame:
                     rows.setdefault((i, text[x:y - 1 + length]), []).append(x)
                 at_ = [i for i, _ in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(wanted[at_]), pa.array(hot[at_]), pa.array([k] * len(rows), pa.binary()), pa.array(list(rows.values()), pa.list_(pa.int64())),
-                     pa.array([c for _, c in rows], pa.binary())], names=["h", "hot", "k", "starts", "content"])
-    return found.select("k", "text", "h", "hot").mapInArrow(run, "h long, hot boolean, k binary, starts array<long>, content binary")
+                    [pa.array(wanted[at_]), pa.array([k] * len(rows), pa.binary()), pa.array(list(rows.values()), pa.list_(pa.int64())),
+                     pa.array([c for _, c in rows], pa.binary())], names=["h", "k", "starts", "content"])
+    return found.select("k", "text", "h").mapInArrow(run, "h long, k binary, starts array<long>, content binary")
+
+
+def hot_anchors(cut: DataFrame, hot: int) -> DataFrame:
+    """The anchors whose segments and places are more than ``hot`` bytes in a shard."""
+    load = F.length("content") + 8 * F.size("starts")
+    return cut.groupBy("h").agg(F.sum(load.cast("long")).alias("load")).where(F.col("load") > hot).select("h")
 
 
 def _sorted_rows(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -351,21 +358,21 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     classes = stored(rows.groupBy("k").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"), F.first("h").alias("h"),
                                            F.first("c").alias("c")), "substrings-classes")
     each = classes.select("k", F.inline(F.arrays_zip("h", "c")))
-    often = stored(each.groupBy("h").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("texts")).where("n > 1"), "substrings-anchors")
-    again = (each.select("k", "h").join(often, "h").groupBy("k").agg(F.collect_list(F.struct("h", (F.col("texts") > hot).alias("hot"))).alias("a"))
-             .select("k", F.col("a.h").alias("h"), F.col("a.hot").alias("hot")))  # anchors of one text
+    often = stored(each.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select("h"), "substrings-anchors")
+    again = each.select("k", "h").join(often, "h").groupBy("k").agg(F.collect_list("h").alias("h"))  # anchors of one text
     wanted = stored(again.join(classes.select("k", "rep"), "k"), "substrings-wanted").withColumnRenamed("k", "k_")
     text = plain.where("text IS NOT NULL").withColumn("k", F.unhex(F.md5("text")))
     found = stored(text.join(wanted, (F.col("k") == F.col("k_")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-                   .select("k", "text", "h", "hot"), "substrings-texts")
+                   .select("k", "text", "h"), "substrings-texts")
 
     cut = stored(segments(found, length), "substrings-segments")
-    usual = cut.where("NOT hot")
+    hots = stored(hot_anchors(cut, hot), "substrings-hot-anchors")
+    usual = cut.join(hots, "h", "left_anti")
     n_shards = max(1, -(-(usual.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0]) // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("h"), F.lit(n_shards))
     covers = (usual.select(shard.alias("shard"), "k", "starts", "content").groupBy("shard")
               .applyInArrow(lambda t: _shard(t, length), "k binary, lo array<long>, hi array<long>"))
-    covers = stored(covers.unionByName(hot_covers(cut.where("hot"), length)), "substrings-covers")
+    covers = stored(covers.unionByName(hot_covers(cut.join(hots, "h", "left_semi"), length)), "substrings-covers")
     lost = removals(found.dropDuplicates(["k"]), covers)
 
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
