@@ -74,3 +74,32 @@ def test_long_text_is_counted_whole(monkeypatch):
     whole = np.concatenate(list(L.trigram_buckets(text)))
     monkeypatch.setattr(L, "PIECE", 100)
     assert np.array_equal(whole, np.concatenate(list(L.trigram_buckets(text))))
+
+
+def test_every_label_has_a_model_however_rare(spark, rows):
+    rare = [(3000 + i, t, lang, "h") for i, (t, lang) in enumerate([("日本語の文章です。", "ja"), ("Это русский текст.", "ru"), ("Ýol bilen gitdik.", "tk")])]
+    labels = [(4000 + i, prose("en", 10), f"x{i}", "h") for i in range(70)]
+    df = frame(spark, rows + rare + labels)
+    model = L.fit(df, "doc_id", "text", "lang")
+    assert set(model.languages) == {*SOUND, "ja", "ru", "tk", *(f"x{i}" for i in range(70)), L.UND}
+    got = {r.doc_id: r for r in L.identify_documents(frame(spark, rows + rare)).collect()}
+    assert [(got[i].text_language, got[i].rejected) for i, *_ in rare] == [("ja", False), ("ru", False), ("tk", False)]
+
+
+def test_sample_is_bounded_in_each_label(spark, rows):
+    few = L.fit(frame(spark, rows), "doc_id", "text", "lang", sample_rows=8)
+    assert few.languages == [*sorted(SOUND), L.UND]
+    assert (few.logs > np.log(L.EVEN / L.BUCKETS) + 1e-3).sum() < (L.fit(frame(spark, rows), "doc_id", "text", "lang").logs > np.log(L.EVEN / L.BUCKETS) + 1e-3).sum()
+
+
+def test_und_does_not_depend_on_the_size_of_the_sample():
+    counts = np.zeros(L.BUCKETS)
+    counts[:1000] = 3
+    assert np.allclose(L.log_shares(counts), L.log_shares(counts * 10_000))
+    assert L.log_shares(counts)[-1] < -np.log(L.BUCKETS) - L.UND_PENALTY  # an unseen trigram counts for und
+
+
+def test_unfitted_declared_language_is_rejected_only_without_letters(spark, rows):
+    model = L.fit(frame(spark, rows), "doc_id", "text", "lang")
+    held = [(1, "日本語の文章です。" * 9, "ja", "h"), (2, "日本語の文章です。" * 9, "en", "h"), (3, "12 34", "ja", "h")]
+    assert {r.doc_id: r.rejected for r in L.identify_documents(frame(spark, rows + held), model).collect() if r.doc_id in (1, 3)} == {1: False, 3: True}

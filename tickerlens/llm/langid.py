@@ -4,19 +4,22 @@ For each text and language: log P(language | host) + log P(declared | language)
 suffix | language) + ``TEMPER`` times the text's log-likelihood.
 
 * Text: byte trigrams around letters (ASCII lower-cased) of the whole text, hashed to ``BUCKETS``; the
-  distributions are fitted on at most ``sample_rows`` labelled rows, those with the smallest
-  hashed ids (a documented bound). The class ``und`` spreads evenly over all buckets, less ``UND_PENALTY``.
+  distributions are fitted on at most ``sample_rows`` labelled rows of each label, in ``STRATA``
+  parts those with the smallest hashed ids (a documented bound), so every label has one. A share
+  ``EVEN`` of each is spread over all buckets, however large its sample; the class ``und`` spreads
+  evenly over all buckets, less ``UND_PENALTY``.
 * A first pass over all rows takes the likeliest language of each text alone. Grouped counts
   of it give the priors of a host, smoothed towards its domain's, which are smoothed towards
   those of the whole corpus, and the probabilities of each declared language and address suffix.
   A row's own count is taken out of its host's and domain's, so its text counts once.
 
-A row is rejected if its language is ``und``: no letters, or unlike every language fitted.
+A row is rejected if its language is ``und``: no letters, or unlike every language fitted
+though its declared language, if any, is one of them.
 
 Cases: null, empty or letterless text is ``und``; a text too short for a trigram is judged by
 the other evidence alone; evidence that is null or unknown
 counts for nothing; rows that repeat an id are rows of their own; without labelled rows every
-language is ``und`` and nothing is rejected; an empty table gives no rows; other columns are ignored by
+language is ``und`` and nothing is rejected; an empty label and ``und`` name no language; an empty table gives no rows; other columns are ignored by
 ``identify`` and kept by ``keep_identified``.
 """
 from __future__ import annotations
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlens.llm.tables import stored
@@ -33,12 +36,11 @@ from tickerlens.session import ensure_shipped
 
 BUCKETS = 1 << 15
 TEMPER = 0.3
-SMOOTH_TEXT = 0.5
+EVEN = 0.01
 SMOOTH_HOST = 5.0
 SMOOTH_EVIDENCE = 1.0
-SAMPLE_ROWS = 4000
-MIN_LABELLED = 20
-MAX_LANGUAGES = 64
+SAMPLE_ROWS = 4000  # of each label
+STRATA = 8  # parts by hashed id in which a label's rows are ranked
 PIECE = 1 << 20  # a text is counted in pieces of this many bytes
 UND = "und"
 UND_PENALTY = 1.5  # nats a trigram by which ``und`` must beat every language: doubtful texts stay
@@ -59,12 +61,10 @@ def trigram_buckets(text: bytes) -> Iterator[np.ndarray]:
 class TextModel:
     """log P(trigram bucket | language), the last row for ``und``."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], logs: np.ndarray):
         self.languages = [*languages, UND]
-        total = counts.sum(axis=1, keepdims=True)
-        logs = np.log((counts + SMOOTH_TEXT) / (total + SMOOTH_TEXT * BUCKETS))
-        even = np.full((1, BUCKETS), -np.log(BUCKETS) - UND_PENALTY)
-        self.logs = np.concatenate([logs, even]).astype(np.float32)
+        even = np.full((1, BUCKETS), -np.log(BUCKETS) - UND_PENALTY, dtype=np.float32)
+        self.logs = np.concatenate([logs, even])
 
     def score(self, text: bytes) -> np.ndarray:
         """Log-likelihood per language; texts without letters are left to ``und``."""
@@ -88,57 +88,62 @@ def has_letters(text: bytes) -> bool:
     return any(_LETTER[np.frombuffer(text[i:i + 4096], dtype=np.uint8)].any() for i in range(0, len(text), 4096))
 
 
+def log_shares(counts: np.ndarray) -> np.ndarray:
+    """log P(bucket): the shares of the counts but for ``EVEN``, which all buckets share."""
+    return np.log((1 - EVEN) * counts / max(1, counts.sum()) + EVEN / BUCKETS).astype(np.float32)
+
+
 def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int = SAMPLE_ROWS) -> TextModel:
-    """Distributions from the ``sample_rows`` labelled rows with the smallest hashed ids."""
+    """Distributions of every label, each from at most ``sample_rows`` of its rows."""
     ensure_shipped(labelled.sparkSession)
     order = F.xxhash64(F.lit(42), F.col(id_col))
-    rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    # the ids are drawn first; texts of the drawn rows alone are then read
-    limit = rows.select(order.alias("o")).orderBy("o").limit(sample_rows).agg(F.max("o")).first()[0]
-    if limit is None:
-        return TextModel([], np.zeros((0, BUCKETS)))
-    sample = rows.where(order <= limit).select(F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text"))
+    rows = (labelled.where(F.col(text_col).isNotNull()).select(F.col(label_col).cast("string").alias("label"), order.alias("o"), F.col(text_col).cast("string").alias("text"))
+            .where((F.lower("label") != UND) & (F.trim("label") != "")).withColumn("part", F.pmod("o", F.lit(STRATA))))
+    # the ids are drawn first; texts of the drawn rows alone are then counted
+    ranked = Window.partitionBy("label", "part").orderBy("o")
+    limits = stored(rows.select("label", "part", "o").withColumn("rank", F.row_number().over(ranked))
+                    .where(F.col("rank") <= max(1, sample_rows // STRATA)).groupBy("label", "part").agg(F.max("o").alias("limit")), "langid-sample")
+    sample = rows.join(limits, ["label", "part"]).where("o <= limit").select("label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        n: dict[str, int] = {}
         for b in batches:
             for label, cell in zip(b.column(0).to_pylist(), b.column(1)):
                 sums.setdefault(label, np.zeros(BUCKETS, dtype=np.int64))
-                n[label] = n.get(label, 0) + 1
                 for at in trigram_buckets(cell.as_buffer().to_pybytes()):
                     sums[label] += np.bincount(at, minlength=BUCKETS)
         for label, c in sums.items():
             at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([label] * (len(at) + 1)), pa.array(np.append(at, -1)), pa.array(np.append(c[at], n[label]))],
+            yield pa.RecordBatch.from_arrays([pa.array([label] * (len(at) + 1)), pa.array(np.append(at, 0)), pa.array(np.append(c[at], 0))],
                                              names=["label", "bucket", "n"])
 
+    def shares(t: pa.Table) -> pa.Table:
+        counts = np.zeros(BUCKETS)
+        np.add.at(counts, t.column("bucket").to_numpy(), t.column("n").to_numpy())
+        return pa.table({"label": t.column("label").slice(0, 1), "logs": pa.array([log_shares(counts).tobytes()], pa.binary())})
+
     sums = sample.mapInArrow(count, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    sums = stored(sums, "langid-counts")
-    top = sums.where(f"bucket < 0 AND n >= {MIN_LABELLED}").orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES).select("label", "n").collect()
-    languages = sorted(r["label"] for r in top)
-    counts = np.zeros((len(languages), BUCKETS))
-    # at most MAX_LANGUAGES x BUCKETS numbers
-    t = sums.where(F.col("label").isin(languages) & (F.col("bucket") >= 0)).toArrow() if languages else None
-    if t is not None and len(t):
-        place = {x: i for i, x in enumerate(languages)}
-        counts[[place[x] for x in t.column("label").to_pylist()], t.column("bucket").to_numpy()] = t.column("n").to_numpy()
-    return TextModel(languages, counts)
+    # BUCKETS floats of each label
+    models = stored(sums.groupBy("label").applyInArrow(shares, "label string, logs binary"), "langid-models").orderBy("label").collect()
+    logs = [np.frombuffer(r["logs"], dtype=np.float32) for r in models]
+    return TextModel([r["label"] for r in models], np.stack(logs) if logs else np.zeros((0, BUCKETS), np.float32))
 
 
 def _text_scores(rows: DataFrame, model: TextModel, text_col: str, others: list[str]) -> DataFrame:
-    """``others`` and the log-likelihoods and best language index of each row's text."""
+    """``others`` and the log-likelihoods and best language index of each row's text, and whether it has letters."""
     shared = rows.sparkSession.sparkContext.broadcast(model)  # (languages + 1) x BUCKETS floats
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*others).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            scores = [m.score(cell.as_buffer().to_pybytes() if cell.is_valid else b"") for cell in b.column(len(others))]
+            texts = [cell.as_buffer().to_pybytes() if cell.is_valid else b"" for cell in b.column(len(others))]
+            scores = [m.score(t) for t in texts]
             best = [int(np.argmax(s)) if s.any() else -1 for s in scores]  # too short a text has none
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(others))), pa.array(scores, pa.list_(pa.float64())),
-                                              pa.array(best, pa.int32())], names=[*others, "loglik", "best"])
-    return rows.select(*others, F.col(text_col)).mapInArrow(run, f"{schema}, loglik array<double>, best int")
+                                              pa.array(best, pa.int32()), pa.array([has_letters(t) for t in texts])],
+                                             names=[*others, "loglik", "best", "letters"])
+    return rows.select(*others, F.col(text_col)).mapInArrow(run, f"{schema}, loglik array<double>, best int, letters boolean")
 
 
 def _counts(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
@@ -198,8 +203,10 @@ def identify(rows: DataFrame, model: TextModel, *, id_col: str, text_col: str, h
     sure = 1 / _total(F.transform("score", lambda x: F.exp(x - F.col("top"))))
     names = F.array(*[F.lit(x) for x in model.languages])
     language = F.get(names, F.array_position("score", F.col("top")).cast("int") - 1)
+    # what no model was fitted for cannot be judged unlike it
+    unfitted = F.coalesce(~F.col("declared").isin("", *[x.lower() for x in model.languages]), F.lit(False))
     return joined.select("id", language.alias("language"), sure.alias("probability"), F.get(names, F.col("best")).alias("text_language"),
-                         (F.lit(n > 1) & (language == UND)).alias("rejected"))
+                         (F.lit(n > 1) & (language == UND) & ~(F.col("letters") & unfitted)).alias("rejected"))
 
 
 def identify_documents(docs: DataFrame, model: TextModel | None = None, *, id_col: str = "doc_id", text_col: str = "text",
