@@ -76,3 +76,10 @@ def test_cases(spark):
         want.append((-1 if i is None else i, sum(x[0] == "email" for x in p), sum(x[0] == "card" for x in p), hashlib.sha256(text.encode()).hexdigest(), text))
     assert got == sorted(want)
     assert pii.find(frame(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("address", ["bob(@)corp.org", "bob (@) corp.org", "bob[at ]corp.org", "bob ( at ) corp.org", "bob[@]corp.org", "bob at corp.org"])
+def test_loose_address_does_not_depend_on_other_words(address):
+    for before in ("write to ", "look at this, write to "):
+        text = before + address + ", please"
+        assert [text[a:b] for k, a, b in pii.candidates(text, pii.base_spans(text)) if k == 0] == [address]

@@ -44,7 +44,7 @@ _DIGIT = re.compile(r"[0-9]")
 
 # Looser shapes of the same kinds: candidates that only a trusted context makes a finding.
 _LOOSE = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?: ?[\[(] ?(?:at|@) ?[\])] ?| at | ?@ ?)[A-Za-z0-9-]{1,63}"
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: ?[\[(] ?(?:at|@) ?[\])] ?| at | ?@ ?)[A-Za-z0-9-]{1,63}"
                         r"(?:(?: ?[\[(] ?(?:dot|\.) ?[\])] ?| dot |\.)[A-Za-z0-9-]{1,63}){1,8}"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?: ?[\[(] ?(?:dot|\.) ?[\])] ?| dot )[0-9]{1,3}){3}(?![0-9])"),
     "card": re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9])"),
@@ -115,7 +115,7 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     """Spans of a looser shape that touch no base span and not each other."""
     out = []
     busy = [(a, b) for _, a, b in taken]
-    loose_words = " at " in text or "[at]" in text or "(at)" in text or " @" in text or "@ " in text or "[@]" in text
+    loose_words = "@" in text or "at" in text  # every loose address has one of them
     has_digit = _DIGIT.search(text) is not None
     for i, kind in enumerate(KINDS):
         if not (loose_words if kind == "email" else has_digit):
