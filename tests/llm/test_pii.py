@@ -83,3 +83,25 @@ def test_loose_address_does_not_depend_on_other_words(address):
     for before in ("write to ", "look at this, write to "):
         text = before + address + ", please"
         assert [text[a:b] for k, a, b in pii.candidates(text, pii.base_spans(text)) if k == 0] == [address]
+
+
+def added(row, text):
+    return [text[int(a):int(b)] for _, a, b in (s.split(":") for s in row.spans.split(",") if s)]
+
+
+def test_accepted_candidates_are_seeds_and_contexts_enclose_other_shapes(spark):
+    rows = [(i, f"phone me on +1 (212) 555-{1000 + i} soon") for i in range(16)]
+    rows += [(100 + i, f"phone me on (212) 555-{7000 + i} soon") for i in range(3)]
+    rows += [(200 + i, f"ring desk (212) 555-{7000 + i} daily") for i in range(3)]  # the second hop's context
+    rows += [(300, "ring desk (212) 555-8001 daily"), (301, "phone me on 030 1234567 soon"), (302, "phone me on 06 12 34 56 78 soon"),
+             (303, "phone me on 912 345 678 soon"), (304, "lot 030 7654321 sold")]
+    got = {r.doc_id: added(r, dict(rows)[r.doc_id]) for r in pii.find(frame(spark, rows)).collect()}
+    assert got[100] == ["(212) 555-7000"] and got[200] == ["(212) 555-7000"]  # the first hop
+    assert got[300] == ["(212) 555-8001"]
+    assert (got[301], got[302], got[303], got[304]) == (["030 1234567"], ["06 12 34 56 78"], ["912 345 678"], [])
+
+
+def test_broad_spans():
+    text = "müller@firma.de. fe80::1ff:2 at 12:30:45, call (030) 123/4567! 4111.1111.1111.1111 and 12345"
+    assert [(pii.KINDS[k], text[a:b]) for k, a, b in pii.broad(text)] == [
+        ("email", "müller@firma.de"), ("ip", "fe80::1ff:2"), ("phone", "(030) 123/4567"), ("card", "4111.1111.1111.1111")]

@@ -1,13 +1,15 @@
 """Operator 10: personal data by exact base patterns and bootstrapped context patterns.
 
 Base: the contract's four regular expressions, with checks of range, checksum and digit count.
-Bootstrapping: base matches are the seeds. Text spans of a looser shape (a number glued to its
-neighbour, ``name at host dot org``) are candidates. The words before and after a seed or a
-candidate are its lexical patterns. Patterns and instances form a graph which Spark scores in
-rounds: a pattern's confidence is the mean score of its instances (seeds 1, smoothed by
-``SMOOTH`` unknown ones), a candidate's score is the noisy-or of its patterns with at least
-``MIN_SEEDS`` different seeds. Candidates that reach ``ACCEPT`` are added to the spans of
-every text that holds them; base spans always stay.
+Bootstrapping: base matches are the seeds. Candidates are the spans a context may enclose: those
+of a looser shape (a number glued to its neighbour, ``name at host dot org``) and any word with
+an @, group of hex digits with colons, or whole chain of 7 to 15 digits (13 to 19 with a card's
+checksum). The words before and after a seed or a candidate are its lexical patterns. Patterns
+and instances form a graph which Spark scores in rounds: a pattern's confidence is the mean score
+of its instances (seeds 1, smoothed by ``SMOOTH`` unknown ones), a candidate's score is the
+noisy-or of its patterns with at least ``MIN_SEEDS`` different seeds. Candidates that reach
+``ACCEPT`` become seeds, and the rounds start again until none is added. They are added to the
+spans of every text that holds them; base spans always stay.
 
 Offsets are code points, ends exclusive. Cases: null text is empty; rows that repeat an id
 are rows of their own; a null id is kept; a text without matches has the digest of the empty
@@ -52,6 +54,12 @@ _LOOSE = {
 }
 
 
+# Broad tests of characters for what a trusted context may enclose.
+_WORD_AT = re.compile(r"[^\s@<>()\[\]{},;:\"']{1,64}+@[^\s@<>()\[\]{},;:\"']{1,255}+")
+_COLONS = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}+(?::[0-9A-Fa-f]{0,4}+){2,7}+(?![0-9A-Za-z:])")
+_CHAIN = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[ ().\-/]{0,3}[0-9])*+(?![A-Za-z])")
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -111,10 +119,38 @@ def _plausible(kind: str, value: str) -> bool:
     return True
 
 
+def broad(text: str) -> Iterator[tuple[int, int, int]]:
+    """(kind, start, end) of all that passes a broad test of its characters."""
+    if "@" in text:
+        for m in _WORD_AT.finditer(text):
+            end = m.start() + len(m[0].rstrip(".!?"))
+            if text[end - 1] != "@":
+                yield 0, m.start(), end
+    if "::" in text or text.count(":") > 2:
+        for m in _COLONS.finditer(text):
+            if _DIGIT.search(m[0]) and ("::" in m[0] or m[0].count(":") > 2):
+                yield 1, *m.span()
+    for m in _CHAIN.finditer(text):
+        if m.end() - m.start() > 6:
+            d = _digits(m[0])
+            if 13 <= len(d) <= 19 and luhn(d):
+                yield 2, *m.span()
+            elif 7 <= len(d) <= 15:
+                yield 3, *m.span()
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of a looser shape that touch no base span and not each other."""
+    """Spans of a looser shape, then those of the broad tests, that touch no base span and not each other."""
     out = []
-    busy = [(a, b) for _, a, b in taken]
+    busy = bytearray(len(text))
+
+    def take(kind: int, a: int, b: int) -> None:
+        if busy.find(1, a, b) < 0:
+            out.append((kind, a, b))
+            busy[a:b] = b"\1" * (b - a)
+
+    for _, a, b in taken:
+        busy[a:b] = b"\1" * (b - a)
     loose_words = "@" in text or "at" in text  # every loose address has one of them
     has_digit = _DIGIT.search(text) is not None
     for i, kind in enumerate(KINDS):
@@ -124,9 +160,10 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
             a, b = m.span()
             if kind == "email" and not re.search(r"@|\bat\b", m[0]):
                 continue
-            if _plausible(kind, m[0]) and not any(a < y and x < b for x, y in busy):
-                out.append((i, a, b))
-                busy.append((a, b))
+            if _plausible(kind, m[0]):
+                take(i, a, b)
+    for span in broad(text):
+        take(*span)
     return out
 
 
@@ -183,12 +220,9 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                 "end: long, value: string, seed: boolean, patterns: array<string>>>")
 
 
-def score(mentions: DataFrame) -> DataFrame:
+def score(edges: DataFrame) -> DataFrame:
     """(kind, value, score) of the candidates, by rounds over the pattern-instance graph."""
-    edges = (mentions.select("kind", "value", "seed", F.explode("patterns").alias("pattern"))
-             .groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed")))
-    edges = stored(edges, "pii-edges")
-    # a pattern's seeds and instances never change; only its candidates' scores do
+    # in the rounds a pattern's seeds and instances stay; only its candidates' scores change
     fixed = stored(edges.groupBy("kind", "pattern").agg(F.sum(F.col("seed").cast("long")).alias("seeds"), F.count(F.lit(1)).alias("n"))
                    .where((F.col("seeds") >= MIN_SEEDS) & (F.col("n") > F.col("seeds"))), "pii-patterns")
     open_ = stored(edges.where("NOT seed").select("kind", "pattern", "value").join(fixed, ["kind", "pattern"]), "pii-open")
@@ -204,11 +238,27 @@ def score(mentions: DataFrame) -> DataFrame:
     return scores
 
 
+def bootstrap(mentions: DataFrame, accept: float = ACCEPT) -> DataFrame:
+    """(kind, value) of the accepted candidates: each pass counts those accepted before as seeds,
+    until a pass adds none."""
+    edges = stored(mentions.select("kind", "value", "seed", F.explode("patterns").alias("pattern"))
+                   .groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed")), "pii-edges")
+    accepted = None
+    while True:
+        new = stored(score(edges).where(F.col("score") >= accept).select("kind", "value"), "pii-accepted")
+        if new.isEmpty():
+            return new if accepted is None else accepted
+        accepted = new if accepted is None else stored(accepted.unionByName(new), "pii-accepted")
+        found = new.withColumn("found", F.lit(True))
+        edges = stored(edges.join(found, ["kind", "value"], "left")
+                       .select("kind", "pattern", "value", (F.col("seed") | F.coalesce("found", F.lit(False))).alias("seed")), "pii-edges")
+
+
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and the number of added spans."""
     rows = stored(scan(docs, id_col, text_col), "pii-rows")
     mentions = rows.select("rid", F.inline("mentions"))
-    good = stored(score(mentions).where(F.col("score") >= accept).select("kind", "value"), "pii-accepted")
+    good = bootstrap(mentions, accept).distinct()
     extra = stored(mentions.where("NOT seed").select("rid", "kind", "value", "start", "end"), "pii-candidates")
     added = (extra.join(good, ["kind", "value"]).groupBy("rid")
              .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added")))  # spans of one text
