@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import decontam, langid, lines, mixing, neardup, pii, substrings, token_store, topk, warc
+from tickerlens.llm import audit, decontam, langid, lines, mixing, neardup, pii, substrings, token_store, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "source", "size", "source_size", "target", "taken"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_exact_topk": op2_exact_topk,
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 SQL: dict[str, str] = {
@@ -132,4 +137,42 @@ SQL: dict[str, str] = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_filter_audit": r"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        m AS (
+          SELECT doc_id, part,
+                 (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END)
+                 + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 4 ELSE 0 END)
+                 + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+                 + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS fails FROM d),
+        l AS (
+          SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+          FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        c AS (
+          SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+          FROM m LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+        o AS (
+          SELECT '' AS prefix, 0 AS before, '' AS letter, 0 AS bit, 0 AS step
+          UNION ALL
+          SELECT prefix || l2.letter, before + o.bit, l2.letter, l2.bit, step + 1
+          FROM o JOIN letters AS l2 ON (before + o.bit) & l2.bit = 0 AND step < 5),
+        s AS (
+          SELECT f.prefix AS filter_order, p.step, p.letter, p.bit, p.before
+          FROM o AS f JOIN o AS p ON f.step = 5 AND p.step > 0 AND starts_with(f.prefix, p.prefix)),
+        r AS (
+          SELECT part, filter_order, step, letter,
+                 coalesce(sum(n) FILTER (WHERE fails & (before + bit) = 0), 0) AS kept,
+                 coalesce(sum(n) FILTER (WHERE fails & bit <> 0 AND fails & before = 0), 0) AS removed,
+                 coalesce(sum(n) FILTER (WHERE fails & bit <> 0 AND fails & before <> 0), 0) AS redundant,
+                 coalesce(sum(n) FILTER (WHERE fails = bit), 0) AS unique_fails,
+                 coalesce(sum(good) FILTER (WHERE fails & bit <> 0 AND fails & before = 0), 0) AS good_lost,
+                 coalesce(sum(toxic) FILTER (WHERE fails & bit <> 0 AND fails & before = 0), 0) AS toxic_lost
+          FROM c, s GROUP BY ALL)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+        FROM r""",
 }
