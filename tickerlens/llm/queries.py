@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import audit, decontam, langid, lines, mixing, neardup, pii, substrings, token_store, topk, warc
+from tickerlens.llm import audit, decontam, langid, lines, mixing, neardup, pii, substrings, token_store, topk, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_exact_topk": op2_exact_topk,
@@ -76,6 +80,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
     "op11_filter_audit": op11_filter_audit,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 SQL: dict[str, str] = {
