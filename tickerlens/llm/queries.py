@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlens.llm import audit, decontam, langid, lines, mixing, neardup, pii, substrings, token_store, topk, warc, whitening
+from tickerlens.llm import audit, decontam, langid, license_rules, licenses, lines, mixing, neardup, pii, substrings, token_store, topk, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_exact_topk": op2_exact_topk,
@@ -81,8 +85,40 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_filter_audit": op11_filter_audit,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_license_scan": op13_license_scan,
 }
 
+
+def license_sql() -> str:
+    """Rules and hits as tables; base phrases by comparing slices of the words."""
+    rows = ", ".join(f"({r.number}, '{r.label}', '{k}', '{r.regex}', {r.priority}, {r.score})" for r in license_rules.rules() for k in r.keys)
+    base = ", ".join(f"(string_split('{phrase}', ' '), '{label}')" for phrase, _, label in licenses.BASE)
+    return rf"""
+        WITH rules(rule, label, key, regex, priority, score) AS (VALUES {rows}),
+        base(phrase, label) AS (VALUES {base}),
+        d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '{licenses.WORD}') AS w
+          FROM documents),
+        p AS (SELECT r, w, w[i] AS word, i FROM d, unnest(range(1, len(w) + 1)) AS u(i)),
+        places AS (
+          SELECT r, i - 1 AS place, label FROM p JOIN base ON p.word = phrase[1] AND list_slice(w, i, i + len(phrase) - 1) = phrase),
+        b AS (SELECT r, count(*) AS n, min(place) AS f, max(place) AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
+        tried AS (
+          SELECT r, rule, label, priority, score, i AS start, regexp_extract(array_to_string(list_slice(w, i, i + {license_rules.WINDOW - 1}), ' ') || ' ', regex) AS m
+          FROM p JOIN rules ON word = key),
+        hits AS (SELECT *, start + length(m) - length(replace(m, ' ', '')) AS stop FROM tried WHERE m <> ''),
+        kept AS (
+          SELECT * FROM hits AS h WHERE NOT EXISTS (
+            SELECT 1 FROM hits AS o WHERE o.r = h.r AND o.start <= h.start AND o.stop >= h.stop
+              AND (o.priority, h.stop - h.start, o.rule) < (h.priority, o.stop - o.start, h.rule))),
+        k AS (SELECT r, max(score) AS score FROM kept GROUP BY r),
+        every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM kept UNION ALL SELECT r, label FROM places) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, CAST(b.f AS BIGINT) AS first_word,
+               CAST(b.l AS BIGINT) AS last_word, coalesce(b.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+               CAST(greatest(coalesce(k.score, 0), CASE WHEN b.n > 0 THEN {licenses.BASE_SCORE} ELSE 0 END) AS DOUBLE) AS score
+        FROM d LEFT JOIN b USING (r) LEFT JOIN every USING (r) LEFT JOIN k USING (r)"""
+
+
 SQL: dict[str, str] = {
     "op2_exact_topk": """
         WITH v AS (
@@ -181,3 +217,4 @@ SQL: dict[str, str] = {
                CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
         FROM r""",
 }
+SQL["op13_license_scan"] = license_sql()
