@@ -38,6 +38,7 @@ def _char_class(chars: str) -> str:
 
 CLEAN_PATTERN = _char_class(CLEAN_CHARS)
 WS_RUN = f"[{WS}]+"
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 NOT_HANGUL_ALNUM = f"[^{HANGUL_KEEP}{WS}]+"
 
 
@@ -100,6 +101,16 @@ def keep_alnum_hangul(col) -> Column:
     return F.regexp_replace(_c(col), NOT_HANGUL_ALNUM, "")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once (a one-element transform binds it)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def strip_ws(col) -> Column:
+    """``py_strip`` by a set of characters instead of a pattern."""
+    return F.trim(_c(col), F.lit(WS_CHARS))
+
+
 def py_strip(col) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
     return F.regexp_replace(_c(col), f"^[{WS}]+|[{WS}]+$", "")
@@ -158,9 +169,7 @@ def _code_point(n: Column) -> Column:
 def unescape_html(col) -> Column:
     """Decode character references: the named ones of HTML 4 (the standard library's table)
     and decimal or hexadecimal ones; what is not a reference stays."""
-    c = _c(col)
     names = F.create_map(*[F.lit(x) for name, cp in sorted(name2codepoint.items()) for x in (name, chr(cp))], F.lit("apos"), F.lit("'"))
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"), 1))
 
     def value(ref):
         hex_ = F.conv(F.regexp_extract(ref, "^#[xX](.*)", 1), 16, 10).try_cast("bigint")
@@ -168,11 +177,13 @@ def unescape_html(col) -> Column:
         valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
         return F.when(ref.startswith("#"), F.when(valid, _code_point(n))).otherwise(F.try_element_at(names, ref))
 
-    # an ampersand's own reference comes last, so that no reference is decoded twice
-    pairs = F.array_sort(F.transform(found, lambda r: F.struct((value(r) == "&").alias("last"), r.alias("ref"), value(r).alias("to"))))
-    known = F.filter(pairs, lambda p: p["to"].isNotNull())
-    decoded = F.aggregate(known, c, lambda acc, p: F.replace(acc, F.concat(F.lit("&"), p["ref"], F.lit(";")), p["to"]))
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    def decoded(c):
+        found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"), 1))
+        # an ampersand's own reference comes last, so that no reference is decoded twice
+        pairs = F.array_sort(F.transform(found, lambda r: let(value(r), lambda v: F.struct((v == "&").alias("last"), r.alias("ref"), v.alias("to")))))
+        known = F.filter(pairs, lambda p: p["to"].isNotNull())
+        return F.aggregate(known, c, lambda acc, p: F.replace(acc, F.concat(F.lit("&"), p["ref"], F.lit(";")), p["to"]))
+    return let(_c(col), lambda c: F.when(c.contains("&"), decoded(c)).otherwise(c))
 
 
 def strip_tags(col) -> Column:

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fmt_float, fmt_int, parse_shares
-from ..sources.html import cell_at, first_text, page_tables, row_at
+from ..functions.text import fmt_float, fmt_int, let, parse_shares
+from ..sources.html import cell_at, first_text, row_at, table_markups, table_view
 from .quotes import last_valid_in
 
 # ---------------------------------------------------------------------------
@@ -51,37 +51,48 @@ def _int_text(c: Column) -> Column:
     return _plain(c).try_cast("decimal(38,6)").try_cast("bigint")
 
 
+def _int_cell(view: Column, row: int, col: int) -> Column:
+    """A cell as an integer with thousands commas."""
+    return let(cell_at(view, row, col), lambda c: fmt_int(_int_text(c)))
+
+
 def _num(c: Column) -> Column:
     """Cell -> double; '' and unparsable -> null ('NaN' stays NaN)."""
     return _plain(c).try_cast("double")
 
 
 def with_tables(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    return pages.withColumn("tables", page_tables(F.col(html_col)))
+    """Adds ``tables``, the markup of each table of the page; what is read of them is cut from it."""
+    return pages.withColumn("tables", table_markups(F.col(html_col)))
+
+
+def _viewed(df: DataFrame, tables: str, numbers: tuple[int, ...]) -> DataFrame:
+    """Adds a view ``_t<n>`` of each of these tables, read once for all of its cells."""
+    return df.select("*", *[table_view(F.get(F.col(tables), n)).alias(f"_t{n}") for n in numbers])
 
 
 def market_snapshot(df: DataFrame, tables: str = "tables", keep: list[str] | None = None) -> DataFrame:
     """V2: table 0, column 1 of rows 1, 2, 3, 4, 6 (3 and 4 as integers with commas)."""
-    t = F.col(tables)
-    return sequential(df, [
-        ("sise_52_price", cell_at(t, 0, 1, 1)),
-        ("sise_revenue_rate", cell_at(t, 0, 2, 1)),
-        ("sise_siga_tot", fmt_int(_int_text(cell_at(t, 0, 3, 1)))),
-        ("sise_siga_tot2", fmt_int(_int_text(cell_at(t, 0, 4, 1)))),
-        ("sise_issue_stock_normal", cell_at(t, 0, 6, 1)),
-    ], keep)
+    t = F.col("_t0")
+    return sequential(_viewed(df, tables, (0,)), [
+        ("sise_52_price", cell_at(t, 1, 1)),
+        ("sise_revenue_rate", cell_at(t, 2, 1)),
+        ("sise_siga_tot", _int_cell(t, 3, 1)),
+        ("sise_siga_tot2", _int_cell(t, 4, 1)),
+        ("sise_issue_stock_normal", cell_at(t, 6, 1)),
+    ], df.columns if keep is None else keep)
 
 
 def consensus(df: DataFrame, tables: str = "tables", keep: list[str] | None = None) -> DataFrame:
     """V3: table 7 row 0: opinion, target price, EPS (with commas), PER, agency count."""
-    t = F.col(tables)
-    return sequential(df, [
-        ("toja_discision", cell_at(t, 7, 0, 0)),
-        ("toja_prop_price", fmt_int(_int_text(cell_at(t, 7, 0, 1)))),
-        ("toja_eps", fmt_int(_int_text(cell_at(t, 7, 0, 2)))),
-        ("toja_per", cell_at(t, 7, 0, 3)),
-        ("toja_comp", _int_text(cell_at(t, 7, 0, 4)).cast("string")),
-    ], keep)
+    t = F.col("_t7")
+    return sequential(_viewed(df, tables, (7,)), [
+        ("toja_discision", cell_at(t, 0, 0)),
+        ("toja_prop_price", _int_cell(t, 0, 1)),
+        ("toja_eps", _int_cell(t, 0, 2)),
+        ("toja_per", cell_at(t, 0, 3)),
+        ("toja_comp", let(cell_at(t, 0, 4), _int_text).cast("string")),
+    ], df.columns if keep is None else keep)
 
 
 def required_return(rate_cells: DataFrame, row: int = RATE_ROW, column: str = RATE_COLUMN):
@@ -105,17 +116,18 @@ def srim(df: DataFrame, k: Column, k_shown: Column, issue_col: str = "sise_issue
     doubles throughout; displayed prices truncated toward zero). Staged
     projections: inputs, then value/shares, then prices, then the W5 fill."""
     keep = keep if keep is not None else [c for c in df.columns if c != tables]
-    t = F.col(tables)
-    treas_cell = cell_at(t, 4, 4, TREASURY_COLUMN)
-    s1 = df.select(
-        *keep,
-        k.alias("_k"), k_shown.alias("srim_revenue_rate"),
-        (row_at(t, 10, 9).isNotNull() & row_at(t, 10, 16).isNotNull()
-         & row_at(t, 10, 17).isNotNull()).alias("_have"),
-        last_valid_in(F.transform(row_at(t, 10, 9), _num)).alias("_equity"),
-        last_valid_in(F.transform(F.slice(row_at(t, 10, 16), 2, 4), _num)).alias("_roa"),
-        last_valid_in(F.transform(F.slice(row_at(t, 10, 17), 2, 4), _num)).alias("_roe"),
-        parse_shares(F.col(issue_col)).alias("_issued"),
+    four, ten, treas_cell = F.col("_t4"), F.col("_t10"), F.col("_treasury_cell")
+    s0 = _viewed(df, tables, (4, 10)).select(
+        *keep, k.alias("_k"), k_shown.alias("srim_revenue_rate"),
+        row_at(ten, 9).alias("_r9"), row_at(ten, 16).alias("_r16"), row_at(ten, 17).alias("_r17"),
+        parse_shares(F.col(issue_col)).alias("_issued"), cell_at(four, 4, TREASURY_COLUMN).alias("_treasury_cell"))
+    s1 = s0.select(
+        *keep, "_k", "srim_revenue_rate",
+        (F.col("_r9").isNotNull() & F.col("_r16").isNotNull() & F.col("_r17").isNotNull()).alias("_have"),
+        last_valid_in(F.transform("_r9", _num)).alias("_equity"),
+        last_valid_in(F.transform(F.slice("_r16", 2, 4), _num)).alias("_roa"),
+        last_valid_in(F.transform(F.slice("_r17", 2, 4), _num)).alias("_roe"),
+        "_issued",
         F.when(treas_cell.isNull(), F.lit(None))
          .when((F.trim(treas_cell) == "") | (F.lower(F.trim(treas_cell)) == "nan"), F.lit(0))
          .otherwise(_int_text(treas_cell)).alias("_treasury"))

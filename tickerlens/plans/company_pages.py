@@ -10,7 +10,7 @@ HTML; it computes the expected fields straight from part's columns.
   table 4  share structure   row 4 = treasury shares, column '보통주'
   table 7  consensus         row 0: opinion, target, EPS, PER, agencies
   table 10 financial summary rows 9 (equity), 16 (ROA), 17 (ROE); columns 1..8
-  other tables are one-cell placeholders so table numbers line up.
+  other tables are one-cell placeholders so table numbers line up; on every tenth page 6 is nested in 5.
 """
 from __future__ import annotations
 
@@ -125,7 +125,10 @@ def company_html_pieces() -> list[str]:
     # every ninth page lacks the first label
     spans = [f"CASE WHEN {K} % 9 = 0 THEN '' ELSE '<span class=\"stxt stxt1\">' || p_type || '</span>' END",
              _lit('<span class="stxt stxt2">'), "p_brand", _lit("</span>")]
-    body = (t0 + placeholder * 3 + t4 + placeholder * 2 + t7 + placeholder * 2 + t10)
+    # tables 5 and 6: on every tenth page one stands in a cell of the other
+    inside, apart = "<table><tr><td>-<table><tr><td>inner</td></tr></table>after</td></tr></table>", _unlit(placeholder[0]) * 2
+    nested = [f"CASE WHEN {K} % 10 = 0 THEN {_lit(inside)} ELSE {_lit(apart)} END"]
+    body = (t0 + placeholder * 3 + t4 + nested + t7 + placeholder * 2 + t10)
     return _merge([_lit("<html><body>")] + spans + body + [_lit("</body></html>")])
 
 

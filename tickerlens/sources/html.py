@@ -1,16 +1,16 @@
 """Scans over stored web pages.
 
 A page is one row; every scan here is a per-row regex extraction followed by a
-``posexplode`` - no shuffle, no Python. Nested tables and malformed markup are
-out of scope (a page that does not match simply yields no rows, the way the
-job skips a failing page).
+``posexplode`` - no shuffle, no Python. Comments and scripts are read as markup; a
+page that does not match simply yields no rows, the way the job skips a failing page.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import py_strip, strip_tags
+from ..functions.text import let as _let
+from ..functions.text import strip_tags, strip_ws
 
 
 def _element_pattern(tag: str, css_class: str | None = None) -> str:
@@ -85,114 +85,178 @@ def first_text(html: Column, tag: str, css_class: str | None = None) -> Column:
 
 
 # --- tables ---------------------------------------------------------------
-_TABLE = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
-_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
-_CELL = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
+# Three splits read a page, each over what the one before has left whole: at table tags, at row
+# starts, at cell starts. A cell stays markup (``cell_text`` reads it) until a job asks for it.
+_TABLE_TAG = r"(?i)(?=</?table\b)"
+_ROW_START = r"(?i)(?=<tr\b)"
+_CELL_START = r"(?i)(?=<t[dh]\b)"
+_CELL_BODY = r"(?is)^<t[dh]\b[^>]*>(.*?)(?:</(?:t[dhr]|thead|tbody|tfoot|table)\b|$)"
+#: The HTML standard's largest spans.
+MOST_SPANNED = {"colspan": 1000, "rowspan": 65534}
 
 
-def _cell_text(c: Column) -> Column:
-    return py_strip(strip_tags(c))
+def cell_text(cell: Column) -> Column:
+    """Text of a cell's markup: tags dropped, entities decoded, white space stripped at the ends."""
+    return _let(F.regexp_extract(cell, _CELL_BODY, 1), lambda t: strip_ws(
+        F.when(t.contains("<") | t.contains("&"), strip_tags(t)).otherwise(t)))
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable
-    (a one-element transform), so a sub-result used several times is not
-    recomputed."""
-    return F.get(F.transform(F.array(value), body), 0)
+def _opens(segment: Column) -> Column:
+    return F.substring(segment, 2, 1) != "/"
+
+
+def _own_markup(segments: Column) -> Column:
+    """array<string> of the markup of each table, in order of their start tags, from the pieces
+    of a page cut at table tags. A fold with a stack: an end tag closes the table opened last,
+    whose text then stands in the cell around it; what is left open ends with the page."""
+    entry = "struct<no: int, html: string>"
+    start = F.struct(F.lit(0).alias("next"), F.expr(f"cast(array() as array<{entry}>)").alias("open"),
+                     F.expr(f"cast(array() as array<{entry}>)").alias("done"))
+
+    def state(next_: Column, open_: Column, done: Column) -> Column:
+        return F.struct(next_.alias("next"), open_.alias("open"), done.alias("done"))
+
+    def with_tail(stack: Column, tail: Column) -> Column:
+        """The stack, with ``tail`` added to its last table."""
+        last = F.get(stack, F.size(stack) - 1)
+        longer = F.struct(last["no"].alias("no"), F.concat(last["html"], tail).alias("html"))
+        return F.when(F.size(stack) > 0, F.concat(F.slice(stack, 1, F.size(stack) - 1), F.array(longer))).otherwise(stack)
+
+    def step(st: Column, seg: Column) -> Column:
+        pushed = state(st["next"] + 1, F.concat(st["open"], F.array(F.struct(st["next"].alias("no"), seg.alias("html")))), st["done"])
+        last = F.get(st["open"], F.size(st["open"]) - 1)
+        text = F.concat(F.regexp_replace(last["html"], r"<[^>]*>", ""), F.regexp_replace(seg, r"(?s)^[^>]*>", ""))
+        popped = state(st["next"], with_tail(F.slice(st["open"], 1, F.size(st["open"]) - 1), text), F.concat(st["done"], F.array(last)))
+        return F.when(_opens(seg), pushed).when(F.size(st["open"]) > 0, popped).otherwise(st)
+
+    closed = F.aggregate(segments, start, step, lambda st: F.concat(st["done"], st["open"]))
+    return F.transform(F.array_sort(closed), lambda t: t["html"])
+
+
+def _tables_of(html: Column) -> Column:
+    """array<string>: markup of each table of a page, nested ones included."""
+    def of(parts: Column) -> Column:
+        segments = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+        def read(s: Column) -> Column:
+            nested = F.exists(F.transform(s, lambda x, i: _opens(x) & F.coalesce(_opens(F.get(s, i + 1)), F.lit(False))), lambda x: x)
+            return F.when(nested, _own_markup(s)).otherwise(F.filter(s, _opens))
+        return _let(segments, read)
+    # split() drops no piece: the first one is what stands before the first tag
+    return _let(F.split(F.concat(F.lit(" "), html), _TABLE_TAG, -1), of)
+
+
+def _mentions(markup: Column, name: str) -> Column:
+    """A cheap test before a pattern is tried."""
+    return F.lower(markup).contains(name)
 
 
 def _span(cell: Column, name: str) -> Column:
     n = F.regexp_extract(cell, rf"""(?is)^<t[dh]\b[^>]*\b{name}\s*=\s*["']?([0-9]+)""", 1).try_cast("int")
-    return F.greatest(F.lit(1), F.coalesce(n, F.lit(1)))
+    return F.least(F.lit(MOST_SPANNED[name]), F.greatest(F.lit(1), F.coalesce(n, F.lit(1))))
 
 
-def _parsed_row(row: Column, links: bool) -> Column:
-    """Cells of a row: text, whether th, rows spanned, first link; a cell that spans columns is copied."""
-    link = _first_anchor_attr if links else (lambda c, _: F.lit(None).cast("string"))
-    cells = F.transform(F.regexp_extract_all(row, F.lit(_CELL), 0), lambda c: F.array_repeat(
-        F.struct(_cell_text(c).alias("text"), c.rlike("(?is)^<th").alias("th"), _span(c, "rowspan").alias("rows"),
-                 link(c, "href").alias("link")), _span(c, "colspan")))
-    return F.flatten(cells)
+def _row_cells(row: Column) -> Column:
+    """Cells of a row's markup; one that spans columns is copied."""
+    cells = F.split(row, _CELL_START, -1)
+    own = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
+    return F.when(_mentions(row, "colspan"), F.flatten(F.transform(own, lambda c: F.array_repeat(c, _span(c, "colspan"))))).otherwise(own)
 
 
 def _spread_rows(rows: Column) -> Column:
     """Copies cells that span rows into the rows below: they take their columns there, and a
     row's own cells fill the columns that are left."""
-    cell = "struct<text: string, th: boolean, rows: int, link: string>"
-    start = F.struct(F.expr(f"cast(array() as array<array<{cell}>>)").alias("out"),
-                     F.expr(f"cast(array() as array<struct<col: int, cell: {cell}>>)").alias("open"))
+    start = F.struct(F.expr("cast(array() as array<array<string>>)").alias("out"),
+                     F.expr("cast(array() as array<struct<col: int, cell: string, rows: int>>)").alias("open"))
 
     def add(state, row):
         cols = F.sequence(F.lit(0), F.size(row) + F.size(state["open"]))
-        free = F.array_except(cols, F.transform(state["open"], lambda o: o["col"]))
-        own = F.transform(row, lambda c, i: F.struct(F.get(free, i).alias("col"), c.alias("cell")))
-        placed = F.array_sort(F.concat(own, state["open"]), lambda x, y: x["col"] - y["col"])
-        again = F.filter(placed, lambda p: p["cell"]["rows"] > 1)
-        return F.struct(F.concat(state["out"], F.array(F.transform(placed, lambda p: p["cell"]))).alias("out"),
-                        F.transform(again, lambda p: F.struct(p["col"].alias("col"),
-                                                              p["cell"].withField("rows", p["cell"]["rows"] - 1).alias("cell"))).alias("open"))
+        taken = F.transform(state["open"], lambda o: o["col"])
+
+        def place(free: Column) -> Column:
+            own = F.transform(row, lambda c, i: F.struct(F.get(free, i).alias("col"), c.alias("cell"), _span(c, "rowspan").alias("rows")))
+            return F.array_sort(F.concat(own, state["open"]))  # columns differ
+
+        def next_state(placed: Column) -> Column:
+            again = F.filter(placed, lambda p: p["rows"] > 1)
+            return F.struct(F.concat(state["out"], F.array(F.transform(placed, lambda p: p["cell"]))).alias("out"),
+                            F.transform(again, lambda p: F.struct(p["col"].alias("col"), p["cell"].alias("cell"), (p["rows"] - 1).alias("rows"))).alias("open"))
+        plain = (F.size(state["open"]) == 0) & ~F.exists(row, lambda c: _span(c, "rowspan") > 1)
+        return F.when(plain, F.struct(F.concat(state["out"], F.array(row)).alias("out"), state["open"].alias("open"))).otherwise(
+            _let(_let(F.array_except(cols, taken), place), next_state))
     return F.aggregate(rows, start, add, lambda st: st["out"])
 
 
-def page_tables(html: Column, css_class: str | None = None, links: bool = False) -> Column:
-    """Nested per-page view: array(table) of struct(header array<string>, rows
-    array<array<string>>, links array<array<string>>), of the tables with ``css_class`` if given.
+def table_markups(html: Column, css_class: str | None = None) -> Column:
+    """array<string>: markup of each table of a page (with ``css_class`` if given), numbered by
+    their start tags, nested ones too. A cell around a nested table holds its text, and the nested
+    table's rows are its own alone."""
+    tables = _tables_of(html)
+    if css_class is not None:
+        own = rf"""(?is)^<table\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'][^>]*>"""
+        tables = F.filter(tables, lambda t: t.rlike(own))
+    return tables
+
+
+def table_view(table: Column) -> Column:
+    """struct(header array<string>, rows array<string>) of a table's markup. Header labels are
+    texts; body rows stay markup, cut into cells only when one is asked for.
 
     The header is a ``thead``'s last row, or else the last of the leading rows made of ``th``
     cells only; body rows are numbered from 0 after it (how a table reader indexes a frame). A row
     of a ``th`` label and ``td`` values is a body row. Cells that span columns or rows are
-    copied. ``links`` holds each cell's first anchor address, if asked for. Everything stays
-    inside the page's row."""
-    def split_rows(table):
-        in_head = F.size(F.regexp_extract_all(F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)</thead\s*>", 1), F.lit(_ROW), 0))
-        parsed = F.transform(F.regexp_extract_all(table, F.lit(_ROW), 1), lambda r: _parsed_row(r, links))
-        full = F.when(table.rlike(r"(?i)\browspan\b"), _spread_rows(parsed)).otherwise(parsed)
-        return _let(F.struct(full.alias("rows"), in_head.alias("in_head")), lambda x: _let(
-            F.struct(x["rows"].alias("rows"), F.greatest(x["in_head"], _leading_headers(x["rows"])).alias("n")), body_of))
-
-    def body_of(x):
-        body = F.slice(x["rows"], x["n"] + 1, F.greatest(F.size(x["rows"]) - x["n"], F.lit(0)))
-        text = F.transform(body, lambda r: F.transform(r, lambda c: c["text"]))
-        head = F.transform(F.get(x["rows"], x["n"] - 1), lambda c: c["text"])
-        fields = [F.when(x["n"] > 0, head).otherwise(F.array().cast("array<string>")).alias("header"), text.alias("rows")]
-        if links:
-            fields.append(F.transform(body, lambda r: F.transform(r, lambda c: c["link"])).alias("links"))
-        return F.struct(*fields)
-
-    wanted = _TABLE if css_class is None else _element_pattern("table", css_class)
-    return F.transform(F.regexp_extract_all(html, F.lit(wanted), 1), split_rows)
+    copied. End tags of rows and cells may be missing. Everything stays inside the page's row."""
+    def spread(rows: Column) -> Column:
+        # copies are made, so the spans in the tags have had their effect
+        plain = lambda c: F.regexp_replace(c, r"(?is)^<(t[dh])\b[^>]*>", "<$1>")
+        return F.transform(_spread_rows(F.transform(rows, _row_cells)), lambda r: F.concat(F.lit("<tr>"), F.array_join(F.transform(r, plain), "")))
+
+    def read(pieces: Column) -> Column:
+        rows = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+        in_head = F.when(_mentions(table, "<thead"), F.regexp_count(F.get(F.split(table, r"(?i)</thead\b", 2), 0), F.lit(r"(?i)<tr\b"))).otherwise(0)
+        full = F.when(_mentions(table, "rowspan"), _let(rows, spread)).otherwise(rows)
+        return _let(full, lambda r: _let(F.greatest(in_head, _leading_headers(r)), lambda n: F.struct(
+            F.when(n > 0, F.transform(_row_cells(F.get(r, n - 1)), cell_text)).otherwise(F.array().cast("array<string>")).alias("header"),
+            F.slice(r, n + 1, F.greatest(F.size(r) - n, F.lit(0))).alias("rows"))))
+    return _let(F.split(table, _ROW_START, -1), read)
 
 
 def _leading_headers(rows: Column) -> Column:
     """How many rows at the top hold th cells only."""
-    other = F.transform(rows, lambda r: (F.size(r) == 0) | F.exists(r, lambda c: ~c["th"]))
-    first = F.array_position(other, True).cast("int")
-    return F.when(first > 0, first - 1).otherwise(F.size(rows))
+    def only_th(row: Column) -> Column:
+        return _let(F.lower(row), lambda r: r.rlike(r"<th\b") & ~r.contains("<td"))
+
+    body = F.array_position(F.transform(rows, lambda r: ~only_th(r)), True).cast("int")
+    # mostly none or one: the first two rows tell
+    many = F.when(body > 0, body - 1).otherwise(F.size(rows))
+    second = F.coalesce(only_th(F.get(rows, 1)), F.lit(False))
+    return F.when(~F.coalesce(only_th(F.get(rows, 0)), F.lit(False)), 0).when(~second, 1).otherwise(many)
 
 
-def cell_at(tables: Column, table_no: int, row_no: int, col) -> Column:
-    """Cell (table, body row, column) from ``page_tables``; ``col`` is a 0-based
+def cell_at(view: Column, row_no: int, col) -> Column:
+    """Text of the cell (body row, column) of a ``table_view``; ``col`` is a 0-based
     index or a header label. Null when out of range."""
-    t = F.get(tables, table_no)
+    cells = _row_cells(F.get(view["rows"], row_no))
     if isinstance(col, str):
-        idx = F.array_position(t["header"], F.lit(col)) - 1
-        return F.when(idx >= 0, F.get(F.get(t["rows"], row_no), idx.cast("int")))
-    return F.get(F.get(t["rows"], row_no), col)
+        idx = F.array_position(view["header"], F.lit(col)) - 1
+        return cell_text(F.when(idx >= 0, F.get(cells, idx.cast("int"))))
+    return cell_text(F.get(cells, col))
 
 
-def row_at(tables: Column, table_no: int, row_no: int) -> Column:
-    return F.get(F.get(tables, table_no)["rows"], row_no)
+def row_at(view: Column, row_no: int) -> Column:
+    """Texts of a body row's cells."""
+    return F.transform(_row_cells(F.get(view["rows"], row_no)), cell_text)
 
 
 def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                 css_class: str | None = None, links: bool = False) -> DataFrame:
-    """S3: long cell form (id, table_no, row_no, col_no, header, cell[, link]) of every table."""
-    t = pages.select(F.col(id_col), F.posexplode(page_tables(F.col(html_col), css_class, links)).alias("table_no", "t"))
-    body = F.arrays_zip(F.col("t.rows").alias("cells"), F.col("t.links").alias("links")) if links else F.col("t.rows")
-    r = t.select(id_col, "table_no", F.col("t.header").alias("hdr"), F.posexplode(body).alias("row_no", "r"))
-    cells = F.arrays_zip(F.col("r.cells").alias("cell"), F.col("r.links").alias("link")) if links else F.col("r")
-    c = r.select(id_col, "table_no", "row_no", F.posexplode(cells).alias("col_no", "c"), "hdr")
-    shown = [F.col("c.cell").alias("cell"), F.col("c.link").alias("link")] if links else [F.col("c").alias("cell")]
+    """S3: long cell form (id, table_no, row_no, col_no, header, cell[, link]) of every table;
+    ``link`` is the address of a cell's first anchor."""
+    m = pages.select(F.col(id_col), F.posexplode(table_markups(F.col(html_col), css_class)).alias("table_no", "m"))
+    t = m.select(id_col, "table_no", table_view(F.col("m")).alias("t"))
+    r = t.select(id_col, "table_no", F.col("t.header").alias("hdr"), F.posexplode("t.rows").alias("row_no", "r"))
+    c = r.select(id_col, "table_no", "row_no", F.posexplode(_row_cells(F.col("r"))).alias("col_no", "c"), "hdr")
+    shown = [cell_text(F.col("c")).alias("cell")] + ([_first_anchor_attr(F.col("c"), "href").alias("link")] if links else [])
     return c.select(id_col, "table_no", "row_no", "col_no",
                     F.get(F.col("hdr"), F.col("col_no")).alias("header"), *shown)
 
