@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -58,3 +59,28 @@ def test_round_trip_with_nulls_repeats_and_other_columns(spark, tok):
 
 def test_empty_table(spark):
     assert TS.token_digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_of_latin_characters(tok, seed):
+    """Words of any characters below U+0100, and some beyond, give the library's ids."""
+    random.seed(seed)
+    chars = [chr(c) for c in range(0x21, 0x7F)] + [chr(c) for c in range(0xA1, 0x100)] * 2 + list("'stredvml" * 9) + ["Ā", "日", "😀"]
+    texts = [" ".join("".join(random.choices(chars, k=random.randint(1, 9))) for _ in range(60)) for _ in range(40)]
+    enc = TS.PieceEncoder(PATH, "<u2")
+    assert [np.frombuffer(g, "<u2").tolist() for g in enc.batch(texts)] == [expected(tok, t)[:-1] for t in texts]
+
+
+def test_plain_call_knows_control_tokens():
+    plain = Tokenizer.from_file(PATH)
+    enc = TS.PieceEncoder(PATH, "<u2", spell_control=True)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "no control", "<|endoftext |>"]
+    assert [np.frombuffer(g, "<u2").tolist() for g in enc.batch(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_full_memory_keeps_the_newer_half(monkeypatch):
+    monkeypatch.setattr(TS, "CACHE_WORDS", 10)
+    enc = TS.PieceEncoder(PATH, "<u2")
+    enc.batch([" ".join(f"w{i}x" for i in range(20))])
+    enc.batch(["other"])
+    assert " w19x" in enc.known and " w2x" not in enc.known

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,31 +33,54 @@ from pyspark.sql import functions as F
 from tickerlens.llm import files
 from tickerlens.session import ensure_shipped, scratch_path
 
-CACHE_WORDS = 700_000  # pieces whose ids a worker remembers; it starts anew when full
+CACHE_WORDS = 700_000  # pieces whose ids a worker remembers; the older half goes when full
 ENCODE_CHARS = 200_000  # new pieces are encoded in joins of about this length
+# Characters below U+0100 as the pre-tokenizer classes them (white space is never asked for).
+_LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_LATIN = re.compile("[ !-~\u00a1-\u00ff]+")
+_TOKENS = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^ {_LETTERS}{_NUMBERS}]+")
 DOC_DTYPE = np.dtype([("id", "<i8"), ("valid", "u1")])
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes for
+    themselves, the others for the next letters after U+00FF."""
+    itself = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    later = itertools.count(0x100)
+    return [chr(b) if b in itself else chr(next(later)) for b in range(256)]
+
+
 class PieceEncoder:
     """Encodes whole texts with a ``tokenizers`` byte-level BPE, remembering pieces.
 
     The pre-tokenizer of byte-level BPE always starts a token at a space that stands between
     two other non-space characters, and around a lone line break. Cutting there gives pieces
     whose ids, joined, are the ids of the whole text, so a piece seen before is not encoded
-    again. A final full stop or comma after a Latin letter is a token of its own, so such a
-    piece takes the ids of the word without it. Texts with other white space (runs, tabs, NUL,
-    breaks at either end) are encoded as they are, by the library in one call.
+    again. Pieces of Latin characters are cut further, into the runs of letters, numbers and
+    marks that the pre-tokenizer tells apart, and each new run goes to the library's model,
+    which only merges. Texts with other white space (runs, tabs, NUL, breaks at either end) are
+    encoded as they are, by the library in one call.
+
+    A text can't spell a control token, unless ``spell_control`` asks for the library's plain
+    call: then a text that holds one's content is encoded in one call too.
     """
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, spell_control: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # a text cannot spell a control token
+        self.tok.encode_special_tokens = not spell_control
+        self.control = [t.content for t in self.tok.get_added_tokens_decoder().values()] if spell_control else []
+        # runs are merged by the model alone where nothing else has a say in them
+        alone = (isinstance(self.tok.model, models.BPE) and isinstance(self.tok.pre_tokenizer, pre_tokenizers.ByteLevel)
+                 and self.tok.normalizer is None and not self.tok.pre_tokenizer.add_prefix_space)
+        self.model, self.letters = (self.tok.model, dict(enumerate(_byte_letters()))) if alone else (None, {})
         self.dtype = np.dtype(dtype)
         brk = self.tok.encode("\n", add_special_tokens=False).ids
         self.brk = brk[0] if len(brk) == 1 else None
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
@@ -92,21 +116,29 @@ class PieceEncoder:
     def learn(self, new: set[str]) -> set[str]:
         """Remembers the ids of new pieces; returns those with white space inside, which it can't."""
         odd = {w for w in new if len(w.split()) != 1}
-        plain = new - odd
-        marked = [w for w in plain if w[-1] in ".," and len(w) > 1 and w[-2] <= "\u00ff" and w[-2].isalpha()]
-        wanted = (plain.difference(marked) | {w[:-1] for w in marked} | {".", ","}).difference(self.known)
-        self._encode(sorted(wanted))
-        known = self.known
-        known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
+        latin = {w for w in new - odd if _LATIN.fullmatch(w)} if self.model is not None else set()
+        self._encode(sorted(new - odd - latin))
+        known, runs, merge, dtype = self.known, self.runs, self.model and self.model.tokenize, self.dtype
+        for w in latin:
+            ids = b""
+            for run in _TOKENS.findall(w):
+                got = runs.get(run)
+                if got is None:
+                    mapped = run.encode().decode("latin-1").translate(self.letters)
+                    got = runs[run] = np.array([t.id for t in merge(mapped)], dtype=dtype).tobytes()
+                ids += got
+            known[w] = ids
         return odd
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of the file's integer type."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+        for memory in (self.known, self.runs):
+            if len(memory) > CACHE_WORDS:
+                for w in list(itertools.islice(memory, len(memory) // 2)):
+                    del memory[w]
         known = self.known
         known["\n"] = np.array([self.brk or 0], dtype=self.dtype).tobytes()
-        cut = [self.pieces(t) if t and self.brk is not None else None for t in texts]
+        cut = [self.pieces(t) if t and self.brk is not None and not any(c in t for c in self.control) else None for t in texts]
         new = {w for p in cut if p is not None for w in p if w not in known}
         odd = self.learn(new) if new else ()
         if odd:
@@ -119,11 +151,12 @@ class PieceEncoder:
 _ENCODERS: dict = {}
 
 
-def encoder(path: str, dtype: str) -> PieceEncoder:
+def encoder(path: str, dtype: str, spell_control: bool = False) -> PieceEncoder:
     """One encoder per Python worker, so pieces learned in one task serve the next."""
-    if (path, dtype) not in _ENCODERS:
-        _ENCODERS[path, dtype] = PieceEncoder(path, dtype)
-    return _ENCODERS[path, dtype]
+    key = path, dtype, spell_control
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PieceEncoder(*key)
+    return _ENCODERS[key]
 
 
 def file_dtype(tokenizer_path: str, end_id: int) -> str:
@@ -148,7 +181,7 @@ def _text_groups(batches: Iterator[pa.RecordBatch], max_chars: int = 1 << 20):
 
 
 def write_store(docs: DataFrame, folder: str, tokenizer_path: str, *, id_col: str = "doc_id",
-                text_col: str = "text", end_id: int = 0) -> DataFrame:
+                text_col: str = "text", end_id: int = 0, spell_control: bool = False) -> DataFrame:
     """Write ``docs`` to ``folder``; returns the shard table (shard, name, n_docs, n_ids, base)."""
     spark = docs.sparkSession
     ensure_shipped(spark)
@@ -156,7 +189,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, *, id_col: st
     files.make_dir(folder)
 
     def write_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path, dtype)
+        enc = encoder(tokenizer_path, dtype, spell_control)
         end = np.array([end_id], dtype=dtype).tobytes()
         width = np.dtype(dtype).itemsize
         groups = _text_groups(batches)
