@@ -112,8 +112,7 @@ def details(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
             materialized: bool = False) -> DataFrame:
     """Detail rows (24 columns, all strings) for every fact row: market snapshot,
     consensus and S-RIM per code, computed once per distinct code and joined
-    back (the per-code side is bounded by the master and broadcast when a
-    count proves it small)."""
+    back (the per-code side is bounded by the master; AQE sees its size)."""
     if not materialized:
         fact = materialize(fact)  # read twice below (codes, and the join back)
     codes = fact.select(F.col("code_").alias("code")).distinct()
@@ -165,7 +164,7 @@ def report_requests(articles: DataFrame, us_store: DataFrame, company_pages: Dat
     return a.select("seq", "ticker", us_request(F.col("company_name"), F.col("headline")).alias("prompt"))
 
 
-def run_us_job(fact: DataFrame, root: str) -> str:
+def run_us_job(fact: DataFrame, root: str) -> store.Snapshot:
     """The US run's sink: the rows without an error report are appended, which leaves what
     "append, then delete error reports" would."""
     keep = ~F.coalesce(F.col("report_").rlike(store.ERROR_PATTERN), F.lit(False))
@@ -194,7 +193,7 @@ def filing_requests(docs: DataFrame, company_col: str, text_col: str, delimiter:
 
 
 def run_ko_job(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
-               fact_root: str, detail_root: str, purge_existing: bool = False) -> tuple[str, str]:
+               fact_root: str, detail_root: str, purge_existing: bool = False) -> tuple[store.Snapshot, store.Snapshot]:
     """The whole KO run: append the fact (K1, partitioned by date_) without rows
     whose report matches the error pattern, then append the detail rows for
     every article (K2; details are never purged).
@@ -202,14 +201,13 @@ def run_ko_job(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
     Every fact row enters through this run, so filtering the run's own rows
     leaves the store exactly as "append, then delete matching rows" would - and
     it never rewrites earlier partitions. ``purge_existing`` additionally runs
-    the full-table purge (K4), a maintenance rewrite for rows written by other
-    means. Each append commits on its own, so a failed detail step leaves the
+    the purge (K4) for rows written by other means. Each append commits on its own, so a failed detail step leaves the
     fact stored. Returns (fact version, detail version)."""
     spark = fact.sparkSession
     fact = materialize(fact)  # written, and read again for the details
     keep = ~F.coalesce(F.col("report_").rlike(store.ERROR_PATTERN), F.lit(False))
-    fact_path = store.append(fact.where(keep), fact_root, partition_by=["date_"])
-    store.append(details(fact, company_pages, rate_cells, materialized=True), detail_root)
+    stored_fact = store.append(fact.where(keep), fact_root, partition_by=["date_"])
+    stored_details = store.append(details(fact, company_pages, rate_cells, materialized=True), detail_root)
     if purge_existing:
-        fact_path = store.purge(spark, fact_root, fact.schema, ["date_"])
-    return fact_path, store.current_path(spark, detail_root)
+        stored_fact = store.purge(spark, fact_root, fact.schema, ["date_"])
+    return stored_fact, stored_details
