@@ -22,6 +22,7 @@ import itertools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,17 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in itself else chr(next(later)) for b in range(256)]
 
 
+class _Known(dict):
+    """Ids of pieces; an unknown one is asked of ``encode`` and remembered."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.encode(word)
+        return ids
+
+
 class PieceEncoder:
     """Encodes whole texts with a ``tokenizers`` byte-level BPE, remembering pieces.
 
@@ -79,7 +91,8 @@ class PieceEncoder:
         self.dtype = np.dtype(dtype)
         brk = self.tok.encode("\n", add_special_tokens=False).ids
         self.brk = brk[0] if len(brk) == 1 else None
-        self.known: dict[str, bytes] = {}
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        self.known = _Known(self.latin)
         self.runs: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -113,22 +126,38 @@ class PieceEncoder:
                 self.known.update((w, self.whole(w)) for w in part)
             i = j
 
-    def learn(self, new: set[str]) -> set[str]:
-        """Remembers the ids of new pieces; returns those with white space inside, which it can't."""
-        odd = {w for w in new if len(w.split()) != 1}
-        latin = {w for w in new - odd if _LATIN.fullmatch(w)} if self.model is not None else set()
-        self._encode(sorted(new - odd - latin))
-        known, runs, merge, dtype = self.known, self.runs, self.model and self.model.tokenize, self.dtype
-        for w in latin:
-            ids = b""
-            for run in _TOKENS.findall(w):
-                got = runs.get(run)
-                if got is None:
-                    mapped = run.encode().decode("latin-1").translate(self.letters)
-                    got = runs[run] = np.array([t.id for t in merge(mapped)], dtype=dtype).tobytes()
-                ids += got
-            known[w] = ids
-        return odd
+    def latin(self, word: str) -> bytes:
+        """Ids of a word of Latin characters; KeyError for any other."""
+        if self.model is None or not _LATIN.fullmatch(word):
+            raise KeyError(word)
+        runs, ids = self.runs, b""
+        for run in _TOKENS.findall(word):
+            got = runs.get(run)
+            if got is None:
+                mapped = run.encode().decode("latin-1").translate(self.letters)
+                got = runs[run] = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            ids += got
+        return ids
+
+    def learn(self, new: set[str]) -> bool:
+        """Remembers the ids of new pieces, unless one holds white space, which it can't."""
+        if any(len(w.split()) != 1 for w in new):
+            return False
+        self._encode(sorted(new))
+        return True
+
+    def encoded(self, text: str) -> bytes:
+        cut = None
+        if text and self.brk is not None and not any(c in text for c in self.control):
+            cut = self.pieces(text)
+        if cut is None:
+            return self.whole(text) if text else b""
+        get = self.known.__getitem__
+        try:
+            return b"".join(map(get, cut))
+        except KeyError:  # a piece that neither is known nor Latin
+            other = {w for w in cut if w not in self.known and not (self.model is not None and _LATIN.fullmatch(w))}
+            return b"".join(map(get, cut)) if self.learn(other) else self.whole(text)
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of the file's integer type."""
@@ -136,16 +165,8 @@ class PieceEncoder:
             if len(memory) > CACHE_WORDS:
                 for w in list(itertools.islice(memory, len(memory) // 2)):
                     del memory[w]
-        known = self.known
-        known["\n"] = np.array([self.brk or 0], dtype=self.dtype).tobytes()
-        cut = [self.pieces(t) if t and self.brk is not None and not any(c in t for c in self.control) else None for t in texts]
-        new = {w for p in cut if p is not None for w in p if w not in known}
-        odd = self.learn(new) if new else ()
-        if odd:
-            cut = [p if p is None or odd.isdisjoint(p) else None for p in cut]
-        get = known.__getitem__
-        return [b"" if not t else b"".join(map(get, p)) if p is not None else self.whole(t)
-                for t, p in zip(texts, cut)]
+        self.known["\n"] = np.array([self.brk or 0], dtype=self.dtype).tobytes()
+        return [self.encoded(t) for t in texts]
 
 
 _ENCODERS: dict = {}
