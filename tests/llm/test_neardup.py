@@ -84,6 +84,17 @@ def test_cases(spark):
     assert N.duplicates(df.limit(0), shingle=4).count() == 0
 
 
+def test_ids_that_share_classes(spark):
+    """An id links all the texts of its rows, whichever of them it represents."""
+    base = " ".join(f"w{i}" for i in range(60))
+    a, near, b, c = base, base + " end", "other words here", "third text of its own"
+    rows = [(7, a), (7, b), (3, b), (9, a), (12, near), (20, c), (12, c), (20, None), (30, ""), (30, "lone"), (31, None), (31, None)]
+    assert run(spark, rows, 4) == sorted(brute(rows, 4, 80), key=str)
+    random.seed(5)
+    mixed = [(random.randint(0, 70), t) for _, t in corpus(3, 100)]
+    assert run(spark, mixed, 4) == sorted(brute(mixed, 4, 80), key=str)
+
+
 def test_deduplicate_keeps_columns_and_one_of_each(spark):
     df = spark.createDataFrame([(1, "a b c", "x"), (2, "a b c", "y"), (None, "a b c", "z"), (3, None, None), (1, "a b c", "x")],
                                "doc_id long, text string, kept string")

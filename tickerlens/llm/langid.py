@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.llm.tables import stored
+from tickerlens.llm.tables import fresh, stored
 from tickerlens.session import ensure_shipped
 
 BUCKETS = 1 << 15
@@ -236,6 +236,7 @@ def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **kw) -> DataFra
     """The rows of ``docs`` whose language is known, with all their columns. Rows that share an
     id stay together unless all of them are rejected."""
     found = stored(identify_documents(docs, id_col=id_col, **kw), "langid-result")
-    gone = found.groupBy("doc_id").agg(F.min("rejected").alias("all_")).where("all_").select(F.col("doc_id").alias("_gone"))
+    [id_] = fresh(docs, "gone")
+    gone = found.groupBy("doc_id").agg(F.min("rejected").alias("all_")).where("all_").select(F.col("doc_id").alias(id_))
     gone = stored(gone, "langid-rejected")
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[id_]), "left_anti")

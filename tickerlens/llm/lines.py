@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.llm.tables import stored
+from tickerlens.llm.tables import fresh, stored
 from tickerlens.session import ensure_shipped
 
 WINDOW = 3
@@ -136,12 +136,14 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with the repeated lines cut out of the texts, all other columns as they are."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     _, gone = removed_lines(plain, window)
-    gone = gone.select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), "copies", "lines", "copy_lines")
+    d, k, copies, lines, copy_lines, nth = fresh(docs, "d", "k", "copies", "lines", "copy_lines", "nth")
+    gone = gone.select(F.col("doc_id").alias(d), F.col("k").alias(k), F.col("copies").alias(copies),
+                       F.col("lines").alias(lines), F.col("copy_lines").alias(copy_lines))
     text = docs[text_col].cast("string")
-    met = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_d"]) & (_key(text) == gone["_k"]), "left")
-    nth = F.row_number().over(Window.partitionBy("_d", "_k").orderBy("_k"))
-    met = met.withColumn("_nth", F.when(F.coalesce("copies", F.lit(1)) > 1, nth).otherwise(1))
-    drop = F.when(F.col("_nth") > 1, F.col("copy_lines")).otherwise(F.col("lines"))
+    met = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[d]) & (_key(text) == gone[k]), "left")
+    row = F.row_number().over(Window.partitionBy(d, k).orderBy(k))
+    met = met.withColumn(nth, F.when(F.coalesce(copies, F.lit(1)) > 1, row).otherwise(1))
+    drop = F.when(F.col(nth) > 1, F.col(copy_lines)).otherwise(F.col(lines))
     parts = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(parts, lambda p, i: ~F.array_contains(drop, i.cast("long"))), "\n")
     return met.select(*[F.when(F.size(drop) > 0, kept).otherwise(text).alias(c) if c == text_col else docs[c] for c in docs.columns])

@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.llm.tables import stored
+from tickerlens.llm.tables import fresh, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 1024
@@ -176,16 +176,17 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs``, each as often as the mix takes it (0, 1 or ``max_repeat`` times at
     most); a document that the end of a source's target cuts counts as whole if at least half is taken."""
     plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kw)
-    key = ["_id", "_source", "_hash"]
-    each = (plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"),
-                        F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("_times"))
-            .groupBy(*key).agg(F.sum("_times").alias("_total"), F.count(F.lit(1)).alias("_rows")).where("_total > 0"))
+    id_, source, hash_, times, total, rows_, copies, copy = fresh(docs, "id_", "source_", "hash_", "times_", "total_", "rows_", "copies_", "copy_")
+    key = [id_, source, hash_]
+    each = (plan.select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("text_hash").alias(hash_),
+                        F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias(times))
+            .groupBy(*key).agg(F.sum(times).alias(total), F.count(F.lit(1)).alias(rows_)).where(F.col(total) > 0))
     text = F.col(text_col).cast("string")
-    rows = docs.select("*", F.col(id_col).cast("long").alias("_id"), F.col(source_col).cast("string").alias("_source"),
-                       F.xxhash64(text).alias("_hash"))
+    rows = docs.select("*", F.col(id_col).cast("long").alias(id_), F.col(source_col).cast("string").alias(source),
+                       F.xxhash64(text).alias(hash_))
     same = [rows[c].eqNullSafe(each[c]) for c in key]
-    nth = F.row_number().over(Window.partitionBy(*[rows[c] for c in key]).orderBy(rows["_id"]))
+    nth = F.row_number().over(Window.partitionBy(*[rows[c] for c in key]).orderBy(rows[id_]))
     # rows equal in id, source and text share their total evenly, the first ones taking the odd copies
-    times = F.floor((F.col("_total") + F.col("_rows") - nth) / F.col("_rows")).cast("int")
-    out = rows.join(each, same).withColumn("_copies", times).where("_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[rows[c] for c in docs.columns])
+    share = F.floor((F.col(total) + F.col(rows_) - nth) / F.col(rows_)).cast("int")
+    out = rows.join(each, same).withColumn(copies, share).where(F.col(copies) > 0)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[rows[c] for c in docs.columns])

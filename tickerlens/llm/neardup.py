@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.llm.tables import stored
+from tickerlens.llm.tables import fresh, stored
 from tickerlens.session import ensure_shipped
 
 K, MINI = 64, 32
@@ -294,6 +294,18 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
+def shared_ids(rows: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """(doc_id, rep) of the ids whose rows differ in their sets, None if there is none: such an
+    id links the classes of all its rows."""
+    one = F.struct("n", "f1", "f2")
+    several = stored(rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(one).alias("lo"), F.max(one).alias("hi"))
+                     .where("lo != hi").select("doc_id"), "neardup-shared-ids")
+    if not several.limit(1).count():
+        return None
+    own = rows.where("n > 0").join(several, "doc_id", "left_semi").select("doc_id", "n", "f1", "f2").distinct()
+    return stored(own.join(classes, ["n", "f1", "f2"]).select("doc_id", "rep").distinct(), "neardup-ids")
+
+
 def duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs``."""
@@ -315,8 +327,11 @@ def duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     wanted = first.select(F.col("a").alias("doc_id")).union(first.select("b")).union(
         posts.join(lists.where(F.col("members") > ALL_PAIRS).select("v"), "v").select("rep")).distinct()
     texts = stored(plain.join(wanted, "doc_id", "left_semi"), "neardup-texts")
-    # an id's own repeated rows are linked by the id itself
     edges = stored(confirmed(first, texts, shingle, percent), "neardup-links")
+    of_ids = shared_ids(rows, classes)
+    if of_ids is not None:
+        least = of_ids.groupBy("doc_id").agg(F.min("rep").alias("a"))
+        edges = edges.unionByName(of_ids.join(least, "doc_id").select("a", F.col("rep").alias("b")).where("a != b"))
     labels = components(edges)
     members = stored(open_members(posts, lists, labels), "neardup-open")
     rest = stored(other_pairs(members, texts, shingle, percent), "neardup-pairs")
@@ -326,7 +341,13 @@ def duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
     named = (rows.drop("sketch", "mini").join(classes, ["n", "f1", "f2"], "left")
              .join(labels.withColumnRenamed("node", "rep"), "rep", "left"))
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id"))
+    if of_ids is None:
+        named = named.withColumn("of_id", F.lit(None).cast("long"))
+    else:  # rows without words of an id whose other rows have some
+        of_id = (of_ids.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+                 .select("doc_id", F.coalesce("label", "rep").alias("of_id")))
+        named = named.join(of_id, "doc_id", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "of_id", "doc_id"))
     return (named.withColumn("component_id", own)
             .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
@@ -336,9 +357,10 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, with all its columns."""
     found = stored(duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, percent=percent), "neardup-result")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    id_, nth = fresh(docs, "gone", "nth")
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(id_)).distinct()
+    left = docs.join(gone, docs[id_col].cast("long") == gone[id_], "left_anti")
     if found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        nth = F.row_number().over(Window.partitionBy(docs[id_col]).orderBy(docs[text_col]))
-        left = left.withColumn("_nth", nth).where(F.col("_nth").eqNullSafe(1) | docs[id_col].isNull()).select(*[docs[c] for c in docs.columns])
+        row = F.row_number().over(Window.partitionBy(docs[id_col]).orderBy(docs[text_col]))
+        left = left.withColumn(nth, row).where(F.col(nth).eqNullSafe(1) | docs[id_col].isNull()).select(*[docs[c] for c in docs.columns])
     return left
