@@ -29,7 +29,6 @@ from tickerlens.llm.tables import fresh, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 1024
-MIN_SLOTS = 20_000  # a small corpus has smaller blocks, so that the schedule stays fine
 GOLDEN = (math.sqrt(5) - 1) / 2
 
 
@@ -136,8 +135,8 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         block_words: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
     """(doc_id, source, text_hash, size, source_size, target, taken) of each row of ``docs``."""
     sizes = stored(word_sizes(docs, id_col, text_col, source_col), "mix-sizes")
-    n_rows, words = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    block = max(1, min(block_words, words // MIN_SLOTS))
+    n_rows = sizes.count()
+    block = block_words
     counts = stored(slot_counts(source_targets(sizes, weights, share, max_repeat), block), "mix-sources")
     total = counts.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
 
