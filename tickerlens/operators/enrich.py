@@ -23,6 +23,8 @@ KO_QUESTION_SUFFIX = " 이 문장이 긍정문이야? 부정문이야?"
 SUMMARY_TEMPLATE = ("Please summarize the following text using bullet points:\n\n 기업명 : {name}\n\n"
                     " 기업개요 : {overview}\n\n 현재상황 : {status}")
 SUMMARY_DROP = "동사는"
+# The class of the page's block that holds the company's summary.
+SUMMARY_CLASS = "um_bssummary"
 # US headline request (Korean): company introduction and status in five sentences.
 US_TEMPLATE = ("다음 문장은 나스닥 상장사 {company_name}의 오늘 뉴스 타이틀 입니다. {article}. "
                "이 회사의 간단한 소개 및 현재 상황을 문장 기호를 사용하여 5문장 이내로 알려 주세요. "
@@ -55,6 +57,14 @@ def summary_request(name: Column, overview: Column, status: Column) -> Column:
                      F.lit(SUMMARY_DROP), F.lit(""))
 
 
+def company_request(name: Column, html: Column) -> Column:
+    """The summary request of a company's page: the first ``li`` and ``h3`` elements of its summary
+    block, as markup, like the job puts them in; null when the page has no such block."""
+    block = F.regexp_extract(html, rf"""(?is)<div\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{SUMMARY_CLASS}(?:\s[^"']*)?["'][^>]*>(.*?)</div\s*>""", 0)
+    first = lambda tag: F.nullif(F.regexp_extract(block, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", 0), F.lit(""))
+    return F.when(block != "", summary_request(name, first("li"), first("h3")))
+
+
 def us_request(company_name: Column, article: Column) -> Column:
     return _fill(US_TEMPLATE, company_name=company_name, article=article)
 

@@ -8,6 +8,8 @@ day adds) is aggregation over fingerprints.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,3 +114,22 @@ def backfill_horizon(items: DataFrame, list_cols: list[str], date_col: str = "ru
     return (days.withColumn("lists_before", before.cast("bigint"))
             .where(F.col("lists_before") < min_lists)
             .withColumn("lists_held", (F.col("lists_before") + F.col("new_lists")).cast("bigint")))
+
+
+def look_back(days: list[str], read_days: Callable[[list[str]], DataFrame], list_cols: list[str],
+              min_lists: int = 10, date_col: str = "run_date") -> tuple[DataFrame, list[str]]:
+    """W2 as part of a run: (items, their days). ``days`` names the stored days from the run's
+    own backwards; ``read_days`` reads some of them. Days are read newest first, one, then two,
+    then four, until ``min_lists`` distinct lists are held, and the items are those of the days
+    up to that horizon: older partitions are never listed or read. One row per day read comes
+    to the driver."""
+    n = 1
+    while True:
+        near = days[:n]
+        held = backfill_horizon(read_days(near), list_cols, date_col, min_lists).select(
+            F.date_format(date_col, "yyyy-MM-dd").alias("day"), "lists_held").collect()
+        if n >= len(days) or any(r["lists_held"] >= min_lists for r in held):
+            within = {r["day"] for r in held}
+            kept = [d for d in near if d in within]
+            return read_days(kept), kept
+        n *= 2

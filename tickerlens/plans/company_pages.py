@@ -53,6 +53,8 @@ CONSENSUS = [
     _i(f"CAST({S} % 40 AS DOUBLE) / 4"),
     _i(f"{S} % 10"),
 ]
+SUMMARY_STATUS = f"CASE WHEN {K} % 5 = 0 THEN '' ELSE '<h3>' || p_type || '</h3>' END"
+SUMMARY_ITEM = "'<li class=\"a\">동사는 ' || p_brand || '</li>'"
 PERIODS = ["2019", "2020", "2021", "2022", "2023E", "2024E", "2025E", "2026E"]
 
 
@@ -128,6 +130,8 @@ def company_html_pieces() -> list[str]:
     # tables 5 and 6: on every tenth page one stands in a cell of the other
     inside, apart = "<table><tr><td>-<table><tr><td>inner</td></tr></table>after</td></tr></table>", _unlit(placeholder[0]) * 2
     nested = [f"CASE WHEN {K} % 10 = 0 THEN {_lit(inside)} ELSE {_lit(apart)} END"]
+    # every eighth page has no summary block, every fifth summary no status
+    spans += [f"CASE WHEN {K} % 8 = 0 THEN '' ELSE '<div class=\"tab um_bssummary\">' || {SUMMARY_STATUS} || '<ul>' || {SUMMARY_ITEM} || '<li>x</li></ul></div>' END"]
     body = (t0 + placeholder * 3 + t4 + nested + t7 + placeholder * 2 + t10)
     return _merge([_lit("<html><body>")] + spans + body + [_lit("</body></html>")])
 

@@ -2,22 +2,22 @@
 job, Q4 filing digest requests).
 
 Each job is one DataFrame plan: Catalyst sees every join and aggregate at once,
-so filters and projections reach the scans, the small dimensions (master,
-vocabulary, dictionaries, per-code detail) are broadcast behind bounded counts,
-and the big inputs (headlines, quotes, store) are read once.
+so filters and projections reach the scans, AQE sees the size of the small dimensions
+(master, dictionaries, per-code detail), and the big inputs (headlines, quotes, store)
+are read once.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.language import verdict
 from ..functions.text import keep_alnum_hangul, normalise_ws, py_strip, section_after, truncate_words
 from ..operators import features as FE
 from ..operators import linking, pages, quotes, sentiment, store, valuation
-from ..operators.enrich import us_request
+from ..operators.enrich import company_request, us_request
 from ..operators.usjob import extract_ticker
 from ..session import materialize, stored
 
@@ -55,12 +55,30 @@ def _run_time(run_time: str):
 
 
 def _select_headlines(headlines: DataFrame) -> DataFrame:
-    """W3 per run: drop page lists equal to one seen earlier the same day."""
-    kept, _ = pages.dedupe_pages(headlines, ["run_date", "page_no", "slot"],
-                                 [F.col("page_no"), F.col("slot")], run_cols=["run_date"])
+    """W3 per run: drop page lists equal to one seen earlier in the run. A run that looked back
+    (``list_date``) sees the newest day first."""
+    day = ["list_date"] if "list_date" in headlines.columns else []
+    order = [F.datediff(F.lit("9999-12-31"), c) for c in day] + [F.col("page_no"), F.col("slot")]
+    kept, _ = pages.dedupe_pages(headlines, ["run_date", *day, "page_no", "slot"], order, run_cols=["run_date"])
     return kept
 
 
+def look_back_headlines(spark: SparkSession, root: str, schema, run_day: str | None = None, min_lists: int = 10) -> DataFrame:
+    """The headlines of one run (of ``run_day``, the newest stored unless given) from a store
+    partitioned by ``run_date`` (yyyy-MM-dd): those of its day and, while fewer than
+    ``min_lists`` distinct page lists are held, of the days before. All count as the run's;
+    ``list_date`` is the day they come from."""
+    now = store.snapshot(spark, root)
+    days = [d for d in reversed(store.partition_values(now, "run_date")) if run_day is None or d <= run_day]
+    run_day = run_day or (days[0] if days else None)
+
+    def read(some: list[str]) -> DataFrame:
+        rows = store.read_store(spark, root, schema=schema, partitions={"run_date": some}, version=now)
+        return rows.withColumn("run_date", F.to_date("run_date"))
+    items, _ = pages.look_back(days, read, ["run_date", "page_no", "slot"], min_lists)
+    return items.withColumn("list_date", F.col("run_date")).withColumn("run_date", F.to_date(F.lit(run_day)))
+
+
 def _link(headlines, master, legacy_carry):
     if legacy_carry:
         return linking.link_with_legacy_carry(headlines, master)
@@ -164,6 +182,14 @@ def report_requests(articles: DataFrame, us_store: DataFrame, company_pages: Dat
     return a.select("seq", "ticker", us_request(F.col("company_name"), F.col("headline")).alias("prompt"))
 
 
+def report_requests_ko(fact: DataFrame, company_pages: DataFrame) -> DataFrame:
+    """The prompts of the companies in a KO fact without a reusable report: what a model client
+    answers. A company without a page, or whose page has no summary block, gets none."""
+    wanted = fact.where(F.col("report_") == "").select(F.col("code_").alias("code"), F.col("name_").alias("name")).distinct()
+    asked = wanted.join(company_pages.select("code", "html"), "code")
+    return asked.select("code", "name", company_request(F.col("name"), F.col("html")).alias("prompt")).where("prompt IS NOT NULL")
+
+
 def run_us_job(fact: DataFrame, root: str) -> store.Snapshot:
     """The US run's sink: the rows without an error report are appended, which leaves what
     "append, then delete error reports" would."""

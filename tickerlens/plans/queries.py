@@ -520,6 +520,24 @@ def q_job_ko_replies(spark, sf_dir):
     return _job_ko(spark, sf_dir, True, replies=True)
 
 
+@register("job_ko_backfill")
+def q_job_ko_backfill(spark, sf_dir):
+    """Q1 with look-back (W2): the run of the newest day over stored headlines, going back day by
+    day until 200 distinct page lists are held."""
+    h = A.headlines(spark, sf_dir).withColumn("run_date", _day())
+    root = _store_dir(spark, "headline_days")
+    ST.append(h, root, partition_by=["run_date"])
+    items = J.look_back_headlines(spark, root, h.schema, min_lists=200)
+    return J.job_ko(items, A.master(spark, sf_dir), A.store(spark, sf_dir), A.quotes(spark, sf_dir), J.bow_model(A.corpus(spark, sf_dir)),
+                    negative_words(spark, sf_dir), quote_tiebreak=A.QUOTE_TIEBREAK)
+
+
+@register("report_requests_ko")
+def q_report_requests_ko(spark, sf_dir):
+    """Q1's requests: one prompt per company of the run's articles that has no reusable report."""
+    return J.report_requests_ko(_job_ko(spark, sf_dir, False), filed_pages(spark, sf_dir))
+
+
 @register("job_ko_light")
 def q_job_ko_light(spark, sf_dir):
     return _job_ko(spark, sf_dir, False)

@@ -402,6 +402,14 @@ SQL["job_ko"] = job_ko_sql(True)
 SQL["job_ko_light"] = job_ko_sql(False)
 SQL["job_ko_replies"] = job_ko_sql(True, replies=True)
 SQL["append_predictions"] = SQL["job_ko"]
+_within = "SELECT CAST(run_date AS DATE) FROM (" + SQL["backfill_horizon_wide"][SQL["backfill_horizon_wide"].index("\nSELECT"):] + ")"
+LOOK_BACK = f"""kept_items AS (
+  SELECT h.* EXCLUDE (run_date), (SELECT max(run_date) FROM lists) AS run_date FROM headlines h JOIN (
+    SELECT arg_min(struct_pack(run_date := run_date, page_no := page_no, slot := slot),
+                   struct_pack(a := date_diff('day', run_date, DATE '2100-01-01'), b := page_no, c := slot)) AS k
+    FROM lists WHERE run_date IN ({_within}) GROUP BY titles) f
+  ON h.run_date = f.k.run_date AND h.page_no = f.k.page_no AND h.slot = f.k.slot)"""
+SQL["job_ko_backfill"] = SQL["job_ko"].replace(CTE["kept_items"], LOOK_BACK)
 
 # details: market snapshot, consensus, S-RIM per code, joined to the light fact
 CTE["snap"] = "snap AS (" + SQL["market_snapshot"] + ")"
@@ -638,3 +646,10 @@ SQL["format_floats"] = """
 SELECT l_extendedprice, l_tax, format('{:,}', l_extendedprice * (1 + l_tax) * 1000) AS value_text,
        format('{:,}', -l_discount) AS discount_text
 FROM lineitem"""
+
+SQL["report_requests_ko"] = with_ctes(["fresh", "max_report", "paged"], f"""
+SELECT f.code, f.name, replace(replace(replace(replace({_q(EN.SUMMARY_TEMPLATE)}, '{{name}}', f.name),
+         '{{overview}}', {CP.SUMMARY_ITEM.replace('STRING', 'VARCHAR')}),
+         '{{status}}', CASE WHEN p_partkey % 5 = 0 THEN 'None' ELSE {CP.SUMMARY_STATUS} END), {_q(EN.SUMMARY_DROP)}, '') AS prompt
+FROM (SELECT DISTINCT f.code, f.name FROM fresh f LEFT JOIN max_report r ON r.code_ = f.code WHERE coalesce(r.stored_report, '') = '') f
+JOIN paged p ON p.code = f.code WHERE p_partkey % 8 <> 0""")
