@@ -90,3 +90,23 @@ def test_contraction_negates(spark):
     got = _mod(spark, ["good", "isn't good", "isn\u2019t good", "not good"], [("good", 19)])
     score = [got[i].compound for i in range(4)]
     assert score[1] == score[2] == score[3] < 0 < score[0]
+
+
+def test_frequent_tokens_are_not_dealt_out_and_scores_stay(spark, monkeypatch):
+    """One token is a third of all positions: it meets the lexicon by broadcast, and the scores
+    are those of the plain join."""
+    rows = [(i, ["the"] * 5 + [f"w{(i * 7 + j) % 300}" for j in range(10)] if i % 9 else []) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    lex = spark.createDataFrame([("the", 3)] + [(f"w{i}", i % 41 - 20) for i in range(0, 300, 2)], "word string, tenths long")
+    each = df.selectExpr("id", "explode_outer(tokens) AS token")
+    frequent = [r.token for r in SE.frequent_tokens(each).collect()]
+    assert "the" in frequent and len(frequent) <= SE.SHARES
+    got = sorted(map(tuple, SE.lexicon_sentiment(df, ["id"], "tokens", lex).collect()))
+    valued = {r.id: r.s for r in SE.with_valence(each, lex).groupBy("id").agg(F.sum("tenths").alias("s")).collect()}
+    of = dict(lex.collect())
+    assert valued == {i: (sum(of[t] for t in ts if t in of) if any(t in of for t in ts) else None) for i, ts in rows}
+    monkeypatch.setattr(SE, "SHARES", 2)  # only a token that is half of all: none
+    assert SE.frequent_tokens(each).count() == 0
+    assert sorted(map(tuple, SE.lexicon_sentiment(df, ["id"], "tokens", lex).collect())) == got
+    monkeypatch.setattr(SE, "SHARES", 10_000)  # every token
+    assert sorted(map(tuple, SE.lexicon_sentiment(df, ["id"], "tokens", lex).collect())) == got

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -14,6 +16,9 @@ COMPOUND_ALPHA = 15.0
 DECISION_THRESHOLD = 0.5
 # Keyword override: contents and words meet on this many first characters.
 GRAM = 4
+# Tokens that make up at least one in so many of all tokens meet the lexicon without a shuffle.
+# By this measure there are never more such tokens than this number.
+SHARES = 500
 BLOCK_CHARS = 4096  # contents are cut into grams in blocks of this many characters
 # ---------------------------------------------------------------------------
 
@@ -29,6 +34,29 @@ def lexicon_from_corpus(docs: DataFrame, id_col: str = "id", label_col: str = "l
     return g.select("word", tenths.cast("bigint").alias("tenths"))
 
 
+def frequent_tokens(rows: DataFrame) -> DataFrame:
+    """(token): those that are at least one in ``SHARES`` of all tokens of ``rows``."""
+    counts = stored(rows.where("token IS NOT NULL").groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token-counts")
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    frequent = stored(counts.where(F.col("n") * SHARES >= total).select("token"), "token-frequent")
+    if (found := frequent.count()) > SHARES:
+        raise ValueError(f"{found} frequent tokens, at most {SHARES} can be")
+    return frequent
+
+
+def with_valence(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """``rows`` (one per token, null for a text without any) with the lexicon's ``tenths``, null
+    where it has none. The frequent tokens, a table of bounded size, are broadcast, so a token
+    that is a third of all stays where its texts are; no other one is more than one in
+    ``SHARES`` of what is dealt out by token. ``rows`` is read several times: store it first."""
+    lex = lexicon.select(F.col("word").alias("token"), "tenths")
+    frequent = frequent_tokens(rows)
+    known = stored(frequent.join(lex, "token", "left").withColumn("frequent", F.lit(True)), "token-valences")
+    near = rows.join(F.broadcast(known), "token", "left").where("frequent OR token IS NULL").drop("frequent")
+    far = rows.where("token IS NOT NULL").join(F.broadcast(frequent), "token", "left_anti").join(lex, "token", "left")
+    return near.unionByName(far)
+
+
 def lexicon_sentiment(df: DataFrame, id_cols: list[str], tokens_col: str,
                       lexicon: DataFrame) -> DataFrame:
     """A7 (base layer): per text, neg / neu / pos shares (3 decimals) and the
@@ -36,19 +64,14 @@ def lexicon_sentiment(df: DataFrame, id_cols: list[str], tokens_col: str,
     each token contributes its lexicon valence (0 when absent). Valences are
     summed as integer tenths, so the result does not depend on summation order.
     A text without tokens scores 0 everywhere."""
-    lex = lexicon.select(F.col("word").alias("token"), "tenths")
-    # one row per (text, distinct token) before the lexicon join: a token that
-    # dominates the corpus costs one row per text, not one per occurrence
-    toks = (df.select(*id_cols, F.explode_outer(tokens_col).alias("token"))
-            .groupBy(*id_cols, "token").agg(F.count(F.lit(1)).alias("n")))
-    t = toks.join(lex, "token", "left").withColumn(
+    texts = stored(df.select(*id_cols, F.col(tokens_col).alias("tokens")), "lexicon-texts")
+    t = with_valence(texts.select(*id_cols, F.explode_outer("tokens").alias("token")), lexicon).withColumn(
         "t", F.when(F.col("token").isNotNull(), F.coalesce("tenths", F.lit(0))))
-    n = F.col("n")
     g = t.groupBy(*id_cols).agg(
-        F.sum(F.col("t") * n).alias("s10"),
-        F.sum(F.when(F.col("t") > 0, (F.col("t") + 10) * n)).alias("pos10"),
-        F.sum(F.when(F.col("t") < 0, (F.col("t") - 10) * n)).alias("neg10"),
-        F.sum(F.when(F.col("t") == 0, n)).alias("neu_n"))
+        F.sum("t").alias("s10"),
+        F.sum(F.when(F.col("t") > 0, F.col("t") + 10)).alias("pos10"),
+        F.sum(F.when(F.col("t") < 0, F.col("t") - 10)).alias("neg10"),
+        F.count(F.when(F.col("t") == 0, 1)).alias("neu_n"))
     s = F.coalesce(F.col("s10"), F.lit(0)) / 10.0
     pos = F.coalesce(F.col("pos10"), F.lit(0)) / 10.0
     neg = F.coalesce(F.col("neg10"), F.lit(0)) / 10.0
@@ -202,8 +225,8 @@ def lexicon_sentiment_modified(df: DataFrame, id_cols: list[str], text_col: str,
     to 3) or 0.96, in the direction of the sum; shares and compound as in the
     base layer. Booster words themselves score 0.
 
-    Neighbour features come from the in-row token array (fixed word lists), so
-    only one join (the lexicon) and one aggregation per text are needed."""
+    Neighbour features come from the in-row token array (fixed word lists) and are
+    stored per text, so only the lexicon's join and one aggregation per text are left."""
     up, down, neg = _arr(boosters_up), _arr(boosters_down), _arr(negations)
     is_caps = lambda t: (t == F.upper(t)) & (t != F.lower(t))
     txt = F.col(text_col)
@@ -239,9 +262,9 @@ def lexicon_sentiment_modified(df: DataFrame, id_cols: list[str], text_col: str,
             F.when(but_at == 0, F.lit(1.0)).when(i + 1 < but_at, F.lit(BUT_BEFORE))
              .when(i + 1 > but_at, F.lit(BUT_AFTER)).otherwise(F.lit(1.0)).alias("but"))
 
-    feats = s2.select(*id_cols, F.explode_outer(F.transform(toks, feat)).alias("f"), "n_excl", "n_qm")
-    lex = lexicon.select(F.col("word").alias("token"), (F.col("tenths") / 10.0).alias("base"))
-    j = feats.select(*id_cols, "f.*", "n_excl", "n_qm").join(lex, "token", "left")
+    feats = stored(s2.select(*id_cols, F.transform(toks, feat).alias("fs"), "n_excl", "n_qm"), "lexicon-features")
+    each = feats.select(*id_cols, F.explode_outer("fs").alias("f"), "n_excl", "n_qm").select(*id_cols, "f.*", "n_excl", "n_qm")
+    j = with_valence(each, lexicon).withColumn("base", F.col("tenths") / 10.0)
     b = F.when(F.col("is_booster"), F.lit(0.0)).otherwise(F.coalesce("base", F.lit(0.0)))
     v = F.when(b == 0, F.lit(0.0)).otherwise(
         b + F.when(F.col("caps"), F.when(b > 0, F.lit(C_INCR)).otherwise(F.lit(-C_INCR))).otherwise(0.0))
