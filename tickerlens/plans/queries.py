@@ -692,6 +692,17 @@ def q_batch_enrich(spark, sf_dir):
         "seq", "translated")
 
 
+@register("cached_enrich")
+def q_cached_enrich(spark, sf_dir):
+    """U1 with a reply cache: two runs over the same headlines; the second asks nothing that has a reply."""
+    from ..operators.replies import enrich_cached
+    h = A.headlines(spark, sf_dir).select("seq", "title")
+    root = _store_dir(spark, "replies")
+    for _ in range(2):
+        out = enrich_cached(h, _ascii_upper, "title", "translated", root, fallback_col="title")
+    return out.select("seq", "translated")
+
+
 @register("build_prompts")
 def q_build_prompts(spark, sf_dir):
     """Request texts - the polarity question per headline, a summary request

@@ -482,6 +482,8 @@ SQL["batch_enrich"] = with_ctes(["headlines"], r"""
 SELECT seq, CASE WHEN regexp_matches(title, '[^\x{00}-\x{7f}]') THEN title ELSE upper(title) END AS translated
 FROM headlines""")
 
+SQL["cached_enrich"] = SQL["batch_enrich"]
+
 
 def _first_text_sql(tag, cls=None):
     return f"coalesce({strip_tags_sql(f'regexp_extract_all(html, {_q(_element_pattern(tag, cls))}, 1)[1]')}, 'None')"
