@@ -142,17 +142,49 @@ def fmt_int(col) -> Column:
     return F.format_number(_c(col).try_cast("bigint"), 0)
 
 
+def _scientific(x: Column, digits: Column) -> Column:
+    """``x`` (not negative) rounded to so many significant digits, as d.ddde+xx."""
+    return F.call_function("format_string", F.concat(F.lit("%."), (digits - 1).cast("string"), F.lit("e")), x)
+
+
+def _plain_digits(scientific: Column) -> Column:
+    """The significant digits of d.ddde+xx, without trailing zeros but for the first digit."""
+    return F.regexp_replace(F.regexp_replace(F.substring_index(scientific, "e", 1), r"\.", ""), r"(?<=.)0+$", "")
+
+
+def shortest(x: Column) -> Column:
+    """The fewest digits that read back to the same double, as d.ddde+xx (``x`` finite, not
+    negative). The string of a double is mostly the shortest already: only if it reads back
+    with one digit less are all lengths tried, the shortest first."""
+    def search(long_: Column) -> Column:
+        def found(n: Column) -> Column:
+            less = _scientific(x, F.greatest(n - 1, F.lit(1)))
+            tried = F.filter(F.transform(F.sequence(F.lit(1), n), lambda k: _scientific(x, k)), lambda c: c.cast("double") == x)
+            return F.when((n > 1) & (less.cast("double") == x), F.get(tried, 0)).otherwise(_scientific(x, n))
+        return let(F.length(_plain_digits(long_)), found)
+    return let(_scientific(x, F.lit(17)), search)
+
+
 def fmt_float(col) -> Column:
-    """P17 floats: thousands separators, at least one decimal, the digits of the
-    shortest round-trip representation (Python ``format(x, ',')`` for |x| < 1e16).
-    The double goes through its shortest string and an exact decimal, so no
-    digit is invented or lost by binary formatting."""
-    shortest = _c(col).cast("double").cast("string")
-    exact = shortest.try_cast("decimal(38,17)")
-    # format_number on a decimal is exact; then drop trailing zeros, keep one decimal.
-    out = F.regexp_replace(F.format_number(exact, 17), r"(\.\d*?[0-9])0+$", "$1")
-    # a decimal has no negative zero; Python prints -0.0
-    return F.when(shortest.startswith("-") & (exact == 0), F.concat(F.lit("-"), out)).otherwise(out)
+    """P17 floats, Python's ``format(x, ',')``: the digits of the shortest string that reads back
+    to the same double, thousands separators, at least one decimal; below 1e-4 and from 1e16 on
+    with an exponent of two digits or more. ``nan``, ``inf``; null stays null."""
+    def text(x: Column) -> Column:
+        def of(sci: Column) -> Column:
+            digits, e = _plain_digits(sci), F.substring_index(sci, "e", -1).cast("int")
+            size = F.length(digits)
+            whole = F.when(e >= 0, F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, "0")).otherwise(F.lit("0"))
+            part = F.when(e >= 0, F.substring(digits, e + 2, F.greatest(size, F.lit(1)))).otherwise(
+                F.concat(F.repeat(F.lit("0"), -e - 1), digits))
+            fixed = F.concat(F.format_number(whole.cast("bigint"), 0), F.lit("."), F.when(part == "", F.lit("0")).otherwise(part))
+            mantissa = F.when(size > 1, F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), size))).otherwise(digits)
+            exponent = F.concat(F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(e).cast("string"), F.greatest(F.length(F.abs(e).cast("string")), F.lit(2)), "0"))
+            return F.when(e.between(-4, 15), fixed).otherwise(F.concat(mantissa, exponent))
+
+        minus = F.when((x < 0) | x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))  # also before -0.0
+        return (F.when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.concat(minus, F.lit("inf")))
+                .when(x == 0, F.concat(minus, F.lit("0.0"))).when(x.isNotNull(), F.concat(minus, let(shortest(F.abs(x)), of))))
+    return let(_c(col).cast("double"), text)
 
 
 def parse_shares(col) -> Column:

@@ -741,3 +741,12 @@ def q_format_floats(spark, sf_dir):
     v = F.col("l_extendedprice") * (1 + F.col("l_tax")) * 1000
     return li.select("l_extendedprice", "l_tax", T.fmt_float(v).alias("value_text"),
                      T.fmt_float(-F.col("l_discount")).alias("discount_text"))
+
+
+@register("format_floats_wide")
+def q_format_floats_wide(spark, sf_dir):
+    """P17 floats of every size, subnormal ones and such beyond 1e300 included."""
+    li = read_table(spark, sf_dir, "lineitem")
+    number = F.concat(F.col("l_partkey").cast("string"), F.lit("."), F.col("l_suppkey").cast("string"), F.lit("7e"),
+                      (F.col("l_orderkey") % 620 - 320).cast("string"))
+    return li.select("l_orderkey", "l_linenumber", T.fmt_float(number.cast("double")).alias("value_text"))

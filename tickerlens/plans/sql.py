@@ -655,3 +655,8 @@ SELECT f.code, f.name, replace(replace(replace(replace({_q(EN.SUMMARY_TEMPLATE)}
          '{{status}}', CASE WHEN p_partkey % 5 = 0 THEN 'None' ELSE {CP.SUMMARY_STATUS} END), {_q(EN.SUMMARY_DROP)}, '') AS prompt
 FROM (SELECT DISTINCT f.code, f.name FROM fresh f LEFT JOIN max_report r ON r.code_ = f.code WHERE coalesce(r.stored_report, '') = '') f
 JOIN paged p ON p.code = f.code WHERE p_partkey % 8 <> 0""")
+
+SQL["format_floats_wide"] = """
+SELECT l_orderkey, l_linenumber, format('{:,}', CAST(CAST(l_partkey AS VARCHAR) || '.' || CAST(l_suppkey AS VARCHAR) || '7e'
+       || CAST(l_orderkey % 620 - 320 AS VARCHAR) AS DOUBLE)) AS value_text
+FROM lineitem"""
