@@ -659,6 +659,47 @@ def q_target_list_scan(spark, sf_dir):
     return read_targets(spark, path)
 
 
+def _folder(bad):
+    """Quarantined lines with the folder of their file; file names differ between runs."""
+    return bad.select("line", "reason", F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("folder"))
+
+
+@register("corpus_quarantine")
+def q_corpus_quarantine(spark, sf_dir):
+    """The labelled corpus, and files of broken lines beside it: how many good rows there
+    are of each label (folder 'good'), and each rejected line with reason and folder."""
+    from ..sources.files import scan_corpus, write_corpus
+    path = _store_dir(spark, "corpus_mixed")
+    write_corpus(A.corpus(spark, sf_dir), f"{path}/good")
+    d = read_table(spark, sf_dir, "documents")
+    k, i = F.col("doc_id") % 5, F.col("doc_id").cast("string")
+    line = (F.when(k == 0, F.concat(i, F.lit("\tonly"))).when(k == 1, F.concat(i, F.lit("\ta\t1\tb"))).when(k == 2, F.concat(i, F.lit("\ta\t7")))
+            .when(k == 3, F.lit(" \ta\t1")).otherwise(F.concat(i, F.lit("\ta\ufffd\t1"))))
+    d.select(line.alias("value")).write.text(f"{path}/broken")
+    good, bad = scan_corpus(spark, path)
+    held = good.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat("label", F.lit(": "), F.col("n").cast("string")).alias("line"), F.lit("good").alias("reason"), F.lit("good").alias("folder"))
+    return held.unionByName(_folder(bad))
+
+
+@register("target_quarantine")
+def q_target_quarantine(spark, sf_dir):
+    """The target list, and files of broken lines beside it: the good rows' tickers, and each
+    rejected line with reason and folder."""
+    from ..sources.files import scan_targets
+    path = _store_dir(spark, "targets_mixed")
+    k = F.col("c_custkey").cast("string")
+    c = read_table(spark, sf_dir, "customer")
+    c.select(F.concat(F.lit("T, "), k).alias("ticker"), F.col("c_custkey").alias("price"), F.lit(1.5).alias("target_price")).write.option("header", True).csv(f"{path}/good")
+    m = F.col("c_custkey") % 4
+    line = (F.when(m == 0, F.concat(F.lit("T"), k, F.lit(",1.0"))).when(m == 1, F.concat(F.lit("T"), k, F.lit(",1.0,2.0,3.0")))
+            .when(m == 2, F.concat(F.lit(","), k, F.lit(",2.0"))).otherwise(F.concat(F.lit("T"), k, F.lit(",one,2.0"))))
+    c.select(line.alias("value")).write.text(f"{path}/broken")
+    good, bad = scan_targets(spark, path)
+    held = good.select(F.concat("ticker", F.lit(" "), F.col("price").cast("bigint").cast("string")).alias("line"), F.lit("good").alias("reason"), F.lit("good").alias("folder"))
+    return held.unionByName(_folder(bad))
+
+
 # --- streaming, enrichment hook, request tables (T1, U1, P21) ---------------
 from ..operators import enrich as EN  # noqa: E402
 

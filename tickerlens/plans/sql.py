@@ -660,3 +660,20 @@ SQL["format_floats_wide"] = """
 SELECT l_orderkey, l_linenumber, format('{:,}', CAST(CAST(l_partkey AS VARCHAR) || '.' || CAST(l_suppkey AS VARCHAR) || '7e'
        || CAST(l_orderkey % 620 - 320 AS VARCHAR) AS DOUBLE)) AS value_text
 FROM lineitem"""
+
+SQL["corpus_quarantine"] = """
+SELECT label || ': ' || CAST(count(*) AS VARCHAR) AS line, 'good' AS reason, 'good' AS folder
+FROM (SELECT CAST(l.quality AS VARCHAR) AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id) GROUP BY label
+UNION ALL
+SELECT CASE doc_id % 5 WHEN 0 THEN doc_id || chr(9) || 'only' WHEN 1 THEN doc_id || chr(9) || 'a' || chr(9) || '1' || chr(9) || 'b'
+            WHEN 2 THEN doc_id || chr(9) || 'a' || chr(9) || '7' WHEN 3 THEN ' ' || chr(9) || 'a' || chr(9) || '1'
+            ELSE doc_id || chr(9) || 'a' || chr(65533) || chr(9) || '1' END,
+       ['fields', 'fields', 'label', 'id', 'encoding'][doc_id % 5 + 1], 'broken'
+FROM documents"""
+SQL["target_quarantine"] = """
+SELECT 'T, ' || c_custkey || ' ' || c_custkey AS line, 'good' AS reason, 'good' AS folder FROM customer
+UNION ALL
+SELECT CASE c_custkey % 4 WHEN 0 THEN 'T' || c_custkey || ',1.0' WHEN 1 THEN 'T' || c_custkey || ',1.0,2.0,3.0'
+            WHEN 2 THEN ',' || c_custkey || ',2.0' ELSE 'T' || c_custkey || ',one,2.0' END,
+       ['fields', 'fields', 'ticker', 'number'][c_custkey % 4 + 1], 'broken'
+FROM customer"""
