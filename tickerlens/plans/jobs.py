@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.language import verdict
 from ..functions.text import keep_alnum_hangul, normalise_ws, py_strip, section_after, truncate_words
 from ..operators import features as FE
-from ..operators import linking, pages, quotes, sentiment, store, valuation
+from ..operators import linking, models, pages, quotes, sentiment, store, valuation
 from ..operators.enrich import company_request, us_request
 from ..operators.usjob import extract_ticker
 from ..session import materialize, stored
@@ -39,14 +39,20 @@ class BowModel:
     weights: DataFrame
 
 
-def bow_model(corpus: DataFrame) -> BowModel:
-    """Vocabulary (top 5000) and per-term weights from the labelled corpus, computed in each
-    run as the job does; both are stored once for the consumers in the run."""
+def bow_model(corpus: DataFrame, root: str | None = None) -> BowModel:
+    """Vocabulary (top 5000) and per-term weights from the labelled corpus; both are stored once
+    for the consumers in the run. With ``root`` a run loads the model that an earlier one stored
+    there for the same corpus."""
+    vocab, weights = _fit(corpus) if root is None else models.model_for(corpus, root, _fit, ["id", "document", "label"])
+    return BowModel(F.broadcast(vocab), F.broadcast(weights))  # at most 5000 rows each
+
+
+def _fit(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
     c = corpus.withColumn("tokens", FE.tokenise("document"))
     counts = stored(FE.token_counts(c), "bow-counts")  # tokenised once
     vocab = stored(FE.vocabulary(c, counts=counts), "bow-vocab")
     weights = stored(sentiment.weights_from_corpus(FE.term_frequency(c, vocab, counts=counts), c), "bow-weights")
-    return BowModel(F.broadcast(vocab), F.broadcast(weights))  # at most 5000 rows each
+    return vocab, weights
 
 
 def _run_time(run_time: str):

@@ -292,6 +292,27 @@ def q_bow_score(spark, sf_dir):
     return _bow(spark, sf_dir)[1]
 
 
+@register("bow_score_stored")
+def q_bow_score_stored(spark, sf_dir):
+    """A8 with a stored model: the first run fits and stores it, the second loads it and scores."""
+    root, corpus = _store_dir(spark, "bow_models"), A.corpus(spark, sf_dir)
+    for _ in range(2):
+        model = J.bow_model(corpus, root)
+    d = _doc_tokens(spark, sf_dir)
+    return SE.bow_score(d, FE.term_frequency(d, model.vocab), model.weights)
+
+
+@register("bow_loss")
+def q_bow_loss(spark, sf_dir):
+    """The stored model's mean logistic loss on the corpus it was fitted on."""
+    from ..operators.models import log_loss
+    corpus = A.corpus(spark, sf_dir)
+    model = J.bow_model(corpus, _store_dir(spark, "bow_models"))
+    tf = FE.term_frequency(_corpus_tokens(spark, sf_dir), model.vocab)
+    z = tf.join(model.weights, "term").groupBy("id").agg(F.sum(F.col("tf") * F.col("weight")).alias("z"))
+    return log_loss(corpus.join(z, "id", "left").select(F.coalesce("z", F.lit(0.0)).alias("z"), "label"))
+
+
 def negative_words(spark, sf_dir):
     """Derived dictionary: tokens found only in toxic documents, in at least two."""
     d = _docs(spark, sf_dir).join(read_table(spark, sf_dir, "labels"), "doc_id")

@@ -677,3 +677,9 @@ SELECT CASE c_custkey % 4 WHEN 0 THEN 'T' || c_custkey || ',1.0' WHEN 1 THEN 'T'
             WHEN 2 THEN ',' || c_custkey || ',2.0' ELSE 'T' || c_custkey || ',one,2.0' END,
        ['fields', 'fields', 'ticker', 'number'][c_custkey % 4 + 1], 'broken'
 FROM customer"""
+
+SQL["bow_score_stored"] = SQL["bow_score"]
+SQL["bow_loss"] = with_ctes(["tf_c", "weights"], """
+SELECT count(*) AS n, round(avg(greatest(z, 0) - z * label + ln(1 + exp(-abs(z)))), 6) AS loss
+FROM (SELECT coalesce(z, 0.0) AS z, CAST(label AS DOUBLE) AS label
+      FROM corpus c LEFT JOIN (SELECT id, sum(tf * weight) AS z FROM tf_c JOIN weights USING (term) GROUP BY id) s ON s.id = c.id)""")
