@@ -29,6 +29,17 @@ SUMMARY_CLASS = "um_bssummary"
 US_TEMPLATE = ("다음 문장은 나스닥 상장사 {company_name}의 오늘 뉴스 타이틀 입니다. {article}. "
                "이 회사의 간단한 소개 및 현재 상황을 문장 기호를 사용하여 5문장 이내로 알려 주세요. "
                "(물론입니다.는 생략 해 주세요)")
+# Plain summary request, and the one of a corporate report: the text follows.
+TEXT_SUMMARY = "Please summarize the following text:\n\n"
+REPORT_SUMMARY = ("The following text is part of a corporate report. Please summarize the main aspects of this company "
+                  "in 5 sentences or less. using bullet points:\n\n")
+# Labelled examples of the completion request: text, label (부정 negative, 긍정 positive).
+EXAMPLES = [
+    ("가격대비좀 부족한게많은듯", "부정"),
+    ("재구매 친구들이 좋은 향 난다고 해요", "긍정"),
+    ("ㅠㅠ약간 후회가 됩니다..", "부정"),
+    ("이전에 먹고 만족해서 재구매합니다", "긍정"),
+]
 # Fallback reply when a summary request fails.
 SUMMARY_FAILED = "unable to summarize the company report."
 # ---------------------------------------------------------------------------
@@ -65,6 +76,20 @@ def company_request(name: Column, html: Column) -> Column:
     return F.when(block != "", summary_request(name, first("li"), first("h3")))
 
 
+def text_summary_request(text: Column) -> Column:
+    return F.concat(F.lit(TEXT_SUMMARY), text)
+
+
+def report_summary_request(text: Column) -> Column:
+    return F.concat(F.lit(REPORT_SUMMARY), text)
+
+
+def completion_request(headline: Column, examples: list[tuple[str, str]] = EXAMPLES) -> Column:
+    """Labelled examples, one a line, and the headline whose label a model is to complete."""
+    shown = "".join(f"{text}={label}\n" for text, label in examples)
+    return F.concat(F.lit("\n" + shown), headline, F.lit("=\n"))
+
+
 def us_request(company_name: Column, article: Column) -> Column:
     return _fill(US_TEMPLATE, company_name=company_name, article=article)
 

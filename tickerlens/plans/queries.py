@@ -778,6 +778,17 @@ def q_build_prompts(spark, sf_dir):
     return h.unionByName(pr)
 
 
+@register("build_text_prompts")
+def q_build_text_prompts(spark, sf_dir):
+    """The plain and the report summary request of each document, the completion request of
+    each headline."""
+    d = _docs(spark, sf_dir).where(F.col("text").isNotNull())
+    asked = [d.select(F.lit(kind).alias("src"), F.col("doc_id").alias("id"), build(F.col("text")).alias("prompt"))
+             for kind, build in (("text", EN.text_summary_request), ("report", EN.report_summary_request))]
+    h = A.headlines(spark, sf_dir).select(F.lit("headline").alias("src"), F.col("seq").alias("id"), EN.completion_request(F.col("title")).alias("prompt"))
+    return asked[0].unionByName(asked[1]).unionByName(h)
+
+
 @register("lexicon_sentiment_modified")
 def q_lexicon_sentiment_modified(spark, sf_dir):
     """A7 with the modifier layer (rows-only here; the rule is checked by fixtures)."""

@@ -683,3 +683,11 @@ SQL["bow_loss"] = with_ctes(["tf_c", "weights"], """
 SELECT count(*) AS n, round(avg(greatest(z, 0) - z * label + ln(1 + exp(-abs(z)))), 6) AS loss
 FROM (SELECT coalesce(z, 0.0) AS z, CAST(label AS DOUBLE) AS label
       FROM corpus c LEFT JOIN (SELECT id, sum(tf * weight) AS z FROM tf_c JOIN weights USING (term) GROUP BY id) s ON s.id = c.id)""")
+
+_shown = " || ".join(f"{_q(text)} || '=' || {_q(label)} || chr(10)" for text, label in EN.EXAMPLES)
+SQL["build_text_prompts"] = with_ctes(["headlines"], f"""
+SELECT 'text' AS src, doc_id AS id, {_q(EN.TEXT_SUMMARY)} || text AS prompt FROM documents WHERE text IS NOT NULL
+UNION ALL
+SELECT 'report', doc_id, {_q(EN.REPORT_SUMMARY)} || text FROM documents WHERE text IS NOT NULL
+UNION ALL
+SELECT 'headline', seq, chr(10) || {_shown} || title || '=' || chr(10) FROM headlines""")
