@@ -105,3 +105,53 @@ def test_broad_spans():
     text = "müller@firma.de. fe80::1ff:2 at 12:30:45, call (030) 123/4567! 4111.1111.1111.1111 and 12345"
     assert [(pii.KINDS[k], text[a:b]) for k, a, b in pii.broad(text)] == [
         ("email", "müller@firma.de"), ("ip", "fe80::1ff:2"), ("phone", "(030) 123/4567"), ("card", "4111.1111.1111.1111")]
+
+
+def brute_accepted(rows):
+    """Patterns and instances by plain loops: scores by rounds, accepted ones as seeds, until none is added."""
+    edges, accepted = {}, set()
+    for kind, value, seed, patterns in rows:
+        for p in patterns:
+            edges[kind, p, value] = edges.get((kind, p, value), False) or seed
+    while True:
+        by = {}
+        for (k, p, v), seed in edges.items():
+            by.setdefault((k, p), {})[v] = seed
+        fixed = {kp: vs for kp, vs in by.items() if pii.MIN_SEEDS <= sum(vs.values()) < len(vs)}
+        scores = {}
+        while True:
+            trust = {kp: (sum(vs.values()) + sum(scores.get((kp[0], v), 0) for v, s in vs.items() if not s)) / (len(vs) + pii.SMOOTH) for kp, vs in fixed.items()}
+            new = {}
+            for (k, p), vs in fixed.items():
+                for v, s in vs.items():
+                    if not s:
+                        new[k, v] = 1 - (1 - new.get((k, v), 0)) * (1 - min(trust[k, p], 0.999))
+            if not any(x > scores.get(kv, 0 if not scores else -1) + pii.STABLE for kv, x in new.items()):
+                scores = new
+                break
+            scores = new
+        got = {kv for kv, x in scores.items() if x >= pii.ACCEPT}
+        if not got:
+            return accepted
+        accepted |= got
+        edges = {(k, p, v): s or (k, v) in got for (k, p, v), s in edges.items()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_graph_equals_brute_force(spark, seed):
+    random.seed(seed)
+    rows = []
+    for _ in range(60):
+        k, v = random.randint(0, 1), random.randint(0, 30)
+        rows.append((k, f"v{v}", v < 9, [f"p{random.randint(0, 2 + v % 7)}" for _ in range(random.randint(1, 3))]))
+    df = spark.createDataFrame(rows, "kind int, value string, seed boolean, patterns array<string>")
+    assert {tuple(r) for r in pii.bootstrap(df).collect()} == brute_accepted(rows)
+
+
+def test_no_length_is_too_long():
+    local, word = "a.b" * 80, "w" * 5000
+    text = f"mail {local}@host.example.org or {local} at host dot org"
+    assert [text[a:b] for _, a, b in pii.candidates(text, [])] == [f"{local}@host.example.org", f"{local} at host dot org"]
+    odd = f"x {local}é@host"
+    assert [odd[a:b] for _, a, b in pii.candidates(odd, [])] == [f"{local}é@host"]
+    assert pii.contexts(f"{word} tel 5550001 {word}", len(word) + 5, len(word) + 12) == ["tel _", f"_ {word}", f"{word} tel _"]

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,8 +33,8 @@ from tickerlens.llm.tables import stored
 from tickerlens.session import ensure_shipped
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SMOOTH, MIN_SEEDS, ACCEPT = 3, 1.0, 2, 0.6
-CONTEXT_CHARS = 80  # how far a context word is looked for
+SMOOTH, MIN_SEEDS, ACCEPT = 1.0, 2, 0.6
+STABLE = 0.001  # rounds end when no score rises by more; scores only rise, and stay below 1
 
 # Matches of the contract's patterns; the possessive forms and the local part's look-up from
 # the @ find the same spans without rescanning long runs.
@@ -46,8 +47,8 @@ _DIGIT = re.compile(r"[0-9]")
 
 # Looser shapes of the same kinds: candidates that only a trusted context makes a finding.
 _LOOSE = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: ?[\[(] ?(?:at|@) ?[\])] ?| at | ?@ ?)[A-Za-z0-9-]{1,63}"
-                        r"(?:(?: ?[\[(] ?(?:dot|\.) ?[\])] ?| dot |\.)[A-Za-z0-9-]{1,63}){1,8}"),
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?[\[(] ?(?:at|@) ?[\])] ?| at | ?@ ?)[A-Za-z0-9-]++"
+                        r"(?:(?: ?[\[(] ?(?:dot|\.) ?[\])] ?| dot |\.)[A-Za-z0-9-]++)++"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?: ?[\[(] ?(?:dot|\.) ?[\])] ?| dot )[0-9]{1,3}){3}(?![0-9])"),
     "card": re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9])"),
     "phone": re.compile(r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
@@ -55,7 +56,10 @@ _LOOSE = {
 
 
 # Broad tests of characters for what a trusted context may enclose.
-_WORD_AT = re.compile(r"[^\s@<>()\[\]{},;:\"']{1,64}+@[^\s@<>()\[\]{},;:\"']{1,255}+")
+_WORD_AT = re.compile(r"(?<![^\s@<>()\[\]{},;:\"'])[^\s@<>()\[\]{},;:\"']++@[^\s@<>()\[\]{},;:\"']++")
+# Words of a context; a run of letters and digits touches few spans, so all contexts of a text
+# together are no longer than some times the text.
+_CONTEXT = re.compile(r"\w+")
 _COLONS = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}+(?::[0-9A-Fa-f]{0,4}+){2,7}+(?![0-9A-Za-z:])")
 _CHAIN = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[ ().\-/]{0,3}[0-9])*+(?![A-Za-z])")
 
@@ -168,18 +172,30 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
 
 
 def _word(s: str) -> str:
-    return re.sub(r"[0-9]+", "0", s.lower().strip(".,;:!?\"'()[]<>"))
+    return re.sub(r"[0-9]+", "0", s.lower())
+
+
+class Contexts:
+    """Lexical patterns around the spans of a text."""
+
+    def __init__(self, text: str):
+        self.text = text
+        spans = [m.span() for m in _CONTEXT.finditer(text)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def of(self, a: int, b: int) -> list[str]:
+        """The word before, the two before, the word after; a word that a span cuts counts up to it."""
+        text, i, j = self.text, bisect_left(self.starts, a), bisect_right(self.ends, b)
+        left = [_word(text[self.starts[k]:min(self.ends[k], a)]) for k in range(max(0, i - 2), i)]
+        out = [f"{left[-1]} _" if left else "^ _",
+               f"_ {_word(text[max(self.starts[j], b):self.ends[j]])}" if j < len(self.starts) else "_ $"]
+        if len(left) > 1:
+            out.append(f"{left[0]} {left[1]} _")
+        return out
 
 
 def contexts(text: str, a: int, b: int) -> list[str]:
-    """Lexical patterns around a span: the word before, the two before, the word after."""
-    left = text[max(0, a - CONTEXT_CHARS):a].split()[-2:]
-    right = text[b:b + CONTEXT_CHARS].split()[:1]
-    left, right = [_word(w) for w in left], [_word(w) for w in right]
-    out = [f"{left[-1]} _" if left else "^ _", f"_ {right[0]}" if right else "_ $"]
-    if len(left) > 1:
-        out.append(f"{left[0]} {left[1]} _")
-    return out
+    return Contexts(text).of(a, b)
 
 
 MENTION = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()),
@@ -198,12 +214,13 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for text in b.column(1):
                 text = text.as_py() or ""
                 base = base_spans(text)
-                mentions = []
-                for seed, spans in ((True, base), (False, candidates(text, base))):
+                mentions, more = [], candidates(text, base)
+                around = Contexts(text) if base or more else None
+                for seed, spans in ((True, base), (False, more)):
                     for k, x, y in spans:
                         # a value is known by its kind's digits or lower-case characters, hashed to a fixed length
                         plain = text[x:y].lower() if k < 2 else _digits(text[x:y])
-                        mentions.append({"kind": k, "start": x, "end": y, "seed": seed, "patterns": contexts(text, x, y),
+                        mentions.append({"kind": k, "start": x, "end": y, "seed": seed, "patterns": around.of(x, y),
                                          "value": xxhash.xxh128_hexdigest(plain.encode())})
                 sha = hashlib.sha256(",".join(f"{KINDS[k]}:{x}:{y}" for k, x, y in base).encode()).hexdigest()
                 count = [sum(k == i for k, _, _ in base) for i in range(len(KINDS))]
@@ -221,21 +238,25 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def score(edges: DataFrame) -> DataFrame:
-    """(kind, value, score) of the candidates, by rounds over the pattern-instance graph."""
+    """(kind, value, score) of the candidates, by rounds over the pattern-instance graph until no
+    score rises by more than ``STABLE``."""
     # in the rounds a pattern's seeds and instances stay; only its candidates' scores change
     fixed = stored(edges.groupBy("kind", "pattern").agg(F.sum(F.col("seed").cast("long")).alias("seeds"), F.count(F.lit(1)).alias("n"))
                    .where((F.col("seeds") >= MIN_SEEDS) & (F.col("n") > F.col("seeds"))), "pii-patterns")
     open_ = stored(edges.where("NOT seed").select("kind", "pattern", "value").join(fixed, ["kind", "pattern"]), "pii-open")
     scores = None
-    for _ in range(ROUNDS):
+    while True:
         known = open_ if scores is None else open_.join(scores, ["kind", "value"], "left")
         gain = F.lit(0.0) if scores is None else F.coalesce("score", F.lit(0.0))
         trust = stored(known.groupBy("kind", "pattern", "seeds", "n").agg(F.sum(gain).alias("gained"))
                        .select("kind", "pattern", ((F.col("seeds") + F.col("gained")) / (F.col("n") + SMOOTH)).alias("trust")), "pii-trust")
         doubt = F.exp(F.sum(F.log(1 - F.least("trust", F.lit(0.999)))))
-        scores = stored(open_.select("kind", "pattern", "value").join(trust, ["kind", "pattern"]).groupBy("kind", "value")
-                        .agg((1 - doubt).alias("score")), "pii-scores")
-    return scores
+        new = stored(open_.select("kind", "pattern", "value").join(trust, ["kind", "pattern"]).groupBy("kind", "value")
+                     .agg((1 - doubt).alias("score")), "pii-scores")
+        rise = new if scores is None else new.join(scores.withColumnRenamed("score", "old"), ["kind", "value"]).where(F.col("score") > F.col("old") + STABLE)
+        scores = new
+        if rise.isEmpty():
+            return scores
 
 
 def bootstrap(mentions: DataFrame, accept: float = ACCEPT) -> DataFrame:
