@@ -67,3 +67,11 @@ def test_time_per_page_is_bounded(spark):
         q.write.format("noop").mode("overwrite").save()
         times.append(time.perf_counter() - t0)
     assert min(times) < 6, times  # 1.5 ms a page on one of four cores; some 25 ms a page when spans were looked for in every cell
+
+
+def test_long_form_reads_each_page_table_and_row_once(spark):
+    """The optimizer adds no filter that reads the markup again before it is exploded."""
+    cells = H.html_tables(spark.createDataFrame([(1, "<table><tr><td>a</td></tr></table>")], "page_id long, html string"))
+    plan = cells.where("table_no = 0 AND row_no IN (0, 1)")._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in "".join(line for line in plan.splitlines() if "Filter" in line), plan
+    assert plan.count(H._TABLE_TAG) == 1

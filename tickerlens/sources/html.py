@@ -87,14 +87,21 @@ def first_text(html: Column, tag: str, css_class: str | None = None) -> Column:
 # --- tables ---------------------------------------------------------------
 # Three splits read a page, each over what the one before has left whole: at table tags, at row
 # starts, at cell starts. A cell stays markup (``cell_text`` reads it) until a job asks for it.
-_TABLE_TAG = r"(?i)(?=</?table\b)"
-_ROW_START = r"(?i)(?=<tr\b)"
-_CELL_START = r"(?i)(?=<t[dh]\b)"
+# Each pattern starts with a plain character, which is searched for fast; the pieces get it back.
+_TABLE_TAG = r"(?i)<(?=/?table\b)"
+_ROW_START = r"(?i)<(?=tr\b)"
+_CELL_START = r"(?i)<(?=t[dh]\b)"
 _CELL_BODY = r"(?is)^<t[dh]\b[^>]*>(.*?)(?:</(?:t[dhr]|thead|tbody|tfoot|table)\b|$)"
 #: The HTML standard's largest spans.
 MOST_SPANNED = {"colspan": 1000, "rowspan": 65534}
 
 
+def _cut(markup: Column, pattern: str) -> Column:
+    """array<string>: the pieces of markup that start where the pattern matches."""
+    # the first piece is what stands before the first match; a slice ends with its array
+    return F.transform(F.slice(F.split(markup, pattern, -1), 2, 1 << 30), lambda p: F.concat(F.lit("<"), p))
+
+
 def cell_text(cell: Column) -> Column:
     """Text of a cell's markup: tags dropped, entities decoded, white space stripped at the ends."""
     return _let(F.regexp_extract(cell, _CELL_BODY, 1), lambda t: strip_ws(
@@ -135,15 +142,10 @@ def _own_markup(segments: Column) -> Column:
 
 def _tables_of(html: Column) -> Column:
     """array<string>: markup of each table of a page, nested ones included."""
-    def of(parts: Column) -> Column:
-        segments = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-
-        def read(s: Column) -> Column:
-            nested = F.exists(F.transform(s, lambda x, i: _opens(x) & F.coalesce(_opens(F.get(s, i + 1)), F.lit(False))), lambda x: x)
-            return F.when(nested, _own_markup(s)).otherwise(F.filter(s, _opens))
-        return _let(segments, read)
-    # split() drops no piece: the first one is what stands before the first tag
-    return _let(F.split(F.concat(F.lit(" "), html), _TABLE_TAG, -1), of)
+    def read(s: Column) -> Column:
+        nested = F.exists(F.transform(s, lambda x, i: _opens(x) & F.coalesce(_opens(F.get(s, i + 1)), F.lit(False))), lambda x: x)
+        return F.when(nested, _own_markup(s)).otherwise(F.filter(s, _opens))
+    return _let(_cut(html, _TABLE_TAG), read)
 
 
 def _mentions(markup: Column, name: str) -> Column:
@@ -153,13 +155,12 @@ def _mentions(markup: Column, name: str) -> Column:
 
 def _span(cell: Column, name: str) -> Column:
     n = F.regexp_extract(cell, rf"""(?is)^<t[dh]\b[^>]*\b{name}\s*=\s*["']?([0-9]+)""", 1).try_cast("int")
-    return F.least(F.lit(MOST_SPANNED[name]), F.greatest(F.lit(1), F.coalesce(n, F.lit(1))))
+    return F.when(_mentions(cell, name), F.least(F.lit(MOST_SPANNED[name]), F.greatest(F.lit(1), F.coalesce(n, F.lit(1))))).otherwise(1)
 
 
 def _row_cells(row: Column) -> Column:
     """Cells of a row's markup; one that spans columns is copied."""
-    cells = F.split(row, _CELL_START, -1)
-    own = F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
+    own = _cut(row, _CELL_START)
     return F.when(_mentions(row, "colspan"), F.flatten(F.transform(own, lambda c: F.array_repeat(c, _span(c, "colspan"))))).otherwise(own)
 
 
@@ -211,14 +212,13 @@ def table_view(table: Column) -> Column:
         plain = lambda c: F.regexp_replace(c, r"(?is)^<(t[dh])\b[^>]*>", "<$1>")
         return F.transform(_spread_rows(F.transform(rows, _row_cells)), lambda r: F.concat(F.lit("<tr>"), F.array_join(F.transform(r, plain), "")))
 
-    def read(pieces: Column) -> Column:
-        rows = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    def read(rows: Column) -> Column:
         in_head = F.when(_mentions(table, "<thead"), F.regexp_count(F.get(F.split(table, r"(?i)</thead\b", 2), 0), F.lit(r"(?i)<tr\b"))).otherwise(0)
         full = F.when(_mentions(table, "rowspan"), _let(rows, spread)).otherwise(rows)
         return _let(full, lambda r: _let(F.greatest(in_head, _leading_headers(r)), lambda n: F.struct(
             F.when(n > 0, F.transform(_row_cells(F.get(r, n - 1)), cell_text)).otherwise(F.array().cast("array<string>")).alias("header"),
             F.slice(r, n + 1, F.greatest(F.size(r) - n, F.lit(0))).alias("rows"))))
-    return _let(F.split(table, _ROW_START, -1), read)
+    return _let(_cut(table, _ROW_START), read)
 
 
 def _leading_headers(rows: Column) -> Column:
@@ -252,10 +252,13 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                 css_class: str | None = None, links: bool = False) -> DataFrame:
     """S3: long cell form (id, table_no, row_no, col_no, header, cell[, link]) of every table;
     ``link`` is the address of a cell's first anchor."""
-    m = pages.select(F.col(id_col), F.posexplode(table_markups(F.col(html_col), css_class)).alias("table_no", "m"))
-    t = m.select(id_col, "table_no", table_view(F.col("m")).alias("t"))
-    r = t.select(id_col, "table_no", F.col("t.header").alias("hdr"), F.posexplode("t.rows").alias("row_no", "r"))
-    c = r.select(id_col, "table_no", "row_no", F.posexplode(_row_cells(F.col("r"))).alias("col_no", "c"), "hdr")
+    # an inner explode would be preceded by a filter on its array's size, so that each page, table
+    # and row was read three times more; the outer one's only extra rows have no position
+    m = pages.select(F.col(id_col), F.posexplode_outer(table_markups(F.col(html_col), css_class)).alias("table_no", "m"))
+    t = m.where("table_no IS NOT NULL").select(id_col, "table_no", table_view(F.col("m")).alias("t"))
+    r = t.select(id_col, "table_no", F.col("t.header").alias("hdr"), F.posexplode_outer("t.rows").alias("row_no", "r"))
+    c = r.where("row_no IS NOT NULL").select(
+        id_col, "table_no", "row_no", F.posexplode_outer(_row_cells(F.col("r"))).alias("col_no", "c"), "hdr").where("col_no IS NOT NULL")
     shown = [cell_text(F.col("c")).alias("cell")] + ([_first_anchor_attr(F.col("c"), "href").alias("link")] if links else [])
     return c.select(id_col, "table_no", "row_no", "col_no",
                     F.get(F.col("hdr"), F.col("col_no")).alias("header"), *shown)
