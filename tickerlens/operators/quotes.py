@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 QUOTE_VALUES = ["close", "diff", "open", "high", "low", "volume"]
 
 
@@ -46,4 +48,4 @@ def last_valid_in(values) -> "F.Column":
     """A6 on an in-row array of period values (oldest first): last non-null,
     non-NaN element, else 0.0."""
     arr = F.filter(values, lambda x: x.isNotNull() & ~F.isnan(x))
-    return F.coalesce(F.get(arr, F.size(arr) - 1), F.lit(0.0))
+    return F.coalesce(let(arr, lambda a: F.get(a, F.size(a) - 1)), F.lit(0.0))
