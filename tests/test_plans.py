@@ -35,3 +35,12 @@ def test_scan_pushdown_and_pruning(spark):
 def test_latest_quote_is_partial_aggregate(spark):
     plan = final_plan(E.queries()["linked_quotes"](spark, SF))
     assert "partial_max_by" in plan
+
+
+def test_pages_are_dealt_out_before_they_are_rendered(spark):
+    """One small file of parts is not one task that reads all of their pages."""
+    from tickerlens.plans import queries as Q
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for pages in (Q.company_pages(spark, SF), Q.listing_pages(spark, SF)):
+        per_task = pages.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert len(per_task) == n and max(per_task) < 2 * sum(per_task) / n

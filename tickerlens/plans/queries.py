@@ -40,7 +40,7 @@ def linked_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..functions import language as L  # noqa: E402
 from ..functions import text as T  # noqa: E402
 from ..functions.formats import with_keys  # noqa: E402
-from ..session import read_table, stored  # noqa: E402
+from ..session import read_table, spread, stored  # noqa: E402
 
 
 def _docs(spark, sf_dir):
@@ -391,12 +391,13 @@ def q_company_profile(spark, sf_dir):
 
 
 def listing_pages(spark, sf_dir):
-    return read_table(spark, sf_dir, "part").select(
+    # a page is many times its row: the rows are dealt out before
+    return spread(read_table(spark, sf_dir, "part")).select(
         F.col("p_partkey").alias("page_id"), CP.html_column(CP.listing_html_pieces()).alias("html"))
 
 
 def company_pages(spark, sf_dir):
-    return read_table(spark, sf_dir, "part").select(
+    return spread(read_table(spark, sf_dir, "part")).select(
         F.col("p_partkey").alias("page_id"), F.format_string("%06d", "p_partkey").alias("code"),
         CP.html_column(CP.company_html_pieces()).alias("html"))
 

@@ -68,6 +68,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly over the cluster's number of shuffle partitions. A Parquet file
+    of few bytes is one task, however much each of its rows is blown up later; AQE leaves this
+    number as it is."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: several consumers
     read it instead of computing it again, and its columns can be pruned."""
