@@ -44,3 +44,15 @@ def test_pages_are_dealt_out_before_they_are_rendered(spark):
     for pages in (Q.company_pages(spark, SF), Q.listing_pages(spark, SF)):
         per_task = pages.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
         assert len(per_task) == n and max(per_task) < 2 * sum(per_task) / n
+
+
+def test_company_pages_are_never_broadcast_for_requests(spark):
+    """Their size is estimated from a compact file; the prompts come from a merge of the summary blocks."""
+    from pyspark.sql import functions as F
+    from tickerlens.plans import jobs as J
+    fact = spark.createDataFrame([("000001", "A", ""), ("000002", "B", ""), ("000003", "C", "kept")], "code_ string, name_ string, report_ string")
+    pages = spark.range(1, 4).select(F.format_string("%06d", "id").alias("code"), F.when(F.col("id") != 2, F.lit(
+        '<div class="um_bssummary"><h3>s</h3><li>o</li></div>')).otherwise(F.lit("<p>")).alias("html"))
+    got = J.report_requests_ko(fact, pages)
+    assert [(r.code, "<li>o</li>" in r.prompt) for r in got.collect()] == [("000001", True)]
+    assert "Broadcast" not in final_plan(got)

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import let
+
 # ---------------------------------------------------------------------------
 # Request templates (must equal the reference job's text)
 # ---------------------------------------------------------------------------
@@ -68,12 +70,26 @@ def summary_request(name: Column, overview: Column, status: Column) -> Column:
                      F.lit(SUMMARY_DROP), F.lit(""))
 
 
-def company_request(name: Column, html: Column) -> Column:
-    """The summary request of a company's page: the first ``li`` and ``h3`` elements of its summary
-    block, as markup, like the job puts them in; null when the page has no such block."""
+def company_summary(html: Column) -> Column:
+    """struct(overview, status): the first ``li`` and ``h3`` elements of the summary block of a
+    company's page, as markup; null when the page has no such block."""
     block = F.regexp_extract(html, rf"""(?is)<div\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{SUMMARY_CLASS}(?:\s[^"']*)?["'][^>]*>(.*?)</div\s*>""", 0)
-    first = lambda tag: F.nullif(F.regexp_extract(block, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", 0), F.lit(""))
-    return F.when(block != "", summary_request(name, first("li"), first("h3")))
+
+    def read(b: Column) -> Column:
+        first = lambda tag: F.nullif(F.regexp_extract(b, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", 0), F.lit(""))
+        return F.when(b != "", F.struct(first("li").alias("overview"), first("h3").alias("status")))
+    return let(block, read)
+
+
+def asked_summary(name: Column, summary: Column) -> Column:
+    """The summary request of a company from its page's ``company_summary``; null without one."""
+    return F.when(summary.isNotNull(), summary_request(name, summary["overview"], summary["status"]))
+
+
+def company_request(name: Column, html: Column) -> Column:
+    """The summary request of a company's page, its summary put in like the job does; null when
+    the page has no summary block."""
+    return let(company_summary(html), lambda s: asked_summary(name, s))
 
 
 def text_summary_request(text: Column) -> Column:

@@ -17,7 +17,7 @@ from ..functions.language import verdict
 from ..functions.text import keep_alnum_hangul, normalise_ws, py_strip, section_after, truncate_words
 from ..operators import features as FE
 from ..operators import linking, models, pages, quotes, sentiment, store, valuation
-from ..operators.enrich import company_request, us_request
+from ..operators.enrich import asked_summary, company_summary, us_request
 from ..operators.usjob import extract_ticker
 from ..session import materialize, stored
 
@@ -192,8 +192,13 @@ def report_requests_ko(fact: DataFrame, company_pages: DataFrame) -> DataFrame:
     """The prompts of the companies in a KO fact without a reusable report: what a model client
     answers. A company without a page, or whose page has no summary block, gets none."""
     wanted = fact.where(F.col("report_") == "").select(F.col("code_").alias("code"), F.col("name_").alias("name")).distinct()
-    asked = wanted.join(company_pages.select("code", "html"), "code")
-    return asked.select("code", "name", company_request(F.col("name"), F.col("html")).alias("prompt")).where("prompt IS NOT NULL")
+    # only the summary block of a page takes part, and it is merged: the size of pages made or
+    # read from a compact file is underestimated, and all of them would be broadcast. Exploded,
+    # so that the test for a block is not pushed down to the few tasks that read the file
+    block = F.explode_outer(F.array(company_summary(F.col("html"))))
+    summaries = company_pages.select("code", block.alias("summary")).where("summary IS NOT NULL")
+    asked = wanted.join(summaries.hint("merge"), "code")
+    return asked.select("code", "name", asked_summary(F.col("name"), F.col("summary")).alias("prompt"))
 
 
 def run_us_job(fact: DataFrame, root: str) -> store.Snapshot:
