@@ -45,3 +45,13 @@ def test_new_only_anti_join(spark):
     store = spark.createDataFrame([("A", "d1")], "code_ string, date_ string")
     got = sorted(r.seq for r in linking.new_only(df, store, [("code", "code_"), ("d", "date_")]).collect())
     assert got == [2, 3]
+
+
+def test_names_are_dealt_out_before_their_substrings_are_made(spark):
+    from tickerlens.session import ROWS_A_TASK
+    master = spark.createDataFrame([("aaba",), ("aaba",), ("ba",), ("",), (None,)], "name string")
+    idx = linking.name_substring_index(master, [1, 2, 9])
+    assert {tuple(r) for r in idx.collect()} == {("a", 2), ("b", 2), ("aa", 1), ("ab", 1), ("ba", 2)}
+    assert {tuple(r) for r in linking.name_substring_index(master).where("length(sub) < 3").collect()} == {tuple(r) for r in idx.collect()}
+    more = linking.name_substring_index(master, [1], 20 * ROWS_A_TASK)
+    assert "Repartition 20," in more._jdf.queryExecution().optimizedPlan().toString()

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import headline_key, strip_hyphen
+from ..session import spread
 
 
 def stock_master(listing: DataFrame, name_col: str, code_col: str,
@@ -42,22 +43,24 @@ def link_headlines(headlines: DataFrame, master: DataFrame, title_col: str = "ti
             .withColumn("content", strip_hyphen(title_col)))
 
 
-def name_substring_index(master: DataFrame, lengths: list[int] | None = None) -> DataFrame:
+def name_substring_index(master: DataFrame, lengths: list[int] | None = None, rows: int = 0) -> DataFrame:
     """(sub, n_names): for every non-empty substring (of the given lengths only,
-    when ``lengths`` is set), how many distinct names hold it."""
-    names = master.select("name").where(F.col("name").isNotNull()).distinct()
+    when ``lengths`` is set), how many distinct names hold it. ``rows``: names there may be."""
+    # the names are dealt out first, so that no task holds the substrings of all of them; a
+    # substring that a name holds twice is counted where it starts first
+    names = spread(master.select("name").where(F.col("name").isNotNull()).distinct(), rows)
     n = F.length("name")
     if lengths is not None:
         ln = F.explode(F.array(*[F.lit(int(x)) for x in lengths] or [F.lit(0)]))
         spans = names.withColumn("_l", ln).where((F.col("_l") > 0) & (F.col("_l") <= n))
         spans = spans.withColumn("s", F.explode(F.sequence(F.lit(1), n - F.col("_l") + 1)))
-        subs = spans.select("name", F.substring("name", F.col("s"), F.col("_l")).alias("sub"))
+        subs = spans.select("name", "s", F.substring("name", F.col("s"), F.col("_l")).alias("sub"))
     else:
         subs = (names.where(n > 0)
                 .withColumn("s", F.explode(F.sequence(F.lit(1), n)))
                 .withColumn("e", F.explode(F.sequence(F.col("s"), n)))
-                .select("name", F.substring("name", F.col("s"), F.col("e") - F.col("s") + 1).alias("sub")))
-    return subs.distinct().groupBy("sub").agg(F.count(F.lit(1)).alias("n_names"))
+                .select("name", "s", F.substring("name", F.col("s"), F.col("e") - F.col("s") + 1).alias("sub")))
+    return subs.where(F.instr("name", F.col("sub")) == F.col("s")).groupBy("sub").agg(F.count(F.lit(1)).alias("n_names"))
 
 
 def candidate_counts(keys: DataFrame, master: DataFrame, key_col: str = "key") -> DataFrame:
@@ -67,10 +70,10 @@ def candidate_counts(keys: DataFrame, master: DataFrame, key_col: str = "key") -
     key lengths are few (bounded by the longest name) and are read first."""
     total = master.select(F.count_distinct("name")).scalar()
     dk = keys.select(key_col).where(F.col(key_col).isNotNull()).distinct()
-    max_name = master.select(F.max(F.length("name"))).first()[0] or 0
+    max_name, n_names = master.select(F.coalesce(F.max(F.length("name")), F.lit(0)), F.count("name")).first()
     lengths = [r[0] for r in dk.select(F.length(key_col).alias("l")).distinct()
                .where((F.col("l") > 0) & (F.col("l") <= max_name)).collect()]  # <= max_name values
-    idx = name_substring_index(master, lengths)
+    idx = name_substring_index(master, lengths, n_names)
     j = dk.join(idx, dk[key_col] == idx["sub"], "left")
     return j.select(key_col, F.when(F.col(key_col) == "", total)
                     .otherwise(F.coalesce(F.col("n_names"), F.lit(0)))

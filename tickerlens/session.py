@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROWS_A_TASK = 50_000  # of rows that are blown up
+
+
 def build_session(master: str = "local[*]", app: str = "tickerlens", extra: dict | None = None) -> SparkSession:
     """A session with the defaults used here. The number of shuffle partitions is the
     cluster's setting (an upper bound that AQE merges below); pass it in ``extra``."""
@@ -68,11 +71,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows dealt out evenly over the cluster's number of shuffle partitions. A Parquet file
-    of few bytes is one task, however much each of its rows is blown up later; AQE leaves this
-    number as it is."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def spread(df: DataFrame, rows: int = 0) -> DataFrame:
+    """The rows dealt out evenly over the cluster's number of shuffle partitions, or over more of
+    ``ROWS_A_TASK`` each if there may be so many ``rows``. A Parquet file of few bytes is one task,
+    however much each of its rows is blown up later; AQE leaves this number as it is."""
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK)))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
