@@ -110,3 +110,22 @@ def test_frequent_tokens_are_not_dealt_out_and_scores_stay(spark, monkeypatch):
     assert sorted(map(tuple, SE.lexicon_sentiment(df, ["id"], "tokens", lex).collect())) == got
     monkeypatch.setattr(SE, "SHARES", 10_000)  # every token
     assert sorted(map(tuple, SE.lexicon_sentiment(df, ["id"], "tokens", lex).collect())) == got
+
+
+def test_corpus_weights_equal_those_by_id_and_term(spark):
+    """Repeated ids and null labels included; documents with their own id take no shuffle by (id, term)."""
+    from tickerlens.operators import features as FE
+    c = spark.createDataFrame([(1, 1, ["a", "a", "b"]), (1, 0, ["c"]), (2, 0, ["a", "d"]), (3, 1, ["b", "b"]), (4, None, ["a"]),
+                               (5, 1, []), (6, 1, None), (6, 1, ["b"]), (None, 1, ["a"])], "id long, label int, tokens array<string>")
+    vocab = spark.createDataFrame([("a",), ("b",), ("c",), ("z",)], "token string")
+    want = SE.weights_from_corpus(FE.term_frequency(c, vocab), c)
+    assert sorted(map(tuple, SE.corpus_weights(c, vocab).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_scores_need_no_counts_per_document(spark):
+    from tickerlens.operators import features as FE
+    d = spark.createDataFrame([(1, ["a", "a", "b"]), (2, []), (3, None), (1, ["b"])], "id long, tokens array<string>")
+    vocab = spark.createDataFrame([("a",), ("b",)], "token string")
+    w = spark.createDataFrame([("a", 0.5), ("b", -0.25)], "term string, weight double")
+    want = SE.bow_score(d, FE.term_frequency(d, vocab), w)
+    assert sorted(map(tuple, SE.bow_score(d, FE.term_occurrences(d), w).collect())) == sorted(map(tuple, want.collect()))

@@ -49,6 +49,12 @@ def term_frequency(docs: DataFrame, vocab: DataFrame, id_col: str = "id",
             .agg(F.count(F.lit(1)).cast("bigint").alias("tf")))
 
 
+def term_occurrences(docs: DataFrame, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
+    """(id, term, tf = 1) for each token of each document: what a sum over terms needs, without
+    the shuffle that counts them per document."""
+    return docs.select(id_col, F.explode_outer(tokens_col).alias("term"), F.lit(1).cast("bigint").alias("tf"))
+
+
 def cached_tokens(spark: SparkSession, docs: DataFrame, path: str, id_cols: list[str],
                   text_col: str, extra_cols: list[str] | None = None) -> DataFrame:
     """Tokenised corpus materialised once: read ``path`` if it holds a

@@ -93,8 +93,29 @@ def weights_from_corpus(tf: DataFrame, labels: DataFrame, id_col: str = "id",
     j = tf.join(labels.select(id_col, label_col), id_col)
     g = j.groupBy("term").agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("p"),
                               F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).alias("n"))
+    return _weights(g)
+
+
+def corpus_weights(corpus: DataFrame, vocab: DataFrame, id_col: str = "id", label_col: str = "label",
+                   tokens_col: str = "tokens") -> DataFrame:
+    """``weights_from_corpus`` of a tokenised corpus, stored before as it is read several times. A
+    document's terms are found in its row and only counted per term; rows that share their id,
+    whose terms are those of all of them, take the way by (id, term)."""
+    again = stored(corpus.groupBy(id_col).count().where("count > 1").select(id_col), "repeated-ids")
+    terms = F.broadcast(vocab.select(F.col("token").alias("term")))
+    single = corpus.join(again, id_col, "left_anti").where(F.col(id_col).isNotNull())
+    rows = single.select(F.col(label_col).alias("_l"), F.explode_outer(F.array_distinct(tokens_col)).alias("term"))
+    shared = corpus.join(again, id_col, "left_semi").select(id_col, label_col, tokens_col)
+    more = shared.select(id_col, F.explode(tokens_col).alias("term")).join(terms, "term").distinct()
+    rows = rows.join(terms, "term").select("_l", "term").unionByName(
+        more.join(shared.select(id_col, F.col(label_col).alias("_l")), id_col).select("_l", "term"))
+    return _weights(rows.groupBy("term").agg(F.sum(F.when(F.col("_l") == 1, 1).otherwise(0)).alias("p"),
+                                             F.sum(F.when(F.col("_l") == 1, 0).otherwise(1)).alias("n")))
+
+
+def _weights(counted: DataFrame) -> DataFrame:
     w = F.floor(F.lit(16) * (F.col("p") - F.col("n")) / (F.col("p") + F.col("n") + 1)) / 16.0
-    return g.select("term", w.alias("weight"))
+    return counted.select("term", w.alias("weight"))
 
 
 def bow_score(docs: DataFrame, tf: DataFrame, weights: DataFrame, id_col: str = "id",

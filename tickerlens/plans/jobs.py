@@ -48,10 +48,9 @@ def bow_model(corpus: DataFrame, root: str | None = None) -> BowModel:
 
 
 def _fit(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
-    c = corpus.withColumn("tokens", FE.tokenise("document"))
-    counts = stored(FE.token_counts(c), "bow-counts")  # tokenised once
-    vocab = stored(FE.vocabulary(c, counts=counts), "bow-vocab")
-    weights = stored(sentiment.weights_from_corpus(FE.term_frequency(c, vocab, counts=counts), c), "bow-weights")
+    c = stored(corpus.select("id", "label", FE.tokenise("document").alias("tokens")), "bow-tokens")  # tokenised once
+    vocab = stored(FE.vocabulary(c), "bow-vocab")
+    weights = stored(sentiment.corpus_weights(c, vocab), "bow-weights")
     return vocab, weights
 
 
@@ -112,8 +111,7 @@ def job_ko(headlines: DataFrame, master: DataFrame, fact_store: DataFrame, quote
             gpt = verdict(F.col("content"), "P")
         fresh = fresh.withColumn("gpt_pn_", gpt).withColumn("tokens", FE.tokenise("content"))
         scored = sentiment.bow_score(fresh.select(F.col("seq").alias("id")),
-                                     FE.term_frequency(fresh.select(F.col("seq").alias("id"), "tokens"),
-                                                       model.vocab),
+                                     FE.term_occurrences(fresh.select(F.col("seq").alias("id"), "tokens")),
                                      model.weights)
         fresh = fresh.join(scored.withColumnRenamed("id", "seq"), "seq")
         fresh = sentiment.keyword_override(fresh, "pn", "content", negative_words, "nag_word", "pn_")

@@ -284,7 +284,7 @@ def q_term_frequency(spark, sf_dir):
 def _bow(spark, sf_dir):
     model = J.bow_model(A.corpus(spark, sf_dir))
     d = _doc_tokens(spark, sf_dir)
-    return d, SE.bow_score(d, FE.term_frequency(d, model.vocab), model.weights)
+    return d, SE.bow_score(d, FE.term_occurrences(d), model.weights)
 
 
 @register("bow_score")
@@ -299,7 +299,7 @@ def q_bow_score_stored(spark, sf_dir):
     for _ in range(2):
         model = J.bow_model(corpus, root)
     d = _doc_tokens(spark, sf_dir)
-    return SE.bow_score(d, FE.term_frequency(d, model.vocab), model.weights)
+    return SE.bow_score(d, FE.term_occurrences(d), model.weights)
 
 
 @register("bow_loss")
