@@ -129,3 +129,15 @@ def test_scores_need_no_counts_per_document(spark):
     w = spark.createDataFrame([("a", 0.5), ("b", -0.25)], "term string, weight double")
     want = SE.bow_score(d, FE.term_frequency(d, vocab), w)
     assert sorted(map(tuple, SE.bow_score(d, FE.term_occurrences(d), w).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_words_meet_on_heads_of_every_length(spark):
+    """Heads of 1 to 16 characters, at the edge of blocks, beyond the basic plane; none left out."""
+    pad = "x" * (SE.BLOCK_CHARS - 3)
+    words = ["q", "ab", "abc", "hijk", "longerwd", "wordsofmorethan16chars", "\U0001f600z"]
+    texts = [w for w in words] + [pad + w for w in words] + ["a b c", "wordsofmorethan16char", "longer wd", "\U0001f600", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    w = spark.createDataFrame([(x,) for x in words], "word string")
+    assert max(SE.HEADS) == 16
+    got = {r.id: r.has_word for r in SE.contains_any(df, "t", w).collect()}
+    assert got == {i: t is not None and any(x in t for x in words) for i, t in enumerate(texts)}

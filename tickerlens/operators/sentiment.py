@@ -14,8 +14,8 @@ from ..session import stored
 COMPOUND_ALPHA = 15.0
 # Classifier decision: score strictly greater than this -> P.
 DECISION_THRESHOLD = 0.5
-# Keyword override: contents and words meet on this many first characters.
-GRAM = 4
+# Keyword override: contents and words meet on the first of these numbers of characters that a word has.
+HEADS = (16, 8, 4, 2, 1)
 # Tokens that make up at least one in so many of all tokens meet the lexicon without a shuffle.
 # By this measure there are never more such tokens than this number.
 SHARES = 500
@@ -137,11 +137,9 @@ def bow_score(docs: DataFrame, tf: DataFrame, weights: DataFrame, id_col: str =
 
 # --- J7 keyword override -----------------------------------------------------
 
-def _grams(content) -> "F.Column":
-    """array(block) of the distinct runs of 1..GRAM characters that start in the block."""
-    blocks = F.regexp_extract_all(content, F.lit(rf"(?s).{{1,{BLOCK_CHARS}}}"), 0)
-    return F.transform(blocks, lambda b, i: F.concat(
-        b, F.coalesce(F.substring(F.get(blocks, i + 1), 1, GRAM - 1), F.lit(""))))
+def _runs(block, n: int) -> "F.Column":
+    """array of the distinct runs of ``n`` characters in the block, wherever they start."""
+    return F.array_distinct(F.regexp_extract_all(block, F.lit(rf"(?s)(?=(.{{{n}}}))"), 1))
 
 
 def contains_any(df: DataFrame, content_col: str, words: DataFrame, word_col: str = "word",
@@ -149,26 +147,27 @@ def contains_any(df: DataFrame, content_col: str, words: DataFrame, word_col: st
     """Existence of any dictionary word as a case-sensitive substring of the content, one
     exact plan for every dictionary size.
 
-    The distinct runs of up to GRAM characters of each content, keyed by the content's
-    128-bit hash, are equi-joined with the words' first GRAM characters; only for the pairs
-    found is the text joined back by its hash and searched for the whole word. Nothing is
-    collected, and no text is copied per run. An empty word is in every non-null content."""
+    A word's head is its longest start of 1, 2, 4 .. ``HEADS[0]`` characters. The distinct runs
+    of the lengths that heads have, keyed by the content's 128-bit hash, are equi-joined with
+    the heads; only for the pairs found is the text joined back by its hash and searched for the
+    whole word. No word is collected, and no text is copied per run. An empty word is in every
+    non-null content. ``df`` is stored once, as it is read three times."""
+    df = stored(df, "contents")
     w = words.select(F.col(word_col).alias("_w")).where(F.col("_w").isNotNull()).distinct()
     c = F.col(content_col)
     keys = [F.xxhash64(c).alias("_k1"), F.xxhash64(F.lit(1), c).alias("_k2")]
-    texts = df.where(c.isNotNull()).select(*keys, c.alias("_c")).dropDuplicates(["_k1", "_k2"])
-    block = texts.select("_k1", "_k2", F.explode(_grams(F.col("_c"))).alias("_b"))
-    chars = block.select("_k1", "_k2", F.split("_b", "").alias("_a"))
-    starts = F.sequence(F.lit(0), F.least(F.size("_a"), F.lit(BLOCK_CHARS)) - 1)
-
-    def runs_of(n: int):
-        return F.transform(starts, lambda i: F.concat(*[F.coalesce(F.get(F.col("_a"), i + j), F.lit("")) for j in range(n)]))
-
-    runs = [runs_of(n) for n in range(1, GRAM + 1)]
-    grams = chars.select("_k1", "_k2", F.explode(F.array_distinct(F.concat(*runs))).alias("_g"))
-    heads = w.where(F.length("_w") > 0).select(F.substring("_w", 1, GRAM).alias("_g"), "_w")
-    pairs = grams.join(heads, "_g").select("_k1", "_k2", "_w").distinct()
-    hits = (pairs.join(texts, ["_k1", "_k2"]).where(F.contains("_c", F.col("_w")))
+    texts = df.where(c.isNotNull()).select(*keys, c.alias("_c"))
+    size = F.coalesce(*[F.when(F.length("_w") >= n, F.lit(n)) for n in HEADS])
+    heads = stored(w.where(F.length("_w") > 0).select(F.substring(F.col("_w"), F.lit(1), size).alias("_g"), "_w", size.alias("_n")), "word-heads")
+    sizes = [r[0] for r in heads.select("_n").distinct().orderBy("_n").collect()]  # at most len(HEADS)
+    blocks = F.regexp_extract_all(F.col("_c"), F.lit(rf"(?s).{{1,{BLOCK_CHARS}}}"), 0)
+    reach = max(sizes, default=1) - 1  # a block takes the start of the next one along
+    longer = F.transform(blocks, lambda b, i: F.concat(b, F.coalesce(F.substring(F.get(blocks, i + 1), 1, reach), F.lit(""))))
+    block = texts.select("_k1", "_k2", F.explode_outer(F.when(F.length("_c") > BLOCK_CHARS, longer).otherwise(F.array("_c"))).alias("_b"))
+    runs = F.concat(*[_runs(F.col("_b"), n) for n in sizes]) if sizes else F.array().cast("array<string>")
+    grams = block.select("_k1", "_k2", F.explode_outer(runs).alias("_g"))
+    pairs = grams.join(heads.drop("_n"), "_g").select("_k1", "_k2", "_w").distinct()
+    hits = (texts.join(pairs, ["_k1", "_k2"]).where(F.contains("_c", F.col("_w")))
             .select("_k1", "_k2").distinct().withColumn("_hit", F.lit(True)))
     empty = F.coalesce(w.agg(F.max(F.length("_w") == 0)).scalar(), F.lit(False))  # one value
     out = df.select("*", *keys).join(hits, ["_k1", "_k2"], "left")
