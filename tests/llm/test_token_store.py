@@ -33,6 +33,17 @@ def test_pieces_give_the_ids_of_the_whole_text(tok):
         assert [np.frombuffer(g, "<u2").tolist() for g in got] == [expected(tok, t)[:-1] for t in TEXTS]
 
 
+def test_pieces_and_their_runs_share_one_bounded_memory(tok, monkeypatch):
+    monkeypatch.setattr(TS, "CACHE_WORDS", 100)
+    enc = TS.PieceEncoder(PATH, "<u2")
+    for k in range(10):
+        words = [f"w{'abcdefghij'[k]}{'x' * i}" for i in range(60)]
+        got = enc.batch([" ".join(["a", *words])])
+        assert np.frombuffer(got[0], "<u2").tolist() == expected(tok, " ".join(["a", *words]))[:-1]
+        held = sum(len(v) for v in vars(enc).values() if isinstance(v, dict) and v is not enc.letters)
+        assert held <= 100 + len(words) + 10
+
+
 def test_small_memory_gives_the_same(tok, monkeypatch):
     monkeypatch.setattr(TS, "CACHE_WORDS", 3)
     monkeypatch.setattr(TS, "ENCODE_CHARS", 10)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tickerlens.llm import files
 from tickerlens.session import ensure_shipped, scratch_path
 
-CACHE_WORDS = 700_000  # pieces whose ids a worker remembers; the older half goes when full
+CACHE_WORDS = 400_000  # pieces and runs whose ids a worker remembers; the older half goes when full
 ENCODE_CHARS = 200_000  # new pieces are encoded in joins of about this length
 # Characters below U+0100 as the pre-tokenizer classes them (white space is never asked for).
 _LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -92,8 +92,7 @@ class PieceEncoder:
         brk = self.tok.encode("\n", add_special_tokens=False).ids
         self.brk = brk[0] if len(brk) == 1 else None
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.known = _Known(self.latin)
-        self.runs: dict[str, bytes] = {}
+        self.known = _Known(self.latin)  # and of runs: each is a piece with the same ids
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
@@ -130,12 +129,12 @@ class PieceEncoder:
         """Ids of a word of Latin characters; KeyError for any other."""
         if self.model is None or not _LATIN.fullmatch(word):
             raise KeyError(word)
-        runs, ids = self.runs, b""
+        known, ids = self.known, b""
         for run in _TOKENS.findall(word):
-            got = runs.get(run)
+            got = known.get(run)
             if got is None:
                 mapped = run.encode().decode("latin-1").translate(self.letters)
-                got = runs[run] = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+                got = known[run] = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
             ids += got
         return ids
 
@@ -161,10 +160,9 @@ class PieceEncoder:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of the file's integer type."""
-        for memory in (self.known, self.runs):
-            if len(memory) > CACHE_WORDS:
-                for w in list(itertools.islice(memory, len(memory) // 2)):
-                    del memory[w]
+        if len(self.known) > CACHE_WORDS:
+            for w in list(itertools.islice(self.known, len(self.known) // 2)):
+                del self.known[w]
         self.known["\n"] = np.array([self.brk or 0], dtype=self.dtype).tobytes()
         return [self.encoded(t) for t in texts]
 
