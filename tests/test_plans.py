@@ -56,3 +56,15 @@ def test_company_pages_are_never_broadcast_for_requests(spark):
     got = J.report_requests_ko(fact, pages)
     assert [(r.code, "<li>o</li>" in r.prompt) for r in got.collect()] == [("000001", True)]
     assert "Broadcast" not in final_plan(got)
+
+
+def test_a_task_renders_so_many_pages_at_most(spark, monkeypatch):
+    """With more parts there are more tasks, not larger ones."""
+    from tickerlens import session
+    from tickerlens.plans import queries as Q
+    monkeypatch.setattr(session, "ROWS_A_TASK", 5)
+    n = session.read_table(spark, SF, "part").count()
+    assert n > 5 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for pages in (Q.company_pages(spark, SF), Q.listing_pages(spark, SF)):
+        per_task = pages.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert len(per_task) == -(-n // 5) and sum(per_task) == n and max(per_task) < 20

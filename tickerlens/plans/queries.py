@@ -390,14 +390,20 @@ def q_company_profile(spark, sf_dir):
                                                  ("headline", "summary")))
 
 
+def _parts(spark, sf_dir):
+    """The rows that pages are rendered from. A page is many times its row, so they are dealt out
+    before, and no task gets more of them where there are more."""
+    part = read_table(spark, sf_dir, "part")
+    return spread(part, part.count())
+
+
 def listing_pages(spark, sf_dir):
-    # a page is many times its row: the rows are dealt out before
-    return spread(read_table(spark, sf_dir, "part")).select(
+    return _parts(spark, sf_dir).select(
         F.col("p_partkey").alias("page_id"), CP.html_column(CP.listing_html_pieces()).alias("html"))
 
 
 def company_pages(spark, sf_dir):
-    return spread(read_table(spark, sf_dir, "part")).select(
+    return _parts(spark, sf_dir).select(
         F.col("p_partkey").alias("page_id"), F.format_string("%06d", "p_partkey").alias("code"),
         CP.html_column(CP.company_html_pieces()).alias("html"))
 
