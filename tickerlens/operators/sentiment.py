@@ -163,8 +163,8 @@ def contains_any(df: DataFrame, content_col: str, words: DataFrame, word_col: st
     blocks = F.regexp_extract_all(F.col("_c"), F.lit(rf"(?s).{{1,{BLOCK_CHARS}}}"), 0)
     reach = max(sizes, default=1) - 1  # a block takes the start of the next one along
     longer = F.transform(blocks, lambda b, i: F.concat(b, F.coalesce(F.substring(F.get(blocks, i + 1), 1, reach), F.lit(""))))
-    # few bytes of contents are one task, but many runs
-    block = spread(texts).select("_k1", "_k2", F.explode_outer(F.when(F.length("_c") > BLOCK_CHARS, longer).otherwise(F.array("_c"))).alias("_b"))
+    # equal contents are cut once; few bytes of contents are one task, but many runs
+    block = spread(texts.distinct()).select("_k1", "_k2", F.explode_outer(F.when(F.length("_c") > BLOCK_CHARS, longer).otherwise(F.array("_c"))).alias("_b"))
     runs = F.concat(*[_runs(F.col("_b"), n) for n in sizes]) if sizes else F.array().cast("array<string>")
     grams = block.select("_k1", "_k2", F.explode_outer(runs).alias("_g"))
     pairs = grams.join(heads.drop("_n"), "_g").select("_k1", "_k2", "_w").distinct()

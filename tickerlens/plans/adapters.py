@@ -88,11 +88,18 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stock_master(c, "c_name", "c_custkey", "c_custkey")
 
 
+def six_digits(key):
+    """``format_string('%06d', key)``, without a formatter for the keys that are plain numbers."""
+    t = key.cast("string")
+    return (F.when((key >= 0) & (key < 1000000), F.lpad(t, 6, "0")).when(key >= 1000000, t)
+            .otherwise(F.format_string("%06d", key)))
+
+
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     p, q = F.col("l_extendedprice"), F.col("l_quantity")
     return li.select(
-        F.format_string("%06d", F.col("l_partkey")).alias("code"),
+        six_digits(F.col("l_partkey")).alias("code"),
         F.col("l_shipdate").alias("date"),
         p.cast("bigint").alias("close"),
         q.cast("bigint").alias("diff"),

@@ -19,7 +19,7 @@ from ..operators import features as FE
 from ..operators import linking, models, pages, quotes, sentiment, store, valuation
 from ..operators.enrich import asked_summary, company_summary, us_request
 from ..operators.usjob import extract_ticker
-from ..session import materialize, stored
+from ..session import few_keys, materialize, stored
 
 # The columns of the three result tables.
 FACT_COLUMNS = ["key_", "date_", "time_", "code_", "name_", "content_", "pn_", "ratio_",
@@ -101,9 +101,10 @@ def job_ko(headlines: DataFrame, master: DataFrame, fact_store: DataFrame, quote
     h = _select_headlines(headlines)
     linked = _link(h, master, legacy_carry).withColumn("date_", F.date_format("run_date", "yyyy-MM-dd"))
     fresh = linking.new_only(linked, fact_store, [("code", "code_"), ("date_", "date_")])
+    # scoring, quotes and reports all fan out from the new articles: compute once
+    fresh = materialize(fresh)
+    codes = few_keys(fresh.select("code").where("code IS NOT NULL"), "fresh-codes")
     if model is not None:
-        # scoring, quotes and reports all fan out from the new articles: compute once
-        fresh = materialize(fresh)
         if replies is not None:
             fresh = fresh.join(replies.select("seq", "reply"), "seq", "left")
             gpt = verdict(F.coalesce(F.col("reply"), F.col("content")), "P")
@@ -119,6 +120,8 @@ def job_ko(headlines: DataFrame, master: DataFrame, fact_store: DataFrame, quote
     else:
         fresh = (fresh.withColumn("pn_", F.lit("")).withColumn("gpt_pn_", F.lit(""))
                  .withColumn("ratio_", F.lit(0.0)))
+    if codes is not None:  # other companies' quotes are not sorted
+        quote_rows = quote_rows.join(codes, "code", "left_semi")
     latest = quotes.latest_quote(quote_rows, tiebreak=quote_tiebreak)
     fresh = quotes.attach_quote(fresh, latest)
     fresh = store.reuse_reports(fresh, fact_store)
@@ -137,8 +140,9 @@ def details(fact: DataFrame, company_pages: DataFrame, rate_cells: DataFrame,
     back (the per-code side is bounded by the master; AQE sees its size)."""
     if not materialized:
         fact = materialize(fact)  # read twice below (codes, and the join back)
-    codes = fact.select(F.col("code_").alias("code")).distinct()
-    pg = company_pages.join(codes, "code", "left_semi")
+    codes = fact.select(F.col("code_").alias("code")).where("code IS NOT NULL")
+    few = few_keys(codes, "fact-codes")  # then no page is shuffled, nor made, for a company without articles
+    pg = company_pages.join(codes.distinct() if few is None else few, "code", "left_semi")
     pg = valuation.with_tables(pg)
     pg = pg.select("code", "tables", *valuation.company_profile(F.col("html")))
     pg = valuation.market_snapshot(pg)

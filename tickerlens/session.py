@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_A_TASK = 50_000  # of rows that are blown up
+BROADCAST_KEYS = 1_000_000  # short keys that every executor may hold
 
 
 def build_session(master: str = "local[*]", app: str = "tickerlens", extra: dict | None = None) -> SparkSession:
@@ -86,6 +87,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_keys(df: DataFrame, name: str) -> DataFrame | None:
+    """The distinct rows of ``df``, short keys, marked for broadcast; None if there are more than
+    ``BROADCAST_KEYS``. Stored and counted first: left to AQE, the other side of a join may be
+    made and shuffled whole before these are known to be few."""
+    keys = stored(df.distinct(), name)
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else None
+
+
 def ship_package(spark: SparkSession) -> str:
     """Make ``tickerlens`` importable on executors (the pandas-UDF and
     mapInPandas paths run package code there): zip the package in memory, write
