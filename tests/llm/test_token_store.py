@@ -95,3 +95,10 @@ def test_full_memory_keeps_the_newer_half(monkeypatch):
     enc.batch([" ".join(f"w{i}x" for i in range(20))])
     enc.batch(["other"])
     assert " w19x" in enc.known and " w2x" not in enc.known
+
+
+def test_a_word_of_one_run_is_not_cut(tok, monkeypatch):
+    monkeypatch.setattr(TS, "_TOKENS", None)  # what cuts words into runs
+    enc = TS.PieceEncoder(PATH, "<u2")
+    text = "plain words über alles ñandú"
+    assert np.frombuffer(enc.batch([text])[0], "<u2").tolist() == expected(tok, text)[:-1]

@@ -19,10 +19,12 @@ ignored. A document longer than a batch is encoded line by line, never cut.
 from __future__ import annotations
 
 import itertools
+import operator
 import os
 import re
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,22 +36,24 @@ from pyspark.sql import functions as F
 from tickerlens.llm import files
 from tickerlens.session import ensure_shipped, scratch_path
 
-CACHE_WORDS = 400_000  # pieces and runs whose ids a worker remembers; the older half goes when full
+CACHE_WORDS = 700_000  # pieces and runs whose ids a worker remembers; the older half goes when full
 ENCODE_CHARS = 200_000  # new pieces are encoded in joins of about this length
 # Characters below U+0100 as the pre-tokenizer classes them (white space is never asked for).
 _LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _LATIN = re.compile("[ !-~\u00a1-\u00ff]+")
+_WORD = re.compile(f" ?[{_LETTERS}]+")
 _TOKENS = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^ {_LETTERS}{_NUMBERS}]+")
+_ID = operator.attrgetter("id")
 DOC_DTYPE = np.dtype([("id", "<i8"), ("valid", "u1")])
 
 
-def _byte_letters() -> list[str]:
+def _byte_letters() -> str:
     """The letter that stands for each byte in a byte-level vocabulary: printable bytes for
     themselves, the others for the next letters after U+00FF."""
     itself = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     later = itertools.count(0x100)
-    return [chr(b) if b in itself else chr(next(later)) for b in range(256)]
+    return "".join(chr(b) if b in itself else chr(next(later)) for b in range(256))
 
 
 class _Known(dict):
@@ -87,7 +91,7 @@ class PieceEncoder:
         # runs are merged by the model alone where nothing else has a say in them
         alone = (isinstance(self.tok.model, models.BPE) and isinstance(self.tok.pre_tokenizer, pre_tokenizers.ByteLevel)
                  and self.tok.normalizer is None and not self.tok.pre_tokenizer.add_prefix_space)
-        self.model, self.letters = (self.tok.model, dict(enumerate(_byte_letters()))) if alone else (None, {})
+        self.model, self.letters = self.tok.model if alone else None, _byte_letters()
         self.dtype = np.dtype(dtype)
         brk = self.tok.encode("\n", add_special_tokens=False).ids
         self.brk = brk[0] if len(brk) == 1 else None
@@ -125,16 +129,24 @@ class PieceEncoder:
                 self.known.update((w, self.whole(w)) for w in part)
             i = j
 
+    def merged(self, run: str) -> bytes:
+        """Ids of a run of Latin characters, from the model alone."""
+        letters = charmap_decode(run.encode(), "strict", self.letters)[0]
+        return array(self.code, map(_ID, self.model.tokenize(letters))).tobytes()
+
     def latin(self, word: str) -> bytes:
         """Ids of a word of Latin characters; KeyError for any other."""
-        if self.model is None or not _LATIN.fullmatch(word):
+        if self.model is None:
+            raise KeyError(word)
+        if _WORD.fullmatch(word):  # one run
+            return self.merged(word)
+        if not _LATIN.fullmatch(word):
             raise KeyError(word)
         known, ids = self.known, b""
         for run in _TOKENS.findall(word):
             got = known.get(run)
             if got is None:
-                mapped = run.encode().decode("latin-1").translate(self.letters)
-                got = known[run] = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+                got = known[run] = self.merged(run)
             ids += got
         return ids
 
