@@ -111,3 +111,15 @@ def test_word_hashes_do_not_depend_on_segments(monkeypatch):
 
 def test_shared_is_below_the_expected_overlap():
     assert N.shared(64, 80) == 32 and N.shared(32, 80) == 12
+
+
+def test_components_joined_by_more_edges(spark):
+    random.seed(11)
+    edges = [(random.randint(0, 90), random.randint(0, 90)) for _ in range(40)]
+    more = [(random.randint(0, 120), random.randint(0, 120)) for _ in range(15)] + [(200, 201), (edges[0][0], 201)]
+    plain = [e for e in edges if e[0] != e[1]], [e for e in more if e[0] != e[1]]
+    e, m = (spark.createDataFrame(x, "a long, b long") for x in plain)
+    expected = {tuple(r) for r in N.components(e.unionByName(m)).collect()}
+    got = [tuple(r) for r in N.joined_components(N.components(e), m).collect()]
+    assert set(got) == expected and len(got) == len(expected)
+    assert {tuple(r) for r in N.joined_components(N.components(e), m.limit(0)).collect()} == {tuple(r) for r in N.components(e).collect()}

@@ -294,6 +294,19 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
+def joined_components(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """``components`` of the edges that ``labels`` come from and of ``more`` together. Only the
+    components that ``more`` joins take part in the rounds, each as its smallest node."""
+    def at(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("label").alias(f"of_{side}"))
+    ends = more.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    roots = components(ends.where("a != b").distinct())
+    root = roots.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    alone = roots.join(labels.select("node"), "node", "left_anti")
+    return stored(labels.join(root, "label", "left").select("node", F.coalesce("root", "label").alias("label")).unionByName(alone),
+                  "components-labels")
+
+
 def shared_ids(rows: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(doc_id, rep) of the ids whose rows differ in their sets, None if there is none: such an
     id links the classes of all its rows."""
@@ -337,7 +350,7 @@ def duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     rest = stored(other_pairs(members, texts, shingle, percent), "neardup-pairs")
     if rest.limit(1).count():
         more = stored(confirmed(rest, texts, shingle, percent), "neardup-links")
-        labels = components(edges.unionByName(more))
+        labels = joined_components(labels, more)
 
     named = (rows.drop("sketch", "mini").join(classes, ["n", "f1", "f2"], "left")
              .join(labels.withColumnRenamed("node", "rep"), "rep", "left"))
