@@ -73,3 +73,40 @@ def test_empty_tables(spark):
     assert D.contamination(d.limit(0), b).count() == 0
     assert [tuple(r)[:4] for r in D.contamination(d, b.limit(0)).drop("matches").orderBy("doc_id").collect()] == [(1, 2, 0, 0), (2, 0, 0, 0)]
     assert D.decontaminate(d, b.limit(0)).count() == 2
+
+
+def test_memory_of_a_shard_stays_near_its_text():
+    import tracemalloc
+
+    random.seed(3)
+    vocab = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(random.choices(vocab, k=400)).encode() for _ in range(400)]
+    judge = D.Judge([], 13)
+    judge.single = D.TestBlock(["a"], [" ".join(vocab[:200]).encode()], 13)
+    tracemalloc.start()
+    try:
+        n_words, n_hit, items, matches = judge.shard(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n_words.tolist() == [400] * 400 and not n_hit.any()
+    assert peak < 8 * sum(map(len, texts))  # 16 times it when all words of the shard were held
+
+
+def test_a_task_leaves_no_memory_in_the_pool(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from tickerlens.llm import tables
+
+    seen = []
+    monkeypatch.setattr(tables, "pa", SimpleNamespace(default_memory_pool=lambda: SimpleNamespace(release_unused=lambda: seen.append("released")), RecordBatch=pa.RecordBatch))
+
+    def run(batches):
+        for b in batches:
+            seen.append(b)
+            yield b + 1
+        seen.append("done")
+    assert list(tables.lean(run)([1, 2])) == [2, 3]
+    assert seen == [1, 2, "done", "released"]

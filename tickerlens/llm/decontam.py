@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlens.llm import files
+from tickerlens.llm.tables import lean
 from tickerlens.session import ensure_shipped, scratch_path
 
 SHARD_BYTES = 4 << 20
@@ -42,6 +44,18 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
+def numbered(texts: list[bytes], vocab: dict[bytes, int]) -> tuple[np.ndarray, list[int]]:
+    """The numbers of all texts' words, 0 for other words and for a gap after each text, and how
+    many words each text has. Only one text's words are held at a time."""
+    ids, counts = array("i"), []
+    for t in texts:
+        before = len(ids)
+        ids.extend(map(vocab.get, words(t), itertools.repeat(0)))
+        counts.append(len(ids) - before)
+        ids.append(0)
+    return np.frombuffer(ids, dtype=np.int32), counts
+
+
 class TestBlock:
     """The test suffixes of one block of items, as packed keys of their first window."""
 
@@ -93,12 +107,12 @@ class SuffixArray:
     def __init__(self, corpus: np.ndarray, block: TestBlock):
         self.corpus, self.block = corpus, block
         span = block.n_keys * block.per_key
-        padded = np.concatenate([corpus, np.zeros(span, dtype=corpus.dtype)]).astype(np.uint64)
+        padded = np.concatenate([corpus, np.zeros(span, dtype=corpus.dtype)])
         n, bits = len(corpus), np.uint64(block.bits)
         at = np.flatnonzero(corpus)
         head = np.zeros(len(at), dtype=np.uint64)
         for c in range(block.head):
-            head = (head << bits) | padded[at + c]
+            head = (head << bits) | padded[at + c].astype(np.uint64)
         place = np.searchsorted(block.heads, head)
         place[place == len(block.heads)] = 0
         at = at[block.heads[place] == head] if len(block.heads) else at[:0]
@@ -106,7 +120,7 @@ class SuffixArray:
         for k in range(block.n_keys):
             key = np.zeros(len(at), dtype=np.uint64)
             for c in range(block.per_key):
-                key = (key << bits) | padded[at + (k * block.per_key + c)]
+                key = (key << bits) | padded[at + (k * block.per_key + c)].astype(np.uint64)
             keys.append(key)
         order = np.lexsort(keys[::-1]) if len(at) else np.empty(0, dtype=np.int64)
         self.places, self.keys, self.size = at[order], [k[order] for k in keys], n
@@ -173,21 +187,19 @@ class Judge:
     def shard(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[set[str]], list[tuple]]:
         """(n_words, n_hit, items, matches) of each document; a match is (document, word,
         item, word of the item, longest verbatim length)."""
-        split = [words(t) for t in texts]
-        n_words = np.array([len(s) for s in split], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(n_words + 1)])  # a gap word ends each document
-        doc_of = np.repeat(np.arange(len(texts)), n_words + 1)
-        flat = list(itertools.chain.from_iterable(s + [b""] for s in split))
-        cover = np.zeros(len(flat) + 1, dtype=np.int64)
+        n_words = cover = starts = None
         items: list[set[str]] = [set() for _ in texts]
         matches = []
         for block in self.blocks():
-            corpus = np.fromiter(map(block.vocab.get, flat, itertools.repeat(0)), dtype=np.int64, count=len(flat))
+            corpus, counts = numbered(texts, block.vocab)
+            if cover is None:
+                n_words, cover = np.array(counts, dtype=np.int64), np.zeros(len(corpus) + 1, dtype=np.int32)
+                starts = np.concatenate([[0], np.cumsum(n_words + 1)])  # a gap word ends each document
             win, place = SuffixArray(corpus, block).locate()
             np.add.at(cover, place, 1)
             np.add.at(cover, place + block.lengths[win], -1)
-            for w, p in zip(win.tolist(), place.tolist()):
-                doc = int(doc_of[p])
+            docs = np.searchsorted(starts, place, side="right") - 1
+            for w, p, doc in zip(win.tolist(), place.tolist(), docs.tolist()):
                 for n, j in block.owners[w]:
                     name, ids = block.items[n]
                     items[doc].add(name)
@@ -197,8 +209,11 @@ class Judge:
                     while j + size < len(ids) and corpus[p + size] == ids[j + size]:
                         size += 1
                     matches.append((doc, p - int(starts[doc]), name, j, size))
-        hit = np.cumsum(cover[:-1]) > 0
-        n_hit = np.add.reduceat(hit.astype(np.int64), starts[:-1]) if len(texts) else np.empty(0, np.int64)
+        if cover is None:  # an empty benchmark
+            n_words = np.array([len(words(t)) for t in texts], dtype=np.int64)
+            return n_words, np.zeros(len(texts), np.int64), items, matches
+        hit = np.cumsum(cover[:-1], dtype=np.int32) > 0
+        n_hit = np.add.reduceat(hit, starts[:-1], dtype=np.int64) if len(texts) else np.empty(0, np.int64)
         return n_words, n_hit, items, matches
 
 
@@ -237,7 +252,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
                     names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "matches"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
+    return rows.mapInArrow(lean(run), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
                                 "matches array<struct<word: long, item_id: string, item_word: long, length: long>>")
 
 
@@ -255,4 +270,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
                 n_words, n_hit, _, _ = judge.shard(texts)
                 yield b.slice(lo, hi - lo).filter(pa.array((n_hit == 0) | (one_in * n_hit < n_words)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

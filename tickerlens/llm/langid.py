@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.llm.tables import fresh, stored
+from tickerlens.llm.tables import fresh, lean, stored
 from tickerlens.session import ensure_shipped
 
 BUCKETS = 1 << 15
@@ -122,7 +122,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, sample_
         np.add.at(counts, t.column("bucket").to_numpy(), t.column("n").to_numpy())
         return pa.table({"label": t.column("label").slice(0, 1), "logs": pa.array([log_shares(counts).tobytes()], pa.binary())})
 
-    sums = sample.mapInArrow(count, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    sums = sample.mapInArrow(lean(count), "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     # BUCKETS floats of each label
     models = stored(sums.groupBy("label").applyInArrow(shares, "label string, logs binary"), "langid-models").orderBy("label").collect()
     logs = [np.frombuffer(r["logs"], dtype=np.float32) for r in models]
@@ -143,7 +143,7 @@ def _text_scores(rows: DataFrame, model: TextModel, text_col: str, others: list[
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(others))), pa.array(scores, pa.list_(pa.float64())),
                                               pa.array(best, pa.int32()), pa.array([has_letters(t) for t in texts])],
                                              names=[*others, "loglik", "best", "letters"])
-    return rows.select(*others, F.col(text_col)).mapInArrow(run, f"{schema}, loglik array<double>, best int, letters boolean")
+    return rows.select(*others, F.col(text_col)).mapInArrow(lean(run), f"{schema}, loglik array<double>, best int, letters boolean")
 
 
 def _counts(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerlens.llm.tables import fresh, stored
+from tickerlens.llm.tables import fresh, lean, stored
 from tickerlens.session import ensure_shipped
 
 K, MINI = 64, 32
@@ -150,7 +150,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
                                               pa.array(full, pa.list_(pa.int64())), pa.array(mini, pa.list_(pa.int32()))],
                                              names=["doc_id", "n", "f1", "f2", "sketch", "mini"])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, DOC)
+    return rows.mapInArrow(lean(run), DOC)
 
 
 def postings(reps: DataFrame, percent: int) -> DataFrame:
@@ -222,7 +222,7 @@ def full_sets(texts: DataFrame, shingle: int) -> DataFrame:
                 h = shingle_hashes(cell.as_buffer().to_pybytes(), shingle)
                 yield pa.RecordBatch.from_arrays([pa.array([rep.as_py()], pa.int64()), pa.array([h.view(np.int64)], pa.list_(pa.int64()))],
                                                  names=["rep", "h"])
-    return texts.mapInArrow(run, "rep long, h array<long>")
+    return texts.mapInArrow(lean(run), "rep long, h array<long>")
 
 
 def other_pairs(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -272,7 +272,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
 """Intermediate tables in the shared folder."""
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tickerlens.session import scratch_path
@@ -14,6 +17,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(run: Callable) -> Callable:
+    """``run`` of mapInArrow, whose memory goes back to the system when a task is done: Arrow's pool
+    else keeps it in a worker that waits for later tasks, beside the executor's heap."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return task
+
+
 def fresh(docs: DataFrame, *names: str) -> list[str]:
     """``names`` for helper columns, each lengthened until ``docs`` has no such column."""
     taken = {c.lower() for c in docs.columns}

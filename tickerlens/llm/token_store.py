@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlens.llm import files
+from tickerlens.llm.tables import lean
 from tickerlens.session import ensure_shipped, scratch_path
 
 CACHE_WORDS = 400_000  # pieces and runs whose ids a worker remembers; the older half goes when full
@@ -252,7 +253,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, *, id_col: st
     ordered = rows.repartitionByRange("_id").sortWithinPartitions("_id", "_text")
     path = scratch_path(spark, "token-shards")
     schema = "shard long, name string, n_docs long, n_ids long"
-    ordered.mapInArrow(write_shard, schema).write.parquet(path)  # the files are written here, once
+    ordered.mapInArrow(lean(write_shard), schema).write.parquet(path)  # the files are written here, once
     shards = spark.read.schema(schema).parquet(path).orderBy("shard").collect()  # one row per shard
     bases = np.concatenate([[0], np.cumsum([r["n_ids"] for r in shards])]).astype("int64")
     based = spark.createDataFrame([(r["shard"], r["name"], r["n_docs"], r["n_ids"], int(b))
@@ -267,7 +268,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer_path: str, *, id_col: st
             yield b
 
     done = scratch_path(spark, "token-offsets")
-    based.mapInArrow(write_offsets, based.schema).write.parquet(done)
+    based.mapInArrow(lean(write_offsets), based.schema).write.parquet(done)
     return spark.read.schema(based.schema).parquet(done)
 
 
@@ -301,7 +302,7 @@ def read_store(shards: DataFrame, folder: str, dtype: str, *, with_ids: bool = T
                                                                F.lit(docs_per_task).cast("long"))).alias("lo"),
                           "n_docs").withColumn("hi", F.least(F.col("lo") + docs_per_task, F.col("n_docs")))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return spans.mapInArrow(read, schema)
+    return spans.mapInArrow(lean(read), schema)
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str | None = None, **kw) -> DataFrame:
